@@ -73,3 +73,13 @@ def split_valid(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]
     ok = checked.filter(F.size("violations") == 0).drop("violations")
     bad = checked.filter(F.size("violations") > 0)
     return ok, bad
+
+
+def validate_batches(df: DataFrame, batch: str, lo: int = None, hi: int = None) -> DataFrame:
+    """Batch-size rule: every batch must hold between ``lo`` and ``hi`` rows."""
+    from ..config import BATCH_MAX, BATCH_MIN
+
+    lo = BATCH_MIN if lo is None else lo
+    hi = BATCH_MAX if hi is None else hi
+    sizes = df.groupBy(F.col(batch).alias("batch_id")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.withColumn("valid", (F.col("n") >= lo) & (F.col("n") <= hi))

@@ -12,9 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import bindings as B
+from ..config import FEATURES, air_quality_view, inference_service, training_service
+from ..functions.labels import five_band, three_band
+from ..functions.rules import scoring_input_rules, with_violations
+from ..functions.scalars import landing_key, parse_time, sanitize_name
+from ..operators.dedup import latest_per_entity, latest_per_key
+from ..operators.enrich import enrich, unknown_entities
+from ..operators.features import asof_join, cast_to_view, online_lookup, service_frame
+from ..operators.flatten import flatten_hourly, long_to_wide
+from ..operators.prep import align_features, limit_per_entity, prepare_training, reference_load
+from ..operators.stats import ingest_summary, label_counts, label_shares, payload_summary, reference_stats
 from ..session import scratch_path
-from ..sources.raw import land_raw, read_raw_json
+from ..sources.curated import write_curated
+from ..sources.raw import land_raw, read_long_feed, read_raw_json, union_feeds
 from .curated import run_curated
+from ..functions.rules import validate_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -51,3 +63,292 @@ def curated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("curated_build")
 def q_curated_build(spark, sf):
     return curated_table(spark, sf)
+
+
+# ---------------------------------------------------------------- A: sources
+@register("raw_json_scan")
+def q_raw_json_scan(spark, sf):
+    raw = landed_raw(spark, sf)
+    return raw.select(
+        "city",
+        "city_name",
+        "latitude",
+        "longitude",
+        "timezone",
+        parse_time("fetch_timestamp").alias("fetch_timestamp"),
+        F.size("hourly.time").cast("bigint").alias("n_hours"),
+    )
+
+
+@register("land_raw_roundtrip")
+def q_land_raw_roundtrip(spark, sf):
+    raw = landed_raw(spark, sf)
+    return raw.groupBy("city").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.sum(F.size("hourly.time")).cast("bigint").alias("n_hours"),
+        F.min(landing_key(parse_time("fetch_timestamp"))).alias("first_key"),
+        F.max(landing_key(parse_time("fetch_timestamp"))).alias("last_key"),
+    )
+
+
+@register("curated_scan")
+def q_curated_scan(spark, sf):
+    cur = curated_table(spark, sf)
+    # city is a partition column: the filter prunes folders; pm2_5 is pushed down
+    return cur.filter((F.col("city") == "click") & (F.col("pm2_5") > 50.0)).select(
+        "city", "timestamp", "pm2_5", "air_quality_label"
+    )
+
+
+@register("curated_write_roundtrip")
+def q_curated_write_roundtrip(spark, sf):
+    raw_path = landed_raw_path(spark, sf)
+    out = scratch_path(spark, "curated")
+    run_curated(spark, raw_path, out, multi_line=False)
+    cur = spark.read.parquet(out)
+    # rewrite one city with a subset: dynamic overwrite leaves the others alone
+    write_curated(cur.filter((F.col("city") == "view") & (F.col("pm2_5") > 100.0)), out)
+    back = spark.read.parquet(out)
+    return back.groupBy("city").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("pm2_5"), 6).alias("sum_pm2_5")
+    )
+
+
+@register("long_feed_explode")
+def q_long_feed_explode(spark, sf):
+    path = scratch_path(spark, "feed")
+    B.nest_long_feed_docs(B.measurements_table(spark, sf)).write.json(path)
+    rows = read_long_feed(spark, path, multi_line=False)
+    return rows.filter(F.col("parameter") == "pm25")
+
+
+# ---------------------------------------------------------------- B: projections / predicates
+@register("hourly_explode")
+def q_hourly_explode(spark, sf):
+    rows = flatten_hourly(landed_raw(spark, sf))
+    return rows.select("city", "timestamp", *FEATURES, "parameter", "pos", "fetch_timestamp")
+
+
+@register("parse_event_time")
+def q_parse_event_time(spark, sf):
+    ev = B.table(spark, sf, "events")
+    raw = F.when(F.col("event_id") % 97 == 0, F.lit("not-a-time")).otherwise(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm")
+    )
+    return ev.select("event_id", raw.alias("time_raw")).select(
+        "event_id", "time_raw", parse_time("time_raw").alias("timestamp")
+    )
+
+
+@register("quality_label")
+def q_quality_label(spark, sf):
+    m = B.measurements_table(spark, sf)
+    return m.select("version", "pm2_5", three_band("pm2_5").alias("air_quality_label"))
+
+
+@register("quality_label_five_band")
+def q_quality_label_five_band(spark, sf):
+    m = B.measurements_table(spark, sf)
+    return m.select("version", "pm2_5", five_band("pm2_5").alias("air_quality_label"))
+
+
+@register("prepare_training")
+def q_prepare_training(spark, sf):
+    lm = B.labeled_measurements(spark, sf).drop("version", "station_id")
+    return prepare_training(lm)
+
+
+@register("reference_load")
+def q_reference_load(spark, sf):
+    ref, _ = B.reference_current(B.labeled_measurements(spark, sf))
+    return reference_load(ref)
+
+
+@register("align_features")
+def q_align_features(spark, sf):
+    m = B.measurements_table(spark, sf).select("version", "pm2_5", "pm10", "us_aqi", "ozone")
+    return align_features(m, keep=["version"])
+
+
+@register("feature_view_cast")
+def q_feature_view_cast(spark, sf):
+    return cast_to_view(B.labeled_measurements(spark, sf), air_quality_view(tiebreak=("version",)))
+
+
+@register("feature_service_training")
+def q_feature_service_training(spark, sf):
+    return service_frame(B.labeled_measurements(spark, sf), training_service(air_quality_view()))
+
+
+@register("feature_service_inference")
+def q_feature_service_inference(spark, sf):
+    return service_frame(B.labeled_measurements(spark, sf), inference_service(air_quality_view()))
+
+
+@register("validate_rows")
+def q_validate_rows(spark, sf):
+    m = B.measurements_table(spark, sf)
+    checked = with_violations(m, scoring_input_rules())
+    return checked.select(
+        "version",
+        F.size("violations").alias("n_violations"),
+        F.array_join("violations", ",").alias("violations"),
+    )
+
+
+@register("validate_batches")
+def q_validate_batches(spark, sf):
+    orders = B.table(spark, sf, "orders")
+    return validate_batches(orders, "o_custkey")
+
+
+@register("limit_per_entity")
+def q_limit_per_entity(spark, sf):
+    m = B.measurements_table(spark, sf)
+    return limit_per_entity(m, "city", ["timestamp", "version"], 100).select("city", "version", "timestamp", "rank")
+
+
+@register("sanitize_name")
+def q_sanitize_name(spark, sf):
+    part = B.table(spark, sf, "part")
+    return part.select("p_partkey", "p_type", sanitize_name("p_type").alias("folder"))
+
+
+@register("long_to_wide")
+def q_long_to_wide(spark, sf):
+    long = B.long_feed_rows(B.measurements_table(spark, sf))
+    return long_to_wide(long, ["city", "ts"], values=[p for p, _ in B.LONG_PARAMETER_COLUMNS])
+
+
+# ---------------------------------------------------------------- C: joins
+def _customer_with_shifted_key(spark, sf):
+    c = B.table(spark, sf, "customer")
+    return c.select("c_custkey", (F.col("c_nationkey") + 3).alias("nation_key"))
+
+
+def _nation_region(spark, sf):
+    n = B.table(spark, sf, "nation")
+    r = B.table(spark, sf, "region")
+    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
+
+
+@register("dim_enrich")
+def q_dim_enrich(spark, sf):
+    return enrich(_customer_with_shifted_key(spark, sf), _nation_region(spark, sf), "nation_key", "n_nationkey", ["n_name", "r_name"])
+
+
+@register("unknown_entities")
+def q_unknown_entities(spark, sf):
+    return unknown_entities(_customer_with_shifted_key(spark, sf), _nation_region(spark, sf), "nation_key", "n_nationkey")
+
+
+def _spine_and_features(spark, sf):
+    ev = B.table(spark, sf, "events")
+    spine = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    feats = ev.filter(F.col("event_type") == "view").select(
+        "user_id", F.col("ts").alias("view_ts"), F.col("value").alias("view_value"), F.col("event_id").alias("view_id")
+    )
+    return spine, feats
+
+
+@register("asof_features_ttl")
+def q_asof_features_ttl(spark, sf):
+    spine, feats = _spine_and_features(spark, sf)
+    return asof_join(
+        spine, feats, "user_id", "ts", ["view_value", "view_id"], ttl_seconds=6 * 3600, feature_ts="view_ts", tiebreak=("view_id",)
+    )
+
+
+def _latest_views(spark, sf):
+    _, feats = _spine_and_features(spark, sf)
+    return latest_per_entity(feats, "user_id", ["view_ts", "view_id"])
+
+
+ONLINE_NOW = "2024-01-30 00:00:00"
+
+
+@register("online_lookup")
+def q_online_lookup(spark, sf):
+    keys = B.table(spark, sf, "customer").select("c_custkey")
+    return online_lookup(keys, _latest_views(spark, sf), "user_id", "view_ts", ["view_value"], ONLINE_NOW, 7 * 86400, key_col="c_custkey")
+
+
+# ---------------------------------------------------------------- D: aggregations
+@register("label_counts")
+def q_label_counts(spark, sf):
+    return label_counts(B.labeled_measurements(spark, sf), "air_quality_label")
+
+
+@register("label_shares")
+def q_label_shares(spark, sf):
+    m = B.measurements_table(spark, sf)
+    lab = F.when(F.col("pm2_5").isNotNull(), three_band("pm2_5")).alias("air_quality_label")
+    return label_shares(m.select(lab), "air_quality_label").withColumn("share", F.round("share", 6))
+
+
+@register("stage_audit")
+def q_stage_audit(spark, sf):
+    raw_path = landed_raw_path(spark, sf)
+    run = run_curated(spark, raw_path, scratch_path(spark, "curated"), multi_line=False)
+    # the counts were observed on the write job; published as a table
+    rows = [(k, int(v)) for k, v in run.counts.items()]
+    return spark.createDataFrame(rows, "stage string, n_rows bigint")
+
+
+@register("reference_stats")
+def q_reference_stats(spark, sf):
+    ref, _ = B.reference_current(B.labeled_measurements(spark, sf))
+    st = reference_stats(reference_load(ref), FEATURES)
+    return st.select("feature", "n_rows", *[F.round(c, 6).alias(c) for c in ["mean", "std", "min", "max", "median"]])
+
+
+@register("payload_summary")
+def q_payload_summary(spark, sf):
+    return payload_summary(landed_raw(spark, sf))
+
+
+@register("ingest_summary")
+def q_ingest_summary(spark, sf):
+    return ingest_summary(B.measurements_table(spark, sf), "city", "timestamp")
+
+
+# ---------------------------------------------------------------- E: windows
+@register("dedup_latest")
+def q_dedup_latest(spark, sf):
+    ev = B.table(spark, sf, "events").withColumn("hour", F.date_trunc("hour", "ts"))
+    return latest_per_key(ev, ["user_id", "hour"], ["event_id"]).select("user_id", "hour", "event_id", "value")
+
+
+@register("latest_per_entity")
+def q_latest_per_entity(spark, sf):
+    return _latest_views(spark, sf)
+
+
+# ---------------------------------------------------------------- G / H
+@register("union_feeds")
+def q_union_feeds(spark, sf):
+    m = B.measurements_table(spark, sf)
+    hourly = flatten_hourly(landed_raw(spark, sf)).select(
+        F.lit("hourly").alias("source"), "city", "timestamp", "pm2_5", "pm10"
+    )
+    wide = long_to_wide(B.long_feed_rows(m), ["city", "ts"], values=[p for p, _ in B.LONG_PARAMETER_COLUMNS]).select(
+        F.lit("long").alias("source"), "city", F.col("ts").alias("timestamp"), F.col("pm25").alias("pm2_5"), F.col("o3").alias("ozone")
+    )
+    return union_feeds(hourly, wide)
+
+
+@register("format_landing_key")
+def q_format_landing_key(spark, sf):
+    ev = B.table(spark, sf, "events")
+    return ev.select("event_id", landing_key("ts").alias("landing_key"))
+
+
+@register("json_props")
+def q_json_props(spark, sf):
+    ev = B.table(spark, sf, "events")
+    parsed = F.from_json("props", "k bigint")
+    return ev.select(
+        "event_id",
+        parsed["k"].alias("k"),
+        F.to_json(F.struct(parsed["k"].alias("k"), F.col("event_type"))).alias("json"),
+    )

@@ -45,6 +45,7 @@ SELECT city, latitude, longitude, timezone,
        CASE WHEN hour(doc_hour) % 7 = 0 THEN NULL ELSE european_aqi END AS european_aqi,
        'pm2_5' AS parameter,
        fetched AS fetch_timestamp,
+       CAST(row_number() OVER (PARTITION BY city, doc_hour ORDER BY "timestamp", version) - 1 AS INTEGER) AS pos,
        "timestamp" AS ts_full, version, doc_hour
 FROM (
   SELECT *,
@@ -71,3 +72,232 @@ CUTOFF = f"TIMESTAMP '{REFERENCE_CUTOFF}'"
 
 ORACLES: dict[str, str] = {}
 ORACLES["curated_build"] = CURATED_SQL
+
+DOCS_SQL = f"""
+SELECT city, date_trunc('hour', "timestamp") AS doc_hour, any_value(latitude) AS latitude,
+       any_value(longitude) AS longitude, max("timestamp") AS fetched, min("timestamp") AS first_ts,
+       count(*) AS n
+FROM ({M_SQL}) m GROUP BY city, date_trunc('hour', "timestamp")
+"""
+
+ORACLES["raw_json_scan"] = f"""
+SELECT city, city AS city_name, latitude, longitude, 'UTC' AS timezone, fetched AS fetch_timestamp, n AS n_hours
+FROM ({DOCS_SQL}) d
+"""
+
+ORACLES["land_raw_roundtrip"] = f"""
+SELECT city, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_hours,
+       min(strftime(fetched, '%Y-%m-%dT%H-%M-%S')) AS first_key,
+       max(strftime(fetched, '%Y-%m-%dT%H-%M-%S')) AS last_key
+FROM ({DOCS_SQL}) d GROUP BY city
+"""
+
+ORACLES["curated_scan"] = f"""
+SELECT city, "timestamp", pm2_5, air_quality_label FROM ({CURATED_SQL}) c
+WHERE city = 'click' AND pm2_5 > 50.0
+"""
+
+ORACLES["curated_write_roundtrip"] = f"""
+SELECT city, count(*) AS n_rows, round(sum(pm2_5), 6) AS sum_pm2_5 FROM ({CURATED_SQL}) c
+WHERE city <> 'view' OR pm2_5 > 100.0 GROUP BY city
+"""
+
+ORACLES["long_feed_explode"] = f"""
+SELECT 'station-' || CAST(station_id AS VARCHAR) AS location, city, 'XX' AS country, 'pm25' AS parameter,
+       pm2_5 AS value, 'ug/m3' AS unit, "timestamp" AS ts_utc, "timestamp" AS ts_local
+FROM ({M_SQL}) m WHERE pm2_5 IS NOT NULL
+"""
+
+FEATS = "pm2_5, pm10, carbon_monoxide, nitrogen_dioxide, sulphur_dioxide, ozone, us_aqi, european_aqi"
+
+ORACLES["hourly_explode"] = f"""
+SELECT city, "timestamp", {FEATS}, parameter, pos, fetch_timestamp FROM ({FLAT_SQL}) f
+"""
+
+ORACLES["parse_event_time"] = """
+SELECT event_id,
+       CASE WHEN event_id % 97 = 0 THEN 'not-a-time' ELSE strftime(ts, '%Y-%m-%dT%H:%M') END AS time_raw,
+       CASE WHEN event_id % 97 = 0 THEN NULL ELSE date_trunc('minute', ts) END AS "timestamp"
+FROM events
+"""
+
+ORACLES["quality_label"] = f"SELECT version, pm2_5, {LABEL3} AS air_quality_label FROM ({M_SQL}) m"
+ORACLES["quality_label_five_band"] = f"SELECT version, pm2_5, {LABEL5} AS air_quality_label FROM ({M_SQL}) m"
+
+LM_SQL = f"SELECT *, {LABEL3} AS air_quality_label, 'pm2_5' AS parameter FROM ({M_SQL}) m"
+
+ORACLES["prepare_training"] = f"""
+SELECT {FEATS}, air_quality_label FROM ({LM_SQL}) x
+WHERE air_quality_label IS NOT NULL AND air_quality_label <> 'unknown'
+"""
+
+REF_SQL = f"""
+SELECT {FEATS}, air_quality_label FROM ({LM_SQL}) x
+WHERE "timestamp" < {CUTOFF}
+  AND pm2_5 IS NOT NULL AND pm10 IS NOT NULL AND carbon_monoxide IS NOT NULL AND nitrogen_dioxide IS NOT NULL
+  AND sulphur_dioxide IS NOT NULL AND ozone IS NOT NULL AND us_aqi IS NOT NULL AND european_aqi IS NOT NULL
+  AND air_quality_label IS NOT NULL
+"""
+ORACLES["reference_load"] = REF_SQL
+
+ORACLES["align_features"] = f"""
+SELECT version, pm2_5, pm10, 0.0::DOUBLE AS carbon_monoxide, 0.0::DOUBLE AS nitrogen_dioxide,
+       0.0::DOUBLE AS sulphur_dioxide, ozone, CAST(us_aqi AS DOUBLE) AS us_aqi, 0.0::DOUBLE AS european_aqi
+FROM ({M_SQL}) m
+"""
+
+VIEW_COLS = (
+    "CAST(pm2_5 AS FLOAT) AS pm2_5, CAST(pm10 AS FLOAT) AS pm10, CAST(carbon_monoxide AS FLOAT) AS carbon_monoxide, "
+    "CAST(nitrogen_dioxide AS FLOAT) AS nitrogen_dioxide, CAST(sulphur_dioxide AS FLOAT) AS sulphur_dioxide, "
+    "CAST(ozone AS FLOAT) AS ozone, us_aqi, european_aqi"
+)
+ORACLES["feature_view_cast"] = f"""
+SELECT city, "timestamp", version, {VIEW_COLS}, latitude, longitude, air_quality_label FROM ({LM_SQL}) x
+"""
+ORACLES["feature_service_training"] = f"""
+SELECT city, "timestamp", {VIEW_COLS}, latitude, longitude, air_quality_label FROM ({LM_SQL}) x
+"""
+ORACLES["feature_service_inference"] = f"""
+SELECT city, "timestamp", {VIEW_COLS} FROM ({LM_SQL}) x
+"""
+
+
+def _rules_sql():
+    from ..functions.rules import scoring_input_rules
+
+    conds = []
+    for r in scoring_input_rules():
+        v = r.column
+        parts = []
+        if r.lo is not None:
+            parts.append(f"{v} < {r.lo}")
+        if r.hi is not None:
+            parts.append(f"{v} > {r.hi}")
+        if r.lo is not None or r.hi is not None:
+            parts.append(f"isnan(CAST({v} AS DOUBLE))")
+        rng = " OR ".join(parts) or "FALSE"
+        bad = f"({v} IS NULL OR {rng})" if r.required else f"({v} IS NOT NULL AND ({rng}))"
+        conds.append((bad, r.name))
+    n = " + ".join(f"CAST(coalesce({b}, FALSE) AS INTEGER)" for b, _ in conds)
+    names = ", ".join(f"CASE WHEN coalesce({b}, FALSE) THEN '{nm}' END" for b, nm in conds)
+    return f"SELECT version, CAST({n} AS INTEGER) AS n_violations, concat_ws(',', {names}) AS violations FROM ({M_SQL}) m"
+
+
+ORACLES["validate_rows"] = _rules_sql()
+
+ORACLES["validate_batches"] = """
+SELECT o_custkey AS batch_id, count(*) AS n, count(*) >= 1 AND count(*) <= 1000 AS valid
+FROM orders GROUP BY o_custkey
+"""
+
+ORACLES["limit_per_entity"] = f"""
+SELECT city, version, "timestamp", rank FROM (
+  SELECT city, version, "timestamp",
+         CAST(row_number() OVER (PARTITION BY city ORDER BY "timestamp" DESC, version DESC) AS INTEGER) AS rank
+  FROM ({M_SQL}) m) x WHERE rank <= 100
+"""
+
+ORACLES["sanitize_name"] = "SELECT p_partkey, p_type, translate(p_type, ' /\\', '___') AS folder FROM part"
+
+ORACLES["long_to_wide"] = f"""
+SELECT city, "timestamp" AS ts, max(pm2_5) AS pm25, max(pm10) AS pm10, max(ozone) AS o3,
+       max(nitrogen_dioxide) AS no2, max(sulphur_dioxide) AS so2, max(carbon_monoxide) AS co
+FROM ({M_SQL}) m GROUP BY city, "timestamp"
+"""
+
+NR_SQL = "SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey"
+ORACLES["dim_enrich"] = f"""
+SELECT c_custkey, c_nationkey + 3 AS nation_key, d.n_name, d.r_name
+FROM customer LEFT JOIN ({NR_SQL}) d ON c_nationkey + 3 = d.n_nationkey
+"""
+ORACLES["unknown_entities"] = f"""
+SELECT c_custkey, c_nationkey + 3 AS nation_key FROM customer
+WHERE NOT EXISTS (SELECT 1 FROM ({NR_SQL}) d WHERE d.n_nationkey = c_nationkey + 3)
+"""
+
+SPINE_SQL = "SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'"
+VIEWS_SQL = "SELECT user_id, ts AS view_ts, value AS view_value, event_id AS view_id FROM events WHERE event_type = 'view'"
+ORACLES["asof_features_ttl"] = f"""
+SELECT s.event_id, s.user_id, s.ts,
+       CASE WHEN f.view_ts >= s.ts - INTERVAL 6 HOUR THEN f.view_value END AS view_value,
+       CASE WHEN f.view_ts >= s.ts - INTERVAL 6 HOUR THEN f.view_id END AS view_id,
+       CASE WHEN f.view_ts >= s.ts - INTERVAL 6 HOUR THEN f.view_ts END AS feature_timestamp
+FROM ({SPINE_SQL}) s ASOF LEFT JOIN ({VIEWS_SQL}) f ON s.user_id = f.user_id AND s.ts >= f.view_ts
+"""
+
+LATEST_VIEWS_SQL = f"""
+SELECT user_id, view_ts, view_value, view_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY view_ts DESC, view_id DESC) AS rn FROM ({VIEWS_SQL}) v
+) x WHERE rn = 1
+"""
+ORACLES["latest_per_entity"] = LATEST_VIEWS_SQL
+
+ORACLES["online_lookup"] = f"""
+SELECT c_custkey,
+       CASE WHEN l.view_ts <= TIMESTAMP '2024-01-30 00:00:00' AND l.view_ts >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 7 DAY
+            THEN l.view_value END AS view_value,
+       CASE WHEN l.view_ts <= TIMESTAMP '2024-01-30 00:00:00' AND l.view_ts >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 7 DAY
+            THEN l.view_ts END AS feature_timestamp
+FROM customer LEFT JOIN ({LATEST_VIEWS_SQL}) l ON c_custkey = l.user_id
+"""
+
+ORACLES["label_counts"] = f"SELECT air_quality_label, count(*) AS count FROM ({LM_SQL}) x GROUP BY 1"
+ORACLES["label_shares"] = f"""
+SELECT air_quality_label, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM ({LM_SQL}) x WHERE pm2_5 IS NOT NULL GROUP BY 1
+"""
+
+ORACLES["stage_audit"] = f"""
+SELECT 'flattened' AS stage, count(*) AS n_rows FROM events
+UNION ALL SELECT 'before_dedup', count(*) FROM events
+UNION ALL SELECT 'after_dedup', count(*) FROM ({CURATED_SQL}) c
+UNION ALL SELECT 'removed', (SELECT count(*) FROM events) - (SELECT count(*) FROM ({CURATED_SQL}) c2)
+"""
+
+
+def _ref_stats_sql():
+    from ..config import FEATURES
+
+    parts = []
+    for f in FEATURES:
+        parts.append(
+            f"SELECT '{f}' AS feature, count(*) OVER () AS n_rows, CAST({f} AS DOUBLE) AS v FROM ({REF_SQL}) r"
+        )
+    u = " UNION ALL ".join(parts)
+    return f"""
+SELECT feature, any_value(n_rows) AS n_rows, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std,
+       round(min(v), 6) AS min, round(max(v), 6) AS max, round(median(v), 6) AS median
+FROM ({u}) u GROUP BY feature
+"""
+
+
+ORACLES["reference_stats"] = _ref_stats_sql()
+
+ORACLES["payload_summary"] = f"""
+SELECT city AS city_name, count(*) AS docs, CAST(sum(n) AS BIGINT) AS hours,
+       min(strftime(first_ts, '%Y-%m-%dT%H:%M')) AS first_time, max(strftime(fetched, '%Y-%m-%dT%H:%M')) AS last_time
+FROM ({DOCS_SQL}) d GROUP BY city
+"""
+
+ORACLES["ingest_summary"] = """
+SELECT event_type AS city, count(*) AS records, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY 1
+"""
+
+ORACLES["dedup_latest"] = """
+SELECT user_id, hour, event_id, value FROM (
+  SELECT user_id, date_trunc('hour', ts) AS hour, event_id, value,
+         row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY event_id DESC) AS rn
+  FROM events) x WHERE rn = 1
+"""
+
+ORACLES["union_feeds"] = f"""
+SELECT 'hourly' AS source, city, "timestamp", pm2_5, pm10, NULL::DOUBLE AS ozone FROM ({FLAT_SQL}) f
+UNION ALL
+SELECT 'long', city, "timestamp", max(pm2_5), NULL::DOUBLE, max(ozone) FROM ({M_SQL}) m GROUP BY city, "timestamp"
+"""
+
+ORACLES["format_landing_key"] = "SELECT event_id, strftime(ts, '%Y-%m-%dT%H-%M-%S') AS landing_key FROM events"
+
+ORACLES["json_props"] = f"""
+SELECT event_id, {K_SQL} AS k, CAST(json_object('k', {K_SQL}, 'event_type', event_type) AS VARCHAR) AS json FROM events
+"""
