@@ -92,7 +92,7 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, features: list[str], spec: Dri
     )
     rt = running_totals(counts, ["feature"], "value", ["c_ref", "c_cur"], buckets=spec.prefix_buckets, with_next=True)
     j = rt.join(F.broadcast(sizes), "feature")
-    gap = F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_cur") / F.col("n_cur"))
+    gap = F.abs(F.try_divide(F.col("cum_c_ref"), F.col("n_ref")) - F.try_divide(F.col("cum_c_cur"), F.col("n_cur")))
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
     per = j.groupBy("feature").agg(
         F.max(gap).alias("ks"),
@@ -134,11 +134,11 @@ def category_counts(ref: DataFrame, cur: DataFrame, columns: list[str]) -> DataF
 
 def categorical_drift(ref: DataFrame, cur: DataFrame, columns: list[str], spec: DriftSpec) -> DataFrame:
     cc = category_counts(ref, cur, columns)
-    p = F.col("c_ref") / F.col("n_ref")
-    q = F.col("c_cur") / F.col("n_cur")
+    p = F.try_divide(F.col("c_ref"), F.col("n_ref"))
+    q = F.try_divide(F.col("c_cur"), F.col("n_cur"))
     mid = (p + q) / 2.0
     js_term = F.when(p > 0, p * F.log2(p / mid)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / mid)).otherwise(0.0)
-    exp_cur = F.col("c_ref") * F.col("n_cur") / F.col("n_ref")
+    exp_cur = F.try_divide(F.col("c_ref") * F.col("n_cur"), F.col("n_ref"))
     chi_term = F.when(exp_cur > 0, (F.col("c_cur") - exp_cur) * (F.col("c_cur") - exp_cur) / exp_cur).otherwise(
         F.when(F.col("c_cur") > 0, F.lit(float("inf"))).otherwise(F.lit(0.0))
     )

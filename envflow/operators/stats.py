@@ -17,7 +17,7 @@ def label_shares(df: DataFrame, label: str) -> DataFrame:
     back (broadcast), never a window without partition keys."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("_total"))
-    return counts.crossJoin(F.broadcast(total)).select(label, (F.col("n") / F.col("_total")).alias("share"))
+    return counts.crossJoin(F.broadcast(total)).select(label, F.try_divide(F.col("n"), F.col("_total")).alias("share"))
 
 
 def to_long(df: DataFrame, columns: list[str], cast: str = "double", ids: list[str] = ()) -> DataFrame:
@@ -74,7 +74,7 @@ def data_quality(df: DataFrame, numeric: list[str], categorical: list[str] = (),
         F.count(F.when(nn, F.lit(1))).alias("n_distinct"),
         F.min("dmin").alias("min"),
         F.max("dmax").alias("max"),
-        (F.sum("dsum") / F.sum(F.when(nn, F.col("n")))).alias("mean"),
+        F.try_divide(F.sum("dsum"), F.sum(F.when(nn, F.col("n")))).alias("mean"),
         F.max(F.when(nn, F.col("n"))).alias("_top"),
     )
     if approx_distinct:
@@ -86,12 +86,12 @@ def data_quality(df: DataFrame, numeric: list[str], categorical: list[str] = (),
         "column",
         "n_rows",
         "n_null",
-        (F.col("n_null") / F.col("n_rows")).alias("null_share"),
+        F.try_divide(F.col("n_null"), F.col("n_rows")).alias("null_share"),
         "n_distinct",
         "min",
         "max",
         "mean",
-        (F.col("_top") / nonnull).alias("most_common_share"),
+        F.try_divide(F.col("_top"), nonnull).alias("most_common_share"),
         (F.col("n_distinct") <= 1).alias("is_constant"),
         (nonnull == 0).alias("all_null"),
         "duplicate_rows",

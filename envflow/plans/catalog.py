@@ -27,6 +27,12 @@ from ..sources.curated import write_curated
 from ..sources.raw import land_raw, read_long_feed, read_raw_json, union_feeds
 from .curated import run_curated
 from ..functions.rules import validate_batches
+from ..config import DriftSpec
+from ..operators.drift import drift_features, target_drift
+from ..operators.metrics import auc_ovr, classification_metrics, confusion_matrix, leaderboard_from, prediction_join, select_model
+from ..operators.stats import data_quality
+from ..sources.registry import latest_artifact, log_runs, metrics_long, run_rows_from_metrics
+from .monitoring import detect_drift, run_tests, write_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -352,3 +358,133 @@ def q_json_props(spark, sf):
         parsed["k"].alias("k"),
         F.to_json(F.struct(parsed["k"].alias("k"), F.col("event_type"))).alias("json"),
     )
+
+
+# ---------------------------------------------------------------- D: drift, quality, tests
+def _ref_cur(spark, sf):
+    lm = B.labeled_measurements(spark, sf)
+    ref, cur = B.reference_current(lm)
+    return reference_load(ref), cur.select(*FEATURES, "air_quality_label")
+
+
+def _round_cols(df, cols):
+    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("drift_features")
+def q_drift_features(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    return _round_cols(drift_features(ref, cur, DriftSpec()), ["statistic", "drift_score"])
+
+
+@register("drift_sample_tests")
+def q_drift_sample_tests(spark, sf):
+    lm = B.labeled_measurements(spark, sf)
+    ref, cur = B.reference_current(lm)
+    spec = DriftSpec(categorical=("air_quality_label",), small_sample=10**12)
+    return _round_cols(drift_features(ref, cur, spec), ["statistic", "drift_score"])
+
+
+@register("drift_dataset")
+def q_drift_dataset(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    ds, _ = detect_drift(ref, cur, DriftSpec())
+    return _round_cols(ds, ["drift_score"])
+
+
+@register("target_drift")
+def q_target_drift(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    return _round_cols(target_drift(ref, cur, "air_quality_label"), ["statistic", "drift_score"])
+
+
+@register("data_quality")
+def q_data_quality(spark, sf):
+    _, cur = _ref_cur(spark, sf)
+    dq = data_quality(cur, FEATURES, ["air_quality_label"])
+    return _round_cols(dq, ["null_share", "min", "max", "mean", "most_common_share"])
+
+
+@register("monitoring_tests")
+def q_monitoring_tests(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    return _round_cols(run_tests(ref, cur), ["value", "bound"])
+
+
+@register("monitoring_report")
+def q_monitoring_report(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    base = scratch_path(spark, "reports")
+    write_report(spark, ref, cur, base, "drift_report_events")
+    back = spark.read.parquet(f"{base}/feature_drift")
+    return back.select("report_id", "feature", "stattest", F.round("drift_score", 6).alias("drift_score"), "drift_detected")
+
+
+# ---------------------------------------------------------------- metrics on stored predictions
+def _predictions(spark, sf):
+    return B.stored_predictions(B.table(spark, sf, "events"))
+
+
+def _metrics_table(spark, sf):
+    pred = _predictions(spark, sf)
+    m = classification_metrics(confusion_matrix(pred))
+    auc = auc_ovr(B.probabilities_long(pred))
+    return m.join(auc, "model", "left")
+
+
+METRIC_NAMES = ["accuracy", "auc", "recall", "prec", "f1", "kappa"]
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return confusion_matrix(_predictions(spark, sf))
+
+
+@register("classification_metrics")
+def q_classification_metrics(spark, sf):
+    m = classification_metrics(confusion_matrix(_predictions(spark, sf)))
+    return _round_cols(m, ["accuracy", "recall", "prec", "f1", "kappa"])
+
+
+@register("auc_ovr")
+def q_auc_ovr(spark, sf):
+    return _round_cols(auc_ovr(B.probabilities_long(_predictions(spark, sf))), ["auc"])
+
+
+@register("leaderboard")
+def q_leaderboard(spark, sf):
+    return _round_cols(leaderboard_from(_metrics_table(spark, sf), "f1", 5), METRIC_NAMES)
+
+
+@register("select_model")
+def q_select_model(spark, sf):
+    board = leaderboard_from(_metrics_table(spark, sf), "f1", 5)
+    return _round_cols(select_model(board, min_f1=0.75, min_auc=0.95), METRIC_NAMES)
+
+
+@register("prediction_join")
+def q_prediction_join(spark, sf):
+    pred = _predictions(spark, sf).filter(F.col("model") == "rule_2").select("model", "event_id", "prediction")
+    actual = B.table(spark, sf, "events").select("event_id", three_band("value").alias("label"))
+    return prediction_join(pred, actual, "event_id")
+
+
+@register("run_log_metrics")
+def q_run_log_metrics(spark, sf):
+    board = leaderboard_from(_metrics_table(spark, sf), "f1", 5)
+    best = board.filter(F.col("rank") == 1)
+    runs = run_rows_from_metrics(best, "compare_models", "best_", METRIC_NAMES, {"sort_metric": "f1"})
+    path = scratch_path(spark, "runs")
+    log_runs(runs, path)
+    return metrics_long(spark.read.parquet(path)).withColumn("value", F.round("value", 6))
+
+
+@register("latest_artifact")
+def q_latest_artifact(spark, sf):
+    ev = B.table(spark, sf, "events")
+    registry = ev.select(
+        F.concat(F.lit("air_quality_"), F.col("event_type")).alias("name"),
+        F.concat(F.lit("models/"), F.col("event_type"), F.lit("/v"), F.col("event_id").cast("string")).alias("path"),
+        F.col("ts").alias("saved_at"),
+    )
+    return latest_artifact(registry)

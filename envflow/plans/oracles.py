@@ -301,3 +301,250 @@ ORACLES["format_landing_key"] = "SELECT event_id, strftime(ts, '%Y-%m-%dT%H-%M-%
 ORACLES["json_props"] = f"""
 SELECT event_id, {K_SQL} AS k, CAST(json_object('k', {K_SQL}, 'event_type', event_type) AS VARCHAR) AS json FROM events
 """
+
+# ------------------------------------------------------------------ drift / quality / tests
+CUR_SQL = f"SELECT {FEATS}, air_quality_label FROM ({LM_SQL}) x WHERE \"timestamp\" >= {CUTOFF}"
+REF_ALL_SQL = f"SELECT {FEATS}, air_quality_label FROM ({LM_SQL}) x WHERE \"timestamp\" < {CUTOFF}"
+LABEL_COL = "air_quality_label"
+
+
+def _long(src, cols, side, cast):
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {side} AS side, CAST({c} AS {cast}) AS value FROM ({src}) s" for c in cols
+    )
+
+
+def numeric_drift_sql(ref_sql, cur_sql, feats, small=1000, ks_p=0.05, wt=0.1):
+    long = f"{_long(ref_sql, feats, 0, 'DOUBLE')} UNION ALL {_long(cur_sql, feats, 1, 'DOUBLE')}"
+    sm = f"n_ref <= {small}"
+    return f"""
+WITH l AS (SELECT * FROM ({long}) x WHERE value IS NOT NULL AND NOT isnan(value)),
+counts AS (SELECT feature, value, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS c_ref,
+                  sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS c_cur FROM l GROUP BY feature, value),
+sizes AS (SELECT feature, CAST(sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS n_ref,
+                 CAST(sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS n_cur,
+                 stddev_pop(CASE WHEN side = 0 THEN value END) AS ref_std FROM l GROUP BY feature),
+rt AS (SELECT feature, value, sum(c_ref) OVER w AS cr, sum(c_cur) OVER w AS cc,
+              lead(value) OVER (PARTITION BY feature ORDER BY value) AS nxt
+       FROM counts WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+per AS (SELECT rt.feature, max(abs(cr / n_ref - cc / n_cur)) AS ks,
+               sum(abs(cr / n_ref - cc / n_cur) * coalesce(nxt - value, 0.0)) AS w1,
+               any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur, any_value(ref_std) AS ref_std
+        FROM rt JOIN sizes USING (feature) GROUP BY rt.feature),
+sc AS (SELECT *, ks * sqrt(n_ref * n_cur / (n_ref + n_cur)) AS lam, w1 / greatest(ref_std, 0.001) AS wn FROM per),
+pv AS (SELECT *, CASE WHEN lam < 0.2 THEN 1.0 ELSE least(greatest(
+          list_sum(list_transform(range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * lam * lam))),
+          0.0), 1.0) END AS p FROM sc)
+SELECT feature, 'num' AS kind, CASE WHEN {sm} THEN 'ks' ELSE 'wasserstein' END AS stattest,
+       round(CASE WHEN {sm} THEN ks ELSE wn END, 6) AS statistic,
+       round(CASE WHEN {sm} THEN p ELSE wn END, 6) AS drift_score,
+       CAST(CASE WHEN {sm} THEN {ks_p} ELSE {wt} END AS DOUBLE) AS threshold,
+       CASE WHEN {sm} THEN p < {ks_p} ELSE wn >= {wt} END AS drift_detected,
+       CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur
+FROM pv
+"""
+
+
+def categorical_drift_sql(ref_sql, cur_sql, cols, small=1000, chi_p=0.05, jt=0.1):
+    long = f"{_long(ref_sql, cols, 0, 'VARCHAR')} UNION ALL {_long(cur_sql, cols, 1, 'VARCHAR')}"
+    sm = f"n_ref <= {small}"
+    return f"""
+WITH l AS (SELECT * FROM ({long}) x WHERE value IS NOT NULL),
+counts AS (SELECT feature, value, CAST(sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS c_ref,
+                  CAST(sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS c_cur FROM l GROUP BY feature, value),
+cc AS (SELECT c.*, s.n_ref, s.n_cur FROM counts c
+       JOIN (SELECT feature, sum(c_ref) AS n_ref, sum(c_cur) AS n_cur FROM counts GROUP BY feature) s USING (feature)),
+t AS (SELECT *, c_ref / n_ref AS p, c_cur / n_cur AS q, c_ref * n_cur / n_ref AS e FROM cc),
+per AS (SELECT feature,
+          sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2.0)) ELSE 0.0 END
+                          + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2.0)) ELSE 0.0 END) / 2.0, 0.0)) AS js,
+          sum(CASE WHEN e > 0 THEN (c_cur - e) * (c_cur - e) / e WHEN c_cur > 0 THEN 'inf'::DOUBLE ELSE 0.0 END) AS chi2,
+          count(*) AS k, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur
+        FROM t GROUP BY feature),
+xa AS (SELECT *, chi2 / 2.0 AS x, CAST(k - 1 AS DOUBLE) / 2.0 AS a FROM per),
+pv AS (SELECT *, CASE WHEN isnan(chi2) OR isinf(chi2) THEN 0.0 WHEN x <= 0 THEN 1.0
+                      WHEN x > a + 50.0 + 40.0 * sqrt(a) THEN 0.0
+                      ELSE least(greatest(1.0 - exp(-x + a * ln(x) - lgamma(a + 1.0)) * (1.0 + list_sum(list_transform(range(1, 401),
+                           lambda n: exp(n * ln(x) - list_sum(list_transform(range(1, n + 1), lambda i: ln(a + i))))))), 0.0), 1.0) END AS p
+       FROM xa)
+SELECT feature, 'cat' AS kind, CASE WHEN {sm} THEN 'chisquare' ELSE 'jensenshannon' END AS stattest,
+       round(CASE WHEN {sm} THEN chi2 ELSE js END, 6) AS statistic,
+       round(CASE WHEN {sm} THEN p ELSE js END, 6) AS drift_score,
+       CAST(CASE WHEN {sm} THEN {chi_p} ELSE {jt} END AS DOUBLE) AS threshold,
+       CASE WHEN {sm} THEN p < {chi_p} ELSE js >= {jt} END AS drift_detected,
+       CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur
+FROM pv
+"""
+
+
+_F8 = [c.strip() for c in FEATS.split(",")]
+DRIFT_SQL = numeric_drift_sql(REF_SQL, CUR_SQL, _F8)
+ORACLES["drift_features"] = DRIFT_SQL
+ORACLES["drift_sample_tests"] = (
+    f"SELECT * FROM ({numeric_drift_sql(REF_ALL_SQL, CUR_SQL, _F8, small=10**12)}) a UNION ALL "
+    f"SELECT * FROM ({categorical_drift_sql(REF_ALL_SQL, CUR_SQL, [LABEL_COL], small=10**12)}) b"
+)
+
+
+def dataset_sql(features_sql, share=0.5):
+    return f"""
+SELECT count(*) AS n_features, CAST(sum(CAST(drift_detected AS INTEGER)) AS BIGINT) AS n_drifted,
+       round(avg(CAST(drift_detected AS DOUBLE)), 6) AS drift_score,
+       coalesce(string_agg(CASE WHEN drift_detected THEN feature END, ',' ORDER BY CASE WHEN drift_detected THEN feature END), '') AS drifted_features,
+       avg(CAST(drift_detected AS DOUBLE)) >= {share} AS drift_detected
+FROM ({features_sql}) f
+"""
+
+
+ORACLES["drift_dataset"] = dataset_sql(DRIFT_SQL)
+ORACLES["target_drift"] = categorical_drift_sql(REF_SQL, CUR_SQL, [LABEL_COL])
+
+
+def dq_sql(src, numeric, categorical):
+    parts = [f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS sval, CAST({c} AS DOUBLE) AS dval FROM ({src}) s" for c in numeric]
+    parts += [f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS sval, NULL::DOUBLE AS dval FROM ({src}) s" for c in categorical]
+    cols = ", ".join(list(numeric) + list(categorical))
+    dup = f"(SELECT count(*) FROM ({src}) s3) - (SELECT count(*) FROM (SELECT DISTINCT {cols} FROM ({src}) s2) d)"
+    return f"""
+WITH pv AS (SELECT col, sval, count(*) AS n, min(dval) AS dmin, max(dval) AS dmax, sum(dval) AS dsum
+            FROM ({' UNION ALL '.join(parts)}) l GROUP BY col, sval),
+s AS (SELECT col, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN sval IS NULL THEN n ELSE 0 END) AS BIGINT) AS n_null,
+             count(CASE WHEN sval IS NOT NULL THEN 1 END) AS n_distinct, min(dmin) AS mn, max(dmax) AS mx,
+             sum(dsum) / sum(CASE WHEN sval IS NOT NULL THEN n END) AS mean,
+             max(CASE WHEN sval IS NOT NULL THEN n END) AS top FROM pv GROUP BY col)
+SELECT col AS "column", n_rows, n_null, n_null / n_rows AS null_share, n_distinct, mn AS "min", mx AS "max", mean,
+       top / (n_rows - n_null) AS most_common_share, n_distinct <= 1 AS is_constant, (n_rows - n_null) = 0 AS all_null,
+       CAST({dup} AS BIGINT) AS duplicate_rows
+FROM s
+"""
+
+
+def _rounded(sql, cols):
+    sel = ", ".join(f"round({c}, 6) AS {c}" if c.strip('"') in cols else c for c in sql_cols(sql))
+    return f"SELECT {sel} FROM ({sql}) r"
+
+
+def sql_cols(sql):
+    return ['"column"', "n_rows", "n_null", "null_share", "n_distinct", '"min"', '"max"', "mean", "most_common_share", "is_constant", "all_null", "duplicate_rows"]
+
+
+DQ_ROUND = ["null_share", "min", "max", "mean", "most_common_share"]
+ORACLES["data_quality"] = _rounded(dq_sql(CUR_SQL, _F8, [LABEL_COL]), DQ_ROUND)
+
+
+def tests_sql(ref_sql, cur_sql, numeric, target):
+    drift = (
+        f"SELECT * FROM ({numeric_drift_sql(ref_sql, cur_sql, numeric)}) a UNION ALL "
+        f"SELECT * FROM ({categorical_drift_sql(ref_sql, cur_sql, [target])}) b"
+    )
+    qr = dq_sql(ref_sql, numeric, [target])
+    qc = dq_sql(cur_sql, numeric, [target])
+    return f"""
+WITH d AS ({drift}), r AS ({qr}), c AS ({qc}),
+q AS (SELECT c."column", c.null_share AS c_ns, r.null_share AS r_ns, c.most_common_share AS c_mc, r.most_common_share AS r_mc,
+             c.is_constant AS c_const, r.is_constant AS r_const, c.duplicate_rows AS c_dup, r.duplicate_rows AS r_dup, c.n_rows AS c_rows
+      FROM c JOIN r USING ("column")),
+tt AS (
+  SELECT 'column_drift' AS name, feature AS "column", drift_score AS value, threshold AS bound,
+         CASE WHEN drift_detected THEN 'FAIL' ELSE 'SUCCESS' END AS status FROM d
+  UNION ALL
+  SELECT 'share_of_missing_values', "column", c_ns, r_ns * 1.1,
+         CASE WHEN c_ns <= r_ns * 1.1 + 1e-12 THEN 'SUCCESS' ELSE 'FAIL' END FROM q
+  UNION ALL
+  SELECT 'most_common_value_share', "column", c_mc, r_mc * 1.1,
+         CASE WHEN coalesce(c_mc, 0.0) <= coalesce(r_mc, 0.0) * 1.1 + 1e-12 THEN 'SUCCESS' ELSE 'FAIL' END FROM q
+  UNION ALL
+  SELECT 'share_of_drifted_columns', NULL, s, 0.5, CASE WHEN s < 0.5 THEN 'SUCCESS' ELSE 'FAIL' END
+  FROM (SELECT avg(CAST(drift_detected AS DOUBLE)) AS s FROM d) x
+  UNION ALL
+  SELECT 'number_of_constant_columns', NULL, cc, rc, CASE WHEN cc <= rc THEN 'SUCCESS' ELSE 'FAIL' END
+  FROM (SELECT CAST(sum(CAST(c_const AS INTEGER)) AS DOUBLE) AS cc, CAST(sum(CAST(r_const AS INTEGER)) AS DOUBLE) AS rc FROM q) x
+  UNION ALL
+  SELECT 'number_of_duplicated_rows', NULL, cd, rd * 1.1, CASE WHEN cd <= rd * 1.1 THEN 'SUCCESS' ELSE 'FAIL' END
+  FROM (SELECT CAST(any_value(c_dup) AS DOUBLE) AS cd, CAST(any_value(r_dup) AS DOUBLE) AS rd FROM q) x
+  UNION ALL
+  SELECT 'number_of_rows', NULL, cr, 0.0, CASE WHEN cr > 0 THEN 'SUCCESS' ELSE 'FAIL' END
+  FROM (SELECT CAST(any_value(c_rows) AS DOUBLE) AS cr FROM q) x)
+SELECT name, "column", round(CAST(value AS DOUBLE), 6) AS value, round(CAST(bound AS DOUBLE), 6) AS bound, status FROM tt
+"""
+
+
+ORACLES["monitoring_tests"] = tests_sql(REF_SQL, CUR_SQL, _F8, LABEL_COL)
+ORACLES["monitoring_report"] = f"""
+SELECT 'drift_report_events' AS report_id, feature, stattest, drift_score, drift_detected FROM ({DRIFT_SQL}) d
+"""
+
+# ------------------------------------------------------------------ metrics on stored predictions
+PRED_SQL = f"""
+SELECT 'rule_' || CAST(m AS VARCHAR) AS model, event_id, {band_sql('value', THREE_BAND)} AS label,
+       {band_sql('shifted', THREE_BAND)} AS prediction, sg / ((sg + sm) + su) AS p_good,
+       sm / ((sg + sm) + su) AS p_moderate, su / ((sg + sm) + su) AS p_unhealthy
+FROM (SELECT *, 1.0 / (1.0 + abs(shifted - 6.0)) AS sg, 1.0 / (1.0 + abs(shifted - 23.7)) AS sm,
+             1.0 / (1.0 + abs(shifted - 60.0)) AS su
+      FROM (SELECT event_id, value, m, value + CAST((event_id % 5) - 2 AS DOUBLE) * CAST(m AS DOUBLE) * 3.0 AS shifted
+            FROM events, range(0, 5) r(m)) a) b
+"""
+CM_SQL = f"SELECT model, label, prediction, count(*) AS n FROM ({PRED_SQL}) p GROUP BY model, label, prediction"
+ORACLES["confusion_matrix"] = CM_SQL
+
+METRICS_RAW_SQL = f"""
+WITH cm AS ({CM_SQL}),
+pc AS (SELECT model, class, sum(support) AS support, sum(predicted) AS predicted, sum(tp) AS tp FROM (
+         SELECT model, label AS class, n AS support, 0 AS predicted, CASE WHEN label = prediction THEN n ELSE 0 END AS tp FROM cm
+         UNION ALL SELECT model, prediction, 0, n, 0 FROM cm) u GROUP BY model, class),
+pc2 AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS p,
+               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS r FROM pc),
+pc3 AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f FROM pc2),
+m AS (SELECT model, CAST(sum(support) AS DOUBLE) AS n, sum(tp) AS correct, sum(support * p) AS wp, sum(support * r) AS wr,
+             sum(support * f) AS wf, sum(CAST(support AS DOUBLE) * CAST(predicted AS DOUBLE)) AS pe_raw FROM pc3 GROUP BY model)
+SELECT model, correct / n AS accuracy, wr / n AS recall, wp / n AS prec, wf / n AS f1,
+       CASE WHEN pe_raw / (n * n) < 1.0 THEN (correct / n - pe_raw / (n * n)) / (1.0 - pe_raw / (n * n)) ELSE 0.0 END AS kappa
+FROM m
+"""
+ORACLES["classification_metrics"] = f"""
+SELECT model, round(accuracy, 6) AS accuracy, round(recall, 6) AS recall, round(prec, 6) AS prec,
+       round(f1, 6) AS f1, round(kappa, 6) AS kappa FROM ({METRICS_RAW_SQL}) x
+"""
+
+AUC_RAW_SQL = f"""
+WITH p AS ({PRED_SQL}),
+pl AS (SELECT model, label, 'good' AS class, p_good AS score FROM p
+       UNION ALL SELECT model, label, 'moderate', p_moderate FROM p
+       UNION ALL SELECT model, label, 'unhealthy', p_unhealthy FROM p),
+pre AS (SELECT model, class, score, sum(CASE WHEN label = class THEN 1 ELSE 0 END) AS n_pos,
+               sum(CASE WHEN label = class THEN 0 ELSE 1 END) AS n_neg FROM pl GROUP BY model, class, score),
+rt AS (SELECT *, sum(n_neg) OVER (PARTITION BY model, class ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM pre),
+pcl AS (SELECT model, class, sum(n_pos * (cum_neg - n_neg * 0.5)) AS u, sum(n_pos) AS P, sum(n_neg) AS N
+        FROM rt GROUP BY model, class HAVING sum(n_pos) > 0 AND sum(n_neg) > 0)
+SELECT model, sum(u / (CAST(P AS DOUBLE) * CAST(N AS DOUBLE)) * P) / sum(P) AS auc FROM pcl GROUP BY model
+"""
+ORACLES["auc_ovr"] = f"SELECT model, round(auc, 6) AS auc FROM ({AUC_RAW_SQL}) a"
+
+BOARD_RAW_SQL = f"""
+SELECT m.*, a.auc, CAST(row_number() OVER (ORDER BY m.f1 DESC NULLS LAST, m.model) AS INTEGER) AS rank
+FROM ({METRICS_RAW_SQL}) m LEFT JOIN ({AUC_RAW_SQL}) a USING (model)
+"""
+_MR = "round(accuracy, 6) AS accuracy, round(auc, 6) AS auc, round(recall, 6) AS recall, round(prec, 6) AS prec, round(f1, 6) AS f1, round(kappa, 6) AS kappa"
+ORACLES["leaderboard"] = f"SELECT model, {_MR}, rank FROM ({BOARD_RAW_SQL}) b WHERE rank <= 5"
+ORACLES["select_model"] = f"""
+SELECT model, {_MR}, rank, meets_criteria FROM (
+  SELECT *, (f1 >= 0.75 AND coalesce(auc, -1.0) >= 0.95) AS meets_criteria FROM ({BOARD_RAW_SQL}) b WHERE rank <= 5
+) x ORDER BY meets_criteria DESC, rank LIMIT 1
+"""
+ORACLES["prediction_join"] = f"""
+SELECT p.model, p.event_id, p.prediction, {band_sql('e.value', THREE_BAND)} AS label,
+       p.prediction = {band_sql('e.value', THREE_BAND)} AS correct
+FROM ({PRED_SQL}) p JOIN events e ON p.event_id = e.event_id WHERE p.model = 'rule_2'
+"""
+ORACLES["run_log_metrics"] = f"""
+SELECT 'compare_models' AS run_name, k AS key, round(v, 6) AS value FROM (
+  SELECT unnest(['best_accuracy', 'best_auc', 'best_recall', 'best_prec', 'best_f1', 'best_kappa']) AS k,
+         unnest([accuracy, auc, recall, prec, f1, kappa]) AS v
+  FROM ({BOARD_RAW_SQL}) b WHERE rank = 1) x
+"""
+ORACLES["latest_artifact"] = """
+SELECT name, path, saved_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY saved_at DESC, path DESC) AS rn FROM (
+    SELECT 'air_quality_' || event_type AS name, 'models/' || event_type || '/v' || CAST(event_id AS VARCHAR) AS path,
+           ts AS saved_at FROM events) a) b WHERE rn = 1
+"""
