@@ -33,6 +33,12 @@ from ..operators.metrics import auc_ovr, classification_metrics, confusion_matri
 from ..operators.stats import data_quality
 from ..sources.registry import latest_artifact, log_runs, metrics_long, run_rows_from_metrics
 from .monitoring import detect_drift, run_tests, write_report
+from pyspark.ml import Pipeline
+from ..sources.curated import snapshot_manifest
+from ..sources.registry import load_model, save_model
+from .scoring import model_info, score
+from ..streaming.incremental import materialize_step, read_upserted, start_curated_stream, start_drift_stream
+from .training import class_labels, compare_models, default_candidates, feature_stages, prepare, run_training, split_flag, tune_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -488,3 +494,181 @@ def q_latest_artifact(spark, sf):
         F.col("ts").alias("saved_at"),
     )
     return latest_artifact(registry)
+
+
+# ---------------------------------------------------------------- K: Spark ML (rows-only checks)
+def _training_table(spark, sf):
+    return B.labeled_measurements(spark, sf)
+
+
+def _split(spark, sf):
+    data = split_flag(prepare(_training_table(spark, sf)), ["version"])
+    return data.filter("is_train").drop("is_train"), data.filter("NOT is_train").drop("is_train")
+
+
+def _dt_candidate():
+    return [c for c in default_candidates() if c.family == "dt"][0]
+
+
+def _fit_dt(spark, sf):
+    train, test = _split(spark, sf)
+    c = _dt_candidate()
+    labels = class_labels(train)
+    pipe = Pipeline(stages=feature_stages(FEATURES, "air_quality_label", c.scaled) + [c.build(len(FEATURES), len(labels), 42)])
+    return pipe.fit(train), train, test, labels
+
+
+@register("train_test_split")
+def q_train_test_split(spark, sf):
+    data = split_flag(prepare(_training_table(spark, sf)), ["version"])
+    return data.groupBy("is_train", "air_quality_label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("compare_models")
+def q_compare_models(spark, sf):
+    train, test = _split(spark, sf)
+    board, _ = compare_models(train.persist(), test.persist())
+    return board
+
+
+@register("tune_model")
+def q_tune_model(spark, sf):
+    train, test = _split(spark, sf)
+    _, trials, _ = tune_model(train.persist(), test.persist(), _dt_candidate())
+    return trials
+
+
+@register("train_run")
+def q_train_run(spark, sf):
+    res = run_training(spark, _training_table(spark, sf), ["version"], save_path=scratch_path(spark, "model"))
+    tuned = res.tuned_metrics.select(*[F.col(c).alias(f"tuned_{c}") for c in res.tuned_metrics.columns if c != "model"])
+    return tuned.select(
+        F.lit(res.model_name).alias("model_name"),
+        F.lit(res.model_path).alias("model_path"),
+        F.lit(float(res.metrics["f1"])).alias("selected_f1"),
+        "*",
+    )
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    model, _, test, labels = _fit_dt(spark, sf)
+    path = save_model(model, scratch_path(spark, "model"))
+    loaded = load_model(path)
+    before = score(model, test, keep=["version"], labels=labels).select("version", F.col("prediction").alias("before"))
+    after = score(loaded, test, keep=["version"], labels=labels)
+    return after.join(before, "version").withColumn("same", F.col("prediction") == F.col("before"))
+
+
+@register("score_batch")
+def q_score_batch(spark, sf):
+    model, _, _, labels = _fit_dt(spark, sf)
+    _, cur = B.reference_current(B.measurements_table(spark, sf))
+    # scoring requests lack two gases: they score as 0, nulls are imputed
+    req = cur.drop("sulphur_dioxide", "ozone")
+    return score(model, req, keep=["version"], labels=labels)
+
+
+@register("model_info")
+def q_model_info(spark, sf):
+    model, _, _, labels = _fit_dt(spark, sf)
+    path = save_model(model, scratch_path(spark, "model"))
+    reg = scratch_path(spark, "registry")
+    row = _training_table(spark, sf).agg(F.max("timestamp").alias("saved_at")).select(
+        F.lit("air_quality_decision_tree_classifier_tuned").alias("name"),
+        F.lit(path).alias("path"),
+        "saved_at",
+        F.lit(type(model.stages[-1]).__name__).alias("model_type"),
+        F.array(*[F.lit(c) for c in FEATURES]).alias("features"),
+        F.array(*[F.lit(c) for c in labels]).alias("classes"),
+    )
+    row.write.mode("append").parquet(reg)
+    return model_info(latest_artifact(spark.read.parquet(reg)))
+
+
+@register("snapshot_manifest")
+def q_snapshot_manifest(spark, sf):
+    raw_path = landed_raw_path(spark, sf)
+    out = scratch_path(spark, "curated")
+    run_curated(spark, raw_path, out, multi_line=False)
+    _, dataset = snapshot_manifest(spark.read.parquet(out))
+    return dataset
+
+
+# ---------------------------------------------------------------- I: incremental / streaming
+def _land_waves(spark, sf, raw_path, cutoff=B.REFERENCE_CUTOFF):
+    """Land docs in two waves; the second repeats the last day of the first."""
+    docs = B.nest_hourly_docs(B.measurements_table(spark, sf))
+    fetched = parse_time("fetch_timestamp")
+    c = F.lit(cutoff).cast("timestamp_ntz")
+    wave1 = docs.filter(fetched < c)
+    wave2 = docs.filter(fetched >= c - F.expr("INTERVAL 1 DAY"))
+    return wave1, wave2
+
+
+def _run_stream(q):
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+
+
+@register("stream_curated")
+def q_stream_curated(spark, sf):
+    raw, table = scratch_path(spark, "raw"), scratch_path(spark, "curated_stream")
+    ck, stage = scratch_path(spark, "ckpt"), scratch_path(spark, "staging")
+    w1, w2 = _land_waves(spark, sf, raw)
+    land_raw(w1, raw)
+    _run_stream(start_curated_stream(spark, raw, table, ck, stage))
+    land_raw(w2, raw)
+    _run_stream(start_curated_stream(spark, raw, table, ck, stage))
+    return read_upserted(spark, table)
+
+
+UPSERT_DAY = "2024-01-10"
+
+
+@register("stream_upsert")
+def q_stream_upsert(spark, sf):
+    raw, table = scratch_path(spark, "raw"), scratch_path(spark, "curated_stream")
+    ck, stage = scratch_path(spark, "ckpt"), scratch_path(spark, "staging")
+    docs = B.nest_hourly_docs(B.measurements_table(spark, sf))
+    land_raw(docs, raw)
+    _run_stream(start_curated_stream(spark, raw, table, ck, stage))
+    # a later fetch of one day with revised values must replace the first one
+    day = F.to_date(parse_time("fetch_timestamp")) == F.lit(UPSERT_DAY).cast("date")
+    revised = docs.filter(day).select(
+        "latitude",
+        "longitude",
+        "timezone",
+        "city_name",
+        F.date_format(parse_time("fetch_timestamp") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(
+            "fetch_timestamp"
+        ),
+        "hourly_units",
+        F.col("hourly").withField("pm2_5", F.transform("hourly.pm2_5", lambda x: x + F.lit(1000.0))).alias("hourly"),
+    )
+    land_raw(revised, raw)
+    _run_stream(start_curated_stream(spark, raw, table, ck, stage))
+    return read_upserted(spark, table)
+
+
+MATERIALIZE_ENDS = ["2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-02-01 00:00:00"]
+
+
+@register("materialize_incremental")
+def q_materialize_incremental(spark, sf):
+    _, feats = _spine_and_features(spark, sf)
+    state, base = scratch_path(spark, "mat_state"), scratch_path(spark, "mat_table")
+    out = None
+    for end in MATERIALIZE_ENDS:
+        out = materialize_step(spark, feats, "user_id", "view_ts", ["view_ts", "view_id"], end, state, base)
+    return spark.read.parquet(out)
+
+
+@register("stream_drift")
+def q_stream_drift(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    cur_path, log, ck = scratch_path(spark, "current"), scratch_path(spark, "drift_log"), scratch_path(spark, "ckpt")
+    cur.repartitionByRange(3, "pm10", "pm2_5").write.parquet(cur_path)
+    _run_stream(start_drift_stream(spark, cur_path, cur.schema, ref, log, ck))
+    return spark.read.parquet(log).select("batch_id", "feature", "stattest", F.round("drift_score", 6).alias("drift_score"), "drift_detected")

@@ -548,3 +548,18 @@ SELECT name, path, saved_at FROM (
     SELECT 'air_quality_' || event_type AS name, 'models/' || event_type || '/v' || CAST(event_id AS VARCHAR) AS path,
            ts AS saved_at FROM events) a) b WHERE rn = 1
 """
+
+# ------------------------------------------------------------------ incremental
+ORACLES["stream_curated"] = CURATED_SQL
+ORACLES["stream_upsert"] = f"""
+SELECT city, latitude, longitude, timezone, "timestamp", pm2_5, pm10, carbon_monoxide, nitrogen_dioxide,
+       sulphur_dioxide, ozone, us_aqi, european_aqi, parameter, {band_sql('pm2_5', THREE_BAND)} AS air_quality_label,
+       fetch_timestamp
+FROM (
+  SELECT * REPLACE (
+           CASE WHEN CAST(fetch_timestamp AS DATE) = DATE '2024-01-10' THEN pm2_5 + 1000.0 ELSE pm2_5 END AS pm2_5,
+           CASE WHEN CAST(fetch_timestamp AS DATE) = DATE '2024-01-10' THEN fetch_timestamp + INTERVAL 1 DAY ELSE fetch_timestamp END AS fetch_timestamp)
+  FROM ({CURATED_SQL}) c
+) x
+"""
+ORACLES["materialize_incremental"] = LATEST_VIEWS_SQL
