@@ -123,7 +123,7 @@ def run_tests(
     return col_drift.unionByName(missing).unionByName(common).unionByName(table_tests)
 
 
-def test_summary(tests: DataFrame) -> DataFrame:
+def summarize_tests(tests: DataFrame) -> DataFrame:
     """total / passed / failed / all_passed; anything but SUCCESS fails."""
     ok = F.col("status") == "SUCCESS"
     return tests.agg(

@@ -27,11 +27,10 @@ PARTS = ["city", "date"]
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001  (missing path -> AnalysisException)
-        return False
+    """Existence check on the table's file system (works for any Hadoop URI)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
 
 
 def upsert_latest(spark: SparkSession, batch: DataFrame, table_path: str, staging_base: str, batch_id: int) -> None:
