@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DriftSpec
+from ..session import materialize
 from .prefix import exact_quantiles, running_totals
 from .stats import to_long
 
@@ -75,21 +76,40 @@ def chi2_sf(stat: Column, dof: Column) -> Column:
     return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
 
 
+def _sizes(counts: DataFrame) -> DataFrame:
+    """Per feature: side sizes and the reference's population std, from the
+    (feature, value) counts (two passes over the small table: mean, then
+    squared deviations)."""
+    base = counts.groupBy("feature").agg(
+        F.sum("c_ref").cast("double").alias("n_ref"),
+        F.sum("c_cur").cast("double").alias("n_cur"),
+        F.sum(F.col("c_ref") * F.col("value")).alias("_sx"),
+    )
+    mean = base.select("feature", F.try_divide(F.col("_sx"), F.col("n_ref")).alias("_mu"))
+    dev = (
+        counts.join(F.broadcast(mean), "feature")
+        .groupBy("feature")
+        .agg(F.sum(F.col("c_ref") * (F.col("value") - F.col("_mu")) * (F.col("value") - F.col("_mu"))).alias("_ss"))
+    )
+    return base.join(dev, "feature").select(
+        "feature", "n_ref", "n_cur", F.sqrt(F.try_divide(F.col("_ss"), F.col("n_ref"))).alias("ref_std")
+    )
+
+
 def numeric_drift(ref: DataFrame, cur: DataFrame, features: list[str], spec: DriftSpec) -> DataFrame:
     """KS statistic + p-value and normalized Wasserstein per numeric feature."""
     long = to_long(ref, features).withColumn("side", F.lit(0)).unionByName(
         to_long(cur, features).withColumn("side", F.lit(1))
     )
     long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = long.groupBy("feature", "value").agg(
-        F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("c_ref"),
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("c_cur"),
-    )
-    sizes = long.groupBy("feature").agg(
-        F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).cast("double").alias("n_ref"),
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).cast("double").alias("n_cur"),
-        F.stddev_pop(F.when(F.col("side") == 0, F.col("value"))).alias("ref_std"),
+    # the only pass over the detail rows; everything below reads this table
+    counts = materialize(
+        long.groupBy("feature", "value").agg(
+            F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("c_ref"),
+            F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("c_cur"),
+        )
     )
+    sizes = _sizes(counts)
     rt = running_totals(counts, ["feature"], "value", ["c_ref", "c_cur"], buckets=spec.prefix_buckets, with_next=True)
     j = rt.join(F.broadcast(sizes), "feature")
     gap = F.abs(F.try_divide(F.col("cum_c_ref"), F.col("n_ref")) - F.try_divide(F.col("cum_c_cur"), F.col("n_cur")))
@@ -124,9 +144,11 @@ def category_counts(ref: DataFrame, cur: DataFrame, columns: list[str]) -> DataF
         to_long(cur, columns, cast="string").withColumn("side", F.lit(1))
     )
     long = long.filter(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(
-        F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).cast("double").alias("c_ref"),
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).cast("double").alias("c_cur"),
+    counts = materialize(
+        long.groupBy("feature", "value").agg(
+            F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).cast("double").alias("c_ref"),
+            F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).cast("double").alias("c_cur"),
+        )
     )
     sizes = counts.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     return counts.join(F.broadcast(sizes), "feature")

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def running_totals(
     df: DataFrame,
@@ -65,7 +67,9 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[fl
 
     Output: groups + ``q_<i>`` per probability.
     """
-    counts = df.filter(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))
+    counts = materialize(
+        df.filter(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))
+    )
     rt = running_totals(counts, groups, value, ["_c"], buckets=buckets)
     n = counts.groupBy(*groups).agg(F.sum("_c").alias("_n"))
     targets = n

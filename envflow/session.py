@@ -50,3 +50,11 @@ def local_session(app: str = "envflow", cores: str = "*", shuffle_partitions: in
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def materialize(df):
+    """Cut lineage of a small, reused intermediate (a pre-aggregation) with a
+    reliable checkpoint in the shared checkpoint folder, so the detail rows
+    under it are read once and a lost executor does not replay the scan."""
+    checkpoint_base(df.sparkSession)
+    return df.checkpoint(eager=True)

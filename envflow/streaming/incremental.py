@@ -49,7 +49,7 @@ def upsert_latest(spark: SparkSession, batch: DataFrame, table_path: str, stagin
     merged.write.mode("overwrite").partitionBy(*PARTS).parquet(stage)
     (
         spark.read.parquet(stage)
-        .repartition(*PARTS)
+        .sortWithinPartitions(*PARTS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTS)
