@@ -37,14 +37,23 @@ def upsert_latest(spark: SparkSession, batch: DataFrame, table_path: str, stagin
     """Merge curated rows into a (city, date)-partitioned table, newest
     version per (city, timestamp) wins."""
     rows = batch.withColumn("date", F.to_date("timestamp"))
+    writer_opts = {"partitionOverwriteMode": "dynamic"}
+    if not _table_exists(spark, table_path):
+        # nothing to merge with and nothing read from the target: write directly
+        (
+            deduplicate(rows, CURATED_KEYS, CURATED_ORDER)
+            .sortWithinPartitions(*PARTS)
+            .write.mode("overwrite")
+            .options(**writer_opts)
+            .partitionBy(*PARTS)
+            .parquet(table_path)
+        )
+        return
     affected = rows.select(*PARTS).distinct()
-    if _table_exists(spark, table_path):
-        # the partition filter comes from a join on the partition columns
-        # (dynamic partition pruning), so only affected folders are read
-        old = spark.read.parquet(table_path).join(F.broadcast(affected), PARTS, "left_semi")
-        merged = deduplicate(rows.unionByName(old.select(*rows.columns)), CURATED_KEYS, CURATED_ORDER)
-    else:
-        merged = deduplicate(rows, CURATED_KEYS, CURATED_ORDER)
+    # the partition filter comes from a join on the partition columns
+    # (dynamic partition pruning), so only affected folders are read
+    old = spark.read.parquet(table_path).join(F.broadcast(affected), PARTS, "left_semi")
+    merged = deduplicate(rows.unionByName(old.select(*rows.columns)), CURATED_KEYS, CURATED_ORDER)
     stage = f"{staging_base}/batch={batch_id}"
     merged.write.mode("overwrite").partitionBy(*PARTS).parquet(stage)
     (
