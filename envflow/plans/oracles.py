@@ -333,7 +333,8 @@ per AS (SELECT rt.feature, max(abs(cr / n_ref - cc / n_cur)) AS ks,
         FROM rt JOIN sizes USING (feature) GROUP BY rt.feature),
 sc AS (SELECT *, ks * sqrt(n_ref * n_cur / (n_ref + n_cur)) AS lam, w1 / greatest(ref_std, 0.001) AS wn FROM per),
 pv AS (SELECT *, CASE WHEN lam < 0.2 THEN 1.0 ELSE least(greatest(
-          list_sum(list_transform(range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * lam * lam))),
+          (SELECT sum(CASE WHEN t.j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * t.j * t.j * sc.lam * sc.lam))
+           FROM range(1, 101) t(j)),
           0.0), 1.0) END AS p FROM sc)
 SELECT feature, 'num' AS kind, CASE WHEN {sm} THEN 'ks' ELSE 'wasserstein' END AS stattest,
        round(CASE WHEN {sm} THEN ks ELSE wn END, 6) AS statistic,
@@ -364,8 +365,10 @@ per AS (SELECT feature,
 xa AS (SELECT *, chi2 / 2.0 AS x, CAST(k - 1 AS DOUBLE) / 2.0 AS a FROM per),
 pv AS (SELECT *, CASE WHEN isnan(chi2) OR isinf(chi2) THEN 0.0 WHEN x <= 0 THEN 1.0
                       WHEN x > a + 50.0 + 40.0 * sqrt(a) THEN 0.0
-                      ELSE least(greatest(1.0 - exp(-x + a * ln(x) - lgamma(a + 1.0)) * (1.0 + list_sum(list_transform(range(1, 401),
-                           lambda n: exp(n * ln(x) - list_sum(list_transform(range(1, n + 1), lambda i: ln(a + i))))))), 0.0), 1.0) END AS p
+                      ELSE least(greatest(1.0 - exp(-x + a * ln(x) - lgamma(a + 1.0)) * (1.0 +
+                           (SELECT sum(exp(r.n * ln(xa.x) - r.cs)) FROM (
+                              SELECT n, sum(ln(xa.a + n)) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs
+                              FROM range(1, 401) q(n)) r)), 0.0), 1.0) END AS p
        FROM xa)
 SELECT feature, 'cat' AS kind, CASE WHEN {sm} THEN 'chisquare' ELSE 'jensenshannon' END AS stattest,
        round(CASE WHEN {sm} THEN chi2 ELSE js END, 6) AS statistic,
