@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import FeatureService, FeatureView
 from .dedup import latest_per_entity
 
 
+@dataclass(frozen=True)
+class FeatureSource:
+    """A Parquet feature source with its event-time column."""
+
+    path: str
+    timestamp_field: str
+
+    def load(self, spark: SparkSession, columns: list[str] | None = None) -> DataFrame:
+        df = spark.read.parquet(self.path)
+        return df.select(*columns, self.timestamp_field) if columns else df
+
+
 def cast_to_view(df: DataFrame, view: FeatureView, keep_keys: bool = True) -> DataFrame:
     """Project and cast to the view's declared types."""
     keys = [view.entity, view.timestamp_field] if keep_keys else []
@@ -60,7 +74,7 @@ def asof_join(
     payload = F.struct(F.col(fts).alias("_ft"), *tb, *[F.col(c) for c in feature_cols])
 
     f = (
-        features.filter(F.col(fts).isNotNull() & F.lit(True))
+        features.filter(F.col(fts).isNotNull())
         .dropna(subset=keys)
         .select(*keys, F.col(fts).alias("_t"), payload.alias("_p"))
         .withColumn("_b", F.floor(wall_seconds("_t") / width))

@@ -80,7 +80,13 @@ def data_quality(df: DataFrame, numeric: list[str], categorical: list[str] = (),
     if approx_distinct:
         approx = long.groupBy("column").agg(F.approx_count_distinct("sval").alias("_ad"))
         summary = summary.join(approx, "column").withColumn("n_distinct", F.col("_ad")).drop("_ad")
-    dups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_k")).agg(F.sum(F.col("_k") - 1).alias("duplicate_rows"))
+    if approx_distinct:
+        # rows minus approximate distinct row hashes: one pass, no shuffle of full rows
+        dups = df.agg(
+            F.greatest(F.count(F.lit(1)) - F.approx_count_distinct(F.xxhash64(*cols)), F.lit(0)).alias("duplicate_rows")
+        )
+    else:
+        dups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_k")).agg(F.sum(F.col("_k") - 1).alias("duplicate_rows"))
     nonnull = F.col("n_rows") - F.col("n_null")
     return summary.crossJoin(F.broadcast(dups)).select(
         "column",

@@ -12,6 +12,7 @@ from ..config import FEATURES, TARGET, DriftSpec
 from ..operators.drift import drift_dataset, drift_features, target_drift
 from ..operators.prep import available
 from ..operators.stats import data_quality
+from ..session import materialize
 
 # relative tolerance of the quality tests against the reference
 QUALITY_TOLERANCE = 0.1
@@ -49,7 +50,8 @@ def run_tests(
     num = [c for c in num if c in reference.columns]
     cat = [target] if target and target in current.columns and target in reference.columns else []
     spec = spec or DriftSpec(numerical=tuple(num), categorical=tuple(cat))
-    drift = drift_features(reference, current, spec)
+    # tiny (one row per column) and read twice below: compute it once
+    drift = materialize(drift_features(reference, current, spec))
     col_drift = drift.select(
         F.lit("column_drift").alias("name"),
         F.col("feature").alias("column"),

@@ -85,3 +85,28 @@ def test_limit_clamp(spark):
     df = spark.range(50).select(F.col("id"), (F.col("id") % 2).alias("k"))
     top = limit_per_entity(df, "k", ["id"], 3).orderBy("k", "rank").collect()
     assert [(r["k"], r["id"]) for r in top] == [(0, 48), (0, 46), (0, 44), (1, 49), (1, 47), (1, 45)]
+
+
+def test_stamp_fetch_and_prediction_rule(spark):
+    from envflow.functions.rules import prediction_rules
+    from envflow.sources.raw import stamp_fetch
+
+    df = stamp_fetch(spark.createDataFrame([(1,)], "x int"), "Lima", "2025-01-01T00:00:00")
+    r = df.first()
+    assert r["city_name"] == "Lima" and r["fetch_timestamp"] == "2025-01-01T00:00:00"
+    preds = spark.createDataFrame([(0.9,), (1.2,), (None,)], "confidence double")
+    ok, bad = split_valid(preds, prediction_rules())
+    assert ok.count() == 2 and [list(x[0]) for x in bad.select("violations").collect()] == [["confidence:ge_0:le_1"]]
+
+
+def test_feature_source_and_approx_quality(spark, tmp_dir):
+    from envflow.operators.features import FeatureSource
+    from envflow.operators.stats import data_quality
+
+    p = f"{tmp_dir}/fs"
+    spark.createDataFrame([("a", 1.0, "2024-01-01 00:00:00"), ("a", 1.0, "2024-01-01 00:00:00")], "city string, v double, ts string").write.parquet(p)
+    df = FeatureSource(p, "ts").load(spark, ["city", "v"])
+    assert df.columns == ["city", "v", "ts"]
+    exact = data_quality(df, ["v"], ["city"]).first()
+    approx = data_quality(df, ["v"], ["city"], approx_distinct=True).first()
+    assert exact["duplicate_rows"] == 1 and approx["duplicate_rows"] == 1
