@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
+# a group up to this many distinct values is summed in one window task
+SINGLE_TASK_ROWS = 2_000_000
+
 
 def running_totals(
     df: DataFrame,
@@ -23,6 +26,7 @@ def running_totals(
     buckets: int = 64,
     accuracy: int = 10000,
     with_next: bool = False,
+    single_task_rows: int | None = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``cum_<s>`` (sum of ``s`` over rows with order <= this row, per
     group) and, with ``with_next``, ``next_<order>`` (the next distinct value).
@@ -30,7 +34,19 @@ def running_totals(
     ``df`` must hold one row per (groups, order). The group count is small by
     design (features x sides, models x classes), so the bucket edge and
     offset tables are bounded by groups x buckets rows and broadcast.
+
+    Size check first: when the largest group has at most ``single_task_rows``
+    rows, one window per group is cheaper and still bounded; beyond that the
+    bucketed plan keeps every task at about 1/``buckets`` of a group.
     """
+    if single_task_rows:
+        biggest = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+        if biggest <= single_task_rows:
+            w = Window.partitionBy(*groups).orderBy(order)
+            cols = [F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"cum_{s}") for s in sums]
+            if with_next:
+                cols.append(F.lead(order).over(w).alias(f"next_{order}"))
+            return df.select(*df.columns, *cols)
     probs = [i / buckets for i in range(1, buckets)]
     edges = df.groupBy(*groups).agg(F.percentile_approx(order, probs, accuracy).alias("_edges"))
     x = (
@@ -60,7 +76,9 @@ def running_totals(
     return j.select(*out)
 
 
-def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[float], buckets: int = 64) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, groups: list[str], value: str, probs: list[float], buckets: int = 64, single_task_rows: int | None = SINGLE_TASK_ROWS
+) -> DataFrame:
     """Exact interpolated quantiles (like ``percentile``/``median``) per group,
     nulls skipped, computed from distinct-value counts and running totals
     instead of holding all values of a group in one task.
@@ -70,7 +88,7 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[fl
     counts = materialize(
         df.filter(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))
     )
-    rt = running_totals(counts, groups, value, ["_c"], buckets=buckets)
+    rt = running_totals(counts, groups, value, ["_c"], buckets=buckets, single_task_rows=single_task_rows)
     n = counts.groupBy(*groups).agg(F.sum("_c").alias("_n"))
     targets = n
     for i, p in enumerate(probs):

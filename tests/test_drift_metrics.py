@@ -61,6 +61,8 @@ def test_metrics_perfect_and_auc_brute_force(spark):
         F.struct(F.lit("b").alias("class"), F.col("pb").alias("score")),
         F.struct(F.lit("c").alias("class"), F.col("pc").alias("score")))))
     got = auc_ovr(long, buckets=4).first()["auc"]
+    bucketed = auc_ovr(long, buckets=4, single_task_rows=None).first()["auc"]
+    assert abs(got - bucketed) < 1e-12
     # brute force: pairwise with ties counted half, weighted by positives
     tot, wsum = 0.0, 0
     for ci, c in enumerate("abc"):

@@ -62,7 +62,7 @@ def test_running_totals_equal_single_window(spark):
         vals = np.unique(np.round(rnd.exponential(10, 2000), 2))
         rows += [(g, float(v), int(rnd.integers(0, 5))) for v in vals]
     df = spark.createDataFrame(rows, "g string, v double, c long")
-    got = running_totals(df, ["g"], "v", ["c"], buckets=16, with_next=True)
+    got = running_totals(df, ["g"], "v", ["c"], buckets=16, with_next=True, single_task_rows=None)
     w = Window.partitionBy("g").orderBy("v")
     want = df.select("g", "v", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_c"), F.lead("v").over(w).alias("next_v"))
     a = sorted(map(tuple, got.select("g", "v", "cum_c", "next_v").collect()))
@@ -75,7 +75,7 @@ def test_exact_quantiles_match_numpy(spark):
     vals = {g: rnd.normal(0, 3, 501 + i).round(3) for i, g in enumerate(["x", "y"])}
     rows = [(g, float(v)) for g, vs in vals.items() for v in vs] + [("x", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r["g"]: (r["q_0"], r["q_1"]) for r in exact_quantiles(df, ["g"], "v", [0.5, 0.9], buckets=8).collect()}
+    got = {r["g"]: (r["q_0"], r["q_1"]) for r in exact_quantiles(df, ["g"], "v", [0.5, 0.9], buckets=8, single_task_rows=None).collect()}
     for g, vs in vals.items():
         assert abs(got[g][0] - np.quantile(vs, 0.5)) < 1e-9
         assert abs(got[g][1] - np.quantile(vs, 0.9)) < 1e-9
