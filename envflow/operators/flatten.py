@@ -84,9 +84,17 @@ def long_to_wide(
 ) -> DataFrame:
     """Pivot (keys, parameter, value) to one column per parameter.
 
-    ``values`` fixes the pivot list (no extra distinct job). With ``order``,
-    the latest value by that column wins; else the maximum.
+    With a fixed ``values`` list this is one conditional aggregation (a single
+    shuffle on the keys, partial aggregation map-side); without it Spark's
+    ``pivot`` first finds the distinct parameters. With ``order``, the latest
+    value by that column wins; else the maximum.
     """
-    g = long.groupBy(*keys).pivot(parameter, values)
-    agg = F.max_by(value, order) if order else F.max(value)
-    return g.agg(agg)
+    if values is None:
+        g = long.groupBy(*keys).pivot(parameter)
+        return g.agg(F.max_by(value, order) if order else F.max(value))
+    aggs = []
+    for p in values:
+        hit = F.col(parameter) == F.lit(p)
+        v = F.when(hit, F.col(value))
+        aggs.append((F.max_by(v, F.when(hit, F.col(order))) if order else F.max(v)).alias(p))
+    return long.groupBy(*keys).agg(*aggs)

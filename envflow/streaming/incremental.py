@@ -80,10 +80,11 @@ def start_curated_stream(
     checkpoint: str,
     staging_base: str,
     multi_line: bool = False,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 10000,
 ) -> StreamingQuery:
     """Pick up new raw files and upsert them; ``availableNow`` drains what is
-    there and stops, so schedulers can run it like a batch job."""
+    there and stops, so schedulers can run it like a batch job. A backfill is
+    cut into micro-batches of at most ``max_files_per_trigger`` files."""
     reader = spark.readStream.schema(RAW).option("multiLine", multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
