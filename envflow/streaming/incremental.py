@@ -177,3 +177,14 @@ def start_drift_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+# ------------------------------------------------------------------ first-wins variant
+def first_wins(stream: DataFrame, keys: list[str], event_ts: str, watermark: str = "1 day") -> DataFrame:
+    """Streaming dedup where the *first* arrival of a key wins (late copies
+    inside the watermark are dropped, state older than it is evicted).
+
+    This is Spark's built-in ``dropDuplicatesWithinWatermark``; it cannot
+    express latest-wins, which is what :func:`upsert_latest` is for.
+    """
+    return stream.withWatermark(event_ts, watermark).dropDuplicatesWithinWatermark(keys)

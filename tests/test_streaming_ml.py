@@ -45,3 +45,34 @@ def test_split_is_stable(spark):
     a = sorted(r[0] for r in split_flag(ev, ["event_id"]).filter("is_train").select("event_id").collect())
     b = sorted(r[0] for r in split_flag(ev.repartition(5), ["event_id"]).filter("is_train").select("event_id").collect())
     assert a == b and 0.6 < len(a) / ev.count() < 0.8
+
+
+def test_first_wins_stream(spark, tmp_dir):
+    from envflow.streaming.incremental import first_wins
+
+    src = f"{tmp_dir}/src"
+    rows = [("Lima", "2025-01-01 00:00:00", 1.0), ("Lima", "2025-01-01 00:00:00", 2.0), ("Lima", "2025-01-01 01:00:00", 3.0)]
+    spark.createDataFrame(rows, "city string, ts string, v double").withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    out = []
+
+    def sink(df, bid):
+        out.extend(df.collect())
+
+    q = (
+        first_wins(spark.readStream.schema(schema).parquet(src), ["city", "ts"], "ts", "1 hour")
+        .writeStream.foreachBatch(sink)
+        .option("checkpointLocation", f"{tmp_dir}/ck")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    assert len(out) == 2 and sorted(r["ts"].hour for r in out) == [0, 1]
+
+
+def test_to_utc(spark):
+    from envflow.functions.scalars import to_utc
+
+    df = spark.createDataFrame([("2025-01-01 09:00:00", "America/Lima")], "t string, tz string")
+    r = df.select(to_utc(F.col("t").cast("timestamp_ntz"), F.col("tz")).alias("u")).first()
+    assert str(r["u"]) == "2025-01-01 14:00:00"
