@@ -146,8 +146,33 @@ LEADERBOARD_SCHEMA = (
 )
 
 
+def _serialization_race(e: Exception) -> bool:
+    return "Task not serializable" in str(e)
+
+
+def _sequential(est):
+    """Same estimator with its internal thread pool switched off."""
+    if isinstance(est, OneVsRest):
+        est.setParallelism(1)
+    return est
+
+
 def _fit_candidate(train, test, c: Candidate, features, target, labels, sort_metric, folds, seed, parallelism) -> Fitted:
+    """CV-fit one family. Concurrent fold/class fits share ML param objects
+    across Python threads; on the rare closure-serialization race that this
+    can cause, the family is refitted with no concurrency (same result)."""
+    try:
+        return _fit_candidate_once(train, test, c, features, target, labels, sort_metric, folds, seed, parallelism, False)
+    except Exception as e:  # noqa: BLE001
+        if not _serialization_race(e):
+            raise
+        return _fit_candidate_once(train, test, c, features, target, labels, sort_metric, folds, seed, 1, True)
+
+
+def _fit_candidate_once(train, test, c, features, target, labels, sort_metric, folds, seed, parallelism, sequential) -> Fitted:
     est = c.build(len(features), len(labels), seed)
+    if sequential:
+        est = _sequential(est)
     pipe = Pipeline(stages=feature_stages(features, target, c.scaled) + [est])
     ev = MulticlassClassificationEvaluator(labelCol=LABEL_IDX, predictionCol="prediction", metricName=EVALUATOR_METRIC.get(sort_metric, "f1"))
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=[{}], evaluator=ev, numFolds=folds, seed=seed, parallelism=parallelism)
@@ -232,7 +257,13 @@ def tune_model(
         maps.append(b.build()[0])
     ev = MulticlassClassificationEvaluator(labelCol=LABEL_IDX, metricName=EVALUATOR_METRIC.get(metric, "f1"))
     tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, trainRatio=0.8, seed=seed, parallelism=parallelism)
-    tm = tvs.fit(train)
+    try:
+        tm = tvs.fit(train)
+    except Exception as e:  # noqa: BLE001
+        if not _serialization_race(e):
+            raise
+        _sequential(est)
+        tm = tvs.setParallelism(1).fit(train)
     spark = train.sparkSession
     table = spark.createDataFrame(
         [(i, ",".join(f"{k}={v}" for k, v in sorted(t.items())), float(m)) for i, (t, m) in enumerate(zip(trials, tm.validationMetrics))],
