@@ -17,7 +17,7 @@ from ..functions.labels import five_band, three_band
 from ..functions.rules import scoring_input_rules, with_violations
 from ..functions.scalars import landing_key, parse_time, sanitize_name
 from ..operators.dedup import latest_per_entity, latest_per_key
-from ..operators.enrich import enrich, unknown_entities
+from ..operators.enrich import checked_broadcast, enrich, unknown_entities
 from ..operators.features import asof_join, cast_to_view, online_lookup, service_frame
 from ..operators.flatten import flatten_hourly, long_to_wide
 from ..operators.prep import align_features, limit_per_entity, prepare_training, reference_load
@@ -241,7 +241,7 @@ def _customer_with_shifted_key(spark, sf):
 def _nation_region(spark, sf):
     n = B.table(spark, sf, "nation")
     r = B.table(spark, sf, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    return n.join(checked_broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
 @register("dim_enrich")
@@ -672,3 +672,10 @@ def q_stream_drift(spark, sf):
     cur.repartitionByRange(3, "pm10", "pm2_5").write.parquet(cur_path)
     _run_stream(start_drift_stream(spark, cur_path, cur.schema, ref, log, ck))
     return spark.read.parquet(log).select("batch_id", "feature", "stattest", F.round("drift_score", 6).alias("drift_score"), "drift_detected")
+
+
+@register("drift_psi")
+def q_drift_psi(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    spec = DriftSpec(use_psi=True)
+    return _round_cols(drift_features(ref, cur, spec), ["statistic", "drift_score"])

@@ -566,3 +566,36 @@ FROM (
 ) x
 """
 ORACLES["materialize_incremental"] = LATEST_VIEWS_SQL
+
+
+def psi_sql(ref_sql, cur_sql, feats, bins=10, eps=1e-4, thr=0.2):
+    """PSI on exact reference deciles (quantile_cont), shares floored at eps."""
+    probs = [i / bins for i in range(1, bins)]
+    parts = []
+    for f in feats:
+        qs = ", ".join(f"quantile_cont(CAST({f} AS DOUBLE), {p}) AS e{i}" for i, p in enumerate(probs))
+        edges = f"(SELECT {qs} FROM ({ref_sql}) r WHERE {f} IS NOT NULL AND NOT isnan(CAST({f} AS DOUBLE)))"
+        binexpr = " + ".join(f"CAST(e.e{i} < v AS INTEGER)" for i in range(len(probs)))
+        both = (
+            f"SELECT 0 AS side, CAST({f} AS DOUBLE) AS v FROM ({ref_sql}) a UNION ALL "
+            f"SELECT 1, CAST({f} AS DOUBLE) FROM ({cur_sql}) b"
+        )
+        parts.append(
+            f"""SELECT '{f}' AS feature, side, {binexpr} AS bin FROM ({both}) x, {edges} e
+                WHERE v IS NOT NULL AND NOT isnan(v)"""
+        )
+    long = " UNION ALL ".join(parts)
+    return f"""
+WITH b AS ({long}),
+c AS (SELECT feature, bin, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS c_ref, sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS c_cur
+      FROM b GROUP BY feature, bin),
+t AS (SELECT c.*, sum(c_ref) OVER (PARTITION BY feature) AS n_ref, sum(c_cur) OVER (PARTITION BY feature) AS n_cur FROM c),
+s AS (SELECT feature, greatest(c_ref / n_ref, {eps}) AS a, greatest(c_cur / n_cur, {eps}) AS q FROM t),
+p AS (SELECT feature, sum((q - a) * ln(q / a)) AS psi FROM s GROUP BY feature)
+SELECT d.feature, d.kind, 'psi' AS stattest, round(p.psi, 6) AS statistic, round(p.psi, 6) AS drift_score,
+       CAST({thr} AS DOUBLE) AS threshold, p.psi >= {thr} AS drift_detected, d.n_ref, d.n_cur
+FROM ({numeric_drift_sql(ref_sql, cur_sql, feats)}) d LEFT JOIN p USING (feature)
+"""
+
+
+ORACLES["drift_psi"] = psi_sql(REF_SQL, CUR_SQL, _F8)
