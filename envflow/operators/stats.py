@@ -17,6 +17,7 @@ def label_shares(df: DataFrame, label: str) -> DataFrame:
     back (broadcast), never a window without partition keys."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("_total"))
+    # one-row total, broadcast: the counts side stays parallel (no single-task window)
     return counts.crossJoin(F.broadcast(total)).select(label, F.try_divide(F.col("n"), F.col("_total")).alias("share"))
 
 
@@ -31,8 +32,9 @@ def reference_stats(df: DataFrame, features: list[str], exact_median: bool = Tru
     NaN skipped). The median is exact and distributed (running totals over
     distinct values); ``exact_median=False`` uses ``percentile_approx``."""
     long = to_long(df, features).withColumn("value", F.when(~F.isnan("value"), F.col("value")))
-    n_rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
+    # unpivot keeps null values, so the per-feature row count is the table's row count
     base = long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n_rows"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
@@ -42,7 +44,7 @@ def reference_stats(df: DataFrame, features: list[str], exact_median: bool = Tru
     if exact_median:
         med = exact_quantiles(long, ["feature"], "value", [0.5]).withColumnRenamed("q_0", "median")
         base = base.join(med, "feature", "left")
-    return base.crossJoin(F.broadcast(n_rows))
+    return base
 
 
 def data_quality(df: DataFrame, numeric: list[str], categorical: list[str] = (), approx_distinct: bool = False) -> DataFrame:
@@ -88,6 +90,7 @@ def data_quality(df: DataFrame, numeric: list[str], categorical: list[str] = (),
     else:
         dups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_k")).agg(F.sum(F.col("_k") - 1).alias("duplicate_rows"))
     nonnull = F.col("n_rows") - F.col("n_null")
+    # dups is a one-row table-level aggregate, broadcast onto the per-column rows
     return summary.crossJoin(F.broadcast(dups)).select(
         "column",
         "n_rows",

@@ -88,6 +88,7 @@ def run_tests(
         F.first("c.n_rows").cast("double").alias("c_rows"),
     )
     dd = drift_dataset(drift, 0.5).select(F.col("drift_score").alias("share"))
+    # both sides are single-row aggregates
     table_tests = dq.crossJoin(dd).select(
         F.inline(
             F.array(
