@@ -144,7 +144,7 @@ def nest_hourly_docs(m: DataFrame) -> DataFrame:
         *[F.col(c).cast("double").alias(c) for c in feats],
     )
     g = (
-        m.withColumn("doc_hour", F.date_trunc("hour", "timestamp"))
+        m.withColumn("doc_hour", F.date_trunc("hour", "timestamp").cast("timestamp_ntz"))
         .groupBy("city", "doc_hour")
         .agg(
             F.first("latitude").alias("latitude"),
@@ -219,7 +219,7 @@ def nest_long_feed_docs(m: DataFrame) -> DataFrame:
     )
     rows = long_feed_rows(m)
     return (
-        rows.withColumn("doc_hour", F.date_trunc("hour", "ts"))
+        rows.withColumn("doc_hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
         .groupBy("city", "doc_hour")
         .agg(F.collect_list(rec).alias("results"), F.count("*").alias("found"))
         .select(F.create_map(F.lit("found"), F.col("found").cast("string")).alias("meta"), "results")

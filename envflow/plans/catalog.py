@@ -327,7 +327,7 @@ def q_ingest_summary(spark, sf):
 # ---------------------------------------------------------------- E: windows
 @register("dedup_latest")
 def q_dedup_latest(spark, sf):
-    ev = B.table(spark, sf, "events").withColumn("hour", F.date_trunc("hour", "ts"))
+    ev = B.table(spark, sf, "events").withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
     return latest_per_key(ev, ["user_id", "hour"], ["event_id"]).select("user_id", "hour", "event_id", "value")
 
 

@@ -95,3 +95,18 @@ def test_zero_row_current(spark):
     empty = m.limit(0)
     s = summarize_tests(run_tests(m, empty)).first()
     assert not s["all_passed"]
+
+
+def test_metrics_and_drift_invariant_under_shuffle(spark):
+    from envflow import bindings as B
+
+    ev = spark.read.parquet(f"{SF01}/events.parquet")
+    pred = B.stored_predictions(ev)
+    base = sorted(map(tuple, auc_ovr(B.probabilities_long(pred), single_task_rows=None).collect()))
+    shuffled = sorted(map(tuple, auc_ovr(B.probabilities_long(pred.repartition(7)), single_task_rows=None).collect()))
+    assert [(a, round(x, 9)) for a, x in base] == [(a, round(x, 9)) for a, x in shuffled]
+    m = _measure(spark)
+    ref, cur = B.reference_current(m)
+    d1 = {r["feature"]: r["statistic"] for r in drift_features(ref, cur, DriftSpec(numerical=("pm10", "us_aqi"))).collect()}
+    d2 = {r["feature"]: r["statistic"] for r in drift_features(ref.repartition(5), cur.repartition(3), DriftSpec(numerical=("pm10", "us_aqi"))).collect()}
+    assert all(abs(d1[k] - d2[k]) < 1e-9 for k in d1)

@@ -91,3 +91,20 @@ def test_entry_runs(spark):
 
     df = E.entry(spark)
     assert df.count() > 0 and "air_quality_label" in df.columns
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holds a third of the rows: dedup, top-k and latest-per-entity stay exact."""
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1).alias("k"),
+        F.col("id").alias("v"),
+    )
+    top = latest_per_key(df, ["k"], ["v"]).filter("k = 0").first()
+    assert top["v"] == max(i for i in range(n) if i % 3 == 0)
+    lat = latest_per_entity(df, "k", ["v"]).filter("k = 0").first()
+    assert lat["v"] == top["v"]
+    from envflow.operators.prep import limit_per_entity
+
+    got = [r["v"] for r in limit_per_entity(df, "k", ["v"], 3).filter("k = 0").orderBy("rank").collect()]
+    assert got == [29997, 29994, 29991]
