@@ -61,3 +61,9 @@ def limit_per_entity(df: DataFrame, entity: str, order: list, limit: int) -> Dat
     ordering = [F.col(c).desc() if isinstance(c, str) else c for c in order]
     w = Window.partitionBy(entity).orderBy(*ordering)
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def preview(df: DataFrame, order: list, n: int = 5) -> DataFrame:
+    """First ``n`` rows after a total order (a top-n, planned as
+    ``TakeOrderedAndProject``: each task keeps n rows, the driver merges)."""
+    return df.orderBy(*order).limit(n)

@@ -541,6 +541,7 @@ def q_tune_model(spark, sf):
 @register("train_run")
 def q_train_run(spark, sf):
     res = run_training(spark, _training_table(spark, sf), ["version"], save_path=scratch_path(spark, "model"))
+    log_runs(res.runs, scratch_path(spark, "runs"))
     tuned = res.tuned_metrics.select(*[F.col(c).alias(f"tuned_{c}") for c in res.tuned_metrics.columns if c != "model"])
     return tuned.select(
         F.lit(res.model_name).alias("model_name"),

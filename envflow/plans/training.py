@@ -273,6 +273,38 @@ def tune_model(
     return best, table, holdout_metrics(best.transform(test), labels, candidate.name, target)
 
 
+def training_runs(
+    board: DataFrame,
+    tuned: DataFrame,
+    model_name: str,
+    sort_metric: str,
+    n_models: int,
+    n_samples: int,
+    n_features: int,
+    tune_trials: int,
+) -> DataFrame:
+    """Run-log rows for one training: the comparison run (params + ``best_*``
+    metrics of the top leaderboard row) and the tuning run (``tuned_*``)."""
+    from ..sources.registry import run_rows_from_metrics
+
+    metric_cols = ["accuracy", "auc", "recall", "prec", "f1", "kappa"]
+    compare = run_rows_from_metrics(
+        board.filter(F.col("rank") == 1),
+        "compare_models",
+        "best_",
+        metric_cols,
+        {"sort_metric": sort_metric, "n_models_compared": n_models, "n_samples": n_samples, "n_features": n_features},
+    )
+    tune = run_rows_from_metrics(
+        tuned,
+        f"tune_{model_name}",
+        "tuned_",
+        metric_cols,
+        {"base_model": model_name, "tune_trials": tune_trials, "optimize_metric": sort_metric},
+    )
+    return compare.unionByName(tune)
+
+
 @dataclass
 class TrainingResult:
     model: PipelineModel
@@ -283,6 +315,7 @@ class TrainingResult:
     tuned_metrics: DataFrame
     trials: DataFrame
     labels: list[str]
+    runs: DataFrame
 
 
 def run_training(
@@ -313,5 +346,7 @@ def run_training(
         model.write().overwrite().save(save_path)
         path = save_path
     labels = class_labels(train, target)
+    n_samples = data.count()
+    runs = training_runs(board, tuned, pick["model"], sort_metric, len(cands), n_samples, len(features), tune_trials)
     data.unpersist()
-    return TrainingResult(model, pick["model"], path, pick.asDict(), board, tuned, trials, labels)
+    return TrainingResult(model, pick["model"], path, pick.asDict(), board, tuned, trials, labels, runs)
