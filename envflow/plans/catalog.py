@@ -38,7 +38,7 @@ from ..sources.curated import snapshot_manifest
 from ..sources.registry import load_model, save_model
 from .scoring import model_info, score
 from ..streaming.incremental import materialize_step, read_upserted, start_curated_stream, start_drift_stream
-from .training import class_labels, compare_models, default_candidates, feature_stages, prepare, run_training, split_flag, tune_model
+from .training import isolated_table, class_labels, compare_models, default_candidates, feature_stages, prepare, run_training, split_flag, tune_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -502,7 +502,7 @@ def _training_table(spark, sf):
 
 
 def _split(spark, sf):
-    data = split_flag(prepare(_training_table(spark, sf)), ["version"])
+    data = isolated_table(split_flag(prepare(_training_table(spark, sf)), ["version"]))
     return data.filter("is_train").drop("is_train"), data.filter("NOT is_train").drop("is_train")
 
 
@@ -527,14 +527,14 @@ def q_train_test_split(spark, sf):
 @register("compare_models")
 def q_compare_models(spark, sf):
     train, test = _split(spark, sf)
-    board, _ = compare_models(train.persist(), test.persist())
+    board, _ = compare_models(train, test)
     return board
 
 
 @register("tune_model")
 def q_tune_model(spark, sf):
     train, test = _split(spark, sf)
-    _, trials, _ = tune_model(train.persist(), test.persist(), _dt_candidate())
+    _, trials, _ = tune_model(train, test, _dt_candidate())
     return trials
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from ..config import FEATURES, N_SELECT, SPLIT_SEED, TARGET, TRAIN_FRACTION_PCT, TUNE_TRIALS
 from ..operators.metrics import auc_ovr, classification_metrics, confusion_matrix, leaderboard_from, select_model
 from ..operators.prep import prepare_training
+from ..session import scratch_path
 
 LABEL_IDX = "label_idx"
 FEATURES_VEC = "features"
@@ -146,33 +147,9 @@ LEADERBOARD_SCHEMA = (
 )
 
 
-def _serialization_race(e: Exception) -> bool:
-    return "Task not serializable" in str(e)
-
-
-def _sequential(est):
-    """Same estimator with its internal thread pool switched off."""
-    if isinstance(est, OneVsRest):
-        est.setParallelism(1)
-    return est
-
-
 def _fit_candidate(train, test, c: Candidate, features, target, labels, sort_metric, folds, seed, parallelism) -> Fitted:
-    """CV-fit one family. Concurrent fold/class fits share ML param objects
-    across Python threads; on the rare closure-serialization race that this
-    can cause, the family is refitted with no concurrency (same result)."""
-    try:
-        return _fit_candidate_once(train, test, c, features, target, labels, sort_metric, folds, seed, parallelism, False)
-    except Exception as e:  # noqa: BLE001
-        if not _serialization_race(e):
-            raise
-        return _fit_candidate_once(train, test, c, features, target, labels, sort_metric, folds, seed, 1, True)
-
-
-def _fit_candidate_once(train, test, c, features, target, labels, sort_metric, folds, seed, parallelism, sequential) -> Fitted:
+    """CV-fit one family, then evaluate the best model on the hold-out set."""
     est = c.build(len(features), len(labels), seed)
-    if sequential:
-        est = _sequential(est)
     pipe = Pipeline(stages=feature_stages(features, target, c.scaled) + [est])
     ev = MulticlassClassificationEvaluator(labelCol=LABEL_IDX, predictionCol="prediction", metricName=EVALUATOR_METRIC.get(sort_metric, "f1"))
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=[{}], evaluator=ev, numFolds=folds, seed=seed, parallelism=parallelism)
@@ -185,6 +162,22 @@ def _fit_candidate_once(train, test, c, features, target, labels, sort_metric, f
     return Fitted(c, model, float(cvm.avgMetrics[0]), row)
 
 
+def isolated_table(df: DataFrame, name: str = "training") -> DataFrame:
+    """Write a training table to the shared checkpoint folder and read it back
+    in a fresh session of the same SparkContext.
+
+    Spark ML evaluators turn predictions into an RDD, which serializes the
+    physical plan together with its session; a session that has used
+    ``DataFrame.observe`` holds a non-serializable observation manager, so
+    evaluation would fail there. The fresh session has none. The written table
+    also cuts lineage for the repeated reads of cross-validation and tuning.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.newSession().read.parquet(path)
+
+
 def class_labels(df: DataFrame, target: str = TARGET) -> list[str]:
     """Sorted class names (a distributed distinct; bounded by the class count)."""
     return sorted(r[0] for r in df.select(target).distinct().collect())
@@ -257,13 +250,7 @@ def tune_model(
         maps.append(b.build()[0])
     ev = MulticlassClassificationEvaluator(labelCol=LABEL_IDX, metricName=EVALUATOR_METRIC.get(metric, "f1"))
     tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, trainRatio=0.8, seed=seed, parallelism=parallelism)
-    try:
-        tm = tvs.fit(train)
-    except Exception as e:  # noqa: BLE001
-        if not _serialization_race(e):
-            raise
-        _sequential(est)
-        tm = tvs.setParallelism(1).fit(train)
+    tm = tvs.fit(train)
     spark = train.sparkSession
     table = spark.createDataFrame(
         [(i, ",".join(f"{k}={v}" for k, v in sorted(t.items())), float(m)) for i, (t, m) in enumerate(zip(trials, tm.validationMetrics))],
@@ -333,7 +320,7 @@ def run_training(
     folds: int = 3,
 ) -> TrainingResult:
     """Clean -> split -> compare -> select -> tune -> (save)."""
-    data = split_flag(prepare(df, features, target), keys).persist()
+    data = isolated_table(split_flag(prepare(df, features, target), keys))
     train = data.filter("is_train").drop("is_train")
     test = data.filter("NOT is_train").drop("is_train")
     cands = candidates or default_candidates()
@@ -348,5 +335,4 @@ def run_training(
     labels = class_labels(train, target)
     n_samples = data.count()
     runs = training_runs(board, tuned, pick["model"], sort_metric, len(cands), n_samples, len(features), tune_trials)
-    data.unpersist()
     return TrainingResult(model, pick["model"], path, pick.asDict(), board, tuned, trials, labels, runs)
