@@ -45,6 +45,36 @@ def wall_seconds(ts: Column | str) -> Column:
     return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
 
 
+# aim for at most about this many feature + spine rows per (key, time bucket)
+ASOF_BUCKET_ROWS = 2_000_000
+
+
+def asof_bucket_width(
+    spine: DataFrame,
+    features: DataFrame,
+    keys: list[str],
+    ts: str,
+    fts: str,
+    base_width: int,
+    target_rows: int = ASOF_BUCKET_ROWS,
+) -> int:
+    """Bucket width (seconds) for :func:`asof_join`, from the data.
+
+    One aggregation over the key and time columns only counts the rows of
+    the busiest (key, ``base_width`` bucket). If that exceeds ``target_rows``
+    (a hot key), the width shrinks in proportion, so the busiest bucket holds
+    about ``target_rows`` rows when its rows are spread over time. Finer
+    buckets only add rows to the per-(key, bucket) carry table, which holds
+    at most one row per bucket.
+    """
+    b = F.floor(wall_seconds("_t") / base_width).alias("_b")
+    kt = features.select(*keys, F.col(fts).alias("_t")).unionByName(spine.select(*keys, F.col(ts).alias("_t")))
+    biggest = kt.filter(F.col("_t").isNotNull()).groupBy(*keys, b).count().agg(F.max("count")).first()[0] or 0
+    if biggest <= target_rows:
+        return base_width
+    return max(1, int(base_width * target_rows // biggest))
+
+
 def asof_join(
     spine: DataFrame,
     features: DataFrame,
@@ -65,11 +95,17 @@ def asof_join(
     spine rows gives the in-bucket hit. The latest feature row of earlier
     buckets comes from a per-(key, bucket) ``max_by`` summary with a window
     over buckets (one row per bucket, so a hot key stays cheap). A key that
-    holds a third of the data is thus split across its time buckets.
+    holds a third of the data is thus split across its time buckets; without
+    an explicit ``bucket_seconds`` the width is sized from the data
+    (:func:`asof_bucket_width`), starting from the TTL.
     """
     keys = [key] if isinstance(key, str) else list(key)
     fts = feature_ts or ts
-    width = int(bucket_seconds or max(ttl_seconds or 86400, 3600))
+    if bucket_seconds:
+        width = int(bucket_seconds)
+    else:
+        base = int(max(ttl_seconds or 86400, 3600))
+        width = asof_bucket_width(spine, features, keys, ts, fts, base)
     tb = [F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)]
     payload = F.struct(F.col(fts).alias("_ft"), *tb, *[F.col(c) for c in feature_cols])
 

@@ -16,6 +16,10 @@ from ..session import materialize
 
 # a group up to this many distinct values is summed in one window task
 SINGLE_TASK_ROWS = 2_000_000
+# beyond that, aim for about this many rows per (group, bucket) window task,
+# with at most MAX_BUCKETS buckets (each row scans the bucket edge array)
+BUCKET_ROWS = 1_000_000
+MAX_BUCKETS = 1024
 
 
 def running_totals(
@@ -37,10 +41,13 @@ def running_totals(
 
     Size check first: when the largest group has at most ``single_task_rows``
     rows, one window per group is cheaper and still bounded; beyond that the
-    bucketed plan keeps every task at about 1/``buckets`` of a group.
+    bucketed plan cuts every group into at least ``buckets`` buckets, and
+    into more (up to ``MAX_BUCKETS``) when the largest group measured would
+    leave more than ``BUCKET_ROWS`` rows in a bucket.
     """
     if single_task_rows:
         biggest = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+        buckets = max(buckets, min(MAX_BUCKETS, -(-biggest // BUCKET_ROWS)))
         if biggest <= single_task_rows:
             w = Window.partitionBy(*groups).orderBy(order)
             cols = [F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"cum_{s}") for s in sums]

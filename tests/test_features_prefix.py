@@ -21,7 +21,7 @@ def _brute_asof(spine, feats, ttl):
     return out
 
 
-def test_asof_matches_brute_force_with_hot_key(spark):
+def _hot_key_case(spark):
     rnd = random.Random(7)
     base = pd.Timestamp("2024-01-01")
     feats, spine = [], []
@@ -36,6 +36,11 @@ def test_asof_matches_brute_force_with_hot_key(spark):
     spine.append((9999, 5, spine[1][2]))
     fdf = spark.createDataFrame(feats, "k long, fts timestamp_ntz, fid long, v double")
     sdf = spark.createDataFrame(spine, "sid long, k long, ts timestamp_ntz")
+    return feats, spine, fdf, sdf
+
+
+def test_asof_matches_brute_force_with_hot_key(spark):
+    feats, spine, fdf, sdf = _hot_key_case(spark)
     ttl = 6 * 3600
     got = asof_join(sdf, fdf, "k", "ts", ["v"], ttl_seconds=ttl, feature_ts="fts", tiebreak=("fid",), bucket_seconds=3600)
     res = {r["sid"]: r["v"] for r in got.collect()}
@@ -45,6 +50,21 @@ def test_asof_matches_brute_force_with_hot_key(spark):
     assert got.filter(F.col("feature_timestamp") > F.col("ts")).count() == 0
 
 
+def test_asof_width_shrinks_for_hot_key(spark, monkeypatch):
+    import envflow.operators.features as fmod
+
+    feats, spine, fdf, sdf = _hot_key_case(spark)
+    ttl = 6 * 3600
+    # key 0 has about 1,300 rows over 20 days (some 16 per 6-hour bucket):
+    # with a 5-row target the buckets are too big for it, so the width narrows
+    width = fmod.asof_bucket_width(sdf, fdf, ["k"], "ts", "fts", ttl, target_rows=5)
+    assert width < ttl
+    monkeypatch.setattr(fmod, "ASOF_BUCKET_ROWS", 5)
+    got = asof_join(sdf, fdf, "k", "ts", ["v"], ttl_seconds=ttl, feature_ts="fts", tiebreak=("fid",))
+    res = {r["sid"]: r["v"] for r in got.collect()}
+    assert res == _brute_asof(spine, feats, ttl)
+
+
 def test_online_lookup_ttl(spark):
     latest = spark.createDataFrame(
         [(1, "2024-01-29 00:00:00", 1.0), (2, "2024-01-01 00:00:00", 2.0), (3, "2024-02-05 00:00:00", 3.0)],
@@ -70,6 +90,20 @@ def test_running_totals_equal_single_window(spark):
     assert a == b
 
 
+def test_running_totals_adaptive_buckets(spark, monkeypatch):
+    import envflow.operators.prefix as pmod
+
+    rnd = np.random.default_rng(11)
+    vals = np.unique(np.round(rnd.normal(0, 50, 5000), 3))
+    df = spark.createDataFrame([("h", float(v), 1) for v in vals] + [("s", 1.0, 2)], "g string, v double, c long")
+    # a group bigger than the single-task bound and than 40 x BUCKET_ROWS
+    monkeypatch.setattr(pmod, "BUCKET_ROWS", 100)
+    got = running_totals(df, ["g"], "v", ["c"], buckets=4, with_next=True, single_task_rows=1000)
+    w = Window.partitionBy("g").orderBy("v")
+    want = df.select("g", "v", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_c"), F.lead("v").over(w).alias("next_v"))
+    assert sorted(map(tuple, got.select("g", "v", "cum_c", "next_v").collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_exact_quantiles_match_numpy(spark):
     rnd = np.random.default_rng(5)
     vals = {g: rnd.normal(0, 3, 501 + i).round(3) for i, g in enumerate(["x", "y"])}
