@@ -59,33 +59,37 @@ def run_tests(
         F.col("threshold").alias("bound"),
         F.when(F.col("drift_detected"), F.lit("FAIL")).otherwise(F.lit("SUCCESS")).alias("status"),
     )
-    qr = _quality(reference, num, cat).alias("r")
-    qc = _quality(current, num, cat).alias("c")
-    q = qc.join(qr, "column")
+    qr = _quality(reference, num, cat)
+    qc = _quality(current, num, cat)
+    qr = qr.select("column", *[F.col(c).alias(f"r_{c}") for c in qr.columns if c != "column"])
+    qc = qc.select("column", *[F.col(c).alias(f"c_{c}") for c in qc.columns if c != "column"])
+    # one row per column, read by three tests below: each side's quality
+    # aggregation runs once instead of once per test
+    q = materialize(qc.join(qr, "column"))
     lim = F.lit(1.0 + tolerance)
     missing = q.select(
         F.lit("share_of_missing_values").alias("name"),
         F.col("column"),
-        F.col("c.null_share").alias("value"),
-        (F.col("r.null_share") * lim).alias("bound"),
-        F.when(F.col("c.null_share") <= F.col("r.null_share") * lim + F.lit(1e-12), "SUCCESS").otherwise("FAIL").alias("status"),
+        F.col("c_null_share").alias("value"),
+        (F.col("r_null_share") * lim).alias("bound"),
+        F.when(F.col("c_null_share") <= F.col("r_null_share") * lim + F.lit(1e-12), "SUCCESS").otherwise("FAIL").alias("status"),
     )
     common = q.select(
         F.lit("most_common_value_share").alias("name"),
         F.col("column"),
-        F.col("c.most_common_share").alias("value"),
-        (F.col("r.most_common_share") * lim).alias("bound"),
+        F.col("c_most_common_share").alias("value"),
+        (F.col("r_most_common_share") * lim).alias("bound"),
         F.when(
-            F.coalesce(F.col("c.most_common_share"), F.lit(0.0)) <= F.coalesce(F.col("r.most_common_share"), F.lit(0.0)) * lim + F.lit(1e-12),
+            F.coalesce(F.col("c_most_common_share"), F.lit(0.0)) <= F.coalesce(F.col("r_most_common_share"), F.lit(0.0)) * lim + F.lit(1e-12),
             "SUCCESS",
         ).otherwise("FAIL").alias("status"),
     )
     dq = q.agg(
-        F.sum(F.col("c.is_constant").cast("int")).cast("double").alias("c_const"),
-        F.sum(F.col("r.is_constant").cast("int")).cast("double").alias("r_const"),
-        F.first("c.duplicate_rows").cast("double").alias("c_dup"),
-        F.first("r.duplicate_rows").cast("double").alias("r_dup"),
-        F.first("c.n_rows").cast("double").alias("c_rows"),
+        F.sum(F.col("c_is_constant").cast("int")).cast("double").alias("c_const"),
+        F.sum(F.col("r_is_constant").cast("int")).cast("double").alias("r_const"),
+        F.first("c_duplicate_rows").cast("double").alias("c_dup"),
+        F.first("r_duplicate_rows").cast("double").alias("r_dup"),
+        F.first("c_n_rows").cast("double").alias("c_rows"),
     )
     dd = drift_dataset(drift, 0.5).select(F.col("drift_score").alias("share"))
     # both sides are single-row aggregates
