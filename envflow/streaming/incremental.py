@@ -55,7 +55,9 @@ def upsert_latest(spark: SparkSession, batch: DataFrame, table_path: str, stagin
     old = spark.read.parquet(table_path).join(F.broadcast(affected), PARTS, "left_semi")
     merged = deduplicate(rows.unionByName(old.select(*rows.columns)), CURATED_KEYS, CURATED_ORDER)
     stage = f"{staging_base}/batch={batch_id}"
-    merged.write.mode("overwrite").partitionBy(*PARTS).parquet(stage)
+    # staging keeps city/date as plain columns: one file per task, and the
+    # partition folders are created once, by the swap below
+    merged.write.mode("overwrite").parquet(stage)
     (
         spark.read.parquet(stage)
         .sortWithinPartitions(*PARTS)
