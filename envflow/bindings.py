@@ -128,13 +128,15 @@ def probabilities_long(pred: DataFrame) -> DataFrame:
 
 
 def nest_hourly_docs(m: DataFrame) -> DataFrame:
-    """Measurements -> raw docs: one per (city, hour), parallel arrays ordered
-    by (timestamp, version), time as an ISO-minute string.
+    """Measurements -> raw docs: one per (city, station, hour), parallel
+    arrays ordered by (timestamp, version), time as an ISO-minute string.
 
     Ragged on purpose: docs of hours divisible by 5 lose the last ``ozone``
     element (padded back with null on read) and docs of hours divisible by 7
     carry no ``european_aqi`` array at all. The fetch time is the doc's latest
-    measurement time. A doc holds one city's hour, so its size stays bounded.
+    measurement time. A doc holds one station's hour, so its size stays
+    bounded as the table grows (the time span is fixed, stations scale with
+    the data); a (city, hour) doc would grow with it.
     """
     feats = ["pm2_5", "pm10", "carbon_monoxide", "nitrogen_dioxide", "sulphur_dioxide", "ozone", "us_aqi", "european_aqi"]
     rec = F.struct(
@@ -145,7 +147,7 @@ def nest_hourly_docs(m: DataFrame) -> DataFrame:
     )
     g = (
         m.withColumn("doc_hour", F.date_trunc("hour", "timestamp").cast("timestamp_ntz"))
-        .groupBy("city", "doc_hour")
+        .groupBy("city", "station_id", "doc_hour")
         .agg(
             F.first("latitude").alias("latitude"),
             F.first("longitude").alias("longitude"),
@@ -206,7 +208,8 @@ def long_feed_rows(m: DataFrame) -> DataFrame:
 
 
 def nest_long_feed_docs(m: DataFrame) -> DataFrame:
-    """Long rows -> feed docs ``{meta, results[]}``, one per (city, hour)."""
+    """Long rows -> feed docs ``{meta, results[]}``, one per (city, station,
+    hour), so a doc stays bounded as the table grows."""
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     rec = F.struct(
         F.col("location"),
@@ -220,7 +223,7 @@ def nest_long_feed_docs(m: DataFrame) -> DataFrame:
     rows = long_feed_rows(m)
     return (
         rows.withColumn("doc_hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
-        .groupBy("city", "doc_hour")
+        .groupBy("city", "location", "doc_hour")
         .agg(F.collect_list(rec).alias("results"), F.count("*").alias("found"))
         .select(F.create_map(F.lit("found"), F.col("found").cast("string")).alias("meta"), "results")
     )

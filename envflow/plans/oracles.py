@@ -45,12 +45,12 @@ SELECT city, latitude, longitude, timezone,
        CASE WHEN hour(doc_hour) % 7 = 0 THEN NULL ELSE european_aqi END AS european_aqi,
        'pm2_5' AS parameter,
        fetched AS fetch_timestamp,
-       CAST(row_number() OVER (PARTITION BY city, doc_hour ORDER BY "timestamp", version) - 1 AS INTEGER) AS pos,
+       CAST(row_number() OVER (PARTITION BY city, station_id, doc_hour ORDER BY "timestamp", version) - 1 AS INTEGER) AS pos,
        "timestamp" AS ts_full, version, doc_hour
 FROM (
   SELECT *,
-         row_number() OVER (PARTITION BY city, doc_hour ORDER BY "timestamp" DESC, version DESC) AS rev_pos,
-         max("timestamp") OVER (PARTITION BY city, doc_hour) AS fetched
+         row_number() OVER (PARTITION BY city, station_id, doc_hour ORDER BY "timestamp" DESC, version DESC) AS rev_pos,
+         max("timestamp") OVER (PARTITION BY city, station_id, doc_hour) AS fetched
   FROM (SELECT *, date_trunc('hour', "timestamp") AS doc_hour FROM ({M_SQL}) m0) m1
 ) d
 """
@@ -63,7 +63,7 @@ CURATED_COLS = (
 CURATED_SQL = f"""
 SELECT {CURATED_COLS}, {LABEL3} AS air_quality_label, fetch_timestamp
 FROM (
-  SELECT *, row_number() OVER (PARTITION BY city, "timestamp" ORDER BY ts_full DESC, version DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY city, "timestamp" ORDER BY fetch_timestamp DESC, pos DESC) AS rn
   FROM ({FLAT_SQL}) f
 ) x WHERE rn = 1
 """
@@ -77,7 +77,7 @@ DOCS_SQL = f"""
 SELECT city, date_trunc('hour', "timestamp") AS doc_hour, any_value(latitude) AS latitude,
        any_value(longitude) AS longitude, max("timestamp") AS fetched, min("timestamp") AS first_ts,
        count(*) AS n
-FROM ({M_SQL}) m GROUP BY city, date_trunc('hour', "timestamp")
+FROM ({M_SQL}) m GROUP BY city, station_id, date_trunc('hour', "timestamp")
 """
 
 ORACLES["raw_json_scan"] = f"""
