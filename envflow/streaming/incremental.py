@@ -12,6 +12,7 @@ so the sink is idempotent.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import DriftSpec
 from ..operators.dedup import latest_per_entity
 from ..operators.drift import drift_features
+from ..operators.enrich import checked_broadcast
 from ..operators.flatten import flatten_hourly, split_rejects
 from ..plans.curated import CURATED_KEYS, CURATED_ORDER, add_quality_label, deduplicate
 from ..schemas import CURATED_COLUMNS, RAW
@@ -49,15 +51,22 @@ def upsert_latest(spark: SparkSession, batch: DataFrame, table_path: str, stagin
             .parquet(table_path)
         )
         return
-    affected = rows.select(*PARTS).distinct()
-    # the partition filter comes from a join on the partition columns
-    # (dynamic partition pruning), so only affected folders are read
-    old = spark.read.parquet(table_path).join(F.broadcast(affected), PARTS, "left_semi")
-    merged = deduplicate(rows.unionByName(old.select(*rows.columns)), CURATED_KEYS, CURATED_ORDER)
-    stage = f"{staging_base}/batch={batch_id}"
-    # staging keeps city/date as plain columns: one file per task, and the
-    # partition folders are created once, by the swap below
-    merged.write.mode("overwrite").parquet(stage)
+    # the batch is read by the size check, the partition filter and the
+    # merge: keep it (a lost block is recomputed from the batch's files)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        affected = rows.select(*PARTS).distinct()
+        # the partition filter comes from a join on the partition columns
+        # (dynamic partition pruning, which needs the broadcast), so only
+        # affected folders are read; the broadcast is size-checked
+        old = spark.read.parquet(table_path).join(checked_broadcast(affected), PARTS, "left_semi")
+        merged = deduplicate(rows.unionByName(old.select(*rows.columns)), CURATED_KEYS, CURATED_ORDER)
+        stage = f"{staging_base}/batch={batch_id}"
+        # staging keeps city/date as plain columns: one file per task, and the
+        # partition folders are created once, by the swap below
+        merged.write.mode("overwrite").parquet(stage)
+    finally:
+        rows.unpersist()
     (
         spark.read.parquet(stage)
         .sortWithinPartitions(*PARTS)
