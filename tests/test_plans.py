@@ -38,3 +38,32 @@ def test_no_cartesian_or_range_join(spark):
     for n in ["asof_features_ttl", "online_lookup", "dim_enrich", "prediction_join", "drift_features", "auc_ovr"]:
         plan = _plan(qs[n](spark, SF001))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, n
+
+
+def test_raw_docs_stay_bounded_as_data_grows(spark):
+    """A landed doc is one station's hour: its arrays do not grow with sf."""
+    from pyspark.sql import functions as F
+
+    from envflow import bindings as B
+
+    sizes = []
+    for sf in (SF001, "/root/testdata/sf0.01"):
+        docs = B.nest_hourly_docs(B.measurements_table(spark, sf))
+        sizes.append(docs.agg(F.max(F.size("hourly.time"))).first()[0])
+    assert sizes[1] <= 8 and sizes[1] <= sizes[0] + 2
+
+
+def test_upsert_merge_prunes_target_partitions(spark, tmp_dir):
+    """The affected (city, date) set is a checked broadcast, so the scan of
+    the target table gets a dynamic partition filter."""
+    from pyspark.sql import functions as F
+
+    from envflow.operators.enrich import checked_broadcast
+
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    t = f"{tmp_dir}/t"
+    ev.select(F.col("event_type").alias("city"), F.to_date("ts").alias("date"), "value").write.partitionBy("city", "date").parquet(t)
+    batch = spark.read.parquet(t).filter(F.col("date") == F.lit("2024-01-05").cast("date"))
+    affected = batch.select("city", "date").distinct()
+    old = spark.read.parquet(t).join(checked_broadcast(affected), ["city", "date"], "left_semi")
+    assert "dynamicpruning" in _plan(old).lower()
