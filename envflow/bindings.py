@@ -31,6 +31,13 @@ TABLES = [
 
 REFERENCE_CUTOFF = "2024-01-16 00:00:00"
 N_RULE_MODELS = 5
+# a landed doc holds one hour of one block of this many consecutive stations
+STATIONS_PER_DOC = 1024
+
+
+def station_block(station: str = "station_id"):
+    """Doc group of a station: ``station div STATIONS_PER_DOC``."""
+    return F.expr(f"{station} div {STATIONS_PER_DOC}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -128,15 +135,16 @@ def probabilities_long(pred: DataFrame) -> DataFrame:
 
 
 def nest_hourly_docs(m: DataFrame) -> DataFrame:
-    """Measurements -> raw docs: one per (city, station, hour), parallel
-    arrays ordered by (timestamp, version), time as an ISO-minute string.
+    """Measurements -> raw docs: one per (city, station block, hour),
+    parallel arrays ordered by (timestamp, version), time as an ISO-minute
+    string.
 
     Ragged on purpose: docs of hours divisible by 5 lose the last ``ozone``
     element (padded back with null on read) and docs of hours divisible by 7
     carry no ``european_aqi`` array at all. The fetch time is the doc's latest
-    measurement time. A doc holds one station's hour, so its size stays
-    bounded as the table grows (the time span is fixed, stations scale with
-    the data); a (city, hour) doc would grow with it.
+    measurement time. A doc holds one hour of at most ``STATIONS_PER_DOC``
+    stations, so its size stays bounded as the table grows (the time span is
+    fixed, stations scale with the data); a (city, hour) doc would grow with it.
     """
     feats = ["pm2_5", "pm10", "carbon_monoxide", "nitrogen_dioxide", "sulphur_dioxide", "ozone", "us_aqi", "european_aqi"]
     rec = F.struct(
@@ -147,7 +155,8 @@ def nest_hourly_docs(m: DataFrame) -> DataFrame:
     )
     g = (
         m.withColumn("doc_hour", F.date_trunc("hour", "timestamp").cast("timestamp_ntz"))
-        .groupBy("city", "station_id", "doc_hour")
+        .withColumn("station_block", station_block())
+        .groupBy("city", "station_block", "doc_hour")
         .agg(
             F.first("latitude").alias("latitude"),
             F.first("longitude").alias("longitude"),
@@ -192,15 +201,16 @@ LONG_PARAMETER_COLUMNS = [
 ]
 
 
-def long_feed_rows(m: DataFrame) -> DataFrame:
+def long_feed_rows(m: DataFrame, keep: tuple = ()) -> DataFrame:
     """Measurements unpivoted to the long feed: (city, ts, parameter, value),
-    null values omitted, location = station id."""
+    null values omitted, location = station id (plus ``keep`` columns)."""
     pairs = F.array(*[F.struct(F.lit(p).alias("parameter"), F.col(c).alias("value")) for p, c in LONG_PARAMETER_COLUMNS])
     return (
         m.select(
             "city",
             F.col("timestamp").alias("ts"),
             F.concat(F.lit("station-"), F.col("station_id").cast("string")).alias("location"),
+            *keep,
             F.inline(pairs),
         )
         .filter(F.col("value").isNotNull())
@@ -208,8 +218,8 @@ def long_feed_rows(m: DataFrame) -> DataFrame:
 
 
 def nest_long_feed_docs(m: DataFrame) -> DataFrame:
-    """Long rows -> feed docs ``{meta, results[]}``, one per (city, station,
-    hour), so a doc stays bounded as the table grows."""
+    """Long rows -> feed docs ``{meta, results[]}``, one per (city, station
+    block, hour), so a doc stays bounded as the table grows."""
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     rec = F.struct(
         F.col("location"),
@@ -220,10 +230,10 @@ def nest_long_feed_docs(m: DataFrame) -> DataFrame:
         F.lit("ug/m3").alias("unit"),
         F.struct(iso.alias("utc"), iso.alias("local")).alias("date"),
     )
-    rows = long_feed_rows(m)
+    rows = long_feed_rows(m, keep=(station_block().alias("station_block"),))
     return (
         rows.withColumn("doc_hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
-        .groupBy("city", "location", "doc_hour")
+        .groupBy("city", "station_block", "doc_hour")
         .agg(F.collect_list(rec).alias("results"), F.count("*").alias("found"))
         .select(F.create_map(F.lit("found"), F.col("found").cast("string")).alias("meta"), "results")
     )

@@ -6,7 +6,7 @@ produce the same column names and values as the Spark query.
 
 from __future__ import annotations
 
-from ..bindings import REFERENCE_CUTOFF
+from ..bindings import REFERENCE_CUTOFF, STATIONS_PER_DOC
 from ..config import FIVE_BAND, THREE_BAND
 from ..functions.labels import band_sql
 
@@ -45,13 +45,14 @@ SELECT city, latitude, longitude, timezone,
        CASE WHEN hour(doc_hour) % 7 = 0 THEN NULL ELSE european_aqi END AS european_aqi,
        'pm2_5' AS parameter,
        fetched AS fetch_timestamp,
-       CAST(row_number() OVER (PARTITION BY city, station_id, doc_hour ORDER BY "timestamp", version) - 1 AS INTEGER) AS pos,
+       CAST(row_number() OVER (PARTITION BY city, station_block, doc_hour ORDER BY "timestamp", version) - 1 AS INTEGER) AS pos,
        "timestamp" AS ts_full, version, doc_hour
 FROM (
   SELECT *,
-         row_number() OVER (PARTITION BY city, station_id, doc_hour ORDER BY "timestamp" DESC, version DESC) AS rev_pos,
-         max("timestamp") OVER (PARTITION BY city, station_id, doc_hour) AS fetched
-  FROM (SELECT *, date_trunc('hour', "timestamp") AS doc_hour FROM ({M_SQL}) m0) m1
+         row_number() OVER (PARTITION BY city, station_block, doc_hour ORDER BY "timestamp" DESC, version DESC) AS rev_pos,
+         max("timestamp") OVER (PARTITION BY city, station_block, doc_hour) AS fetched
+  FROM (SELECT *, date_trunc('hour', "timestamp") AS doc_hour, station_id // {STATIONS_PER_DOC} AS station_block
+        FROM ({M_SQL}) m0) m1
 ) d
 """
 
@@ -77,7 +78,7 @@ DOCS_SQL = f"""
 SELECT city, date_trunc('hour', "timestamp") AS doc_hour, any_value(latitude) AS latitude,
        any_value(longitude) AS longitude, max("timestamp") AS fetched, min("timestamp") AS first_ts,
        count(*) AS n
-FROM ({M_SQL}) m GROUP BY city, station_id, date_trunc('hour', "timestamp")
+FROM ({M_SQL}) m GROUP BY city, station_id // {STATIONS_PER_DOC}, date_trunc('hour', "timestamp")
 """
 
 ORACLES["raw_json_scan"] = f"""
