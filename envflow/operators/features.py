@@ -69,7 +69,7 @@ def asof_bucket_width(
     """
     b = F.floor(wall_seconds("_t") / base_width).alias("_b")
     kt = features.select(*keys, F.col(fts).alias("_t")).unionByName(spine.select(*keys, F.col(ts).alias("_t")))
-    biggest = kt.filter(F.col("_t").isNotNull()).groupBy(*keys, b).count().agg(F.max("count")).first()[0] or 0
+    biggest = kt.dropna().groupBy(*keys, b).count().agg(F.max("count")).first()[0] or 0
     if biggest <= target_rows:
         return base_width
     return max(1, int(base_width * target_rows // biggest))
@@ -101,6 +101,17 @@ def asof_join(
     """
     keys = [key] if isinstance(key, str) else list(key)
     fts = feature_ts or ts
+    # spine rows with a null key or time can match nothing: they skip the
+    # windows (a null key holding many rows would otherwise be one hot group)
+    matchable = F.col(ts).isNotNull()
+    for k in keys:
+        matchable = matchable & F.col(k).isNotNull()
+    unmatched = spine.filter(~matchable).select(
+        *spine.columns,
+        *[F.lit(None).cast(features.schema[c].dataType).alias(c) for c in feature_cols],
+        F.lit(None).cast(features.schema[fts].dataType).alias(feature_ts_alias),
+    )
+    spine = spine.filter(matchable)
     if bucket_seconds:
         width = int(bucket_seconds)
     else:
@@ -151,7 +162,8 @@ def asof_join(
     if ttl_seconds is not None:
         p = F.when(p["_ft"] >= F.col("_t") - F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS"), p)
     res = res.withColumn("_m", p)
-    return res.select("_s.*", *[F.col("_m")[c].alias(c) for c in feature_cols], F.col("_m._ft").alias(feature_ts_alias))
+    out = res.select("_s.*", *[F.col("_m")[c].alias(c) for c in feature_cols], F.col("_m._ft").alias(feature_ts_alias))
+    return out.unionByName(unmatched)
 
 
 def online_lookup(

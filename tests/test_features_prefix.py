@@ -13,7 +13,7 @@ from envflow.operators.prefix import exact_quantiles, running_totals
 def _brute_asof(spine, feats, ttl):
     out = {}
     for sid, k, t in spine:
-        cands = [(ft, fid, v) for fk, ft, fid, v in feats if fk == k and ft <= t]
+        cands = [(ft, fid, v) for fk, ft, fid, v in feats if k is not None and t is not None and fk == k and ft <= t]
         best = max(cands) if cands else None
         if best and (t - best[0]).total_seconds() > ttl:
             best = None
@@ -34,6 +34,9 @@ def _hot_key_case(spark):
     # an exact tie: feature at the spine time counts, a later one does not
     feats.append((5, spine[1][2], 99999, -1.0))
     spine.append((9999, 5, spine[1][2]))
+    # null keys / times match nothing (and null-key features are ignored)
+    feats.append((None, spine[2][2], 99998, -2.0))
+    spine += [(9000 + i, None, spine[2][2]) for i in range(50)] + [(8999, 3, None)]
     fdf = spark.createDataFrame(feats, "k long, fts timestamp_ntz, fid long, v double")
     sdf = spark.createDataFrame(spine, "sid long, k long, ts timestamp_ntz")
     return feats, spine, fdf, sdf
