@@ -78,10 +78,12 @@ def upsert_latest(spark: SparkSession, batch: DataFrame, table_path: str, stagin
 
 
 def curate_batch(raw: DataFrame) -> DataFrame:
-    """Micro-batch body: flatten, drop rejects, label, dedup inside the batch."""
+    """Micro-batch body: flatten, drop rejects, label. The newest-wins dedup
+    runs once, in :func:`upsert_latest`, over the batch and the affected
+    partitions together (a dedup here as well would be a second shuffle)."""
     good, _ = split_rejects(flatten_hourly(raw))
     labeled = add_quality_label(good)
-    return deduplicate(labeled).select(*CURATED_COLUMNS, "fetch_timestamp", "pos")
+    return labeled.select(*CURATED_COLUMNS, "fetch_timestamp", "pos")
 
 
 def start_curated_stream(
