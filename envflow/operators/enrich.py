@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# a dimension is broadcast only when it has at most this many rows
+# a dimension is broadcast only when it has at most this many rows and
+# about this many bytes (measured as the JSON length of its rows)
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast ``dim`` only after proving it is small.
 
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed;
-    beyond the bound the plain side is returned and Spark shuffles (AQE may
+    One pass over at most ``max_rows + 1`` rows (the ``limit`` stops reading
+    once the bound is passed) counts the rows and their approximate size.
+    Beyond either bound the plain side is returned and Spark shuffles (AQE may
     still switch to a broadcast at run time when the real size allows it).
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in dim.columns])))
+    n, nbytes = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(dim) if n <= max_rows and nbytes <= max_bytes else dim
 
 
 def enrich(

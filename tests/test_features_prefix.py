@@ -126,3 +126,6 @@ def test_enrich_explicit_wins_and_broadcast_bound(spark):
     # over the bound: no broadcast hint, the plan falls back to a shuffle join
     big = checked_broadcast(dim, max_rows=1)
     assert big is dim
+    # over the byte bound too, and within both bounds the hint is added
+    assert checked_broadcast(dim, max_bytes=10) is dim
+    assert checked_broadcast(dim) is not dim
