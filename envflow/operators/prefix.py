@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .enrich import checked_broadcast
 
 # a group up to this many distinct values is summed in one window task
 SINGLE_TASK_ROWS = 2_000_000
@@ -20,6 +21,9 @@ SINGLE_TASK_ROWS = 2_000_000
 # with at most MAX_BUCKETS buckets (each row scans the bucket edge array)
 BUCKET_ROWS = 1_000_000
 MAX_BUCKETS = 1024
+# the bucket edge / offset tables (groups x buckets entries) are broadcast
+# only up to this many entries; beyond it they are joined by a shuffle
+MAX_BROADCAST_ENTRIES = 4_000_000
 
 
 def running_totals(
@@ -36,8 +40,9 @@ def running_totals(
     group) and, with ``with_next``, ``next_<order>`` (the next distinct value).
 
     ``df`` must hold one row per (groups, order). The group count is small by
-    design (features x sides, models x classes), so the bucket edge and
-    offset tables are bounded by groups x buckets rows and broadcast.
+    design (features x sides, models x classes); the bucket edge and offset
+    tables hold groups x buckets entries and are broadcast when the measured
+    group count keeps that under ``MAX_BROADCAST_ENTRIES``.
 
     Size check first: when the largest group has at most ``single_task_rows``
     rows, one window per group is cheaper and still bounded; beyond that the
@@ -45,8 +50,10 @@ def running_totals(
     into more (up to ``MAX_BUCKETS``) when the largest group measured would
     leave more than ``BUCKET_ROWS`` rows in a bucket.
     """
+    # one small job: the largest group and the number of groups
+    biggest, n_groups = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"), F.count(F.lit(1))).first()
+    biggest = biggest or 0
     if single_task_rows:
-        biggest = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
         buckets = max(buckets, min(MAX_BUCKETS, -(-biggest // BUCKET_ROWS)))
         if biggest <= single_task_rows:
             w = Window.partitionBy(*groups).orderBy(order)
@@ -55,9 +62,13 @@ def running_totals(
                 cols.append(F.lead(order).over(w).alias(f"next_{order}"))
             return df.select(*df.columns, *cols)
     probs = [i / buckets for i in range(1, buckets)]
+
+    def small(t: DataFrame) -> DataFrame:
+        return F.broadcast(t) if n_groups * buckets <= MAX_BROADCAST_ENTRIES else t
+
     edges = df.groupBy(*groups).agg(F.percentile_approx(order, probs, accuracy).alias("_edges"))
     x = (
-        df.join(F.broadcast(edges), groups)
+        df.join(small(edges), groups)
         .withColumn("_bk", F.size(F.filter("_edges", lambda e: e < F.col(order))))
         .drop("_edges")
     )
@@ -76,7 +87,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"_t_{s}").over(w_prev), F.lit(0)).alias(f"_o_{s}") for s in sums],
         F.lead("_bmin").over(Window.partitionBy(*groups).orderBy("_bk")).alias("_nextmin"),
     )
-    j = local.join(F.broadcast(offs), groups + ["_bk"])
+    j = local.join(small(offs), groups + ["_bk"])
     out = [F.col(c) for c in df.columns] + [(F.col(f"_l_{s}") + F.col(f"_o_{s}")).alias(f"cum_{s}") for s in sums]
     if with_next:
         out.append(F.coalesce(F.col("_lnext"), F.col("_nextmin")).alias(f"next_{order}"))
@@ -101,7 +112,8 @@ def exact_quantiles(
     for i, p in enumerate(probs):
         pos = (F.col("_n") - 1) * F.lit(float(p))
         targets = targets.withColumn(f"_lo{i}", F.floor(pos)).withColumn(f"_hi{i}", F.ceil(pos)).withColumn(f"_fr{i}", pos - F.floor(pos))
-    j = rt.join(F.broadcast(targets), groups)
+    # one row per group, from the checkpointed counts: size-checked broadcast
+    j = rt.join(checked_broadcast(targets), groups)
     start = F.col("cum__c") - F.col("_c")
     aggs = []
     for i, _ in enumerate(probs):

@@ -107,6 +107,22 @@ def test_running_totals_adaptive_buckets(spark, monkeypatch):
     assert sorted(map(tuple, got.select("g", "v", "cum_c", "next_v").collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_running_totals_without_broadcast(spark, monkeypatch):
+    import envflow.operators.prefix as pmod
+
+    rows = [(g, float(v), v % 3) for g in ("a", "b") for v in range(300)]
+    df = spark.createDataFrame(rows, "g string, v double, c long")
+    monkeypatch.setattr(pmod, "MAX_BROADCAST_ENTRIES", 1)  # edge/offset tables "too big"
+    got = running_totals(df, ["g"], "v", ["c"], buckets=8, with_next=True, single_task_rows=None)
+    assert "strategy=broadcast" not in got._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(pmod, "MAX_BROADCAST_ENTRIES", 10**6)
+    hinted = running_totals(df, ["g"], "v", ["c"], buckets=8, with_next=True, single_task_rows=None)
+    assert "strategy=broadcast" in hinted._jdf.queryExecution().optimizedPlan().toString()
+    w = Window.partitionBy("g").orderBy("v")
+    want = df.select("g", "v", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_c"), F.lead("v").over(w).alias("next_v"))
+    assert sorted(map(tuple, got.select("g", "v", "cum_c", "next_v").collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_exact_quantiles_match_numpy(spark):
     rnd = np.random.default_rng(5)
     vals = {g: rnd.normal(0, 3, 501 + i).round(3) for i, g in enumerate(["x", "y"])}
