@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from envflow.llm import near_dedup, packing, secret_scan, token_counts, warc
+from envflow.llm import decontaminate, near_dedup, packing, secret_scan, token_counts, warc
 from envflow.llm.common import table
+from envflow.llm.oracles import ORACLES
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -31,7 +36,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op5_secret_scans, op7_minhash_near_dedup, op10_warc)
+    f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op4_decontamination, op5_secret_scans, op7_minhash_near_dedup, op10_warc)
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
