@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from envflow.llm import decontaminate, near_dedup, packing, secret_scan, token_counts, warc
+from envflow.llm import decontaminate, language_id, merkle, near_dedup, packing, secret_scan, token_counts, warc
 from envflow.llm.common import table
 from envflow.llm.oracles import ORACLES
 
@@ -19,6 +19,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,12 +35,16 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op4_decontamination, op5_secret_scans, op7_minhash_near_dedup, op10_warc)
+    f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_merkle_fingerprints, op4_decontamination, op5_secret_scans, op7_minhash_near_dedup, op8_language_id, op10_warc)
 }
 
 __all__ = ["ORACLES", "QUERIES"]
