@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from envflow.llm import decontaminate, language_id, merkle, near_dedup, packing, secret_scan, token_counts, warc
+from envflow.llm import decontaminate, language_id, license_scan, merkle, near_dedup, packing, secret_scan, token_counts, warc
 from envflow.llm.common import table
 from envflow.llm.oracles import ORACLES
 
@@ -39,12 +39,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_merkle_fingerprints, op4_decontamination, op5_secret_scans, op7_minhash_near_dedup, op8_language_id, op10_warc)
+    f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_merkle_fingerprints, op4_decontamination, op5_secret_scans, op7_minhash_near_dedup, op8_language_id, op9_license_scans, op10_warc)
 }
 
 __all__ = ["ORACLES", "QUERIES"]
