@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from envflow.llm import decontaminate, language_id, license_scan, merkle, near_dedup, packing, secret_scan, token_counts, warc
+from envflow.llm import decontaminate, katz, language_id, license_scan, merkle, near_dedup, packing, secret_scan, token_counts, warc
 from envflow.llm.common import table
 from envflow.llm.oracles import ORACLES
 
@@ -31,6 +31,10 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op6_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_merkle_fingerprints, op4_decontamination, op5_secret_scans, op7_minhash_near_dedup, op8_language_id, op9_license_scans, op10_warc)
+    f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_merkle_fingerprints, op4_decontamination, op5_secret_scans, op6_katz_scoring, op7_minhash_near_dedup, op8_language_id, op9_license_scans, op10_warc)
 }
 
 __all__ = ["ORACLES", "QUERIES"]
