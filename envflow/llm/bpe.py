@@ -4,9 +4,8 @@ A text is cut before every single space that stands between two non-space
 characters. The byte-level pre-tokenizer always starts a new word there (a space
 joins the word that follows it, and no alternative of its pattern crosses it), so
 the ids of the text are the ids of its segments in order. Segments repeat, so
-each worker keeps a bounded memo of them; only new ones reach the library, in
-batches balanced by bytes. Long texts need no other cut: their segments are
-encoded like any others.
+each worker keeps a bounded memo of them; only new ones reach the library. The
+heads of texts, and texts with other white space, go there in batches balanced by bytes.
 """
 
 from __future__ import annotations
@@ -21,11 +20,12 @@ SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 SLICE_CHARS = 1 << 20
 #: Bytes per call of the library.
 BATCH_BYTES = 1 << 18
-#: Longest segment kept in the memo, in characters, and entries kept.
+#: Longest segment kept in a memo, in characters, and entries kept in its two generations.
 MEMO_CHARS = 48
-MEMO_ENTRIES = 800_000
-#: A segment of Latin letters and then marks is two words to the pre-tokenizer, whatever follows.
-PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([.,;:!?#$%&*|)]*)")
+MEMO_ENTRIES = 1_000_000
+#: Latin letters, then marks, perhaps a line break and the same again: words of the pre-tokenizer.
+_LETTERS, _MARKS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)", "([.,;:!?#$%&*|)]*)"
+PLAIN = re.compile(rf"{_LETTERS}{_MARKS}(?:\n{_LETTERS}{_MARKS})?")
 
 _ENCODERS: dict = {}
 
@@ -37,6 +37,24 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Memo(dict):
+    """Segment -> value; a missing one is asked of ``learn`` and remembered if it is short."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+        self.before: dict = {}  # the generation before this one
+
+    def __missing__(self, s: str):
+        value = self.before[s] if s in self.before else self.learn(s)
+        if len(s) <= MEMO_CHARS:
+            if len(self) >= MEMO_ENTRIES // 2:
+                self.before = dict(self)
+                self.clear()
+            self[s] = value
+        return value
+
+
 class SegmentEncoder:
     """Whole-text encoding; ``keep`` turns ids into what is stored, ``join`` adds values up."""
 
@@ -45,13 +63,27 @@ class SegmentEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.keep, self.join = keep, join
         self.letters = byte_letters()
-        self.after_space: dict = {}  # segment without its leading space -> value, None if not safe alone
-
-    def _word(self, word: str) -> list[int]:
-        letters = word.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.tokenizer.model.tokenize(letters)]
+        self.words = _Memo(self._word)
+        self.segments = _Memo(self._segment)  # of segments without their leading space; None if not safe alone
+
+    def _word(self, word: str):
+        """A word of the pre-tokenizer: letters after a space, or marks."""
+        # U+0120 is how a space is written, other printable ASCII stays
+        letters = word.replace(" ", "\u0120").replace("\n", "\u010a") if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return self.keep([t.id for t in self.model.tokenize(letters)])
+
+    def _segment(self, s: str):
+        if m := PLAIN.fullmatch(s):
+            words = self.words
+            if m[3]:
+                return self.join([words[" " + m[1]], words[m[2]], words["\n"], words[m[3]], words[m[4]]])
+            return self.join([words[" " + m[1]], words[m[2]]]) if m[2] else words[" " + m[1]]
+        if not s or s[0].isspace() or s[-1].isspace():
+            return None
+        return self.keep(self.tokenizer.encode(" " + s, add_special_tokens=False).ids)
 
     def _library(self, texts: list[str]) -> list:
         """Values of ``texts``, in calls of about BATCH_BYTES each."""
@@ -60,42 +92,22 @@ class SegmentEncoder:
             out += [self.keep(e.ids) for e in self.tokenizer.encode_batch_fast(texts[a:b], add_special_tokens=False)]
         return out
 
-    def _learn(self, segments: set[str]) -> None:
-        memo, other = self.after_space, []
-        for s in segments:
-            if m := PLAIN.fullmatch(s):
-                memo[s] = self.keep(self._word(" " + m[1]) + (self._word(m[2]) if m[2] else []))
-            elif not s or s[0].isspace() or s[-1].isspace():
-                memo[s] = None
-            else:
-                other.append(s)
-        memo.update(zip(other, self._library([" " + s for s in other])))
-
     def values(self, texts: list[str]) -> list:
         """The value of each whole text."""
         parts = [t.split(" ") for t in texts]
         heads = self._library([p[0] for p in parts])
-        for p in parts:
-            del p[0]
-        used = set().union(*parts)
-        new = used - self.after_space.keys()
-        if len(self.after_space) + len(new) > MEMO_ENTRIES:
-            self.after_space.clear()
-            new = used
-        self._learn(new)
-        long = [s for s in new if len(s) > MEMO_CHARS]  # used now, not remembered
-        value, out = self.after_space.__getitem__, []
+        value, out = self.segments.__getitem__, []
         for t, p, head in zip(texts, parts, heads):
-            safe = not p or (t[0] != " " and not t[t.index(" ") - 1].isspace())
+            first = p[0]
+            p[0] = head
             try:
-                out.append(self.join([head, *map(value, p)]) if safe else None)
-            except TypeError:  # a None: some space is no safe cut
-                out.append(None)
-            if out[-1] is None:
+                if len(p) > 1 and (not first or first[-1].isspace()):
+                    raise TypeError
+                p[1:] = map(value, p[1:])
+                out.append(self.join(p))
+            except TypeError:  # a None among the values: some space is no safe cut
                 first, *rest = SAFE_CUT.split(t)
-                out[-1] = self.join(self._library([first, *(" " + s for s in rest)]))
-        for s in long:
-            del self.after_space[s]
+                out.append(self.join(self._library([first, *(" " + s for s in rest)])))
         return out
 
 
