@@ -6,9 +6,8 @@ leaf whose hash starts with 0 closes a section, so an edit moves no later sectio
 borders. A section hashes its leaves, the root hashes the sections.
 
 A fingerprint is ``root:section=leaf,leaf,...;section=...``. Equal texts have equal
-roots. Where roots differ, sections in both hold equal leaves and are skipped in
-effect; ``likeness`` is the share of distinct leaves that both trees have (Dice), and
-``first_edit`` the place where the first differing leaf starts.
+roots. Where roots differ, ``likeness`` is the share of leaves that both trees have (Dice),
+and ``first_edit`` the place where the first differing leaf starts.
 
 The next document's text comes by one shuffle of the texts by ranges of ids, each range with
 the first document of the range below it; at most MAX_RANGES ids pass through the driver.
@@ -65,10 +64,13 @@ def root(print_: Column) -> Column:
 
 
 def likeness(a: Column, b: Column, leaves_a: Column, leaves_b: Column) -> Column:
-    """Of two fingerprints and their leaf hashes: 0 to 1."""
-    both = F.size(F.array_intersect(leaves_a, leaves_b))
-    total = F.size(F.array_distinct(leaves_a)) + F.size(F.array_distinct(leaves_b))
-    return F.when(root(a) == root(b), F.lit(1.0)).otherwise(F.coalesce(2.0 * both / total, F.lit(0.0)))
+    """Of two fingerprints and their leaf hashes: 0 to 1. The share of distinct leaves in both, or of
+    leaves equal place by place where that is more (texts that repeat one line)."""
+    distinct = F.size(F.array_distinct(leaves_a)) + F.size(F.array_distinct(leaves_b))
+    both = 2.0 * F.size(F.array_intersect(leaves_a, leaves_b)) / distinct
+    same = F.size(F.filter(F.zip_with(leaves_a, leaves_b, lambda x, y: x == y), lambda e: F.coalesce(e, F.lit(False))))
+    placed = 2.0 * same / (F.size(leaves_a) + F.size(leaves_b))
+    return F.when(root(a) == root(b), F.lit(1.0)).otherwise(F.coalesce(F.greatest(both, placed), F.lit(0.0)))
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
