@@ -35,7 +35,8 @@ from envflow.llm.shingles import mixed
 
 K, WINDOW = 8, 6
 BAND = 12
-COVERAGE = 0.85
+#: Least share of the template's words that match, and of the span's words.
+COVERAGE, DENSITY = 0.85, 0.8
 GAP, REPLACE = 0.4, 0.4
 BATCH_CHARS = 1 << 21
 
@@ -91,9 +92,15 @@ class Index:
         return cls(names, words, h[order], owner[order], place[order])
 
 
-def align(words: list[str], template: list[str], start: int, band: int = BAND) -> tuple[int, int, int] | None:
+def band_of(template: list[str]) -> int:
+    """Short templates get narrow bands, so that neighbouring copies stay apart."""
+    return min(BAND, max(2, len(template) // 4))
+
+
+def align(words: list[str], template: list[str], start: int) -> tuple[int, int, int] | None:
     """Banded alignment of the template with ``words`` from about ``start`` on: matched words,
     first and last matched word. Row i of the band holds words start + i - band .. start + i + band."""
+    band = band_of(template)
     width = 2 * band + 1
     lo = start - band
     # score, matched, first matched word, last matched word; free ends in the text
@@ -141,11 +148,11 @@ def matches(text: str, hits: list[tuple[int, int, int]], index: Index, least: fl
     for t, starts in by_template.items():
         template, done = index.words[t], None
         for s in sorted(starts):
-            if done is not None and s - done <= BAND // 2:
+            if done is not None and s - done <= band_of(template) // 2:
                 continue  # the same region: this diagonal is within its band
             done = s
-            if (got := align(words, template, s)) and got[0] >= least * len(template):
-                m, first, last = got
+            m, first, last = align(words, template, s) or (0, 0, 0)
+            if m >= max(1, least * len(template), DENSITY * (last - first + 1)):
                 found.append((m, m / len(template), index.names[t], first, last))
     found.sort(key=lambda x: (-x[0], -x[1], x[2], x[3]))
     kept: list = []
