@@ -243,10 +243,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = occurrences(docs, benchmark, keep=tuple(docs.columns), id_col=id_col, text_col=text_col, **how)
     rows = found.select(*[F.col(f"`_k_{c}`").alias(c) for c in docs.columns], F.col("_spans"))
 
+    columns = docs.columns
+
     def cut(batches):
         for b in batches:
             spans = b.column("_spans").to_pylist()
-            cols = {c: b.column(c) for c in docs.columns}
+            cols = {c: b.column(c) for c in columns}
             if any(spans):
                 hit = [bool(x) for x in spans]
                 text = [

@@ -175,10 +175,10 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", te
 def redact_secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every reported span of ``text_col`` replaced by MASK (overlapping spans by one);
     ``n_chars`` follows where it is there. Rows and other columns stay."""
-    columns = docs.columns
-    keyed = docs.withColumns({"_id": F.col(id_col), "_hash": F.xxhash64(text_of(text_col))})
+    own = {c: F.col(f"`{c}`").alias(f"_k_{c}") for c in docs.columns}
+    keyed = docs.select(*own.values(), F.col(id_col).alias("_id"), F.xxhash64(text_of(text_col)).alias("_hash"))
     out = _with_spans(docs, keyed, scope, id_col, text_col)
-    text = F.col(text_col)
+    text = F.col(f"`_k_{text_col}`")
     kept = F.transform(
         "_spans",
         lambda x: F.when(x["start"] < x["behind"], F.lit("")).otherwise(
@@ -188,14 +188,13 @@ def redact_secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id",
     tail = F.substring(text, F.array_max(F.transform("_spans", lambda x: x["end"])) + 1, F.char_length(text))
     clean = F.when(F.col("_spans").isNull(), text).otherwise(F.concat(F.array_join(kept, ""), tail))
     out = out.withColumn("_clean", clean)
-    changed = F.col("_spans").isNotNull()
 
     def column(c: str) -> Column:
         if c == text_col:
             return F.col("_clean").alias(c)
         if c == "n_chars":
-            kind = docs.schema[c].dataType
-            return F.when(changed, F.char_length("_clean")).otherwise(F.col(c)).cast(kind).alias(c)
-        return F.col(f"`{c}`")
+            n = F.when(F.col("_spans").isNotNull(), F.char_length("_clean")).otherwise(F.col("_k_n_chars"))
+            return n.cast(docs.schema[c].dataType).alias(c)
+        return F.col(f"`_k_{c}`").alias(c)
 
-    return out.select(*[column(c) for c in columns])
+    return out.select(*[column(c) for c in docs.columns])
