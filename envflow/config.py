@@ -37,10 +37,7 @@ FIVE_BAND = (
     (150.0, "very_unhealthy"),
     (None, "hazardous"),
 )
-FIVE_CLASSES = ["good", "moderate", "unhealthy", "very_unhealthy", "hazardous"]
 
-# leaderboard metric columns and the run-log key rule (lower case, dots removed)
-METRIC_COLUMNS = ["Accuracy", "AUC", "Recall", "Prec.", "F1", "Kappa"]
 
 # city dimension: name -> (latitude, longitude)
 CITIES = {
@@ -52,8 +49,6 @@ CITIES = {
     "Sao_Paulo": (-23.5505, -46.6333),
 }
 
-# long feed parameters
-LONG_FEED_PARAMETERS = ["pm25", "pm10", "o3", "no2", "so2", "co"]
 
 # scoring request rules: six required non-negative, two optional in [0, 500]
 REQUIRED_NON_NEGATIVE = FEATURES[:6]
@@ -75,24 +70,35 @@ TUNE_TRIALS = 20
 class DriftSpec:
     """What a drift run compares and how it decides.
 
-    ``small_sample`` is the reference row count at or below which the
-    sample tests (KS, chi-square) are used instead of distances.
+    ``numeric_test`` is ``wasserstein``, ``ks`` or ``psi``, ``categorical_test``
+    ``jensenshannon`` or ``chisquare``; ``tests`` holds (column, test) pairs for
+    columns with a test of their own.
     """
 
     numerical: tuple = tuple(FEATURES)
     categorical: tuple = ()
-    small_sample: int = 1000
+    numeric_test: str = "wasserstein"
+    categorical_test: str = "jensenshannon"
+    tests: tuple = ()
     ks_pvalue: float = 0.05
     wasserstein_threshold: float = 0.1
     js_threshold: float = 0.1
     chi2_pvalue: float = 0.05
     psi_threshold: float = 0.2
     psi_bins: int = 10
-    use_psi: bool = False
     dataset_share: float = 0.5
     # quantile buckets for the distributed running sums
     prefix_buckets: int = 64
 
+    def __post_init__(self):
+        numeric, categorical = {"wasserstein", "ks", "psi"}, {"jensenshannon", "chisquare"}
+        if self.numeric_test not in numeric or self.categorical_test not in categorical:
+            raise ValueError(f"unknown test: {self.numeric_test}, {self.categorical_test}")
+        for column, test in self.tests:
+            allowed = categorical if column in self.categorical else numeric if column in self.numerical else numeric | categorical
+            if test not in allowed:
+                raise ValueError(f"{test!r} is no test for {column!r}")
+
 
 @dataclass(frozen=True)
 class FeatureView:

@@ -4,13 +4,18 @@ Everything starts from one pre-aggregation to (feature, value) -> counts per
 side, so the detail rows are read once and hot values cost one row each.
 Statistics (our choice of contract, the reference delegates it to a library):
 
-* numeric, reference <= ``small_sample`` rows: two-sample KS, asymptotic
-  p-value, drift if p < 0.05;
-* numeric, larger: Wasserstein-1 / max(population std of reference, 0.001),
-  drift if >= 0.1;
-* categorical, small: chi-square of current counts against reference shares,
-  drift if p < 0.05; larger: Jensen-Shannon distance (base 2), drift if >= 0.1;
-* PSI (opt-in): reference-decile bins, shares floored at 1e-4, drift if >= 0.2.
+* ``ks`` (numeric): two-sample KS, asymptotic p-value, drift if p < 0.05;
+* ``wasserstein`` (numeric): Wasserstein-1 / max(population std of reference,
+  0.001), drift if >= 0.1;
+* ``psi`` (numeric): reference-decile bins, shares floored at 1e-4, drift if >= 0.2;
+* ``chisquare`` (categorical): current counts against reference shares, drift
+  if p < 0.05;
+* ``jensenshannon`` (categorical): distance (base 2), drift if >= 0.1.
+
+The caller names the test (``DriftSpec``), for all columns or for single ones;
+the number of rows never picks it. Every requested column has a row: where a
+side has no values, ``status`` says so, there is no score, and a column with
+values on one side only counts as drifted.
 """
 
 from __future__ import annotations
@@ -24,7 +29,9 @@ from .prefix import exact_quantiles, running_totals
 from .stats import to_long
 
 KS_TERMS = 100
-GAMMA_TERMS = 400
+ERF_TERMS = 400
+HALF_SQRT_PI = 0.886226925452758
+LOG_HALF_SQRT_PI = -0.1207822376352452
 
 
 def _available(spec_cols, ref: DataFrame, cur: DataFrame) -> list[str]:
@@ -47,35 +54,75 @@ def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
 
 
 def chi2_sf(stat: Column, dof: Column) -> Column:
-    """Chi-square upper tail Q(k/2, x/2) via the lower-gamma series.
+    """Chi-square upper tail, by the finite sums for whole degrees of freedom.
 
-    ln Gamma(a+1) for half-integer a is built from log sums; far in the tail
-    (x beyond a + 50 + 40 sqrt(a)) the p-value is 0 to double precision.
+    With x = stat / 2: even k = 2m gives sum_{j<m} e^-x x^j / j!; odd k = 2m + 1
+    gives erfc(sqrt x) + sum_{j=1..m} e^-x x^(j-1/2) / Gamma(j + 1/2). Terms are
+    kept as logarithms, so none overflows; there are k / 2 of them, whatever k.
     """
-    a = dof.cast("double") / 2.0
-    x = stat / 2.0
-    # ln Gamma(a + 1): integer a -> sum ln(1..a); half-integer -> ln((2a+1)!!/2^(a+.5)) + ln sqrt(pi)
-    k2 = (dof + 2).cast("int")  # 2(a+1)
-    lg_int = F.aggregate(F.sequence(F.lit(1), F.greatest(a.cast("int"), F.lit(1))), F.lit(0.0), lambda acc, j: acc + F.log(j.cast("double")))
-    # Gamma(m + 1/2) = prod_{j=1..m} (j - 1/2) * sqrt(pi), with m + 1/2 = a + 1
-    m = ((k2 - 1) / 2).cast("int")
-    lg_half = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(m, F.lit(1))), F.lit(0.0), lambda acc, j: acc + F.log(j.cast("double") - 0.5)
-    ) + F.lit(0.5723649429247001)  # ln sqrt(pi)
-    lgam = F.when(dof % 2 == 0, F.when(a >= 1, lg_int).otherwise(F.lit(0.0))).otherwise(F.when(m >= 1, lg_half).otherwise(F.lit(0.5723649429247001)))
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(GAMMA_TERMS)),
+    x, lx = stat / 2.0, F.log(stat / 2.0)
+    m = F.floor(dof / 2).cast("int")
+    odd = (dof % 2) == 1
+    half = F.when(odd, F.lit(0.5)).otherwise(F.lit(0.0))
+    # log of the first term: e^-x, or e^-x x^(1/2) / Gamma(3/2)
+    first = -x + F.when(odd, lx / 2 - F.lit(LOG_HALF_SQRT_PI)).otherwise(F.lit(0.0))
+    tail = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
+        F.struct(first.alias("l"), F.lit(0.0).alias("s")),
+        lambda acc, j: F.struct((acc["l"] + lx - F.log(j + half)).alias("l"), (acc["s"] + F.exp(acc["l"])).alias("s")),
+        lambda acc: acc["s"],
+    )
+    # erfc(sqrt x): below 1e-18 beyond x = 40; the series of erf converges long before its last term there
+    erf = F.aggregate(
+        F.sequence(F.lit(1), F.lit(ERF_TERMS)),
         F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")),
-        lambda acc, n: F.struct((acc["t"] * x / (a + n)).alias("t"), (acc["s"] + acc["t"] * x / (a + n)).alias("s")),
+        lambda acc, n: F.struct((acc["t"] * x * 2 / (2 * n + 1)).alias("t"), (acc["s"] + acc["t"] * x * 2 / (2 * n + 1)).alias("s")),
         lambda acc: acc["s"],
     )
-    lower = F.exp(-x + a * F.log(x) - lgam) * series
-    far = x > a + 50.0 + 40.0 * F.sqrt(a)
-    p = F.when(x <= 0, F.lit(1.0)).when(far, F.lit(0.0)).otherwise(F.lit(1.0) - lower)
+    erfc = F.when(x > 40.0, F.lit(0.0)).otherwise(1.0 - F.exp(-x) * F.sqrt(x) * erf / F.lit(HALF_SQRT_PI))
+    p = F.when(m >= 1, tail).otherwise(F.lit(0.0)) + F.when(odd, erfc).otherwise(F.lit(0.0))
+    p = F.when(dof < 1, F.lit(1.0)).when(x <= 0, F.lit(1.0)).otherwise(p)
     p = F.when(F.isnan(stat) | (stat == F.lit(float("inf"))), F.lit(0.0)).otherwise(p)
     return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
 
 
+def _every_column(per: DataFrame, columns: list[str], kind: str, test: Column, threshold: Column, statistic: Column, score: Column, drifted: Column) -> DataFrame:
+    """One row per requested column, with ``status`` and the verdict."""
+    asked = per.sparkSession.createDataFrame([(c,) for c in columns], "feature string")  # the column list
+    rows = per.join(F.broadcast(asked), "feature", "right").withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in ("n_ref", "n_cur")}
+    )
+    status = (
+        F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), F.lit("ok"))
+        .when(F.col("n_ref") > 0, F.lit("no_current_data"))
+        .when(F.col("n_cur") > 0, F.lit("no_reference_data"))
+        .otherwise(F.lit("no_data"))
+    )
+    ok = F.col("status") == "ok"
+    return rows.withColumn("status", status).select(
+        "feature",
+        F.lit(kind).alias("kind"),
+        test.alias("stattest"),
+        F.when(ok, statistic).alias("statistic"),
+        F.when(ok, score).alias("drift_score"),
+        threshold.alias("threshold"),
+        F.when(ok, drifted).otherwise(F.col("status") != "no_data").alias("drift_detected"),
+        "n_ref",
+        "n_cur",
+        "status",
+    )
+
+
+def _test_of(spec: DriftSpec, columns: list[str], default: str) -> Column:
+    """The test that the caller chose for each column."""
+    chosen = dict(spec.tests)
+    out = F.lit(default)
+    for c in columns:
+        if chosen.get(c, default) != default:
+            out = F.when(F.col("feature") == c, F.lit(chosen[c])).otherwise(out)
+    return out
+
+
 def _sizes(counts: DataFrame) -> DataFrame:
     """Per feature: side sizes and the reference's population std, from the
     (feature, value) counts (two passes over the small table: mean, then
@@ -122,22 +169,28 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, features: list[str], spec: Dri
         F.first("n_cur").alias("n_cur"),
         F.first("ref_std").alias("ref_std"),
     )
-    small = F.col("n_ref") <= F.lit(spec.small_sample)
+    ks = _test_of(spec, features, spec.numeric_test) == "ks"
     pval = ks_pvalue(F.col("ks"), F.col("n_ref"), F.col("n_cur"))
     wnorm = F.col("w1") / F.greatest(F.col("ref_std"), F.lit(0.001))
-    return per.select(
-        "feature",
-        F.lit("num").alias("kind"),
-        F.when(small, F.lit("ks")).otherwise(F.lit("wasserstein")).alias("stattest"),
-        F.when(small, F.col("ks")).otherwise(wnorm).alias("statistic"),
-        F.when(small, pval).otherwise(wnorm).alias("drift_score"),
-        F.when(small, F.lit(spec.ks_pvalue)).otherwise(F.lit(spec.wasserstein_threshold)).alias("threshold"),
-        F.when(small, pval < F.lit(spec.ks_pvalue)).otherwise(wnorm >= F.lit(spec.wasserstein_threshold)).alias("drift_detected"),
-        F.col("n_ref").cast("bigint").alias("n_ref"),
-        F.col("n_cur").cast("bigint").alias("n_cur"),
+    return _every_column(
+        per,
+        features,
+        "num",
+        F.when(ks, F.lit("ks")).otherwise(F.lit("wasserstein")),
+        F.when(ks, F.lit(spec.ks_pvalue)).otherwise(F.lit(spec.wasserstein_threshold)),
+        F.when(ks, F.col("ks")).otherwise(wnorm),
+        F.when(ks, pval).otherwise(wnorm),
+        F.when(ks, pval < F.lit(spec.ks_pvalue)).otherwise(wnorm >= F.lit(spec.wasserstein_threshold)),
     )
 
 
+def psi_drift(ref: DataFrame, cur: DataFrame, features: list[str], spec: DriftSpec) -> DataFrame:
+    """Population stability index per numeric feature."""
+    threshold = F.lit(spec.psi_threshold)
+    score = F.col("psi")
+    return _every_column(psi(ref, cur, features, spec.psi_bins), features, "num", F.lit("psi"), threshold, score, score, score >= threshold)
+
+
 def category_counts(ref: DataFrame, cur: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, category, c_ref, c_cur, n_ref, n_cur), nulls skipped."""
     long = to_long(ref, columns, cast="string").withColumn("side", F.lit(0)).unionByName(
@@ -171,18 +224,17 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, columns: list[str], spec:
         F.first("n_ref").alias("n_ref"),
         F.first("n_cur").alias("n_cur"),
     )
-    small = F.col("n_ref") <= F.lit(spec.small_sample)
+    chi = _test_of(spec, columns, spec.categorical_test) == "chisquare"
     pval = chi2_sf(F.col("chi2"), F.col("k") - 1)
-    return per.select(
-        "feature",
-        F.lit("cat").alias("kind"),
-        F.when(small, F.lit("chisquare")).otherwise(F.lit("jensenshannon")).alias("stattest"),
-        F.when(small, F.col("chi2")).otherwise(F.col("js")).alias("statistic"),
-        F.when(small, pval).otherwise(F.col("js")).alias("drift_score"),
-        F.when(small, F.lit(spec.chi2_pvalue)).otherwise(F.lit(spec.js_threshold)).alias("threshold"),
-        F.when(small, pval < F.lit(spec.chi2_pvalue)).otherwise(F.col("js") >= F.lit(spec.js_threshold)).alias("drift_detected"),
-        F.col("n_ref").cast("bigint").alias("n_ref"),
-        F.col("n_cur").cast("bigint").alias("n_cur"),
+    return _every_column(
+        per,
+        columns,
+        "cat",
+        F.when(chi, F.lit("chisquare")).otherwise(F.lit("jensenshannon")),
+        F.when(chi, F.lit(spec.chi2_pvalue)).otherwise(F.lit(spec.js_threshold)),
+        F.when(chi, F.col("chi2")).otherwise(F.col("js")),
+        F.when(chi, pval).otherwise(F.col("js")),
+        F.when(chi, pval < F.lit(spec.chi2_pvalue)).otherwise(F.col("js") >= F.lit(spec.js_threshold)),
     )
 
 
@@ -195,7 +247,7 @@ def psi(ref: DataFrame, cur: DataFrame, features: list[str], bins: int = 10, eps
         "feature", F.array(*[F.col(f"q_{i}") for i in range(len(probs))]).alias("_e")
     )
     both = rl.withColumn("side", F.lit(0)).unionByName(cl.withColumn("side", F.lit(1)))
-    binned = both.join(F.broadcast(edges), "feature").withColumn(
+    binned = both.join(F.broadcast(edges), "feature", "left").withColumn(
         "bin", F.size(F.filter("_e", lambda e: e < F.col("value")))
     )
     counts = binned.groupBy("feature", "bin").agg(
@@ -204,9 +256,11 @@ def psi(ref: DataFrame, cur: DataFrame, features: list[str], bins: int = 10, eps
     )
     tot = counts.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     j = counts.join(F.broadcast(tot), "feature")
-    a = F.greatest(F.col("c_ref") / F.col("n_ref"), F.lit(eps))
-    b = F.greatest(F.col("c_cur") / F.col("n_cur"), F.lit(eps))
-    return j.groupBy("feature").agg(F.sum((b - a) * F.log(b / a)).alias("psi"))
+    a = F.greatest(F.try_divide("c_ref", "n_ref"), F.lit(eps))
+    b = F.greatest(F.try_divide("c_cur", "n_cur"), F.lit(eps))
+    return j.groupBy("feature").agg(
+        F.sum((b - a) * F.log(b / a)).alias("psi"), F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur")
+    )
 
 
 def drift_features(ref: DataFrame, cur: DataFrame, spec: DriftSpec = DriftSpec()) -> DataFrame:
@@ -215,23 +269,14 @@ def drift_features(ref: DataFrame, cur: DataFrame, spec: DriftSpec = DriftSpec()
     cat = _available(spec.categorical, ref, cur)
     if not num and not cat:
         raise ValueError("no requested column is present in both tables")
+    chosen = dict(spec.tests)
+    by_psi = [c for c in num if chosen.get(c, spec.numeric_test) == "psi"]
+    by_rank = [c for c in num if c not in by_psi]
     parts = []
-    if num:
-        nd = numeric_drift(ref, cur, num, spec)
-        if spec.use_psi:
-            pv = psi(ref, cur, num, spec.psi_bins)
-            nd = nd.join(pv, "feature", "left").select(
-                "feature",
-                "kind",
-                F.lit("psi").alias("stattest"),
-                F.col("psi").alias("statistic"),
-                F.col("psi").alias("drift_score"),
-                F.lit(spec.psi_threshold).alias("threshold"),
-                (F.col("psi") >= spec.psi_threshold).alias("drift_detected"),
-                "n_ref",
-                "n_cur",
-            )
-        parts.append(nd)
+    if by_rank:
+        parts.append(numeric_drift(ref, cur, by_rank, spec))
+    if by_psi:
+        parts.append(psi_drift(ref, cur, by_psi, spec))
     if cat:
         parts.append(categorical_drift(ref, cur, cat, spec))
     out = parts[0]

@@ -52,6 +52,9 @@ def data_quality(df: DataFrame, numeric: list[str], categorical: list[str] = (),
     most-common-value share, constant / all-null flags, and the table's
     duplicate-row count. One long pre-aggregation per (column, value)."""
     cols = list(numeric) + list(categorical)
+    # NaN is a missing value
+    floats = [c for c in numeric if df.schema[c].dataType.typeName() in ("float", "double")]
+    df = df.select(*[F.nanvl(F.col(c), F.lit(None)).alias(c) if c in floats else F.col(c) for c in cols])
     long = df.select(
         F.explode(
             F.array(

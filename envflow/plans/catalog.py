@@ -387,7 +387,16 @@ def q_drift_features(spark, sf):
 def q_drift_sample_tests(spark, sf):
     lm = B.labeled_measurements(spark, sf)
     ref, cur = B.reference_current(lm)
-    spec = DriftSpec(categorical=("air_quality_label",), small_sample=10**12)
+    spec = DriftSpec(categorical=("air_quality_label",), numeric_test="ks", categorical_test="chisquare")
+    return _round_cols(drift_features(ref, cur, spec), ["statistic", "drift_score"])
+
+
+@register("drift_chi2_wide")
+def q_drift_chi2_wide(spark, sf):
+    """Chi-square over a column of 300 categories (299 degrees of freedom)."""
+    ev = B.table(spark, sf, "events").select((F.col("user_id") % 300).cast("string").alias("user_group"), F.col("ts").alias("timestamp"))
+    ref, cur = B.reference_current(ev)
+    spec = DriftSpec(numerical=(), categorical=("user_group",), categorical_test="chisquare")
     return _round_cols(drift_features(ref, cur, spec), ["statistic", "drift_score"])
 
 
@@ -678,5 +687,5 @@ def q_stream_drift(spark, sf):
 @register("drift_psi")
 def q_drift_psi(spark, sf):
     ref, cur = _ref_cur(spark, sf)
-    spec = DriftSpec(use_psi=True)
+    spec = DriftSpec(numeric_test="psi")
     return _round_cols(drift_features(ref, cur, spec), ["statistic", "drift_score"])

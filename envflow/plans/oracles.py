@@ -315,10 +315,34 @@ def _long(src, cols, side, cast):
     )
 
 
-def numeric_drift_sql(ref_sql, cur_sql, feats, small=1000, ks_p=0.05, wt=0.1):
-    long = f"{_long(ref_sql, feats, 0, 'DOUBLE')} UNION ALL {_long(cur_sql, feats, 1, 'DOUBLE')}"
-    sm = f"n_ref <= {small}"
+def _status_sql(n_ref="n_ref", n_cur="n_cur"):
+    return (
+        f"CASE WHEN {n_ref} > 0 AND {n_cur} > 0 THEN 'ok' WHEN {n_ref} > 0 THEN 'no_current_data' "
+        f"WHEN {n_cur} > 0 THEN 'no_reference_data' ELSE 'no_data' END"
+    )
+
+
+def _every_column_sql(pv_sql, feats, kind, test, threshold, statistic, score, drifted):
+    """One row per requested column; ``pv_sql`` ends the WITH list with ``pv``."""
+    names = ", ".join(f"('{f}')" for f in feats)
     return f"""
+{pv_sql},
+every AS (SELECT a.feature, pv.* EXCLUDE (feature, n_ref, n_cur), coalesce(pv.n_ref, 0) AS n_ref, coalesce(pv.n_cur, 0) AS n_cur
+          FROM (VALUES {names}) a(feature) LEFT JOIN pv ON a.feature = pv.feature),
+told AS (SELECT *, {_status_sql()} AS status FROM every)
+SELECT feature, '{kind}' AS kind, '{test}' AS stattest,
+       CASE WHEN status = 'ok' THEN round({statistic}, 6) END AS statistic,
+       CASE WHEN status = 'ok' THEN round({score}, 6) END AS drift_score,
+       CAST({threshold} AS DOUBLE) AS threshold,
+       CASE WHEN status = 'ok' THEN {drifted} ELSE status <> 'no_data' END AS drift_detected,
+       CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur, status
+FROM told
+"""
+
+
+def numeric_drift_sql(ref_sql, cur_sql, feats, test="wasserstein"):
+    long = f"{_long(ref_sql, feats, 0, 'DOUBLE')} UNION ALL {_long(cur_sql, feats, 1, 'DOUBLE')}"
+    return _every_column_sql(f"""
 WITH l AS (SELECT * FROM ({long}) x WHERE value IS NOT NULL AND NOT isnan(value)),
 counts AS (SELECT feature, value, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS c_ref,
                   sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS c_cur FROM l GROUP BY feature, value),
@@ -336,21 +360,13 @@ sc AS (SELECT *, ks * sqrt(n_ref * n_cur / (n_ref + n_cur)) AS lam, w1 / greates
 pv AS (SELECT *, CASE WHEN lam < 0.2 THEN 1.0 ELSE least(greatest(
           (SELECT sum(CASE WHEN t.j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * t.j * t.j * sc.lam * sc.lam))
            FROM range(1, 101) t(j)),
-          0.0), 1.0) END AS p FROM sc)
-SELECT feature, 'num' AS kind, CASE WHEN {sm} THEN 'ks' ELSE 'wasserstein' END AS stattest,
-       round(CASE WHEN {sm} THEN ks ELSE wn END, 6) AS statistic,
-       round(CASE WHEN {sm} THEN p ELSE wn END, 6) AS drift_score,
-       CAST(CASE WHEN {sm} THEN {ks_p} ELSE {wt} END AS DOUBLE) AS threshold,
-       CASE WHEN {sm} THEN p < {ks_p} ELSE wn >= {wt} END AS drift_detected,
-       CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur
-FROM pv
-"""
+          0.0), 1.0) END AS p FROM sc)""", feats, "num", test,
+        *((0.05, "ks", "p", "p < 0.05") if test == "ks" else (0.1, "wn", "wn", "wn >= 0.1")))
 
 
-def categorical_drift_sql(ref_sql, cur_sql, cols, small=1000, chi_p=0.05, jt=0.1):
+def categorical_drift_sql(ref_sql, cur_sql, cols, test="jensenshannon", terms=400):
     long = f"{_long(ref_sql, cols, 0, 'VARCHAR')} UNION ALL {_long(cur_sql, cols, 1, 'VARCHAR')}"
-    sm = f"n_ref <= {small}"
-    return f"""
+    return _every_column_sql(f"""
 WITH l AS (SELECT * FROM ({long}) x WHERE value IS NOT NULL),
 counts AS (SELECT feature, value, CAST(sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS c_ref,
                   CAST(sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS c_cur FROM l GROUP BY feature, value),
@@ -365,28 +381,22 @@ per AS (SELECT feature,
         FROM t GROUP BY feature),
 xa AS (SELECT *, chi2 / 2.0 AS x, CAST(k - 1 AS DOUBLE) / 2.0 AS a FROM per),
 pv AS (SELECT *, CASE WHEN isnan(chi2) OR isinf(chi2) THEN 0.0 WHEN x <= 0 THEN 1.0
-                      WHEN x > a + 50.0 + 40.0 * sqrt(a) THEN 0.0
-                      ELSE least(greatest(1.0 - exp(-x + a * ln(x) - lgamma(a + 1.0)) * (1.0 +
-                           (SELECT sum(exp(r.n * ln(xa.x) - r.cs)) FROM (
-                              SELECT n, sum(ln(xa.a + n)) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs
-                              FROM range(1, 401) q(n)) r)), 0.0), 1.0) END AS p
-       FROM xa)
-SELECT feature, 'cat' AS kind, CASE WHEN {sm} THEN 'chisquare' ELSE 'jensenshannon' END AS stattest,
-       round(CASE WHEN {sm} THEN chi2 ELSE js END, 6) AS statistic,
-       round(CASE WHEN {sm} THEN p ELSE js END, 6) AS drift_score,
-       CAST(CASE WHEN {sm} THEN {chi_p} ELSE {jt} END AS DOUBLE) AS threshold,
-       CASE WHEN {sm} THEN p < {chi_p} ELSE js >= {jt} END AS drift_detected,
-       CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur
-FROM pv
-"""
+                      ELSE least(greatest(1.0 -
+                           -- the lower incomplete gamma series, each term by its logarithm
+                           (SELECT sum(exp(-xa.x + xa.a * ln(xa.x) - lgamma(xa.a + 1.0) + r.n * ln(xa.x) - r.cs)) FROM (
+                              SELECT n, sum(CASE WHEN n = 0 THEN 0.0 ELSE ln(xa.a + n) END)
+                                     OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs
+                              FROM range(0, {terms} + 1) q(n)) r), 0.0), 1.0) END AS p
+       FROM xa)""", cols, "cat", test,
+        *((0.05, "chi2", "p", "p < 0.05") if test == "chisquare" else (0.1, "js", "js", "js >= 0.1")))
 
 
 _F8 = [c.strip() for c in FEATS.split(",")]
 DRIFT_SQL = numeric_drift_sql(REF_SQL, CUR_SQL, _F8)
 ORACLES["drift_features"] = DRIFT_SQL
 ORACLES["drift_sample_tests"] = (
-    f"SELECT * FROM ({numeric_drift_sql(REF_ALL_SQL, CUR_SQL, _F8, small=10**12)}) a UNION ALL "
-    f"SELECT * FROM ({categorical_drift_sql(REF_ALL_SQL, CUR_SQL, [LABEL_COL], small=10**12)}) b"
+    f"SELECT * FROM ({numeric_drift_sql(REF_ALL_SQL, CUR_SQL, _F8, test="ks")}) a UNION ALL "
+    f"SELECT * FROM ({categorical_drift_sql(REF_ALL_SQL, CUR_SQL, [LABEL_COL], test="chisquare")}) b"
 )
 
 
@@ -401,6 +411,12 @@ FROM ({features_sql}) f
 
 
 ORACLES["drift_dataset"] = dataset_sql(DRIFT_SQL)
+WIDE_SQL = "SELECT CAST(user_id % 300 AS VARCHAR) AS user_group, ts FROM events"
+ORACLES["drift_chi2_wide"] = categorical_drift_sql(
+    f"SELECT user_group FROM ({WIDE_SQL}) w WHERE ts < {CUTOFF}",
+    f"SELECT user_group FROM ({WIDE_SQL}) w WHERE ts >= {CUTOFF}",
+    ["user_group"], test="chisquare", terms=20000,
+)
 ORACLES["target_drift"] = categorical_drift_sql(REF_SQL, CUR_SQL, [LABEL_COL])
 
 
@@ -593,8 +609,9 @@ c AS (SELECT feature, bin, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS c_ref, s
 t AS (SELECT c.*, sum(c_ref) OVER (PARTITION BY feature) AS n_ref, sum(c_cur) OVER (PARTITION BY feature) AS n_cur FROM c),
 s AS (SELECT feature, greatest(c_ref / n_ref, {eps}) AS a, greatest(c_cur / n_cur, {eps}) AS q FROM t),
 p AS (SELECT feature, sum((q - a) * ln(q / a)) AS psi FROM s GROUP BY feature)
-SELECT d.feature, d.kind, 'psi' AS stattest, round(p.psi, 6) AS statistic, round(p.psi, 6) AS drift_score,
-       CAST({thr} AS DOUBLE) AS threshold, p.psi >= {thr} AS drift_detected, d.n_ref, d.n_cur
+SELECT d.feature, d.kind, 'psi' AS stattest, CASE WHEN d.status = 'ok' THEN round(p.psi, 6) END AS statistic,
+       CASE WHEN d.status = 'ok' THEN round(p.psi, 6) END AS drift_score, CAST({thr} AS DOUBLE) AS threshold,
+       CASE WHEN d.status = 'ok' THEN p.psi >= {thr} ELSE d.status <> 'no_data' END AS drift_detected, d.n_ref, d.n_cur, d.status
 FROM ({numeric_drift_sql(ref_sql, cur_sql, feats)}) d LEFT JOIN p USING (feature)
 """
 

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from envflow.config import DriftSpec
-from envflow.operators.drift import chi2_sf, drift_features, ks_pvalue, psi
+from envflow.operators.drift import chi2_sf, drift_dataset, drift_features, ks_pvalue, psi
 from envflow.operators.metrics import auc_ovr, classification_metrics, confusion_matrix
 from envflow.operators.stats import data_quality, label_shares, reference_stats
 from envflow.plans.monitoring import run_tests, summarize_tests
@@ -23,7 +23,7 @@ def test_self_drift_is_zero(spark):
     feats = drift_features(m, m, DriftSpec(categorical=("air_quality_label",))).collect()
     assert all(not r["drift_detected"] for r in feats)
     assert all(abs(r["statistic"]) < 1e-12 for r in feats)
-    small = drift_features(m, m, DriftSpec(small_sample=10**9)).collect()
+    small = drift_features(m, m, DriftSpec(numeric_test="ks")).collect()
     assert all(r["stattest"] == "ks" and r["drift_score"] == 1.0 for r in small)
 
 
@@ -36,6 +36,39 @@ def test_shifted_current_drifts(spark):
     assert p["pm10"] > 0.2 and p["pm2_5"] < 1e-9
 
 
+def test_chi2_tail_at_many_degrees_of_freedom(spark):
+    # stat, degrees of freedom, upper tail (0.05 points of tables, and far tails)
+    rows = [
+        (233.994, 200, 0.05), (553.127, 500, 0.05), (1074.679, 1000, 0.05), (124.342, 101, 0.057), (232.912, 199, 0.05),
+        (1080.0, 200, 0.0), (2400.0, 1000, 0.0), (3.841458820694124, 1, 0.05), (100.0, 1, 0.0), (200.0, 1000, 1.0), (90.0, 1, 0.0),
+    ]
+    df = spark.createDataFrame([(x, k, p) for x, k, p in rows], "x double, k int, p double")
+    for r in df.select("*", chi2_sf(F.col("x"), F.col("k")).alias("got")).collect():
+        assert abs(r["got"] - r["p"]) < 1e-3, r
+
+
+def test_one_sided_columns_have_rows(spark):
+    ref = spark.createDataFrame([(1.0, 1.0, None), (2.0, 2.0, None)], "a double, b double, c double")
+    cur = spark.createDataFrame([(1.0, None, None), (2.0, float("nan"), None)], "a double, b double, c double")
+    for test in ("wasserstein", "ks", "psi"):
+        got = {r["feature"]: r for r in drift_features(ref, cur, DriftSpec(numerical=("a", "b", "c"), numeric_test=test)).collect()}
+        assert {f: r["status"] for f, r in got.items()} == {"a": "ok", "b": "no_current_data", "c": "no_data"}
+        assert {f: r["drift_detected"] for f, r in got.items()} == {"a": False, "b": True, "c": False}
+        assert drift_dataset(drift_features(ref, cur, DriftSpec(numerical=("a", "b", "c"), numeric_test=test))).first()["n_features"] == 3
+
+
+def test_tests_are_chosen_per_column(spark):
+    m = spark.createDataFrame([(float(i), float(i)) for i in range(20)], "a double, b double")
+    spec = DriftSpec(numerical=("a", "b"), tests=(("b", "ks"),))
+    assert {r["feature"]: r["stattest"] for r in drift_features(m, m, spec).collect()} == {"a": "wasserstein", "b": "ks"}
+
+
+def test_nan_is_missing_in_data_quality(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "a double")
+    r = data_quality(df, ["a"]).first()
+    assert (r["n_null"], r["mean"], r["max"], r["n_distinct"]) == (2, 2.0, 3.0, 2)
+
+
 def test_pvalue_series_at_known_points(spark):
     df = spark.createDataFrame([(3.841458820694124, 1), (5.991464547107979, 2), (7.814727903251178, 3), (0.0, 2), (500.0, 3)], "x double, k int")
     got = [r[0] for r in df.select(chi2_sf(F.col("x"), F.col("k"))).collect()]
