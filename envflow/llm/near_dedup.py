@@ -24,13 +24,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envflow.llm.bpe import balanced
 from envflow.llm.common import on_workers, stored, text_of
-from envflow.llm.components import connected_components
+from envflow.llm.components import connected_components, forest_roots
 from envflow.llm.shingles import SHINGLE_WORDS, WordHashes, mixed, shingle_hashes, words_of
 
 SIMILAR_PCT = 75
@@ -41,6 +42,8 @@ MISS = 1e-6
 BATCH_BITS, BATCHES = 64, 4
 #: Members of a bucket compared in one block.
 BLOCK = 2048
+#: Least hashes of a set that are compared before its text is, and the slack of their estimate.
+BOTTOM, SIGMAS = 1024, 5.0
 _U32, _U64 = np.uint32, np.uint64
 
 
@@ -172,6 +175,20 @@ def _words(rows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(rows), dtype="<u8").reshape(len(rows), BATCHES)
 
 
+def bottoms(texts: DataFrame) -> DataFrame:
+    """``id, bottom``: the BOTTOM least 32-bit shingle hashes of each text (all, where it has no more)."""
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def least(batches):
+        memo = WordHashes()
+        for b in batches:
+            sets = (np.unique(shingle_hashes(words_of(t), memo) >> _U64(32)) for t in b.column(1).to_pylist())
+            blobs = [s[:BOTTOM].astype("<u4").tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(blobs, pa.binary())], names=["id", "bottom"])
+
+    return on_workers(texts).select("id", "text").mapInArrow(least, f"id {kind}, bottom binary")
+
+
 def _star(buckets: DataFrame, sketch: DataFrame, similar_pct: int, bounds: list[int]) -> DataFrame:
     """Each member with the likeliest of its buckets' leaders, if any is likely enough."""
     pairs = buckets.where("id <> leader").select("id", "leader").distinct()
@@ -195,8 +212,11 @@ def _sizes_allow(n: str, m: str, similar_pct: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * similar_pct
 
 
-def _mixed(buckets: DataFrame, labels: DataFrame, sketch: DataFrame, similar_pct: int, bounds: list[int], forest: bool) -> DataFrame:
-    """Likely pairs of different components within buckets, compared block by block."""
+def _mixed(
+    buckets: DataFrame, labels: DataFrame, sketch: DataFrame, similar_pct: int, bounds: list[int], forest: bool
+) -> DataFrame:
+    """Likely pairs of different components within buckets, compared block by block. ``sketch`` has
+    the members' bottom hashes too, so a pair is told only if these agree with the threshold."""
     own = buckets.select("bucket", "id").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
     mixed_ones = own.groupBy("bucket").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
     rows = own.join(mixed_ones.select("bucket", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")), "bucket").join(sketch, "id")
@@ -204,65 +224,85 @@ def _mixed(buckets: DataFrame, labels: DataFrame, sketch: DataFrame, similar_pct
     # a member stands in the block pairs (its block, j)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
-    rows = rows.select("bucket", "x", "y", "block", "id", "c", "n", "sketch")
+    rows = rows.select("bucket", "x", "y", "block", "id", "c", "n", "sketch", "bottom")
     rows = rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
     kind = buckets.schema["id"].dataType.simpleString()
 
     def compare(frames):
         held = None
         for f in frames:
-            f = f if held is None else _concat(held, f)
+            f = f if held is None else pd.concat([held, f], ignore_index=True)
             key = f[["bucket", "x", "y"]].to_numpy()
             cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            done = cuts[-1] if len(cuts) else 0
-            held = f.iloc[done:]
-            if done:
-                yield from groups(f.iloc[:done], cuts)
+            start = 0
+            for end in cuts:
+                yield from told(f.iloc[start:end])
+                start = end
+            held = f.iloc[start:]
         if held is not None and len(held):
-            yield from groups(held, np.array([len(held)]))
-
-    def groups(f, cuts):
-        import pandas as pd
+            yield from told(held)
 
-        words, n = _words(f["sketch"].tolist()), f["n"].to_numpy()
+    def told(f):
         ids, c = f["id"].to_numpy(), f["c"].to_numpy()
-        x, y, block = f["x"].to_numpy(), f["y"].to_numpy(), f["block"].to_numpy()
-        out, start = [], 0
-        for end in cuts:
-            g = slice(start, end)
-            start = end
-            found = _block_pairs(words[g], n[g], c[g], block[g], x[g][0], y[g][0], similar_pct, bounds)
-            if forest:
-                found = _forest(found, c[g])
-            out += [(ids[g][i], ids[g][j]) for i, j, _ in found]
-        if out:
-            yield pd.DataFrame(out, columns=["a", "b"])
-
-    return on_workers(rows).mapInPandas(compare, f"a {kind}, b {kind}").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    ).distinct()
-
-
-def _concat(a, b):
-    import pandas as pd
-
-    return pd.concat([a, b], ignore_index=True)
-
-
-def _block_pairs(words, n, c, block, x, y, similar_pct, bounds):
-    """Triples (i, j, equal bits) of one block pair of a bucket."""
-    out = []
-    for i in range(len(n)):
-        later = np.arange(i + 1, len(n))
-        ok = c[later] != c[i]
-        if x != y:
-            ok &= block[later] != block[i]
-        ok &= np.minimum(n[later], n[i]) * 100 >= np.maximum(n[later], n[i]) * similar_pct
-        later = later[ok]
-        if len(later):
-            kept, equal = surviving(np.broadcast_to(words[i], (len(later), words.shape[1])), words[later], bounds)
-            out += [(i, j, e) for j, e in zip(later[kept].tolist(), equal.tolist())]
-    return out
+        found = Block(f, similar_pct, bounds).pairs()
+        if forest:
+            found = _forest(found, c)
+        if found:
+            yield pd.DataFrame([(max(ids[i], ids[j]), min(ids[i], ids[j])) for i, j, _ in found], columns=["a", "b"])
+
+    return on_workers(rows).mapInPandas(compare, f"a {kind}, b {kind}").distinct()
+
+
+class Block:
+    """The members of a bucket, or of two of its blocks, and the pairs of them that stay."""
+
+    def __init__(self, f, similar_pct: int, bounds: list[int]):
+        self.pct, self.bounds = similar_pct, bounds
+        self.words, self.n, self.c = _words(f["sketch"].tolist()), f["n"].to_numpy(), f["c"].to_numpy()
+        self.block, self.across = f["block"].to_numpy(), f["x"].iloc[0] != f["y"].iloc[0]
+        self.bottom = [np.frombuffer(x, "<u4") for x in f["bottom"]]
+        self.size = np.array([len(x) for x in self.bottom])
+        self.flat = np.concatenate(self.bottom)
+        self.begin = np.cumsum(self.size) - self.size
+        # up to here a bottom has all of its set
+        self.reach = np.array([x[-1] if len(x) >= BOTTOM else 2**32 - 1 for x in self.bottom], dtype=np.int64)
+
+    def pairs(self) -> list[tuple[int, int, float]]:
+        out = []
+        for i in range(len(self.n)):
+            ok = self.c[i + 1 :] != self.c[i]
+            if self.across:
+                ok &= self.block[i + 1 :] != self.block[i]
+            ok &= np.minimum(self.n[i + 1 :], self.n[i]) * 100 >= np.maximum(self.n[i + 1 :], self.n[i]) * self.pct
+            later = np.flatnonzero(ok) + i + 1
+            if len(later):
+                kept, _ = surviving(np.broadcast_to(self.words[i], (len(later), BATCHES)), self.words[later], self.bounds)
+                out += self.close(i, later[kept])
+        return out
+
+    def close(self, i: int, later: np.ndarray) -> list[tuple[int, int, float]]:
+        """Those of ``later`` whose bottom hashes may belong to a set similar to that of ``i``: exact
+        but for hash collisions where both bottoms are whole sets, else an estimate
+        from the least hashes of the union, with SIGMAS standard errors of slack."""
+        if not len(later):
+            return []
+        own, size = self.bottom[i], self.size[later]
+        starts = np.cumsum(size) - size
+        at = np.arange(size.sum()) - np.repeat(starts - self.begin[later], size)
+        x = self.flat[at]
+        place = np.minimum(np.searchsorted(own, x), len(own) - 1)
+        reach = np.minimum(self.reach[later], self.reach[i])
+        within = x <= np.repeat(reach, size)
+        both = np.add.reduceat((own[place] == x) & within, starts, dtype=np.int64)
+        union = np.add.reduceat(within, starts, dtype=np.int64) + np.searchsorted(own, reach, side="right") - both
+        s = self.pct / 100
+        # whole sets: the union by their true sizes, and slack for hashes that met within a set
+        whole = reach == 2**32 - 1
+        union = np.where(whole, self.n[later] + self.n[i] - both, union)
+        met = self.n[later] - size + self.n[i] - len(own)
+        slack = np.where(whole, 2 * met, 1 + SIGMAS * np.sqrt(s * (1 - s) * union))
+        good = both + slack >= s * union
+        return list(zip([i] * int(good.sum()), later[good].tolist(), (both / np.maximum(union, 1))[good].tolist()))
 
 
 def _forest(found, c):
@@ -319,13 +359,18 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(busy, "id", "left_semi")
     texts = stored(texts.dropDuplicates(["id"]), "texts")
 
-    pairs = _star(buckets, sketch, similar_pct, bounds)
-    labels = connected_components(_verified(pairs, texts, similar_pct))
+    # each member has one partner at most, of a lesser id: a forest
+    labels = forest_roots(_verified(_star(buckets, sketch, similar_pct, bounds), texts, similar_pct))
+    fuller = sketch.join(stored(bottoms(texts), "bottoms"), "id")
     for forest in (True, False):
         labels = stored(labels, "labels")
-        more = stored(_verified(_mixed(buckets, labels, sketch, similar_pct, bounds, forest), texts, similar_pct), "links")
-        labels = _merged(labels, more)
-    labels = stored(labels, "labels")
+        told = stored(_mixed(buckets, labels, fuller, similar_pct, bounds, forest), "told")
+        more = stored(_verified(told, texts, similar_pct), "links")
+        links = more.count()
+        if links:
+            labels = _merged(labels, more)
+        if forest and links == told.count():
+            break  # every tree held, so every pair that was left out is joined
 
     of_set = reps.select("n", "fp1", "fp2", F.col("id").alias("rep")).join(
         labels.withColumnRenamed("node", "rep"), "rep", "left"
@@ -345,7 +390,7 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     raised = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
         F.coalesce("a_c", "a").alias("a"), F.coalesce("b_c", "b").alias("b")
     )
-    over = stored(connected_components(raised), "labels")
+    over = connected_components(raised)
     moved = labels.join(over.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
     moved = moved.select("node", F.coalesce("to", "component").alias("component"))
     fresh = over.join(labels.select("node"), "node", "left_anti")
@@ -353,7 +398,13 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without those that a smaller id of their group stands for; repeated ids stay once."""
-    kept = near_duplicates(docs, id_col=id_col, **how).where("kept").select(F.col(id_col).alias("_keep")).distinct()
-    once = docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")
-    return once.dropDuplicates([id_col])
+    """``docs`` without those that a smaller id of their group stands for. Of rows with equal
+    ids one stays; rows without an id all stay."""
+    gone = near_duplicates(docs, id_col=id_col, **how).where(~F.col("kept") & F.col(id_col).isNotNull())
+    gone = gone.select(F.col(id_col).alias("_gone")).distinct()
+    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("_n")).where("_n > 1")
+    if repeated.isEmpty():
+        return left
+    lone = left.where(F.col(id_col).isNull())
+    return left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(lone)
