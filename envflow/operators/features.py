@@ -176,16 +176,17 @@ def online_lookup(
     ttl_seconds: int,
     key_col: str | None = None,
 ) -> DataFrame:
-    """Current features for a key list: missing or expired -> null."""
+    """Current features for a key list: missing or expired -> null. Expired rows of
+    ``latest`` are filtered before the join, so only fresh ones are shuffled."""
     kc = key_col or key
     now_c = F.lit(now).cast("timestamp_ntz")
     fresh = (F.col(ts) <= now_c) & (F.col(ts) >= now_c - F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS"))
-    lat = latest.select(F.col(key).alias("_k"), ts, *feature_cols)
+    lat = latest.filter(fresh).select(F.col(key).alias("_k"), ts, *feature_cols)
     j = keys_df.join(lat, keys_df[kc] == F.col("_k"), "left")
     return j.select(
         *[keys_df[c] for c in keys_df.columns],
-        *[F.when(fresh, F.col(c)).alias(c) for c in feature_cols],
-        F.when(fresh, F.col(ts)).alias("feature_timestamp"),
+        *[F.col(c) for c in feature_cols],
+        F.col(ts).alias("feature_timestamp"),
     )
 
 

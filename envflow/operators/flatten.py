@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import FEATURES, INTEGRAL_FEATURES, PARAMETER_CONSTANT
 from ..functions.scalars import integral_bigint, non_integral, parse_time
+from ..schemas import CORRUPT
 
 
 def _array_or_empty(c: Column, elem: str, name: str) -> Column:
@@ -24,7 +25,7 @@ def zip_hourly(raw: DataFrame, features: list[str] = FEATURES, time_field: str =
     arrays = [_array_or_empty(F.col(f"hourly.{time_field}"), "string", "time")] + [
         _array_or_empty(F.col(f"hourly.{f}"), "double", f) for f in features
     ]
-    keep = [c for c in ("city_name", "latitude", "longitude", "timezone", "fetch_timestamp", "source_file") if c in raw.columns]
+    keep = [c for c in ("city_name", "latitude", "longitude", "timezone", "fetch_timestamp", "source_file", "_corrupt") if c in raw.columns]
     return raw.select(*keep, F.posexplode(F.arrays_zip(*arrays)).alias("pos", "h")).select(
         *keep, "pos", *[F.col("h")[n].alias(n) for n in ["time", *features]]
     )
@@ -58,20 +59,36 @@ def flatten_hourly(raw: DataFrame, features: list[str] = FEATURES) -> DataFrame:
         "pos",
         F.col("time").alias("time_raw"),
         bad.alias("bad_integral"),
+        *[c for c in ("_corrupt",) if c in z.columns],
     ]
     return z.select(*cols)
 
 
+def reject_reason() -> Column:
+    """Why a flattened row is rejected; null for a good one."""
+    return F.when(F.col("timestamp").isNull(), F.lit("unparsable_time")).when(F.col("bad_integral"), F.lit("non_integral_aqi"))
+
+
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, rejects): null timestamp or non-integral AQI go to rejects
     instead of collapsing into one arbitrary row in the dedup."""
-    is_bad = F.col("timestamp").isNull() | F.col("bad_integral")
-    good = rows.filter(~is_bad).drop("bad_integral", "time_raw")
-    rejects = rows.filter(is_bad).withColumn(
-        "reject_reason",
-        F.when(F.col("timestamp").isNull(), F.lit("unparsable_time")).otherwise(F.lit("non_integral_aqi")),
-    )
-    return good, rejects
+    told = rows.withColumn("reject_reason", reject_reason())
+    good = told.filter(F.col("reject_reason").isNull()).drop("bad_integral", "time_raw", "reject_reason")
+    return good, told.filter(F.col("reject_reason").isNotNull())
+
+
+def flatten_with_rejects(raw: DataFrame, features: list[str] = FEATURES) -> DataFrame:
+    """All flattened rows of a scan that kept its corrupt documents, in one pass;
+    ``reject_reason`` is null for the good ones. A corrupt document is one row, its
+    text in ``time_raw``."""
+    if CORRUPT not in raw.columns:
+        return flatten_hourly(raw, features).withColumn("reject_reason", reject_reason())
+    text = F.col(CORRUPT)
+    none = {f: F.when(text.isNull(), F.col(f"hourly.{f}")).alias(f) for f in features}
+    time = F.when(text.isNull(), F.col("hourly.time")).otherwise(F.array(text)).alias("time")
+    docs = raw.withColumns({"hourly": F.struct(time, *none.values()), "_corrupt": text.isNotNull()})
+    reason = F.when(F.col("_corrupt"), F.lit("corrupt_document")).otherwise(reject_reason())
+    return flatten_hourly(docs, features).withColumn("reject_reason", reason).drop("_corrupt")
 
 
 def long_to_wide(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import EXCLUDE_COLUMNS, FEATURES, FEED_LIMIT_MAX, TARGET, UNKNOWN_LABEL
+from ..config import EXCLUDE_COLUMNS, FEATURES, TARGET, UNKNOWN_LABEL
 
 
 def drop_if_present(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -45,20 +45,33 @@ def align_features(df: DataFrame, features: list[str] = FEATURES, keep: list[str
     return df.select(*keep, *cols)
 
 
-def clamp_limit(limit: int, maximum: int = FEED_LIMIT_MAX) -> int:
+def check_limit(limit: int, maximum: int | None = None) -> int:
+    """A positive limit; above a feed's ``maximum`` it is an error, never a silent cut."""
     if not isinstance(limit, int) or limit < 1:
         raise ValueError("limit must be a positive integer")
-    return min(limit, maximum)
+    if maximum is not None and limit > maximum:
+        raise ValueError(f"limit {limit} is above the feed's maximum of {maximum}")
+    return limit
 
 
-def limit_per_entity(df: DataFrame, entity: str, order: list, limit: int) -> DataFrame:
-    """Top-``limit`` rows per entity (limit clamped to 10000; < 1 rejected).
+#: ``row_number() <= k`` plans a partial ``WindowGroupLimit`` up to this k (Spark's default threshold).
+PARTIAL_LIMIT = 1000
 
-    ``row_number() <= k`` plans a partial ``WindowGroupLimit`` before the
-    shuffle, so each map task ships at most k rows per entity.
+
+def limit_per_entity(df: DataFrame, entity: str, order: list, limit: int, maximum: int | None = None, salts: int = 64) -> DataFrame:
+    """Top-``limit`` rows per entity, with their ``rank``.
+
+    Up to ``PARTIAL_LIMIT`` each map task ships at most ``limit`` rows per entity
+    (partial ``WindowGroupLimit``). Beyond it the rows of an entity are first ranked
+    within ``salts`` groups by the hash of the row, so no task holds a whole hot
+    entity; the final rank sees at most ``salts * limit`` rows of it.
     """
-    k = clamp_limit(limit)
+    k = check_limit(limit, maximum)
     ordering = [F.col(c).desc() if isinstance(c, str) else c for c in order]
+    if k > PARTIAL_LIMIT:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+        within = Window.partitionBy(entity, "_salt").orderBy(*ordering)
+        df = salted.withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= k).drop("_salt", "_rank")
     w = Window.partitionBy(entity).orderBy(*ordering)
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

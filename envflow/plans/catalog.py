@@ -22,8 +22,8 @@ from ..operators.features import asof_join, cast_to_view, online_lookup, service
 from ..operators.flatten import flatten_hourly, long_to_wide
 from ..operators.prep import align_features, limit_per_entity, prepare_training, reference_load
 from ..operators.stats import ingest_summary, label_counts, label_shares, payload_summary, reference_stats
-from ..session import scratch_path
-from ..sources.curated import write_curated
+from ..session import materialize, scratch_path
+from ..sources.curated import read_curated, write_curated
 from ..sources.raw import land_raw, read_long_feed, read_raw_json, union_feeds
 from .curated import run_curated
 from ..functions.rules import validate_batches
@@ -32,7 +32,7 @@ from ..operators.drift import drift_features, target_drift
 from ..operators.metrics import auc_ovr, classification_metrics, confusion_matrix, leaderboard_from, prediction_join, select_model
 from ..operators.stats import data_quality
 from ..sources.registry import latest_artifact, log_runs, metrics_long, run_rows_from_metrics
-from .monitoring import detect_drift, run_tests, write_report
+from .monitoring import detect_drift, run_tests, summarize_tests, write_report
 from pyspark.ml import Pipeline
 from ..sources.curated import snapshot_manifest
 from ..sources.registry import load_model, save_model
@@ -68,7 +68,7 @@ def curated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_path = landed_raw_path(spark, sf_dir)
     out = scratch_path(spark, "curated")
     run_curated(spark, raw_path, out, multi_line=False)
-    return spark.read.parquet(out)
+    return read_curated(spark, out)
 
 
 # ---------------------------------------------------------------- M10
@@ -117,15 +117,33 @@ def q_curated_write_roundtrip(spark, sf):
     raw_path = landed_raw_path(spark, sf)
     out = scratch_path(spark, "curated")
     run_curated(spark, raw_path, out, multi_line=False)
-    cur = spark.read.parquet(out)
+    cur = read_curated(spark, out)
     # rewrite one city with a subset: dynamic overwrite leaves the others alone
     write_curated(cur.filter((F.col("city") == "view") & (F.col("pm2_5") > 100.0)), out)
-    back = spark.read.parquet(out)
+    back = read_curated(spark, out)
     return back.groupBy("city").agg(
         F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("pm2_5"), 6).alias("sum_pm2_5")
     )
 
 
+@register("raw_rejects")
+def q_raw_rejects(spark, sf):
+    """Every reject of a run: broken JSON, unparsable times, AQI that is not whole."""
+    ev = B.table(spark, sf, "events")
+    raw_path = landed_raw_path(spark, sf)
+    doc = F.format_string(
+        '{"city_name": "odd", "fetch_timestamp": "2024-01-01T00:00:00", "hourly": {"time": ["%s"], "us_aqi": [%s]}}',
+        F.when(F.col("event_id") % 3 == 1, F.lit("no time")).otherwise(F.lit("2024-01-01T00:00")),
+        F.when(F.col("event_id") % 3 == 2, F.lit("41.5")).otherwise(F.lit("41")),
+    )
+    odd = ev.filter(F.col("event_id") % 10 == 0).select(
+        F.when(F.col("event_id") % 3 == 0, F.substring(doc, 1, 60)).otherwise(doc).alias("value")
+    )
+    odd.write.text(f"{raw_path}/city=odd")
+    run = run_curated(spark, raw_path, scratch_path(spark, "curated"), multi_line=False)
+    return spark.read.parquet(run.reject_path).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @register("long_feed_explode")
 def q_long_feed_explode(spark, sf):
     path = scratch_path(spark, "feed")
@@ -220,6 +238,13 @@ def q_limit_per_entity(spark, sf):
     return limit_per_entity(m, "city", ["timestamp", "version"], 100).select("city", "version", "timestamp", "rank")
 
 
+@register("limit_per_entity_5000")
+def q_limit_per_entity_5000(spark, sf):
+    """A limit beyond Spark's partial window limit: salted, in two steps."""
+    m = B.measurements_table(spark, sf)
+    return limit_per_entity(m, "city", ["timestamp", "version"], 5000).select("city", "version", "timestamp", "rank")
+
+
 @register("sanitize_name")
 def q_sanitize_name(spark, sf):
     part = B.table(spark, sf, "part")
@@ -415,8 +440,7 @@ def q_target_drift(spark, sf):
 
 @register("data_quality")
 def q_data_quality(spark, sf):
-    _, cur = _ref_cur(spark, sf)
-    dq = data_quality(cur, FEATURES, ["air_quality_label"])
+    dq = data_quality(B.labeled_measurements(spark, sf), FEATURES, ["air_quality_label"])
     return _round_cols(dq, ["null_share", "min", "max", "mean", "most_common_share"])
 
 
@@ -426,6 +450,12 @@ def q_monitoring_tests(spark, sf):
     return _round_cols(run_tests(ref, cur), ["value", "bound"])
 
 
+@register("monitoring_summary")
+def q_monitoring_summary(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    return summarize_tests(run_tests(ref, cur))
+
+
 @register("monitoring_report")
 def q_monitoring_report(spark, sf):
     ref, cur = _ref_cur(spark, sf)
@@ -479,7 +509,7 @@ def q_select_model(spark, sf):
 
 @register("prediction_join")
 def q_prediction_join(spark, sf):
-    pred = _predictions(spark, sf).filter(F.col("model") == "rule_2").select("model", "event_id", "prediction")
+    pred = _predictions(spark, sf).select("model", "event_id", "prediction")
     actual = B.table(spark, sf, "events").select("event_id", three_band("value").alias("label"))
     return prediction_join(pred, actual, "event_id")
 
@@ -570,6 +600,31 @@ def q_model_roundtrip(spark, sf):
     return after.join(before, "version").withColumn("same", F.col("prediction") == F.col("before"))
 
 
+@register("tune_trials")
+def q_tune_trials(spark, sf):
+    """How many trials a tuning makes, how many of them differ, and that each has a score."""
+    train, test = _split(spark, sf)
+    _, trials, _ = tune_model(train, test, _dt_candidate())
+    scored = F.count_if(F.col("validation_metric").between(0.0, 1.0))
+    return trials.agg(F.count("*").alias("n_trials"), F.count_distinct("params").alias("n_points"), scored.alias("n_scored"))
+
+
+@register("score_checks")
+def q_score_checks(spark, sf):
+    """Scores of the whole table: a row each, a known class, probabilities that sum to 1."""
+    model, _, _, labels = _fit_dt(spark, sf)
+    out = score(model, B.measurements_table(spark, sf).drop("sulphur_dioxide", "ozone"), keep=["version"], labels=labels)
+    total = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda a, x: a + x)
+    best = F.array_max(F.map_values("probabilities"))
+    return out.agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct("version").alias("n_versions"),
+        F.count_if(F.col("prediction").isin(labels)).alias("n_known"),
+        F.count_if(F.abs(total - 1) < 1e-9).alias("n_sum_one"),
+        F.count_if(F.col("confidence") == best).alias("n_confident"),
+    )
+
+
 @register("score_batch")
 def q_score_batch(spark, sf):
     model, _, _, labels = _fit_dt(spark, sf)
@@ -601,10 +656,23 @@ def q_snapshot_manifest(spark, sf):
     raw_path = landed_raw_path(spark, sf)
     out = scratch_path(spark, "curated")
     run_curated(spark, raw_path, out, multi_line=False)
-    _, dataset = snapshot_manifest(spark.read.parquet(out))
+    _, dataset = snapshot_manifest(read_curated(spark, out))
     return dataset
 
 
+@register("snapshot_manifest_rows")
+def q_snapshot_manifest_rows(spark, sf):
+    """What a manifest tells of the raw and of the curated side: rows, and that two scans agree."""
+    raw_path, out = landed_raw_path(spark, sf), scratch_path(spark, "curated")
+    run_curated(spark, raw_path, out, multi_line=False)
+    sides = {"raw": lambda: read_raw_json(spark, raw_path, multi_line=False).drop("source_file"), "curated": lambda: read_curated(spark, out)}
+    parts = []
+    for side, scan in sides.items():
+        a, b = (snapshot_manifest(scan())[1] for _ in range(2))
+        again = b.select(F.col("content_hash").alias("again"))
+        parts.append(a.crossJoin(F.broadcast(again)).select(F.lit(side).alias("side"), "rows", (F.col("content_hash") == F.col("again")).alias("same")))
+    return parts[0].unionByName(parts[1])
+
 # ---------------------------------------------------------------- I: incremental / streaming
 def _land_waves(spark, sf, raw_path, cutoff=B.REFERENCE_CUTOFF):
     """Land docs in two waves; the second repeats the last day of the first."""
@@ -662,7 +730,7 @@ def q_stream_upsert(spark, sf):
     return read_upserted(spark, table)
 
 
-MATERIALIZE_ENDS = ["2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-02-01 00:00:00"]
+MATERIALIZE_ENDS = ["2024-01-10 00:00:00", "2024-01-20 00:00:00"]
 
 
 @register("materialize_incremental")
@@ -670,17 +738,28 @@ def q_materialize_incremental(spark, sf):
     _, feats = _spine_and_features(spark, sf)
     state, base = scratch_path(spark, "mat_state"), scratch_path(spark, "mat_table")
     out = None
-    for end in MATERIALIZE_ENDS:
+    # the last step ends where the data does
+    last = feats.agg(F.max("view_ts").cast("string")).first()[0]
+    for end in [*[e for e in MATERIALIZE_ENDS if last and e < last], last]:
         out = materialize_step(spark, feats, "user_id", "view_ts", ["view_ts", "view_id"], end, state, base)
     return spark.read.parquet(out)
 
 
+STREAM_DRIFT_SPLIT = "2024-01-23 00:00:00"
+
+
 @register("stream_drift")
 def q_stream_drift(spark, sf):
-    ref, cur = _ref_cur(spark, sf)
+    ref, _ = _ref_cur(spark, sf)
     cur_path, log, ck = scratch_path(spark, "current"), scratch_path(spark, "drift_log"), scratch_path(spark, "ckpt")
-    cur.repartitionByRange(3, "pm10", "pm2_5").write.parquet(cur_path)
-    _run_stream(start_drift_stream(spark, cur_path, cur.schema, ref, log, ck))
+    # two landings by time, each drained by a run of its own: the batches are the landings
+    lm = B.labeled_measurements(spark, sf)
+    ref, cur = materialize(ref), lm.filter(F.col("timestamp") >= F.lit(B.REFERENCE_CUTOFF).cast("timestamp_ntz"))
+    early = F.col("timestamp") < F.lit(STREAM_DRIFT_SPLIT).cast("timestamp_ntz")
+    for wave in (cur.filter(early), cur.filter(~early)):
+        wave = wave.select(*FEATURES, "air_quality_label")
+        wave.write.mode("append").parquet(cur_path)
+        _run_stream(start_drift_stream(spark, cur_path, wave.schema, ref, log, ck))
     return spark.read.parquet(log).select("batch_id", "feature", "stattest", F.round("drift_score", 6).alias("drift_score"), "drift_detected")
 
 

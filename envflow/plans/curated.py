@@ -1,7 +1,7 @@
 """End-to-end curated build: raw docs -> flatten -> label -> dedup -> Parquet.
 
-One action (the write); per-stage row counts come from ``observe`` on that
-same job instead of the reference's repeated uncached ``count()`` calls.
+Per-stage row counts come from ``observe`` on the jobs that write; nothing is
+counted a second time.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from ..config import TARGET
 from ..functions.labels import three_band
 from ..operators.dedup import latest_per_key
-from ..operators.flatten import flatten_hourly, split_rejects
+from ..operators.flatten import flatten_hourly, flatten_with_rejects, split_rejects
 from ..schemas import CURATED_COLUMNS
+from ..session import scratch_path
 from ..sources.curated import write_curated
 from ..sources.raw import read_raw_json
 
@@ -57,7 +58,7 @@ def curate(raw: DataFrame, observe: bool = False):
 @dataclass
 class CuratedRun:
     path: str
-    reject_path: str | None
+    reject_path: str
     counts: dict
 
 
@@ -70,16 +71,31 @@ def run_curated(
 ) -> CuratedRun:
     """Load -> flatten -> label -> dedup -> write partitioned by city.
 
-    Stage counts (flattened, before/after dedup, removed) are observed on the
-    write job itself.
+    The JSON is read once: all flattened rows, good or not, go to a scratch Parquet
+    table, from which the rejects (``<out_path>_rejects`` unless a path is given) and
+    the curated table are written. A missing or empty input is an error. Stage counts
+    (loaded documents, flattened rows, rejected, before / after dedup, removed, saved)
+    are observed on these jobs.
     """
-    raw = read_raw_json(spark, raw_path, multi_line=multi_line)
-    curated, rejects, obs = curate(raw, observe=True)
-    write_curated(curated, out_path)
-    if reject_path:
-        rejects.write.mode("append").parquet(reject_path)
-    flat = obs["flattened"].get.get("rows", 0)
-    before = obs["before_dedup"].get.get("rows", 0)
-    after = obs["after_dedup"].get.get("rows", 0)
-    counts = {"flattened": flat, "before_dedup": before, "after_dedup": after, "removed": before - after}
+    reject_path = reject_path or f"{out_path.rstrip('/')}_rejects"
+    loaded, flat, saved = Observation("loaded"), Observation("flattened"), Observation("saved")
+    n = F.count(F.lit(1)).alias("rows")
+    raw = read_raw_json(spark, raw_path, multi_line=multi_line, keep_corrupt=True).observe(loaded, n)
+    bad = F.count(F.when(F.col("reject_reason").isNotNull(), 1)).alias("rejected")
+    rows = flatten_with_rejects(raw).observe(flat, n, bad).withColumn("ok", F.col("reject_reason").isNull())
+    stage = scratch_path(spark, "flattened")
+    rows.write.partitionBy("ok").parquet(stage)
+    if not loaded.get.get("rows"):
+        raise ValueError(f"no raw documents under {raw_path}")
+    rows = spark.read.schema(rows.schema).parquet(stage)
+    rows.filter("NOT ok").drop("ok").write.mode("append").parquet(reject_path)
+    good = rows.filter("ok").drop("ok", "reject_reason", "bad_integral", "time_raw")
+    curated = deduplicate(add_quality_label(good)).select(*CURATED_COLUMNS, "fetch_timestamp")
+    write_curated(curated.observe(saved, n), out_path)
+    rejected = flat.get.get("rejected", 0)
+    before, after = flat.get.get("rows", 0) - rejected, saved.get.get("rows", 0)
+    counts = {
+        "loaded": loaded.get["rows"], "flattened": before + rejected, "rejected": rejected,
+        "before_dedup": before, "after_dedup": after, "removed": before - after, "saved": after,
+    }
     return CuratedRun(out_path, reject_path, counts)

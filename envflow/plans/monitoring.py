@@ -4,6 +4,7 @@ for a current table against a reference table."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,16 +153,19 @@ def write_report(
     reference: DataFrame,
     current: DataFrame,
     base_path: str,
-    report_id: str,
+    report_id: str | None = None,
     numeric: list[str] = FEATURES,
     target: str | None = TARGET,
     include_quality: bool = True,
     include_target_drift: bool = True,
 ) -> Report:
-    """Persist the report tables under ``{base}/<table>/report_id=<id>``."""
+    """Persist the report tables under ``{base}/<table>/report_id=<id>``; the id is
+    ``drift_report_<UTC time>`` unless given. Drift is computed once for both of its tables."""
+    report_id = report_id or f"drift_report_{datetime.now(timezone.utc):%Y%m%d_%H%M%S}"
     num = [c for c in available(list(numeric), current) if c in reference.columns]
     spec = DriftSpec(numerical=tuple(num))
-    dataset, feats = detect_drift(reference, current, spec)
+    feats = materialize(drift_features(reference, current, spec))
+    dataset = drift_dataset(feats, spec.dataset_share).withColumn("generated_at", F.current_timestamp())
     tables = {"feature_drift": feats, "dataset_drift": dataset}
     if include_quality:
         tables["data_quality"] = data_quality(current, num, [])

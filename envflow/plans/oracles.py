@@ -198,6 +198,8 @@ SELECT city, version, "timestamp", rank FROM (
   FROM ({M_SQL}) m) x WHERE rank <= 100
 """
 
+ORACLES["limit_per_entity_5000"] = ORACLES["limit_per_entity"].replace("rank <= 100", "rank <= 5000")
+
 ORACLES["sanitize_name"] = "SELECT p_partkey, p_type, translate(p_type, ' /\\', '___') AS folder FROM part"
 
 ORACLES["long_to_wide"] = f"""
@@ -250,6 +252,9 @@ FROM ({LM_SQL}) x WHERE pm2_5 IS NOT NULL GROUP BY 1
 
 ORACLES["stage_audit"] = f"""
 SELECT 'flattened' AS stage, count(*) AS n_rows FROM events
+UNION ALL SELECT 'loaded', count(*) FROM ({DOCS_SQL}) r
+UNION ALL SELECT 'rejected', 0
+UNION ALL SELECT 'saved', count(*) FROM ({CURATED_SQL}) c3
 UNION ALL SELECT 'before_dedup', count(*) FROM events
 UNION ALL SELECT 'after_dedup', count(*) FROM ({CURATED_SQL}) c
 UNION ALL SELECT 'removed', (SELECT count(*) FROM events) - (SELECT count(*) FROM ({CURATED_SQL}) c2)
@@ -449,7 +454,7 @@ def sql_cols(sql):
 
 
 DQ_ROUND = ["null_share", "min", "max", "mean", "most_common_share"]
-ORACLES["data_quality"] = _rounded(dq_sql(CUR_SQL, _F8, [LABEL_COL]), DQ_ROUND)
+ORACLES["data_quality"] = _rounded(dq_sql(f"SELECT {FEATS}, air_quality_label FROM ({LM_SQL}) x", _F8, [LABEL_COL]), DQ_ROUND)
 
 
 def tests_sql(ref_sql, cur_sql, numeric, target):
@@ -554,7 +559,7 @@ SELECT model, {_MR}, rank, meets_criteria FROM (
 ORACLES["prediction_join"] = f"""
 SELECT p.model, p.event_id, p.prediction, {band_sql('e.value', THREE_BAND)} AS label,
        p.prediction = {band_sql('e.value', THREE_BAND)} AS correct
-FROM ({PRED_SQL}) p JOIN events e ON p.event_id = e.event_id WHERE p.model = 'rule_2'
+FROM ({PRED_SQL}) p JOIN events e ON p.event_id = e.event_id
 """
 ORACLES["run_log_metrics"] = f"""
 SELECT 'compare_models' AS run_name, k AS key, round(v, 6) AS value FROM (
@@ -617,3 +622,32 @@ FROM ({numeric_drift_sql(ref_sql, cur_sql, feats)}) d LEFT JOIN p USING (feature
 
 
 ORACLES["drift_psi"] = psi_sql(REF_SQL, CUR_SQL, _F8)
+
+ORACLES["raw_rejects"] = """
+SELECT CASE event_id % 3 WHEN 0 THEN 'corrupt_document' WHEN 1 THEN 'unparsable_time' ELSE 'non_integral_aqi' END AS reject_reason,
+       count(*) AS n_rows
+FROM events WHERE event_id % 10 = 0 GROUP BY ALL
+"""
+ORACLES["snapshot_manifest_rows"] = f"""
+SELECT 'raw' AS side, count(*) AS rows, true AS same FROM ({DOCS_SQL}) r
+UNION ALL SELECT 'curated', count(*), true FROM ({CURATED_SQL}) c
+"""
+_WAVE = f"SELECT {FEATS}, air_quality_label FROM ({LM_SQL}) x WHERE \"timestamp\" >= {CUTOFF} AND \"timestamp\" "
+_SPLIT = "TIMESTAMP '2024-01-23 00:00:00'"
+ORACLES["stream_drift"] = " UNION ALL ".join(
+    f"SELECT CAST({i} AS BIGINT) AS batch_id, feature, stattest, drift_score, drift_detected FROM ({numeric_drift_sql(REF_SQL, _WAVE + cond, _F8)}) d{i}"
+    for i, cond in enumerate((f"< {_SPLIT}", f">= {_SPLIT}"))
+)
+ORACLES["monitoring_summary"] = f"""
+SELECT count(*) AS total, count(*) FILTER (status = 'SUCCESS') AS passed, count(*) FILTER (status <> 'SUCCESS') AS failed,
+       bool_and(status = 'SUCCESS') AS all_passed
+FROM ({ORACLES["monitoring_tests"]}) t
+"""
+ORACLES["train_test_split"] = f"""
+SELECT CAST('0x' || substr(md5(CAST(version AS VARCHAR) || '|42'), 1, 8) AS BIGINT) % 100 < 70 AS is_train, air_quality_label, count(*) AS n
+FROM ({LM_SQL}) x WHERE air_quality_label IS NOT NULL AND air_quality_label <> 'unknown' GROUP BY ALL
+"""
+ORACLES["tune_trials"] = "SELECT CAST(20 AS BIGINT) AS n_trials, CAST(20 AS BIGINT) AS n_points, CAST(20 AS BIGINT) AS n_scored FROM (SELECT count(*) FROM events) e"
+ORACLES["score_checks"] = """
+SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_versions, count(*) AS n_known, count(*) AS n_sum_one, count(*) AS n_confident FROM events
+"""

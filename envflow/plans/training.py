@@ -40,10 +40,19 @@ FEATURES_VEC = "features"
 EVALUATOR_METRIC = {"f1": "f1", "accuracy": "accuracy", "prec": "weightedPrecision", "recall": "weightedRecall"}
 
 
+def evaluator_metric(metric: str) -> str:
+    """Spark ML's name of a metric that candidates and trials can be scored by."""
+    if metric not in EVALUATOR_METRIC:
+        raise ValueError(f"models can't be ranked by {metric!r}; choose one of {sorted(EVALUATOR_METRIC)}")
+    return EVALUATOR_METRIC[metric]
+
+
 def split_flag(df: DataFrame, keys: list[str], seed: int = SPLIT_SEED, train_pct: int = TRAIN_FRACTION_PCT) -> DataFrame:
     """Deterministic hold-out split by key hash: stable under repartitioning
-    and re-execution (unlike ``randomSplit``)."""
-    h = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(100))
+    and re-execution (unlike ``randomSplit``). The hash is the first eight hex digits
+    of an MD5, so other engines can repeat it."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100
     return df.withColumn("is_train", h < F.lit(train_pct))
 
 
@@ -151,7 +160,7 @@ def _fit_candidate(train, test, c: Candidate, features, target, labels, sort_met
     """CV-fit one family, then evaluate the best model on the hold-out set."""
     est = c.build(len(features), len(labels), seed)
     pipe = Pipeline(stages=feature_stages(features, target, c.scaled) + [est])
-    ev = MulticlassClassificationEvaluator(labelCol=LABEL_IDX, predictionCol="prediction", metricName=EVALUATOR_METRIC.get(sort_metric, "f1"))
+    ev = MulticlassClassificationEvaluator(labelCol=LABEL_IDX, predictionCol="prediction", metricName=evaluator_metric(sort_metric))
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=[{}], evaluator=ev, numFolds=folds, seed=seed, parallelism=parallelism)
     cvm = cv.fit(train)
     model = cvm.bestModel
@@ -195,11 +204,13 @@ def compare_models(
     seed: int = SPLIT_SEED,
     parallelism: int = 4,
 ):
-    """CV-score every candidate family, evaluate on the hold-out set, rank.
+    """CV-score every candidate family by ``sort_metric``, rank by that score, and
+    evaluate on the hold-out set. The hold-out rows have no part in the ranking.
 
     Returns (leaderboard DataFrame, {model name: Fitted}) keeping only the
     ``n_select`` best fitted models.
     """
+    evaluator_metric(sort_metric)
     cands = candidates or default_candidates()
     labels = class_labels(train, target)
     # families run one after another; inside each, CrossValidator fits the
@@ -208,20 +219,23 @@ def compare_models(
     fitted = [_fit_candidate(train, test, c, features, target, labels, sort_metric, folds, seed, parallelism) for c in cands]
     spark = train.sparkSession
     rows = spark.createDataFrame([f.metrics for f in fitted], LEADERBOARD_SCHEMA)
-    board = leaderboard_from(rows, sort_metric, n_select).persist()
+    board = leaderboard_from(rows, "cv_score", n_select).persist()
     kept = {r["model"] for r in board.select("model").collect()}
     return board, {f.candidate.name: f for f in fitted if f.candidate.name in kept}
 
 
-def param_trials(space: dict, n_trials: int, seed: int) -> list[dict]:
-    """Seeded random sample of ``n_trials`` distinct points of a grid."""
+def param_trials(space: dict, n_trials: int, seed: int, base: dict | None = None) -> list[dict]:
+    """``n_trials`` distinct points of a grid: the ``base`` parameters first, then a
+    seeded random sample."""
+    first = [] if base is None else [base]
     if not space:
-        return [{}]
+        return first or [{}]
     keys = sorted(space)
-    grid = list(itertools.product(*[space[k] for k in keys]))
+    grid = [dict(zip(keys, p)) for p in itertools.product(*[space[k] for k in keys])]
+    grid = [p for p in grid if p not in first]
     rnd = random.Random(seed)
-    pick = grid if len(grid) <= n_trials else rnd.sample(grid, n_trials)
-    return [dict(zip(keys, p)) for p in pick]
+    left = n_trials - len(first)
+    return first + (grid if len(grid) <= left else rnd.sample(grid, left))
 
 
 def tune_model(
@@ -236,19 +250,21 @@ def tune_model(
     parallelism: int = 4,
 ):
     """Random search of ``n_trials`` parameter points with a train/validation
-    split (trials evaluated in parallel). Returns (best model, trials table,
+    split (trials evaluated in parallel). The candidate's own parameters are the
+    first trial, so tuning never ends with a point that validates worse. Returns (best model, trials table,
     hold-out metrics of the best)."""
     labels = class_labels(train, target)
     est = candidate.build(len(features), len(labels), seed)
     pipe = Pipeline(stages=feature_stages(features, target, candidate.scaled) + [est])
-    trials = param_trials(candidate.space, n_trials, seed)
+    base = {k: est.getOrDefault(est.getParam(k)) for k in sorted(candidate.space)}
+    trials = param_trials(candidate.space, n_trials, seed, base)
     maps = []
     for t in trials:
         b = ParamGridBuilder()
         for k, v in t.items():
             b = b.baseOn({est.getParam(k): v})
         maps.append(b.build()[0])
-    ev = MulticlassClassificationEvaluator(labelCol=LABEL_IDX, metricName=EVALUATOR_METRIC.get(metric, "f1"))
+    ev = MulticlassClassificationEvaluator(labelCol=LABEL_IDX, metricName=evaluator_metric(metric))
     tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, trainRatio=0.8, seed=seed, parallelism=parallelism)
     tm = tvs.fit(train)
     spark = train.sparkSession

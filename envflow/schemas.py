@@ -25,6 +25,10 @@ RAW = T.StructType(
     ]
 )
 
+# the text of a document that is not valid JSON lands here instead of vanishing
+CORRUPT = "_corrupt_record"
+RAW_OR_CORRUPT = T.StructType([*RAW.fields, T.StructField(CORRUPT, T.StringType())])
+
 MEASUREMENT = T.StructType(
     [
         T.StructField("location", T.StringType()),

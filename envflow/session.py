@@ -3,6 +3,8 @@ reads settings from the one it is given."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,8 +14,10 @@ from pyspark.sql import SparkSession
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session. Only when it is unset (local tests) a folder of our
-    own is created and registered, so every later call agrees on it.
+    Read from the session. Only where it is unset and the master is local (tests,
+    the bench) a folder of our own is created and registered, so every later call
+    agrees on it; on a cluster an unset folder is an error, since executors share
+    no local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -21,7 +25,10 @@ def checkpoint_base(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="envflow-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

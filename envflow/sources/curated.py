@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_curated(df: DataFrame, path: str, partition_by: str | list[str] = "city") -> str:
@@ -24,10 +25,16 @@ def write_curated(df: DataFrame, path: str, partition_by: str | list[str] = "cit
     return path
 
 
-def read_curated(spark: SparkSession, path: str, columns: list[str] | None = None, where=None) -> DataFrame:
+def read_curated(spark: SparkSession, path: str, columns: list[str] | None = None, where=None, strings: tuple = ("city",)) -> DataFrame:
     """Scan with pruning: a filter on ``city`` becomes a partition filter,
-    other predicates are pushed into the Parquet reader."""
-    df = spark.read.parquet(path)
+    other predicates are pushed into the Parquet reader.
+
+    The ``strings`` partition columns are read as strings: folder names that look
+    like numbers would otherwise come back as numbers.
+    """
+    schema = spark.read.parquet(path).schema
+    typed = T.StructType([T.StructField(f.name, T.StringType()) if f.name in strings else f for f in schema])
+    df = spark.read.schema(typed).parquet(path)
     if where is not None:
         df = df.filter(where)
     if columns:
@@ -36,28 +43,31 @@ def read_curated(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 
 def snapshot_manifest(df: DataFrame, value_columns: list[str] | None = None):
-    """Version pointer of a file-based table, computed by Spark.
+    """Version pointer of a file-based table (raw or curated), computed by Spark.
 
     Returns (files, dataset): per-file rows/size/modification time from the
     hidden ``_metadata`` column, and one dataset row with file count, bytes,
-    rows and an order-independent content hash (xor of row hashes).
+    rows and an order-independent content hash: the sum of the row hashes as a
+    decimal, so that repeated rows count.
     """
     cols = value_columns or [c for c in df.columns if not c.startswith("_")]
     meta = F.col("_metadata")
+    # maps have no hash: their JSON text stands for them
+    hashed = [F.to_json(c) if "map<" in df.schema[c].dataType.simpleString() else F.col(c) for c in cols]
     files = (
         df.select(
             meta["file_path"].alias("file_path"),
             meta["file_size"].alias("file_size"),
             meta["file_modification_time"].alias("modified"),
-            F.xxhash64(*[F.col(c) for c in cols]).alias("h"),
+            F.xxhash64(*hashed).cast("decimal(38,0)").alias("h"),
         )
         .groupBy("file_path", "file_size", "modified")
-        .agg(F.count(F.lit(1)).alias("rows"), F.bit_xor("h").alias("content_hash"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum("h").alias("content_hash"))
     )
     dataset = files.agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("file_size").alias("bytes"),
         F.sum("rows").alias("rows"),
-        F.bit_xor("content_hash").alias("content_hash"),
+        F.sum("content_hash").alias("content_hash"),
     )
     return files, dataset

@@ -44,7 +44,7 @@ def run_rows_from_metrics(metrics_row: DataFrame, run_name: str, prefix: str, me
     pmap = F.create_map(*[x for k, v in p.items() for x in (F.lit(k), F.lit(str(v)))]) if p else F.create_map().cast("map<string,string>")
     return metrics_row.select(
         F.lit(run_name).alias("run_name"),
-        F.lit(None).cast("timestamp_ntz").alias("logged_at"),
+        F.current_timestamp().cast("timestamp_ntz").alias("logged_at"),
         pmap.alias("params"),
         F.map_from_arrays(keys, vals).alias("metrics"),
     )

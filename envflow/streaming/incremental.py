@@ -5,9 +5,9 @@ materialization, and drift per micro-batch.
 The upsert needs no table format with MERGE: for each micro-batch the
 affected (city, date) partitions are read back, unioned with the batch,
 deduplicated, written to a staging folder named by the batch id, and then
-swapped into the table with dynamic partition overwrite. Re-running a batch
-after a failure rewrites the same staging folder and the same partitions,
-so the sink is idempotent.
+swapped into the table with dynamic partition overwrite. A batch that is run
+again after a failure reuses its complete staging folder, so a crash within
+the swap loses nothing.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from ..config import DriftSpec
 from ..operators.dedup import latest_per_entity
 from ..operators.drift import drift_features
 from ..operators.enrich import checked_broadcast
-from ..operators.flatten import flatten_hourly, split_rejects
+from ..operators.flatten import flatten_with_rejects
 from ..plans.curated import CURATED_KEYS, CURATED_ORDER, add_quality_label, deduplicate
-from ..schemas import CURATED_COLUMNS, RAW
+from ..schemas import CORRUPT, CURATED_COLUMNS, RAW_OR_CORRUPT
+from ..sources.curated import read_curated
 
 PARTS = ["city", "date"]
 
@@ -35,40 +36,17 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
 
 
-def upsert_latest(spark: SparkSession, batch: DataFrame, table_path: str, staging_base: str, batch_id: int) -> None:
-    """Merge curated rows into a (city, date)-partitioned table, newest
-    version per (city, timestamp) wins."""
-    rows = batch.withColumn("date", F.to_date("timestamp"))
-    writer_opts = {"partitionOverwriteMode": "dynamic"}
-    if not _table_exists(spark, table_path):
-        # nothing to merge with and nothing read from the target: write directly
-        (
-            deduplicate(rows, CURATED_KEYS, CURATED_ORDER)
-            .sortWithinPartitions(*PARTS)
-            .write.mode("overwrite")
-            .options(**writer_opts)
-            .partitionBy(*PARTS)
-            .parquet(table_path)
-        )
-        return
-    # the batch is read by the size check, the partition filter and the
-    # merge: keep it (a lost block is recomputed from the batch's files)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        affected = rows.select(*PARTS).distinct()
-        # the partition filter comes from a join on the partition columns
-        # (dynamic partition pruning, which needs the broadcast), so only
-        # affected folders are read; the broadcast is size-checked
-        old = spark.read.parquet(table_path).join(checked_broadcast(affected), PARTS, "left_semi")
-        merged = deduplicate(rows.unionByName(old.select(*rows.columns)), CURATED_KEYS, CURATED_ORDER)
-        stage = f"{staging_base}/batch={batch_id}"
-        # staging keeps city/date as plain columns: one file per task, and the
-        # partition folders are created once, by the swap below
-        merged.write.mode("overwrite").parquet(stage)
-    finally:
-        rows.unpersist()
+def _drop_path(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _swap_in(rows: DataFrame, table_path: str) -> None:
+    """Overwrite the (city, date) partitions that ``rows`` has. Rebalanced by partition:
+    small ones share a task's file, a large one is split."""
     (
-        spark.read.parquet(stage)
+        rows.hint("rebalance", *[F.col(c) for c in PARTS])
         .sortWithinPartitions(*PARTS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -77,13 +55,52 @@ def upsert_latest(spark: SparkSession, batch: DataFrame, table_path: str, stagin
     )
 
 
-def curate_batch(raw: DataFrame) -> DataFrame:
-    """Micro-batch body: flatten, drop rejects, label. The newest-wins dedup
-    runs once, in :func:`upsert_latest`, over the batch and the affected
-    partitions together (a dedup here as well would be a second shuffle)."""
-    good, _ = split_rejects(flatten_hourly(raw))
-    labeled = add_quality_label(good)
-    return labeled.select(*CURATED_COLUMNS, "fetch_timestamp", "pos")
+def affected_partitions(spark: SparkSession, rows: DataFrame, table_path: str) -> DataFrame:
+    """The table's rows in the (city, date) partitions that ``rows`` touch. The batch's first
+    and last date are literals on the scan, so that other dates' folders are never listed
+    as input, and a size-checked broadcast semi-join keeps only the touched folders."""
+    lo, hi = rows.agg(F.min("date"), F.max("date")).first()
+    between = F.col("date").between(F.lit(lo), F.lit(hi))
+    touched = rows.select(*PARTS).distinct().filter(between)
+    return read_curated(spark, table_path).filter(between).join(checked_broadcast(touched), PARTS, "left_semi")
+
+
+def upsert_latest(spark: SparkSession, batch: DataFrame, table_path: str, staging_base: str, batch_id: int) -> None:
+    """Merge curated rows into a (city, date)-partitioned table, newest
+    version per (city, timestamp) wins.
+
+    The merged partitions are complete in the batch's staging folder (its ``_SUCCESS``
+    file is written last) before the table is touched. A batch that is run again after
+    a crash in the swap finds that folder and swaps from it, and never reads the table in
+    its half-swapped state. Older batches' folders are removed.
+    """
+    stage = f"{staging_base}/batch={batch_id}"
+    if not _table_exists(spark, f"{stage}/_SUCCESS"):
+        # the batch is read by the date bounds, the size check and the merge:
+        # keep it (a lost block is recomputed from the batch's files)
+        rows = batch.withColumn("date", F.to_date("timestamp")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if rows.isEmpty():
+                return
+            merged = rows
+            if _table_exists(spark, table_path):
+                merged = rows.unionByName(affected_partitions(spark, rows, table_path).select(*rows.columns))
+            # staging keeps city/date as plain columns: one file per task
+            deduplicate(merged, CURATED_KEYS, CURATED_ORDER).write.mode("overwrite").parquet(stage)
+        finally:
+            rows.unpersist()
+    _swap_in(spark.read.parquet(stage), table_path)
+    if batch_id > 0:
+        _drop_path(spark, f"{staging_base}/batch={batch_id - 1}")
+
+
+def curate_batch(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Micro-batch body: (labelled rows, rejects). The newest-wins dedup runs
+    once, in :func:`upsert_latest`, over the batch and the affected partitions
+    together (a dedup here as well would be a second shuffle)."""
+    rows = flatten_with_rejects(raw)
+    good = rows.filter(F.col("reject_reason").isNull())
+    return add_quality_label(good).select(*CURATED_COLUMNS, "fetch_timestamp", "pos"), rows.filter(F.col("reject_reason").isNotNull())
 
 
 def start_curated_stream(
@@ -94,17 +111,23 @@ def start_curated_stream(
     staging_base: str,
     multi_line: bool = False,
     max_files_per_trigger: int | None = 10000,
+    reject_path: str | None = None,
 ) -> StreamingQuery:
     """Pick up new raw files and upsert them; ``availableNow`` drains what is
     there and stops, so schedulers can run it like a batch job. A backfill is
-    cut into micro-batches of at most ``max_files_per_trigger`` files."""
-    reader = spark.readStream.schema(RAW).option("multiLine", multi_line)
+    cut into micro-batches of at most ``max_files_per_trigger`` files. Rejected rows
+    and corrupt documents go to ``reject_path`` (``<table_path>_rejects``), a folder per
+    batch, so a batch that is run again writes the same folder."""
+    reject_path = reject_path or f"{table_path.rstrip('/')}_rejects"
+    reader = spark.readStream.schema(RAW_OR_CORRUPT).option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(raw_path)
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
-        upsert_latest(spark, curate_batch(batch_df), table_path, staging_base, batch_id)
+        good, rejects = curate_batch(batch_df)
+        rejects.write.mode("overwrite").parquet(f"{reject_path}/batch={batch_id}")
+        upsert_latest(spark, good, table_path, staging_base, batch_id)
 
     return (
         stream.writeStream.foreachBatch(sink)
@@ -115,7 +138,7 @@ def start_curated_stream(
 
 
 def read_upserted(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path).select(*CURATED_COLUMNS, "fetch_timestamp")
+    return read_curated(spark, table_path).select(*CURATED_COLUMNS, "fetch_timestamp")
 
 
 # ------------------------------------------------------------------ features
@@ -168,10 +191,11 @@ def start_drift_stream(
     log_path: str,
     checkpoint: str,
     spec: DriftSpec = DriftSpec(),
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Drift of every micro-batch of current rows against a fixed reference;
-    results are appended to a log table keyed by batch id."""
+    results are appended to a log table keyed by batch id. A micro-batch is what
+    has landed since the last run, however the writer cut its files."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

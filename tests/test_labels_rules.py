@@ -7,7 +7,8 @@ from envflow.config import FIVE_BAND
 from envflow.functions.labels import band_label, three_band
 from envflow.functions.rules import Rule, scoring_input_rules, split_valid, with_violations
 from envflow.functions.scalars import integral_bigint, landing_key, parse_time, sanitize_name
-from envflow.operators.prep import align_features, clamp_limit, limit_per_entity, prepare_training
+from envflow.config import FEED_LIMIT_MAX
+from envflow.operators.prep import align_features, check_limit, limit_per_entity, prepare_training
 
 
 def test_three_band_edges(spark):
@@ -78,10 +79,12 @@ def test_prepare_training_and_align(spark):
     assert r["pm2_5"] == 1.0 and r["us_aqi"] is None and r["ozone"] == 0.0 and len(r) == 8
 
 
-def test_limit_clamp(spark):
+def test_limits(spark):
     with pytest.raises(ValueError):
-        clamp_limit(0)
-    assert clamp_limit(10**6) == 10000
+        check_limit(0)
+    assert check_limit(10**6) == 10**6
+    with pytest.raises(ValueError):
+        check_limit(10**6, FEED_LIMIT_MAX)
     df = spark.range(50).select(F.col("id"), (F.col("id") % 2).alias("k"))
     top = limit_per_entity(df, "k", ["id"], 3).orderBy("k", "rank").collect()
     assert [(r["k"], r["id"]) for r in top] == [(0, 48), (0, 46), (0, 44), (1, 49), (1, 47), (1, 45)]

@@ -70,7 +70,9 @@ def test_run_curated_counts_and_partitions(spark, tmp_dir):
     _write(d, "x.json", _doc("Lima", "2025-01-01T05:00:00", t, [1.0, 2.0, 40.0]))
     out = os.path.join(tmp_dir, "cur")
     run = run_curated(spark, d, out)
-    assert run.counts == {"flattened": 3, "before_dedup": 3, "after_dedup": 2, "removed": 1}
+    assert run.counts == {
+        "loaded": 1, "flattened": 3, "rejected": 0, "before_dedup": 3, "after_dedup": 2, "removed": 1, "saved": 2,
+    }
     back = spark.read.parquet(out)
     assert back.filter("city = 'Lima'").count() == 2
     assert {r["air_quality_label"] for r in back.collect()} == {"good", "unhealthy"}
