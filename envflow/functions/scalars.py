@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 LANDING_KEY_FORMAT = "yyyy-MM-dd'T'HH-mm-ss"
 ISO_MINUTE_FORMAT = "yyyy-MM-dd'T'HH:mm"
-ISO_MICROS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def _c(c: Column | str) -> Column:
@@ -51,11 +50,6 @@ def non_integral(c: Column | str) -> Column:
     return v.isNotNull() & (F.isnan(v) | (v != F.floor(v)))
 
 
-def json_int_field(c: Column | str, key: str) -> Column:
-    """One integer field of a small JSON object string."""
-    return F.get_json_object(_c(c), f"$.{key}").cast("bigint")
-
-
 def metric_key(prefix: str, name: Column | str) -> Column:
     """Run-log metric key: prefix + lower-cased name without dots."""
     return F.concat(F.lit(prefix), F.regexp_replace(F.lower(_c(name)), r"\.", ""))

@@ -14,14 +14,16 @@ BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast ``dim`` only after proving it is small.
 
-    One pass over at most ``max_rows + 1`` rows (the ``limit`` stops reading
-    once the bound is passed) counts the rows and their approximate size.
-    Beyond either bound the plain side is returned and Spark shuffles (AQE may
+    The rows are counted up to ``max_rows + 1`` (a limit over empty rows, which
+    stops reading once the bound is passed); only within that bound is their
+    approximate size summed, in parallel. Beyond either bound the plain side is returned and Spark shuffles (AQE may
     still switch to a broadcast at run time when the real size allows it).
     """
     size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in dim.columns])))
-    n, nbytes = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(dim) if n <= max_rows and nbytes <= max_bytes else dim
+    if dim.select(F.lit(1)).limit(max_rows + 1).count() > max_rows:
+        return dim
+    nbytes = dim.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(dim) if nbytes <= max_bytes else dim
 
 
 def enrich(

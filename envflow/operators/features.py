@@ -188,23 +188,3 @@ def online_lookup(
         *[F.col(c) for c in feature_cols],
         F.col(ts).alias("feature_timestamp"),
     )
-
-
-def materialize_incremental(
-    previous: DataFrame | None,
-    source: DataFrame,
-    key: str,
-    ts: str,
-    start: str | None,
-    end: str,
-    order: list[str],
-) -> DataFrame:
-    """Latest-per-entity after adding the window ``(start, end]`` of the source
-    to the previously materialized table (merge by ``max_by``)."""
-    cond = F.col(ts) <= F.lit(end).cast("timestamp_ntz")
-    if start is not None:
-        cond = cond & (F.col(ts) > F.lit(start).cast("timestamp_ntz"))
-    new = latest_per_entity(source.filter(cond), key, order)
-    if previous is None:
-        return new
-    return latest_per_entity(previous.unionByName(new.select(*previous.columns)), key, order)

@@ -2,9 +2,9 @@
 
 A window ``partitionBy(feature).orderBy(value)`` puts every value of a
 feature in one task. Here the (pre-aggregated, one row per distinct value)
-input is cut into quantile buckets per group; running sums are computed
-inside (group, bucket) windows and shifted by the totals of earlier buckets,
-taken from a small (groups x buckets) table.
+input is partitioned by ranges of (group, value) and written to a scratch
+table; running sums are computed inside (group, range) windows and shifted by
+the totals of the group's earlier ranges, a table of ranges + groups rows.
 """
 
 from __future__ import annotations
@@ -17,12 +17,10 @@ from .enrich import checked_broadcast
 
 # a group up to this many distinct values is summed in one window task
 SINGLE_TASK_ROWS = 2_000_000
-# beyond that, aim for about this many rows per (group, bucket) window task,
-# with at most MAX_BUCKETS buckets (each row scans the bucket edge array)
+# beyond that, aim for about this many rows per range, however many ranges that takes
 BUCKET_ROWS = 1_000_000
-MAX_BUCKETS = 1024
-# the bucket edge / offset tables (groups x buckets entries) are broadcast
-# only up to this many entries; beyond it they are joined by a shuffle
+# the table of the ranges' totals is broadcast only up to this many rows;
+# beyond it, it is joined by a shuffle
 MAX_BROADCAST_ENTRIES = 4_000_000
 
 
@@ -32,65 +30,56 @@ def running_totals(
     order: str,
     sums: list[str],
     buckets: int = 64,
-    accuracy: int = 10000,
     with_next: bool = False,
     single_task_rows: int | None = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``cum_<s>`` (sum of ``s`` over rows with order <= this row, per
     group) and, with ``with_next``, ``next_<order>`` (the next distinct value).
 
-    ``df`` must hold one row per (groups, order). The group count is small by
-    design (features x sides, models x classes); the bucket edge and offset
-    tables hold groups x buckets entries and are broadcast when the measured
-    group count keeps that under ``MAX_BROADCAST_ENTRIES``.
+    ``df`` must hold one row per (groups, order).
 
     Size check first: when the largest group has at most ``single_task_rows``
     rows, one window per group is cheaper and still bounded; beyond that the
-    bucketed plan cuts every group into at least ``buckets`` buckets, and
-    into more (up to ``MAX_BUCKETS``) when the largest group measured would
-    leave more than ``BUCKET_ROWS`` rows in a bucket.
+    rows are cut into at least ``buckets`` ranges of about ``BUCKET_ROWS`` rows.
+    Both give the same rows.
     """
-    # one small job: the largest group and the number of groups
-    biggest, n_groups = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"), F.count(F.lit(1))).first()
-    biggest = biggest or 0
-    if single_task_rows:
-        buckets = max(buckets, min(MAX_BUCKETS, -(-biggest // BUCKET_ROWS)))
-        if biggest <= single_task_rows:
-            w = Window.partitionBy(*groups).orderBy(order)
-            cols = [F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"cum_{s}") for s in sums]
-            if with_next:
-                cols.append(F.lead(order).over(w).alias(f"next_{order}"))
-            return df.select(*df.columns, *cols)
-    probs = [i / buckets for i in range(1, buckets)]
-
-    def small(t: DataFrame) -> DataFrame:
-        return F.broadcast(t) if n_groups * buckets <= MAX_BROADCAST_ENTRIES else t
-
-    edges = df.groupBy(*groups).agg(F.percentile_approx(order, probs, accuracy).alias("_edges"))
-    x = (
-        df.join(small(edges), groups)
-        .withColumn("_bk", F.size(F.filter("_edges", lambda e: e < F.col(order))))
-        .drop("_edges")
+    # one small job: the largest group, the number of groups and of rows
+    biggest, n_groups, n_rows = (
+        df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"), F.count(F.lit(1)), F.sum("_n")).first()
     )
-    w_local = Window.partitionBy(*groups, "_bk").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [F.sum(s).over(w_local).alias(f"_l_{s}") for s in sums]
+    if single_task_rows and (biggest or 0) <= single_task_rows:
+        w = Window.partitionBy(*groups).orderBy(order)
+        cols = [F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"cum_{s}") for s in sums]
+        if with_next:
+            cols.append(F.lead(order).over(w).alias(f"next_{order}"))
+        return df.select(*df.columns, *cols)
+    ranges = max(buckets, -(-(n_rows or 0) // BUCKET_ROWS))
+    # written, so that a row keeps its range whatever is computed again
+    x = materialize(df.repartitionByRange(ranges, *groups, order).withColumn("_range", F.spark_partition_id()))
+
+    within = Window.partitionBy(*groups, "_range").orderBy(order)
+    upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = [F.sum(s).over(upto).alias(f"_l_{s}") for s in sums]
     if with_next:
-        cols.append(F.lead(order).over(Window.partitionBy(*groups, "_bk").orderBy(order)).alias("_lnext"))
+        cols.append(F.lead(order).over(within).alias("_lnext"))
     local = x.select("*", *cols)
 
-    tot_aggs = [F.sum(s).alias(f"_t_{s}") for s in sums] + [F.min(order).alias("_bmin")]
-    totals = x.groupBy(*groups, "_bk").agg(*tot_aggs)
-    w_prev = Window.partitionBy(*groups).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select(
+    totals = x.groupBy(*groups, "_range").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums], F.min(order).alias("_least"))
+    ahead = Window.partitionBy(*groups).orderBy("_range")
+    before = ahead.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
         *groups,
-        "_bk",
-        *[F.coalesce(F.sum(f"_t_{s}").over(w_prev), F.lit(0)).alias(f"_o_{s}") for s in sums],
-        F.lead("_bmin").over(Window.partitionBy(*groups).orderBy("_bk")).alias("_nextmin"),
+        "_range",
+        *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums],
+        F.lead("_least").over(ahead).alias("_following"),
     )
-    j = local.join(small(offs), groups + ["_bk"])
+    # a group's ranges are consecutive, so there are fewer than ranges + groups of these rows
+    if n_groups + ranges <= MAX_BROADCAST_ENTRIES:
+        offsets = F.broadcast(offsets)
+    j = local.join(offsets, [*groups, "_range"])
     out = [F.col(c) for c in df.columns] + [(F.col(f"_l_{s}") + F.col(f"_o_{s}")).alias(f"cum_{s}") for s in sums]
     if with_next:
-        out.append(F.coalesce(F.col("_lnext"), F.col("_nextmin")).alias(f"next_{order}"))
+        out.append(F.coalesce(F.col("_lnext"), F.col("_following")).alias(f"next_{order}"))
     return j.select(*out)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import bindings as B
-from ..config import FEATURES, air_quality_view, inference_service, training_service
+from ..config import CITIES, FEATURES, air_quality_view, inference_service, training_service
 from ..functions.labels import five_band, three_band
 from ..functions.rules import scoring_input_rules, with_violations
 from ..functions.scalars import landing_key, parse_time, sanitize_name
@@ -20,11 +20,11 @@ from ..operators.dedup import latest_per_entity, latest_per_key
 from ..operators.enrich import checked_broadcast, enrich, unknown_entities
 from ..operators.features import asof_join, cast_to_view, online_lookup, service_frame
 from ..operators.flatten import flatten_hourly, long_to_wide
-from ..operators.prep import align_features, limit_per_entity, prepare_training, reference_load
+from ..operators.prep import align_features, limit_per_entity, prepare_training, preview, reference_load
 from ..operators.stats import ingest_summary, label_counts, label_shares, payload_summary, reference_stats
 from ..session import materialize, scratch_path
 from ..sources.curated import read_curated, write_curated
-from ..sources.raw import land_raw, read_long_feed, read_raw_json, union_feeds
+from ..sources.raw import land_raw, read_long_feed, read_raw_json, stamp_fetch, union_feeds
 from .curated import run_curated
 from ..functions.rules import validate_batches
 from ..config import DriftSpec
@@ -32,7 +32,7 @@ from ..operators.drift import drift_features, target_drift
 from ..operators.metrics import auc_ovr, classification_metrics, confusion_matrix, leaderboard_from, prediction_join, select_model
 from ..operators.stats import data_quality
 from ..sources.registry import latest_artifact, log_runs, metrics_long, run_rows_from_metrics
-from .monitoring import detect_drift, run_tests, summarize_tests, write_report
+from .monitoring import detect_drift, quick_drift_check, run_tests, summarize_tests, write_report
 from pyspark.ml import Pipeline
 from ..sources.curated import snapshot_manifest
 from ..sources.registry import load_model, save_model
@@ -274,6 +274,37 @@ def q_dim_enrich(spark, sf):
     return enrich(_customer_with_shifted_key(spark, sf), _nation_region(spark, sf), "nation_key", "n_nationkey", ["n_name", "r_name"])
 
 
+@register("city_enrich")
+def q_city_enrich(spark, sf):
+    """Coordinates from the city table; explicit ones on the row win, unknown cities have none."""
+    names = sorted(CITIES)
+    cities = spark.createDataFrame([(c, *CITIES[c]) for c in names], "city string, latitude double, longitude double")
+    ev = B.table(spark, sf, "events")
+    city = F.get(F.array(*[F.lit(c) for c in names]), (F.col("event_id") % 8).cast("int"))
+    given = F.col("event_id") % 5 == 0
+    rows = ev.select(
+        "event_id",
+        F.coalesce(city, F.lit("elsewhere")).alias("city"),
+        F.when(given, F.col("value")).alias("own_latitude"),
+        F.when(given, -F.col("value")).alias("own_longitude"),
+    )
+    explicit = {"latitude": "own_latitude", "longitude": "own_longitude"}
+    return enrich(rows, cities, "city", "city", ["latitude", "longitude"], explicit).select("event_id", "city", "latitude", "longitude")
+
+
+@register("stamp_fetch")
+def q_stamp_fetch(spark, sf):
+    docs = stamp_fetch(B.nest_hourly_docs(B.measurements_table(spark, sf)), city="Lima", fetch_ts="2024-02-01T00:00:00")
+    return docs.groupBy("city_name", "fetch_timestamp").agg(F.count("*").alias("n_docs"))
+
+
+@register("preview")
+def q_preview(spark, sf):
+    """The first rows of an order: the limit is the feature."""
+    rows = B.measurements_table(spark, sf).select("city", "timestamp", "version")
+    return preview(rows, ["timestamp", "version"], 5)
+
+
 @register("unknown_entities")
 def q_unknown_entities(spark, sf):
     return unknown_entities(_customer_with_shifted_key(spark, sf), _nation_region(spark, sf), "nation_key", "n_nationkey")
@@ -432,6 +463,12 @@ def q_drift_dataset(spark, sf):
     return _round_cols(ds, ["drift_score"])
 
 
+@register("quick_drift")
+def q_quick_drift(spark, sf):
+    ref, cur = _ref_cur(spark, sf)
+    return _round_cols(quick_drift_check(ref, cur), ["drift_score"])
+
+
 @register("target_drift")
 def q_target_drift(spark, sf):
     ref, cur = _ref_cur(spark, sf)
@@ -496,6 +533,12 @@ def q_auc_ovr(spark, sf):
     return _round_cols(auc_ovr(B.probabilities_long(_predictions(spark, sf))), ["auc"])
 
 
+@register("auc_ovr_ranges")
+def q_auc_ovr_ranges(spark, sf):
+    """The same by ranges of scores, as for groups too large for one task."""
+    return _round_cols(auc_ovr(B.probabilities_long(_predictions(spark, sf)), buckets=16, single_task_rows=None), ["auc"])
+
+
 @register("leaderboard")
 def q_leaderboard(spark, sf):
     return _round_cols(leaderboard_from(_metrics_table(spark, sf), "f1", 5), METRIC_NAMES)

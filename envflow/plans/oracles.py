@@ -651,3 +651,16 @@ ORACLES["tune_trials"] = "SELECT CAST(20 AS BIGINT) AS n_trials, CAST(20 AS BIGI
 ORACLES["score_checks"] = """
 SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_versions, count(*) AS n_known, count(*) AS n_sum_one, count(*) AS n_confident FROM events
 """
+ORACLES["auc_ovr_ranges"] = ORACLES["auc_ovr"]
+
+ORACLES["city_enrich"] = """
+WITH c AS (SELECT * FROM (VALUES ('Bogota', 4.7110, -74.0721, 0), ('Buenos_Aires', -34.6037, -58.3816, 1), ('Lima', -12.0464, -77.0428, 2),
+  ('Mexico_City', 19.4326, -99.1332, 3), ('Santiago', -33.4489, -70.6693, 4), ('Sao_Paulo', -23.5505, -46.6333, 5)) t(city, lat, lon, i))
+SELECT event_id, coalesce(city, 'elsewhere') AS city,
+       CASE WHEN event_id % 5 = 0 THEN value ELSE CAST(lat AS DOUBLE) END AS latitude,
+       CASE WHEN event_id % 5 = 0 THEN -value ELSE CAST(lon AS DOUBLE) END AS longitude
+FROM events LEFT JOIN c ON event_id % 8 = i
+"""
+ORACLES["stamp_fetch"] = f"SELECT 'Lima' AS city_name, '2024-02-01T00:00:00' AS fetch_timestamp, count(*) AS n_docs FROM ({DOCS_SQL}) d"
+ORACLES["preview"] = f'SELECT city, "timestamp", version FROM ({M_SQL}) m ORDER BY "timestamp", version LIMIT 5'
+ORACLES["quick_drift"] = ORACLES["drift_dataset"]

@@ -60,8 +60,10 @@ def local_session(app: str = "envflow", cores: str = "*", shuffle_partitions: in
 
 
 def materialize(df):
-    """Cut lineage of a small, reused intermediate (a pre-aggregation) with a
-    reliable checkpoint in the shared checkpoint folder, so the detail rows
-    under it are read once and a lost executor does not replay the scan."""
-    checkpoint_base(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of a reused intermediate: write it as Parquet under the shared
+    checkpoint folder and read it back, so the rows under it are computed once and
+    a lost executor does not replay them."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import metric_key
 
-REGISTRY_SCHEMA = "name string, path string, saved_at timestamp_ntz, model_type string, features array<string>, classes array<string>"
-RUNS_SCHEMA = "run_name string, logged_at timestamp_ntz, params map<string,string>, metrics map<string,double>"
 
 
 def save_model(model: PipelineModel, path: str) -> str:
@@ -21,11 +19,6 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def register_artifact(spark: SparkSession, registry_path: str, rows: list[tuple]) -> None:
-    """Append artifact rows (name, path, saved_at, model_type, features, classes)."""
-    spark.createDataFrame(rows, REGISTRY_SCHEMA).write.mode("append").parquet(registry_path)
-
-
 def latest_artifact(registry: DataFrame, per_name: bool = True) -> DataFrame:
     """Newest artifact (by saved_at, path as tie-break), overall or per name."""
     order = F.struct("saved_at", "path")
