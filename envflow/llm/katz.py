@@ -44,7 +44,7 @@ from envflow.session import scratch_path
 GT_MOST = 5
 TAIL = 0.05
 ADDED = 0.1  # of the base score
-CHUNK_TOKENS, CHUNK_DOCS = 4_000_000, 65_535
+CHUNK_TOKENS, CHUNK_DOCS = 2_500_000, 65_535
 BUCKET_BYTES = 32 << 20
 LEAST_BUCKETS = 8
 SAMPLE_EVERY = 32  # documents looked at for frequent words; decides the layout only
@@ -97,7 +97,7 @@ class Bucket:
 
     def __init__(self, t: pa.Table):
         def get(c: str, kind) -> list[np.ndarray]:
-            return [np.frombuffer(x, dtype=kind) for x in t.column(c).to_pylist()]
+            return [np.frombuffer(x.as_buffer(), dtype=kind) for x in t.column(c)]  # no copies
 
         self.chunks = t.column("chunk").to_pylist()
         train = get("train", np.uint8)
@@ -114,9 +114,10 @@ class Bucket:
         pair = word | np.concatenate(([True], f[1:] != f[:-1]))
         number = np.empty(len(order), dtype=np.int32)
         number[order] = np.cumsum(pair) - 1
+        self.words, self.first = s[word], f[pair]
+        del order, s, f, second, first
         self.docs = int(base[-1])
         self.pair = np.repeat(number, times)  # of each occurrence
-        self.words, self.first = s[word], f[pair]
         self.word = (np.cumsum(word) - 1)[pair]  # of each pair
         learned = np.concatenate(train)[self.doc]
         self.count = np.bincount(self.pair, weights=learned, minlength=len(self.first)).astype(np.int64)
