@@ -1,8 +1,8 @@
 """Language ID (8): sparse multinomial logistic regression on TF-IDF character n-grams.
 
 1. Features: hashed n-grams (2 and 3) of the lower-cased text's letters, all else a space;
-   sublinear counts times inverse document frequency, scaled to length 1. Document
-   frequencies are counted over every document to learn from.
+   sublinear counts times inverse document frequency, scaled to length 1 over the n-grams
+   that the sample has. Document frequencies are counted over every document to learn from.
 2. Training: follow-the-regularised-leader (FTRL-proximal) with elastic-net penalties on
    at most SAMPLE_PER_LANG labelled documents per language, taken by hash order (the
    bound of this fit; a fifth of them calibrates).
@@ -29,9 +29,9 @@ from envflow.llm.common import on_workers, text_of
 
 UNKNOWN = "und"
 ORDERS = (2, 3)
-FEATURE_BITS = 16
+FEATURE_BITS = 18
 FEATURES = 1 << FEATURE_BITS
-SAMPLE_PER_LANG = 1500
+SAMPLE_PER_LANG = 2500
 LANGUAGES = 512
 CALIBRATION_SHARE = 5  # every fifth document of the sample
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 2.0, 1.0, 1e-4, 1e-4
@@ -218,10 +218,11 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, id_col: str = "doc_i
     df, total = document_frequencies(known.select("_text"))
     idf = np.log((1 + total) / (1 + df)) + 1
     index = {x: i for i, x in enumerate(languages)}
-    rows, labels = [], np.array([index[lang] for _, lang in sample])
-    for text, _ in sample:
-        r, f, c = features([text])
-        rows.append((f, weighted(r, f, c, idf, 1)))
+    labels = np.array([index[lang] for _, lang in sample])
+    counted = [features([text])[1:] for text, _ in sample]
+    # n-grams that nothing was learned about have no part in a text's length
+    idf[np.setdiff1d(np.arange(FEATURES), np.concatenate([f for f, _ in counted]))] = 0
+    rows = [(f, weighted(np.zeros(len(f), dtype=np.int64), f, c, idf, 1)) for f, c in counted]
     held = np.arange(len(rows)) % CALIBRATION_SHARE == 0
     learn = np.flatnonzero(~held) if len(rows) >= 10 * len(languages) else np.arange(len(rows))
     weights = fit_ftrl([rows[i] for i in learn], labels[learn], len(languages))
