@@ -24,7 +24,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -228,39 +227,47 @@ def _mixed(
     rows = rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
     kind = buckets.schema["id"].dataType.simpleString()
 
-    def compare(frames):
+    def compare(batches):
         held = None
-        for f in frames:
-            f = f if held is None else pd.concat([held, f], ignore_index=True)
-            key = f[["bucket", "x", "y"]].to_numpy()
-            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            start = 0
-            for end in cuts:
-                yield from told(f.iloc[start:end])
-                start = end
-            held = f.iloc[start:]
-        if held is not None and len(held):
-            yield from told(held)
-
-    def told(f):
-        ids, c = f["id"].to_numpy(), f["c"].to_numpy()
-        found = Block(f, similar_pct, bounds).pairs()
-        if forest:
-            found = _forest(found, c)
-        if found:
-            yield pd.DataFrame([(max(ids[i], ids[j]), min(ids[i], ids[j])) for i, j, _ in found], columns=["a", "b"])
-
-    return on_workers(rows).mapInPandas(compare, f"a {kind}, b {kind}").distinct()
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            key = np.column_stack([t.column(c).to_numpy() for c in ("bucket", "x", "y")])
+            last = int(np.flatnonzero((key[1:] != key[:-1]).any(axis=1))[-1]) + 1 if (key[1:] != key[:-1]).any() else 0
+            if last:
+                yield told(t.slice(0, last), key[:last])
+            held = t.slice(last)
+        if held is not None and held.num_rows:
+            yield told(held, np.column_stack([held.column(c).to_numpy() for c in ("bucket", "x", "y")]))
+
+    def told(t: pa.Table, key: np.ndarray) -> pa.RecordBatch:
+        """Pairs of the whole block pairs in ``t``."""
+        ids, c, n = t.column("id").to_pylist(), t.column("c").to_numpy(), t.column("n").to_numpy()
+        words, block = _words(t.column("sketch").to_pylist()), t.column("block").to_numpy()
+        bottom = t.column("bottom").to_pylist()
+        edges = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(key)]))
+        out = []
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            g = slice(lo, hi)
+            across = key[lo, 1] != key[lo, 2]
+            found = Block(words[g], n[g], c[g], block[g], across, bottom[g], similar_pct, bounds).pairs()
+            if forest:
+                found = _forest(found, c[g])
+            out += [(ids[lo + i], ids[lo + j]) for i, j, _ in found]
+        kind = t.schema.field("id").type
+        pairs = [pa.array([f(p) for p in out], kind) for f in (max, min)]
+        return pa.RecordBatch.from_arrays(pairs, names=["a", "b"])
+
+    return on_workers(rows).mapInArrow(compare, f"a {kind}, b {kind}").distinct()
 
 
 class Block:
     """The members of a bucket, or of two of its blocks, and the pairs of them that stay."""
 
-    def __init__(self, f, similar_pct: int, bounds: list[int]):
+    def __init__(self, words, n, c, block, across: bool, bottom: list[bytes], similar_pct: int, bounds: list[int]):
         self.pct, self.bounds = similar_pct, bounds
-        self.words, self.n, self.c = _words(f["sketch"].tolist()), f["n"].to_numpy(), f["c"].to_numpy()
-        self.block, self.across = f["block"].to_numpy(), f["x"].iloc[0] != f["y"].iloc[0]
-        self.bottom = [np.frombuffer(x, "<u4") for x in f["bottom"]]
+        self.words, self.n, self.c, self.block, self.across = words, n, c, block, across
+        self.bottom = [np.frombuffer(x, "<u4") for x in bottom]
         self.size = np.array([len(x) for x in self.bottom])
         self.flat = np.concatenate(self.bottom)
         self.begin = np.cumsum(self.size) - self.size

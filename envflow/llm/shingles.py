@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 SHINGLE_WORDS = 5
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 _U = np.uint64
 _FACTORS = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
