@@ -28,7 +28,7 @@ from envflow.llm.fm_index import FMIndex
 
 WINDOW_WORDS = 10
 #: Words of documents per shard, and bytes of benchmark text per broadcast block.
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 1_000_000
 BLOCK_BYTES = 8 << 20
 
 #: Words are runs of 0-9, a-z and bytes from 0x80 on, after A-Z in lower case.
@@ -116,11 +116,16 @@ def search(phrases: Phrases, docs: list[list[bytes]]) -> list[tuple[list[tuple[i
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str):
+def _phrase_rows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    return benchmark.select(F.col(item_col).cast("string").alias("i"), text_of(text_col).alias("t")).distinct()
+
+
+def _block_count(rows: DataFrame) -> int:
+    return sized(rows.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0, BLOCK_BYTES)
+
+
+def _blocks(rows: DataFrame, parts: int):
     """The benchmark's rows in lists of about BLOCK_BYTES of text."""
-    rows = benchmark.select(F.col(item_col).cast("string").alias("i"), text_of(text_col).alias("t")).distinct()
-    total = rows.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
-    parts = sized(total, BLOCK_BYTES)
     for k in range(parts):
         own = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == k)
         yield [(r.i, r.t) for r in own.orderBy("i", "t").toLocalIterator()]
@@ -135,8 +140,10 @@ def occurrences(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    cut: bool = False,
 ) -> DataFrame:
-    """Per row of ``docs``: ``_id, _words``, merged word ``_spans``, ``_items``, and columns ``keep``."""
+    """Per row of ``docs``: ``_id, _words``, merged word ``_spans``, ``_items``, and columns ``keep``
+    (as ``_k_<name>``). With ``cut``, the spans are cut out of the kept text column."""
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"), *[F.col(f"`{c}`").alias(f"_k_{c}") for c in keep])
     kept = src.columns[2:]
@@ -157,8 +164,11 @@ def occurrences(
                         hi += 1
                     found = search(phrases, words)
                     part = b.slice(lo, hi - lo)
+                    cols = {c: part.column(c) for c in ["_id", *kept]}
+                    if cut_here:
+                        _cut(cols, f"_k_{text_col}", "_k_n_chars", [x for x, _ in found])
                     arrays = [
-                        *[part.column(c) for c in ["_id", *kept]],
+                        *cols.values(),
                         pa.array([len(w) for w in words], pa.int64()),
                         pa.array([[{"start": s, "end": e} for s, e in x] for x, _ in found], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                         pa.array([[phrases.items[i] for i in sorted(y)] for _, y in found], pa.list_(pa.string())),
@@ -168,13 +178,38 @@ def occurrences(
 
         return run
 
+    phrases = _phrase_rows(benchmark, item_col, item_text_col)
+    parts = _block_count(phrases)
+    cut_here = cut and parts == 1  # with more blocks, after their spans have met
     results = []
-    for rows in _blocks(benchmark, item_col, item_text_col):
+    for rows in _blocks(phrases, parts):
         shared = spark.sparkContext.broadcast(Phrases(rows, size))
         results.append(on_workers(src).mapInArrow(searcher(shared), schema))
-    if len(results) == 1:
+    if parts == 1:
         return results[0]
-    return _met(results, kept)
+    met = _met(results, kept)
+    if not cut:
+        return met
+
+    def cut_met(batches):
+        for b in batches:
+            cols = dict(zip(b.schema.names, b.columns))
+            spans = [[(x["start"], x["end"]) for x in s] for s in b.column("_spans").to_pylist()]
+            _cut(cols, f"_k_{text_col}", "_k_n_chars", spans)
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+    return on_workers(met).mapInArrow(cut_met, met.schema)
+
+
+def _cut(cols: dict, text: str, n_chars: str, spans: list[list[tuple[int, int]]]) -> None:
+    """Cut the spans out of the Arrow column ``text`` of ``cols``; ``n_chars`` follows where it is there."""
+    if not any(spans):
+        return
+    clean = [without_words(t, s) if s else t for t, s in zip(cols[text].to_pylist(), spans)]
+    cols[text] = pa.array(clean, pa.string())
+    if n_chars in cols:
+        n = [len(t) if s else n for t, s, n in zip(clean, spans, cols[n_chars].to_pylist())]
+        cols[n_chars] = pa.array(n, cols[n_chars].type)
 
 
 def _met(results: list[DataFrame], kept: list[str]) -> DataFrame:
@@ -240,28 +275,8 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> str:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with every span of benchmark words cut out of ``text_col``; ``n_chars`` follows
     where it is there. Rows and other columns stay."""
-    found = occurrences(docs, benchmark, keep=tuple(docs.columns), id_col=id_col, text_col=text_col, **how)
-    rows = found.select(*[F.col(f"`_k_{c}`").alias(c) for c in docs.columns], F.col("_spans"))
-
-    columns = docs.columns
-
-    def cut(batches):
-        for b in batches:
-            spans = b.column("_spans").to_pylist()
-            cols = {c: b.column(c) for c in columns}
-            if any(spans):
-                hit = [bool(x) for x in spans]
-                text = [
-                    without_words(t, [(x["start"], x["end"]) for x in s]) if s else t
-                    for t, s in zip(cols[text_col].to_pylist(), spans)
-                ]
-                cols[text_col] = pa.array(text, pa.string())
-                if "n_chars" in cols:
-                    n = [len(t) if h else n for t, h, n in zip(text, hit, cols["n_chars"].to_pylist())]
-                    cols["n_chars"] = pa.array(n, cols["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
-
-    return on_workers(rows).mapInArrow(cut, docs.schema)
+    found = occurrences(docs, benchmark, keep=tuple(docs.columns), id_col=id_col, text_col=text_col, cut=True, **how)
+    return found.select(*[F.col(f"`_k_{c}`").alias(c) for c in docs.columns])
 
 
 def items_digest(items) -> str:
