@@ -188,19 +188,17 @@ def pack_pieces(found: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_i
     plan = pack_plan(counts, capacity)
     keys = (plan[:, 0] << _RANK_BITS) | plan[:, 1]
 
-    def seat(frames):
-        for f in frames:
-            length, rank = f["length"].to_numpy(), f["_rank"].to_numpy()
+    def seat(batches):
+        for b in batches:
+            length, rank = b.column("length").to_numpy(), b.column("_rank").to_numpy()
             p = plan[np.searchsorted(keys, (length << _RANK_BITS) | rank, side="right") - 1]
             at = rank - p[:, 1]
-            f = f.drop(columns="_rank")
-            f["sequence_id"] = p[:, 3] + at // p[:, 4]
-            f["offset"] = p[:, 5] + at % p[:, 4] * length
-            yield f
+            places = [pa.array(p[:, 3] + at // p[:, 4]), pa.array(p[:, 5] + at % p[:, 4] * length)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *places], names=[*b.schema.names[:-1], "sequence_id", "offset"])
 
     rows = ranked(found, counts, id_col).select(*found.columns, "_rank")
     fields = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in found.schema)
-    return on_workers(rows).mapInPandas(seat, f"{fields}, sequence_id long, offset long")
+    return on_workers(rows).mapInArrow(seat, f"{fields}, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
