@@ -10,24 +10,31 @@ heads of texts, and texts with other white space, go there in batches balanced b
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-
-import numpy as np
+import struct
+import threading
+import time
 
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 #: A text longer than this many characters is encoded slice by slice.
 SLICE_CHARS = 1 << 20
 #: Bytes per call of the library.
 BATCH_BYTES = 1 << 18
-#: Longest segment kept in a memo, in characters, and entries kept in its two generations.
+#: Longest segment kept in a memo, in characters, and entries kept in its two generations (about
+#: 200 bytes an entry). Workers live on between tasks, and so do their memos, until no task
+#: has used them for IDLE_SECONDS.
 MEMO_CHARS = 48
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES, WORD_ENTRIES = 1_000_000, 1_000_000
+IDLE_SECONDS = 4.0
 #: Latin letters, then marks, perhaps a line break and the same again: words of the pre-tokenizer.
 _LETTERS, _MARKS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)", "([.,;:!?#$%&*|)]*)"
 PLAIN = re.compile(rf"{_LETTERS}{_MARKS}(?:\n{_LETTERS}{_MARKS})?")
 
 _ENCODERS: dict = {}
+_LAST_USE = [0.0]
+_TIMER: list = []
 
 
 def byte_letters() -> dict[int, str]:
@@ -40,15 +47,15 @@ def byte_letters() -> dict[int, str]:
 class _Memo(dict):
     """Segment -> value; a missing one is asked of ``learn`` and remembered if it is short."""
 
-    def __init__(self, learn):
+    def __init__(self, learn, entries: int):
         super().__init__()
-        self.learn = learn
+        self.learn, self.entries = learn, entries
         self.before: dict = {}  # the generation before this one
 
     def __missing__(self, s: str):
         value = self.before[s] if s in self.before else self.learn(s)
         if len(s) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES // 2:
+            if len(self) >= self.entries // 2:
                 self.before = dict(self)
                 self.clear()
             self[s] = value
@@ -66,8 +73,8 @@ class SegmentEncoder:
         self.model = self.tokenizer.model
         self.keep, self.join = keep, join
         self.letters = byte_letters()
-        self.words = _Memo(self._word)
-        self.segments = _Memo(self._segment)  # of segments without their leading space; None if not safe alone
+        self.words = _Memo(self._word, WORD_ENTRIES)
+        self.segments = _Memo(self._segment, MEMO_ENTRIES)  # of segments without their leading space; None if not safe alone
 
     def _word(self, word: str):
         """A word of the pre-tokenizer: letters after a space, or marks."""
@@ -130,7 +137,8 @@ def as_count(ids) -> int:
 
 
 def as_bytes(ids) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+    """Little-endian unsigned 32-bit ids."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def joined(values) -> bytes:
@@ -145,9 +153,22 @@ def encoder(path: str, keep) -> SegmentEncoder:
     key = (path, keep.__name__)
     if key not in _ENCODERS:
         _ENCODERS[key] = SegmentEncoder(path, keep, JOINS[keep])
+    _LAST_USE[0] = time.monotonic()
+    if not _TIMER or not _TIMER[0].is_alive():
+        _TIMER[:] = [threading.Timer(IDLE_SECONDS, _forget)]
+        _TIMER[0].daemon = True
+        _TIMER[0].start()
     return _ENCODERS[key]
 
 
+def _forget() -> None:
+    """Drop the encoders of an idle worker; look again later while they are used."""
+    while (left := _LAST_USE[0] + IDLE_SECONDS - time.monotonic()) > 0:
+        time.sleep(left)
+    _ENCODERS.clear()
+    gc.collect()
+
+
 def balanced(texts: list[str], limit: int):
     """Index ranges of consecutive texts of about ``limit`` characters each."""
     start = size = 0
@@ -162,8 +183,8 @@ def balanced(texts: list[str], limit: int):
 
 def encode_all(texts: list[str], path: str, keep, limit: int = 1 << 21):
     """Yield a list with the value of each text, byte-balanced batch by batch."""
-    enc = encoder(path, keep)
     for a, b in balanced(texts, limit):
+        enc = encoder(path, keep)
         flat = [slices(t) for t in texts[a:b]]
         values = iter(enc.values([s for cut in flat for s in cut]))
         yield [enc.join([next(values) for _ in cut]) for cut in flat]
