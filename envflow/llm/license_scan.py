@@ -9,7 +9,11 @@
 3. Each candidate region is aligned with the template, word by word, in a band around its
    diagonal: matches score, gaps and replacements cost. The matched share of the
    template's words is the coverage, the first and last matched word the span.
-   Of overlapping matches the one with more matched words stays.
+   Regions whose words cannot reach the least coverage are not aligned (exact bounds: a
+   template's word needs its like within the band).
+4. A match must hold its template's deciding words (``license_templates.DECIDING``) in a
+   row, so that a relative with a word more or less is not taken for it. Of overlapping
+   matches the one with more matched words stays.
 
 Map side only; no shuffle.
 
@@ -20,6 +24,7 @@ ties go to the higher coverage, then to the lesser template name.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -30,7 +35,7 @@ from pyspark.sql import functions as F
 
 from envflow.llm.bpe import balanced
 from envflow.llm.common import on_workers, text_of
-from envflow.llm.license_templates import TEMPLATES
+from envflow.llm.license_templates import DECIDING, TEMPLATES
 from envflow.llm.shingles import mixed
 
 K, WINDOW = 8, 6
@@ -72,13 +77,16 @@ def selected(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Index:
-    """The templates' words, and their selected hashes in order with owner and place."""
+    """The templates' words, and their selected hashes in order with owner and word."""
 
     names: list[str]
-    words: list[list[str]]
+    vocab: dict[str, int]
+    words: list[np.ndarray]  # numbers in vocab
+    sizes: list[np.ndarray]  # characters of a template's least words, cumulated
+    deciding: list[list[np.ndarray]]  # runs of words that a match has to hold
     hashes: np.ndarray
     owner: np.ndarray
-    place: np.ndarray
+    word: np.ndarray
 
     @classmethod
     def of(cls, templates: dict[str, str]) -> Index:
@@ -87,17 +95,49 @@ class Index:
         h = np.concatenate([x[1] for x in found]) if found else np.empty(0, np.uint64)
         owner = np.repeat(np.arange(len(names)), [len(x[0]) for x in found])
         place = np.concatenate([x[0] for x in found]) if found else np.empty(0, np.int64)
+        texts = [[w.lower() for w in _WORD.findall(templates[n])] for n in names]
+        lengths = [np.array([len(w) for w in t], dtype=np.int64) for t in texts]
+        at = [np.searchsorted(np.cumsum(n), x[0], side="right") for n, x in zip(lengths, found)]
+        word = np.concatenate(at) if found else np.empty(0, np.int64)
         order = np.lexsort((place, owner, h))
-        words = [[w.lower() for w in _WORD.findall(templates[n])] for n in names]
-        return cls(names, words, h[order], owner[order], place[order])
+        vocab: dict[str, int] = {}
+        words = [np.array([vocab.setdefault(w, len(vocab)) for w in t], dtype=np.int32) for t in texts]
+        deciding = []
+        for n, own in zip(names, words):
+            runs = [[vocab.get(w, -1) for w in run.split()] for run in DECIDING.get(n, "").split("|")]
+            runs = [np.array(run, dtype=np.int32) for run in runs if run]
+            deciding.append([run for run in runs if holds(own, run)])
+        return cls(names, vocab, words, [np.cumsum(np.sort(n)) for n in lengths], deciding, h[order], owner[order], word[order])
 
+    def least_chars(self, least: float) -> np.ndarray:
+        """Characters that a text must have at least to match each template."""
+        need = [max(1, math.ceil(least * len(n))) for n in self.sizes]
+        return np.array([n[min(k, len(n)) - 1] if len(n) else 0 for k, n in zip(need, self.sizes)], dtype=np.int64)
 
-def band_of(template: list[str]) -> int:
+
+def holds(words: np.ndarray, run: np.ndarray) -> bool:
+    if len(words) < len(run):
+        return False
+    starts = np.flatnonzero(words[: len(words) - len(run) + 1] == run[0])
+    return any((words[s : s + len(run)] == run).all() for s in starts)
+
+
+def band_of(template: np.ndarray) -> int:
     """Short templates get narrow bands, so that neighbouring copies stay apart."""
     return min(BAND, max(2, len(template) // 4))
 
 
-def align(words: list[str], template: list[str], start: int) -> tuple[int, int, int] | None:
+def reach(words: np.ndarray, template: np.ndarray, start: int) -> int:
+    """No alignment in the band matches more words: the template's words with their like in it."""
+    band = band_of(template)
+    lo, hi = start - band, start + len(template) + band
+    own = words[max(0, lo) : max(0, hi)]
+    near = np.full(hi - lo, -1, dtype=np.int32)
+    near[max(0, -lo) : max(0, -lo) + len(own)] = own
+    return int((np.lib.stride_tricks.sliding_window_view(near, 2 * band + 1) == template[:, None]).any(axis=1).sum())
+
+
+def align(words: list[int], template: list[int], start: int) -> tuple[int, int, int] | None:
     """Banded alignment of the template with ``words`` from about ``start`` on: matched words,
     first and last matched word. Row i of the band holds words start + i - band .. start + i + band."""
     band = band_of(template)
@@ -131,28 +171,34 @@ def align(words: list[str], template: list[str], start: int) -> tuple[int, int,
     return best[1]
 
 
-def matches(text: str, hits: list[tuple[int, int, int]], index: Index, least: float) -> list[tuple[str, int, int, float, int]]:
-    """(template, start, end, coverage, matched words) from (template, place in the text, place
-    in the template) hits on the normalized text."""
+def matches(text: str, owner: np.ndarray, at: np.ndarray, word_in: np.ndarray, index: Index, least: float) -> list[tuple[str, int, int, float, int]]:
+    """(template, start, end, coverage, matched words) from hits on the normalized text: their
+    templates, places in the text and words of the template."""
     spans = [m.span() for m in _WORD.finditer(text)]
-    words = [text[a:b].lower() for a, b in spans]
-    ends = np.cumsum([len(w) for w in words])
+    words = np.array([index.vocab.get(text[a:b].lower(), -1) for a, b in spans], dtype=np.int32)
+    listed = words.tolist()
+    ends = np.cumsum([b - a for a, b in spans])
+    # the word of the text that the template would start with, were nothing changed
+    first_word = np.searchsorted(ends, at, side="right") - word_in
     found = []
-    by_template: dict[int, list[int]] = {}
-    for t, at, place in hits:
-        # the word of the text that the template would start with, were nothing changed
-        sizes = np.cumsum([len(w) for w in index.words[t]])
-        word_at = int(np.searchsorted(ends, at, side="right"))
-        word_in = int(np.searchsorted(sizes, place, side="right"))
-        by_template.setdefault(t, []).append(word_at - word_in)
-    for t, starts in by_template.items():
+    for t in np.unique(owner).tolist():
         template, done = index.words[t], None
-        for s in sorted(starts):
-            if done is not None and s - done <= band_of(template) // 2:
+        band, need = band_of(template), max(1, least * len(template))
+        known = np.concatenate(([0], np.cumsum(np.isin(words, template))))
+        if known[-1] < need:
+            continue
+        for s in np.unique(first_word[owner == t]).tolist():
+            if done is not None and s - done <= band // 2:
                 continue  # the same region: this diagonal is within its band
             done = s
-            m, first, last = align(words, template, s) or (0, 0, 0)
-            if m >= max(1, least * len(template), DENSITY * (last - first + 1)):
+            lo, hi = max(0, s - band), max(0, min(len(words), s + len(template) + band))
+            if hi <= lo or known[hi] - known[lo] < need or reach(words, template, s) < need:
+                continue
+            if s >= 0 and np.array_equal(words[s : s + len(template)], template):
+                m, first, last = len(template), s, s + len(template) - 1
+            else:
+                m, first, last = align(listed, template.tolist(), s) or (0, 0, 0)
+            if m >= max(need, DENSITY * (last - first + 1)) and all(holds(words[first : last + 1], x) for x in index.deciding[t]):
                 found.append((m, m / len(template), index.names[t], first, last))
     found.sort(key=lambda x: (-x[0], -x[1], x[2], x[3]))
     kept: list = []
@@ -171,14 +217,18 @@ def scan_texts(texts: list[str], index: Index, least: float) -> list[list[tuple[
     at, h = selected(_BETWEEN.join(streams) + _BETWEEN)
     lo, hi = np.searchsorted(index.hashes, h, "left"), np.searchsorted(index.hashes, h, "right")
     hit = np.flatnonzero(hi > lo)
-    doc = np.searchsorted(begins, at[hit], "right") - 1
-    by_doc: dict[int, list] = {}
-    for d, a, x, y in zip(doc.tolist(), at[hit].tolist(), lo[hit].tolist(), hi[hit].tolist()):
-        own = by_doc.setdefault(d, [])
-        own += [(int(index.owner[k]), a - int(begins[d]), int(index.place[k])) for k in range(x, y)]
+    lo, n = lo[hit], (hi - lo)[hit]
+    entry = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    at = np.repeat(at[hit], n)
+    doc = np.searchsorted(begins, at, "right") - 1
+    owner = index.owner[entry]
+    able = np.flatnonzero((sizes - K)[doc] >= index.least_chars(least)[owner])
+    at = (at - begins[doc])[able]
+    doc, owner, word = doc[able], owner[able], index.word[entry[able]]
     out: list = [[] for _ in texts]
-    for d, hits in by_doc.items():
-        out[d] = matches(texts[d], hits, index, least)
+    edges = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1], [True]))) if len(doc) else []
+    for a, b in zip(edges[:-1], edges[1:]):
+        out[doc[a]] = matches(texts[doc[a]], owner[a:b], at[a:b], word[a:b], index, least)
     return out
 
 

@@ -124,3 +124,29 @@ def test_license_messy_rows(spark):
     got = [r.doc_id for r in license_scan.scan_licenses(many).collect()]
     assert (got.count(None), got.count(1), got.count(2)) == (1, 2, 2000)
     assert license_scan.scan_licenses(none_of(docs)).count() == 0
+
+
+def test_whole_texts_and_notices_of_relatives():
+    def names(text):
+        return [x[0] for x in scan([text])[0]]
+
+    opening = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation"
+    assert names(opening.format("General")) == ["GPL-notice"]
+    assert names(opening.format("Affero General")) == ["AGPL-notice"]
+    assert names(opening.format("Unheard-of General")) == []
+    later = ", either version 3 of the License, or (at your option) any later version."
+    assert names(opening.format("General") + later) == ["GPL-3.0-or-later"]
+    assert names(opening.format("Affero General") + later) == ["AGPL-3.0-or-later"]
+    assert names("Licensed under CC BY-NC-SA 4.0.") == ["CC-BY-NC-SA-4.0-short"]
+    assert names("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.") == ["CC-BY-ND-4.0"]
+    assert names("This work is licensed under the GNU Lesser General Public License, version 2.1.") == ["LGPL-2.1-short"]
+    whole = [n for n in TEMPLATES if n.endswith(("-text", "-notice"))]
+    assert len(whole) > 30
+    for n in whole:
+        assert names(TEMPLATES[n]) == [n]
+    # the licenses' own words, also with the holder's name and without numbered clauses
+    three = TEMPLATES["BSD-3-Clause-text"].replace("the copyright holder nor", "Example Corporation nor").replace("1. ", "* ").replace("2. ", "* ")
+    assert names(three) == ["BSD-3-Clause-text"]
+    assert names(TEMPLATES["BSD-2-Clause-text"].replace("1. ", "- ").replace("2. ", "- ")) == ["BSD-2-Clause-text"]
+    # an opening is still told from the whole
+    assert names(TEMPLATES["MIT"]) == ["MIT"]
