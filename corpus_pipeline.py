@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from envflow.llm import decontaminate, language_id, near_dedup, packing, secret_scan
 from envflow.llm.common import stored, table
 
-#: A document whose best language scores less is rejected.
+#: A document whose best language scores less is rejected, or knows too little of it (``language_id.LEAST_KNOWN``).
 LEAST_LANGUAGE_SCORE = 0.3
 
 

@@ -9,6 +9,9 @@
 3. Calibration: one temperature that minimises the log loss of the calibration part.
 4. Prediction: every whole text, map side, with the model broadcast (its size is
    features x languages, whatever the data).
+5. Rejection: by the share of a text's TF-IDF mass on n-grams that the sample of its best
+   language has (n-grams that no language has count in full), so that it means the same
+   for any number of languages, and by the score's margin over 1 / languages.
 
 Defined cases: a null text or one without letters is ``und`` with score 0; so is everything
 when there is nothing to learn from; repeated rows and null ids give a row each (null
@@ -37,6 +40,9 @@ CALIBRATION_SHARE = 5  # every fifth document of the sample
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 2.0, 1.0, 1e-4, 1e-4
 _U = np.uint32
 _FACTORS = (_U(0x9E3779B1), _U(0x85EBCA77), _U(0xC2B2AE3D), _U(0x27D4EB2F))
+#: Rejection: least known share, texts counting as SURE n-grams longer, all known (a word or two tell little);
+#: least part of the way from 1 / languages to 1 that the score has to go.
+LEAST_KNOWN, SURE, LEAST_MARGIN = 0.7, 8, 0.1
 BATCH_CHARS = 1 << 19
 
 _LETTER_BITS: list = []
@@ -98,19 +104,33 @@ def weighted(row: np.ndarray, feature: np.ndarray, count: np.ndarray, idf: np.nd
 class Model:
     languages: list[str]
     idf: np.ndarray  # FEATURES
+    seen: np.ndarray  # languages x FEATURES / 8: bits of the n-grams that a language's sample has
     weights: np.ndarray  # FEATURES + 1 (bias) x languages
     temperature: float
 
-    def logits(self, texts: list[str]) -> np.ndarray:
-        row, feature, count = features(texts)
-        x = weighted(row, feature, count, self.idf, len(texts))
+    def logits(self, texts: list[str], found: tuple | None = None) -> np.ndarray:
+        row, feature, count = found or features(texts)
+        x = weighted(row, feature, count, self.idf * self.learned(), len(texts))
         out = np.empty((len(texts), len(self.languages)))
         for k in range(len(self.languages)):
             out[:, k] = np.bincount(row, weights=x * self.weights[feature, k], minlength=len(texts))
         return out + self.weights[-1]
 
-    def probabilities(self, texts: list[str]) -> np.ndarray:
-        return softmax(self.logits(texts) / self.temperature)
+    def learned(self) -> np.ndarray:
+        """N-grams of the sample: those that nothing was learned about have no part in a text's length."""
+        return np.unpackbits(np.bitwise_or.reduce(self.seen, axis=0)).astype(bool)
+
+    def probabilities(self, texts: list[str], found: tuple | None = None) -> np.ndarray:
+        return softmax(self.logits(texts, found) / self.temperature)
+
+    def known(self, texts: list[str], best: np.ndarray, found: tuple | None = None) -> np.ndarray:
+        """Of each text the share of TF-IDF mass on n-grams of the language ``best``; see SURE."""
+        row, feature, count = found or features(texts)
+        mass = ((1 + np.log(count)) * self.idf[feature]) ** 2
+        has = (self.seen[best[row], feature >> 3] >> (7 - (feature & 7)).astype(np.uint8)) & 1
+        total, n = (np.bincount(row, weights=w, minlength=len(texts)) for w in (mass, None))
+        sure = SURE * total / np.maximum(n, 1)
+        return (np.bincount(row, weights=mass * has, minlength=len(texts)) + sure) / np.where(n > 0, total + sure, 1)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -220,23 +240,29 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, id_col: str = "doc_i
     index = {x: i for i, x in enumerate(languages)}
     labels = np.array([index[lang] for _, lang in sample])
     counted = [features([text])[1:] for text, _ in sample]
-    # n-grams that nothing was learned about have no part in a text's length
-    idf[np.setdiff1d(np.arange(FEATURES), np.concatenate([f for f, _ in counted]))] = 0
+    seen = np.zeros((len(languages), FEATURES // 8), dtype=np.uint8)
+    for k in range(len(languages)):
+        has = np.zeros(FEATURES, dtype=bool)
+        for i in np.flatnonzero(labels == k):
+            has[counted[i][0]] = True
+        seen[k] = np.packbits(has)
     rows = [(f, weighted(np.zeros(len(f), dtype=np.int64), f, c, idf, 1)) for f, c in counted]
     held = np.arange(len(rows)) % CALIBRATION_SHARE == 0
     learn = np.flatnonzero(~held) if len(rows) >= 10 * len(languages) else np.arange(len(rows))
     weights = fit_ftrl([rows[i] for i in learn], labels[learn], len(languages))
-    model = Model(languages, idf, weights.astype(np.float32), 1.0)
+    model = Model(languages, idf, seen, weights.astype(np.float32), 1.0)
     check = np.flatnonzero(held)
     logits = np.array([x @ weights[f] + weights[-1] for f, x in (rows[i] for i in check)])
     model.temperature = fit_temperature(logits, labels[check])
     return model
 
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` added; it has no columns of these names."""
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text", known: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` added, and where asked for the ``known`` share; it has no
+    columns of these names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
+    added = ["lang_pred", "score", "known"][: 2 + known]
 
     def run(batches):
         import regex
@@ -245,16 +271,23 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
         for b in batches:
             texts = b.column(at).to_pylist()
             told = [model is not None and t is not None and letter.search(t) is not None for t in texts]
-            lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            lang, score, share = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             some = [i for i, k in enumerate(told) if k]
             for lo, hi in balanced([texts[i] for i in some], BATCH_CHARS):
-                p = model.probabilities([texts[i] for i in some[lo:hi]])
-                for i, k, s in zip(some[lo:hi], p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
+                own = [texts[i] for i in some[lo:hi]]
+                found = features(own)
+                p = model.probabilities(own, found)
+                best = p.argmax(axis=1)
+                for i, k, s in zip(some[lo:hi], best.tolist(), p.max(axis=1).tolist()):
                     lang[i], score[i] = model.languages[k], s
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang), pa.array(score)], names=[*b.schema.names, "lang_pred", "score"])
+                if known:
+                    for i, s in zip(some[lo:hi], model.known(own, best, found).tolist()):
+                        share[i] = s
+            more = [pa.array(lang), pa.array(score), pa.array(share)][: len(added)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, *added])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return on_workers(docs).mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return on_workers(docs).mapInArrow(run, f"{fields}, lang_pred string, score double{', known double' if known else ''}")
 
 
 def identify(docs: DataFrame, folds: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -269,9 +302,13 @@ def identify(docs: DataFrame, folds: int = 4, held: int = 2, id_col: str = "doc_
 
 
 def reject_unknown(docs: DataFrame, least: float, text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without those that have no letters or whose best language scores under ``least``.
-    The model learns from all labelled documents."""
+    """``docs`` without those that have no letters, whose best language scores under ``least`` or hardly more than
+    any other would (LEAST_MARGIN), or knows too little of the text (LEAST_KNOWN). The model learns from all
+    labelled documents."""
     model = train(docs, text_col=text_col, **how)
+    each = 1 / len(model.languages) if model else 0.0
+    floor = max(least, each + LEAST_MARGIN * (1 - each))
     wide = docs.select(*[F.col(f"`{c}`").alias(f"_k_{c}") for c in docs.columns])
-    kept = predict(wide, model, f"_k_{text_col}").where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    told = predict(wide, model, f"_k_{text_col}", known=True)
+    kept = told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= floor) & (F.col("known") >= LEAST_KNOWN))
     return kept.select(*[F.col(f"`_k_{c}`").alias(c) for c in docs.columns])

@@ -150,3 +150,25 @@ def test_whole_texts_and_notices_of_relatives():
     assert names(TEMPLATES["BSD-2-Clause-text"].replace("1. ", "- ").replace("2. ", "- ")) == ["BSD-2-Clause-text"]
     # an opening is still told from the whole
     assert names(TEMPLATES["MIT"]) == ["MIT"]
+
+
+@pytest.mark.parametrize("languages", [["en", "fr"], ["de", "en", "fr"], ["de", "en", "es", "fr"]])
+def test_unlearned_languages_and_lettered_junk_go(spark, languages):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    strange = [
+        "Η γρήγορη καφέ αλεπού πηδάει πάνω από το τεμπέλικο σκυλί και τρέχει μακριά στο δάσος",
+        "Быстрая коричневая лиса прыгает через ленивую собаку и убегает далеко в лес",
+        "素早い茶色の狐がのろまな犬を飛び越えて森の中へ走り去った",
+        "Szybki brązowy lis przeskakuje nad leniwym psem i ucieka daleko do lasu, gdzie żyją inne zwierzęta",
+        "xqzjv kfwq zzxv bbgq wqkz pfvj qxzk vvkj hjqz xkcq zwvx qqjk",
+        "QWxhZGRpbjpvcGVuIHNlc2FtZQ TWFueSBoYW5kcyBtYWtlIGxpZ2h0IHdvcms eyJhbGciOiJIUzI1NiJ9",
+    ]
+    learned = docs.where(docs.lang.isin(languages))
+    others = docs.where(~docs.lang.isin(languages)).selectExpr("doc_id", "text", "cast(null as string) lang")
+    added = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(strange)], "doc_id long, text string, lang string")
+    left = {r.doc_id for r in language_id.reject_unknown(learned.unionByName(others).unionByName(added), 0.3).select("doc_id").collect()}
+    assert not any(i < 0 for i in left)
+    lettered = {r.doc_id for r in learned.where("regexp_count(text, '[A-Za-z]') > 0").collect()}
+    assert lettered <= left
+    foreign = {r.doc_id for r in others.collect()}
+    assert len(foreign & left) <= 0.2 * len(foreign)
