@@ -9,15 +9,18 @@ ones by TAIL, so that every history leaves mass. bow(h) is exactly
 1. One scan cuts the documents into chunks, hashes their words (64 bits) and writes each
    chunk's distinct pairs, in order, with the documents they occur in, to a table bucketed
    by the pair's second word. This is the n-gram table; it is read without a shuffle.
-   Words that would overfill a bucket are spread over buckets by their history.
-2. First pass over the buckets: counts of counts, N, V, and the totals of spread words.
+   Words that would overfill a bucket are spread over buckets by their history, and pairs that
+   would (hot pairs) by chunk, so no task needs all occurrences of a word or of a pair. Both
+   are found in a scan of all documents: what holds a share of the corpus holds it in some chunk.
+2. First pass over the buckets: counts of counts, N, V, and the totals of spread words and hot pairs.
 3. Second pass: within a bucket the counts c(h, w) and c(w) are complete (a pair's second
    words are all tokens), so the parts of every document's score that depend on them
    are summed there; so are each history's sums for bow. A word is a history as often
-   as it is a token, so c(h) needs no lookup. Pairs not seen are joined with bow(h).
+   as it is a token, so c(h) needs no lookup. Pairs not seen are joined with bow(h). A hot
+   pair's part in the sums of its history is added once.
 
-Nothing but counts of counts and a list of frequent words, bounded by the number of buckets,
-passes through the driver.
+Nothing but counts of counts and lists of frequent words and hot pairs, bounded by the number of
+buckets (8 a bucket each), passes through the driver.
 
 Defined cases: null text counts as empty (the end token alone); repeated rows are scored each and,
 where they are learned from, counted each; null ids are neither learned from nor held out; extra
@@ -47,36 +50,58 @@ ADDED = 0.1  # of the base score
 CHUNK_TOKENS, CHUNK_DOCS = 2_500_000, 65_535
 BUCKET_BYTES = 32 << 20
 LEAST_BUCKETS = 8
-SAMPLE_EVERY = 32  # documents looked at for frequent words; decides the layout only
+SAMPLE_EVERY = 1  # documents looked at for frequent words and hot pairs (all); decides the layout only
 BEGIN = xxhash.xxh3_64_intdigest(b" begin")  # no word holds a space
 END = xxhash.xxh3_64_intdigest(b" end")
 _U = np.uint64
 
-#: A row per chunk and bucket: the documents' flags, then in the order of the second words:
+#: A row per chunk and bucket: how many documents, the first ones, are learned from, then in the order of the second words:
 #: the words, their numbers of pairs, the distinct first words, each pair's index into them,
 #: its occurrences, and each occurrence's document. The row of bucket -1 has the ids.
-CHUNK_COLUMNS = "bucket int, chunk long, train binary, second binary, pairs binary, firsts binary, first binary, times binary, docs binary"
+CHUNK_COLUMNS = "bucket int, chunk long, learn int, second binary, pairs binary, firsts binary, first binary, times binary, docs binary"
 NO_BUCKET = -1
 SUMS_SCHEMA = "kind int, chunk long, doc int, first long, x1 double, x2 double, x3 double, sums binary"
 DOC_SUMS, HISTORY, UNSEEN = 0, 1, 2
 
 
-def bucket_of(second: np.ndarray, first: np.ndarray, frequent: np.ndarray, buckets: int) -> np.ndarray:
-    key = np.where(np.isin(second, frequent), second ^ (first * _U(0x9E3779B97F4A7C15)), second)
+NONE = np.empty(0, dtype=_U)
+
+
+def within(x: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in the sorted array ``listed``."""
+    if not len(listed):
+        return np.zeros(len(x), dtype=bool)
+    return listed[np.minimum(np.searchsorted(listed, x), len(listed) - 1)] == x
+
+
+def pair_key(second: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return second ^ (first * _U(0x9E3779B97F4A7C15))
+
+
+def bucket_of(second: np.ndarray, first: np.ndarray, frequent: np.ndarray, buckets: int, hot: np.ndarray = NONE, chunk: int = 0) -> np.ndarray:
+    """``frequent`` words and ``hot`` pairs' keys are sorted; the words of hot pairs are frequent."""
+    key = second.copy()
+    spread = np.flatnonzero(within(second, frequent))
+    own = pair_key(second[spread], first[spread])
+    salt = _U(((chunk + 1) * 0xD6E8FEB86659FD93) % 2**64)
+    key[spread] = np.where(within(own, hot), own * _U(0xA0761D6478BD642F) ^ salt, own)
     key = (key ^ (key >> _U(29))) * _U(0xBF58476D1CE4E5B9)
     return ((key >> _U(32)) % _U(buckets)).astype(np.int64)
 
 
-def chunk_rows(hashes: list[np.ndarray], train: list[bool], frequent: np.ndarray, buckets: int):
-    """For every bucket: its number, then the binary columns of CHUNK_COLUMNS."""
+def pairs_of(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Second and first words of the documents' pairs."""
     end, begin = np.array([END], dtype=_U), np.array([BEGIN], dtype=_U)
-    second = np.concatenate([x for h in hashes for x in (h, end)])
-    first = np.concatenate([x for h in hashes for x in (begin, h)])
+    return np.concatenate([x for h in hashes for x in (h, end)]), np.concatenate([x for h in hashes for x in (begin, h)])
+
+
+def chunk_rows(hashes: list[np.ndarray], learn: int, frequent: np.ndarray, buckets: int, hot: np.ndarray = NONE, chunk: int = 0):
+    """For every bucket: its number, then the columns of CHUNK_COLUMNS from ``learn`` on."""
+    second, first = pairs_of(hashes)
     doc = np.repeat(np.arange(len(hashes)), [len(h) + 1 for h in hashes])
-    bucket = bucket_of(second, first, frequent, buckets)
+    bucket = bucket_of(second, first, frequent, buckets, hot, chunk)
     order = np.lexsort((doc, first, second, bucket))
     bucket, second, first, doc = bucket[order], second[order], first[order], doc[order]
-    flags = np.array(train, dtype=np.uint8).tobytes()
     edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
     for a, b in zip(edges[:-1], edges[1:]):
         s, f, d = second[a:b], first[a:b], doc[a:b]
@@ -85,7 +110,7 @@ def chunk_rows(hashes: list[np.ndarray], train: list[bool], frequent: np.ndarray
         at_p = np.flatnonzero(new_p)
         known, index = np.unique(f[at_p], return_inverse=True)
         yield (
-            int(bucket[a]), flags,
+            int(bucket[a]), learn,
             s[new_s].tobytes(), np.add.reduceat(new_p.astype(np.int64), np.flatnonzero(new_s)).astype("<u4").tobytes(),
             known.tobytes(), index.astype("<u4").tobytes(),
             np.diff(np.append(at_p, b - a)).astype("<u4").tobytes(), d.astype("<u2").tobytes(),
@@ -100,13 +125,10 @@ class Bucket:
             return [np.frombuffer(x.as_buffer(), dtype=kind) for x in t.column(c)]  # no copies
 
         self.chunks = t.column("chunk").to_pylist()
-        train = get("train", np.uint8)
-        self.sizes = [len(x) for x in train]
-        base = np.concatenate(([0], np.cumsum(self.sizes)))
         second = np.concatenate([np.repeat(s, p) for s, p in zip(get("second", "<u8"), get("pairs", "<u4"))])
         first = np.concatenate([k[i] for k, i in zip(get("firsts", "<u8"), get("first", "<u4"))])
         times = np.concatenate(get("times", "<u4"))
-        self.doc = np.concatenate([d.astype(np.int32) + np.int32(b) for d, b in zip(get("docs", "<u2"), base)])
+        self.docs = get("docs", "<u2")  # of each chunk's occurrences
         # equal pairs of different chunks together
         order = np.lexsort((first, second))
         s, f = second[order], first[order]
@@ -116,11 +138,10 @@ class Bucket:
         number[order] = np.cumsum(pair) - 1
         self.words, self.first = s[word], f[pair]
         del order, s, f, second, first
-        self.docs = int(base[-1])
         self.pair = np.repeat(number, times)  # of each occurrence
         self.word = (np.cumsum(word) - 1)[pair]  # of each pair
-        learned = np.concatenate(train)[self.doc]
-        self.count = np.bincount(self.pair, weights=learned, minlength=len(self.first)).astype(np.int64)
+        learned = np.concatenate([d < n for d, n in zip(self.docs, t.column("learn").to_pylist())])
+        self.count = np.bincount(self.pair[learned], minlength=len(self.first))
         self.word_count = np.bincount(self.word, weights=self.count, minlength=len(self.words)).astype(np.int64)
 
 
@@ -152,12 +173,14 @@ class Totals:
     bigram: np.ndarray
     unknown: float  # P1 of all unknown words
     frequent: dict[int, int]  # counts of the words that are spread over buckets
+    hot: np.ndarray  # sorted keys of the pairs that are spread over buckets by chunk
+    hot_counts: np.ndarray
 
     def p1(self, count: np.ndarray) -> np.ndarray:
         return np.where(count > 0, discounted(count, self.unigram) / max(1, self.tokens), self.unknown)
 
 
-def write_pairs(rows: DataFrame, name: str, path: str, buckets: int, frequent: np.ndarray) -> None:
+def write_pairs(rows: DataFrame, name: str, path: str, buckets: int, frequent: np.ndarray, hot: np.ndarray = NONE) -> None:
     """Step 1: the bucketed table of ``_id, _train, _text``."""
     kind = rows.schema["_id"].dataType
 
@@ -169,14 +192,15 @@ def write_pairs(rows: DataFrame, name: str, path: str, buckets: int, frequent: n
         names = [x.split()[0] for x in CHUNK_COLUMNS.split(", ")] + ["ids"]
 
         def row(id_type, own_ids, bucket, chunk, *blobs):
-            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * len(blobs), pa.list_(id_type)]
+            kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * (len(blobs) - 1), pa.list_(id_type)]
             arrays = [pa.array([v], k) for v, k in zip((bucket, chunk, *blobs, own_ids), kinds)]
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
         def done():
             chunk = (part << 32) | serial
-            yield row(id_type, ids, NO_BUCKET, chunk, *[None] * (len(names) - 3))
-            for bucket, *blobs in chunk_rows(hashes, train, frequent, buckets):
+            order = sorted(range(len(ids)), key=lambda i: not train[i])  # those to learn from first
+            yield row(id_type, [ids[i] for i in order], NO_BUCKET, chunk, *[None] * (len(names) - 3))
+            for bucket, *blobs in chunk_rows([hashes[i] for i in order], sum(train), frequent, buckets, hot, chunk):
                 yield row(id_type, None, bucket, chunk, *blobs)
 
         for b in batches:
@@ -198,37 +222,70 @@ def write_pairs(rows: DataFrame, name: str, path: str, buckets: int, frequent: n
     out.write.bucketBy(buckets, "bucket").option("path", path).option("compression", "zstd").format("parquet").saveAsTable(name)
 
 
-def frequent_words(rows: DataFrame, buckets: int) -> np.ndarray:
-    """Words (as hashes) that may fill a good part of a bucket, by a sample of the documents. They
-    decide where pairs are kept, and nothing else."""
+def frequent_pairs(rows: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words (sorted hashes) and pairs (first and second words, two columns) that may fill a good part of a
+    bucket. They decide where pairs are kept, and nothing else. Each chunk tells those with a share of
+    1 / (8 * buckets) of it; the rest of the chunks hold less than that share, so whatever has
+    1 / (4 * buckets) of all tokens is told often enough to be taken."""
 
     def count(batches):
-        memo, words, total = WordHashes(), [], 0
+        memo, hashes, tokens = WordHashes(), [], 0
+
+        def told():
+            second, first = pairs_of(hashes)
+            key = pair_key(second, first)
+            order = np.argsort(key)
+            key = key[order]
+            cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            n = np.diff(np.append(cut, len(key)))
+            at, n2 = order[cut[n * (8 * buckets) >= len(key)]], n[n * (8 * buckets) >= len(key)]
+            w, n1 = np.unique(second, return_counts=True)
+            w, n1 = w[n1 * (8 * buckets) >= len(key)], n1[n1 * (8 * buckets) >= len(key)]
+            # a word stands with itself as its first; the last row has the tokens
+            columns = [
+                np.concatenate((np.full(len(n1), 1), np.full(len(n2), 2), [0])),
+                np.concatenate((w, first[at], [_U(0)])).view(np.int64),
+                np.concatenate((w, second[at], [_U(0)])).view(np.int64),
+                np.concatenate((n1, n2, [len(key)])),
+            ]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "first", "second", "n"])
+
         for b in batches:
             for text in b.column("_text").to_pylist():
-                words.append(np.fromiter(map(memo.__getitem__, words_of(text)), dtype=_U))
-        h, n = np.unique(np.concatenate(words), return_counts=True) if words else (np.empty(0, _U), np.empty(0, np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
-
-    sample = rows.where(F.pmod(F.xxhash64("_text"), F.lit(SAMPLE_EVERY)) == 0).select("_text")
-    counts = stored(on_workers(sample).mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.where(F.col("n") * (4 * buckets) > total).select("h").collect()  # 4 * buckets at most
-    return np.array([END, *(r[0] & (2**64 - 1) for r in top)], dtype=_U)
-
-
-def corpus_totals(table: DataFrame, frequent: np.ndarray) -> Totals:
+                words = words_of(text)
+                hashes.append(np.fromiter(map(memo.__getitem__, words), dtype=_U, count=len(words)))
+                tokens += len(words) + 1
+                if tokens >= CHUNK_TOKENS:
+                    yield told()
+                    hashes, tokens = [], 0
+        if hashes:
+            yield told()
+
+    looked = rows.where(F.pmod(F.xxhash64("_text"), F.lit(SAMPLE_EVERY)) == 0).select("_text")
+    rows = on_workers(looked).mapInArrow(count, "kind long, first long, second long, n long")
+    counts = stored(rows.groupBy("kind", "first", "second").agg(F.sum("n").alias("n")), "words")
+    total = counts.where("kind = 0").agg(F.sum("n")).first()[0] or 0
+    top = counts.where((F.col("kind") > 0) & (F.col("n") * (8 * buckets) >= total)).collect()  # 16 * buckets at most
+    words = np.unique(np.array([END, *(r.second & (2**64 - 1) for r in top if r.kind == 1)], dtype=_U))
+    pairs = np.array([(r.first & (2**64 - 1), r.second & (2**64 - 1)) for r in top if r.kind == 2], dtype=_U).reshape(-1, 2)
+    return words, pairs[within(pairs[:, 1], words)]
+
+
+def corpus_totals(table: DataFrame, frequent: np.ndarray, hot: np.ndarray = NONE) -> Totals:
     """The first pass."""
 
     def count(t: pa.Table) -> pa.Table:
         b = Bucket(t)
         out = []
         spread = np.isin(b.words, frequent)
-        for kind, c in (("1", b.word_count[~spread]), ("2", b.count)):
+        key = pair_key(b.words[b.word], b.first)
+        parted = within(key, hot)
+        for kind, c in (("1", b.word_count[~spread]), ("2", b.count[~parted])):
             n = np.bincount(np.minimum(c, GT_MOST + 2), minlength=GT_MOST + 3)
             out += [(kind, r, int(n[r])) for r in range(1, GT_MOST + 2)]
             out += [(kind + "n", 0, int(c.sum())), (kind + "v", 0, int((c > 0).sum()))]
         out += [("w", int(h), int(c)) for h, c in zip(b.words[spread].view(np.int64), b.word_count[spread])]
+        out += [("p", int(h), int(c)) for h, c in zip(key[parted].view(np.int64), b.count[parted])]
         return pa.table([pa.array(x) for x in zip(*out)], names=["kind", "r", "n"])
 
     sums = on_workers(table).groupBy("bucket").applyInArrow(count, "kind string, r long, n long")
@@ -236,13 +293,15 @@ def corpus_totals(table: DataFrame, frequent: np.ndarray) -> Totals:
     got = {(r.kind, r.r): int(r.n) for r in rows}
     words = {h & (2**64 - 1): n for (k, h), n in got.items() if k == "w"}
     n1 = {r: got.get(("1", r), 0) + sum(c == r for c in words.values()) for r in range(1, GT_MOST + 2)}
-    n2 = {r: got.get(("2", r), 0) for r in range(1, GT_MOST + 2)}
+    pairs = {h & (2**64 - 1): n for (k, h), n in got.items() if k == "p"}
+    hot_counts = np.array([pairs.get(h, 0) for h in hot.tolist()], dtype=np.int64)
+    n2 = {r: got.get(("2", r), 0) + int((hot_counts == r).sum()) for r in range(1, GT_MOST + 2)}
     tokens = got.get(("1n", 0), 0) + sum(words.values())
     v = got.get(("1v", 0), 0) + sum(c > 0 for c in words.values())
     d1 = discounts(n1)
     few = range(1, GT_MOST + 1)
     mass = sum(n1[r] * d1[r] for r in few) + tokens - sum(n1[r] * r for r in few) - TAIL * (v - sum(n1[r] for r in few))
-    return Totals(tokens, v, words.get(END, 0), d1, discounts(n2), 1 - mass / tokens if tokens else 1.0, words)
+    return Totals(tokens, v, words.get(END, 0), d1, discounts(n2), 1 - mass / tokens if tokens else 1.0, words, hot, hot_counts)
 
 
 def bucket_sums(table: DataFrame, totals: Totals) -> DataFrame:
@@ -255,17 +314,18 @@ def bucket_sums(table: DataFrame, totals: Totals) -> DataFrame:
             if h in totals.frequent:
                 c1[i] = totals.frequent[h]
         p1 = totals.p1(c1)
-        seen = b.count > 0
-        own = discounted(b.count, totals.bigram)
+        c2 = b.count.copy()
+        key = pair_key(b.words[b.word], b.first)
+        parted = within(key, totals.hot)
+        c2[parted] = totals.hot_counts[np.searchsorted(totals.hot, key[parted])]
+        del key
+        seen = c2 > 0
+        own = discounted(c2, totals.bigram)
         # a token's part: its discounted count or P1, and as the next one's history
         by_word = np.where((c1 > 0) & (b.words != _U(END)), -np.log10(np.maximum(c1, 1)), 0.0)
         by_pair = np.where(seen, np.log10(np.where(seen, own, 1.0)), np.log10(p1)[b.word]) + by_word[b.word]
         base = np.log10(c1 + ADDED)[b.word]
         known = (c1 > 0)[b.word]
-        parts = [
-            np.bincount(b.doc, weights=x[b.pair].astype(np.float64), minlength=b.docs)
-            for x in (by_pair, base, np.ones(len(b.first)), known)
-        ]
         columns: list[list] = [[] for _ in range(8)]
 
         def add(n: int, **cols) -> None:
@@ -273,16 +333,21 @@ def bucket_sums(table: DataFrame, totals: Totals) -> DataFrame:
                 v = cols.get(name)
                 columns[k].append(np.full(n, v) if isinstance(v, int) else v if v is not None else [None] * n)
 
-        edges = np.concatenate(([0], np.cumsum(b.sizes)))
-        blobs = [np.concatenate([x[lo:hi] for x in parts]).astype("<f8").tobytes() for lo, hi in zip(edges[:-1], edges[1:])]
+        blobs, lo = [], 0
+        for chunk, doc in zip(b.chunks, b.docs):  # the documents that the chunk has here, and no others
+            pair = b.pair[lo : lo + len(doc)]
+            lo += len(doc)
+            tokens = np.bincount(doc)
+            at = np.flatnonzero(tokens)
+            parts = [np.bincount(doc, weights=x[pair])[at] for x in (by_pair, base, known)]
+            blobs.append(np.concatenate((parts[0], parts[1], tokens[at], parts[2])).astype("<f8").tobytes() + at.astype("<u2").tobytes())
+            un = np.flatnonzero(~seen[pair])
+            add(len(un), kind=UNSEEN, chunk=chunk, doc=doc[un].astype(np.int32), first=b.first[pair[un]].view(np.int64), x1=np.ones(len(un)))
         add(len(blobs), kind=DOC_SUMS, chunk=b.chunks, sums=blobs)
-        h, at = np.unique(b.first[seen], return_inverse=True)
-        by_history = [np.bincount(at, weights=x[seen], minlength=len(h)) for x in (own, p1[b.word], b.count)]
+        once = seen & ~parted
+        h, at = np.unique(b.first[once], return_inverse=True)
+        by_history = [np.bincount(at, weights=x[once], minlength=len(h)) for x in (own, p1[b.word], c2)]
         add(len(h), kind=HISTORY, first=h.view(np.int64), x1=by_history[0], x2=by_history[1], x3=by_history[2])
-        un = np.flatnonzero(~seen[b.pair])
-        d, f = b.doc[un].astype(np.int64), b.first[b.pair[un]]
-        chunk_at = np.searchsorted(edges, d, side="right") - 1
-        add(len(un), kind=UNSEEN, chunk=np.array(b.chunks)[chunk_at], doc=d - edges[chunk_at], first=f.view(np.int64), x1=np.ones(len(un)))
         i64, f64 = pa.int64(), pa.float64()
         kinds = [pa.int32(), i64, pa.int32(), i64, f64, f64, f64, pa.binary()]
         arrays = [pa.chunked_array([pa.array(v, k) for v in c], k) for c, k in zip(columns, kinds)]
@@ -291,6 +356,15 @@ def bucket_sums(table: DataFrame, totals: Totals) -> DataFrame:
     return on_workers(table).groupBy("bucket").applyInArrow(sums, SUMS_SCHEMA)
 
 
+def hot_histories(spark, pairs: np.ndarray, totals: Totals) -> DataFrame:
+    """The hot pairs' part of the histories' sums, each pair once."""
+    c2 = totals.hot_counts
+    p1 = totals.p1(np.array([totals.frequent.get(w, 0) for w in pairs[:, 1].tolist()], dtype=np.int64))
+    own = discounted(c2, totals.bigram)
+    rows = zip(pairs[:, 0].copy().view(np.int64).tolist(), own.tolist(), p1.tolist(), c2.astype(float).tolist())
+    return spark.createDataFrame([r for r in rows if r[3] > 0], "first long, x1 double, x2 double, x3 double")
+
+
 def per_document(table: DataFrame, sums: DataFrame) -> DataFrame:
     """``_id, chunk, doc, part, base, tokens, known``: the buckets' sums added up, chunk by chunk."""
     ids = table.where(F.col("bucket") == NO_BUCKET).select("chunk", F.lit(None).cast("binary").alias("sums"), "ids")
@@ -298,9 +372,12 @@ def per_document(table: DataFrame, sums: DataFrame) -> DataFrame:
     kind = ids.schema["ids"].dataType.elementType.simpleString()
 
     def add(t: pa.Table) -> pa.Table:
-        blobs = [np.frombuffer(x, "<f8") for x in t.column("sums").to_pylist() if x is not None]
+        blobs = [x for x in t.column("sums").to_pylist() if x is not None]
         own = next(x for x in t.column("ids").combine_chunks() if x.is_valid).values
-        total = np.sum(blobs, axis=0).reshape(4, -1)
+        total = np.zeros((4, len(own)))
+        for x in blobs:
+            n = len(x) // 34  # four sums and the number of each document
+            total[:, np.frombuffer(x, "<u2", n, 32 * n)] += np.frombuffer(x, "<f8", 4 * n).reshape(4, n)
         chunk = pa.array(np.full(len(own), t.column("chunk")[0].as_py(), dtype=np.int64))
         arrays = [own, chunk, pa.array(np.arange(len(own), dtype=np.int32)), pa.array(total[0]), pa.array(total[1])]
         arrays += [pa.array(x.astype(np.int64)) for x in total[2:]]
@@ -321,17 +398,19 @@ def score(docs: DataFrame, folds: int = 10, held: int = 0, id_col: str = "doc_id
     if not size:
         return _result(docs, id_col)
     buckets = min(sized(size, BUCKET_BYTES, LEAST_BUCKETS), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
-    frequent = frequent_words(rows, buckets)
+    frequent, pairs = frequent_pairs(rows, buckets)
+    pairs = pairs[np.argsort(pair_key(pairs[:, 1], pairs[:, 0]))]
+    hot = pair_key(pairs[:, 1], pairs[:, 0])
     name, path = f"pairs_{uuid.uuid4().hex}", scratch_path(spark, "pairs")
-    write_pairs(rows, name, path, buckets, frequent)
+    write_pairs(rows, name, path, buckets, frequent, hot)
     table = spark.table(name)
-    pairs = table.where(F.col("bucket") >= 0)
-    totals = corpus_totals(pairs, frequent)
-    sums = stored(bucket_sums(pairs, totals), "sums")
+    kept = table.where(F.col("bucket") >= 0)
+    totals = corpus_totals(kept, frequent, hot)
+    sums = stored(bucket_sums(kept, totals), "sums")
     by_doc = stored(per_document(table, sums), "documents")
     spark.sql(f"DROP TABLE {name}")  # the entry; its files stay in the scratch folder
 
-    history = sums.where(F.col("kind") == HISTORY).groupBy("first").agg(*[F.sum(f"x{i}").alias(f"x{i}") for i in (1, 2, 3)])
+    history = sums.where(F.col("kind") == HISTORY).select("first", "x1", "x2", "x3").unionByName(hot_histories(spark, pairs, totals)).groupBy("first").agg(*[F.sum(f"x{i}").alias(f"x{i}") for i in (1, 2, 3)])
     bow = (1 - F.col("x1") / F.col("x3")) / (1 - F.col("x2"))
     history = history.select("first", (F.log10("x3") + F.log10(bow)).alias("back"))
     unseen = sums.where(F.col("kind") == UNSEEN).groupBy("chunk", "doc", "first").agg(F.sum("x1").alias("n"))

@@ -98,3 +98,22 @@ def test_the_table_is_read_without_a_shuffle(spark, tmp_path):
     plan = t.groupBy("bucket").applyInArrow(lambda x: x.select(["bucket"]), "bucket int")._jdf.queryExecution().executedPlan().toString()
     spark.sql("DROP TABLE pairs_plan_test")
     assert "Exchange" not in plan
+
+
+def test_hot_pairs_are_spread_and_counted_once(spark, monkeypatch):
+    monkeypatch.setattr(katz, "CHUNK_TOKENS", 200)
+    monkeypatch.setattr(katz, "CHUNK_DOCS", 7)
+    same = "one and the same line of text that a third of all documents have"
+    texts = {i: t for i, t in list(documents().items())[:40]} | {10_000 + i: same for i in range(900)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    held_against(katz.score(docs).collect(), {(i, 0): t for i, t in texts.items()})
+    # each of the copies' pairs lies in many buckets
+    import numpy as np
+
+    rows = docs.selectExpr("doc_id _id", "true _train", "text _text")
+    words, pairs = katz.frequent_pairs(rows, 8)
+    second, first = katz.pairs_of([np.array([katz.WordHashes()[w] for w in katz.words_of(same)], dtype=np.uint64)])
+    hot = np.sort(katz.pair_key(pairs[:, 1], pairs[:, 0]))
+    assert katz.within(katz.pair_key(second, first), hot).all() and katz.within(second, words).all()
+    got = np.array([katz.bucket_of(second, first, words, 8, hot, chunk) for chunk in range(60)])
+    assert all(len(set(b)) == 8 for b in got.T.tolist())
