@@ -635,11 +635,12 @@ def q_train_run(spark, sf):
 
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf):
-    model, _, test, labels = _fit_dt(spark, sf)
+    model, _, _, labels = _fit_dt(spark, sf)
     path = save_model(model, scratch_path(spark, "model"))
     loaded = load_model(path)
-    before = score(model, test, keep=["version"], labels=labels).select("version", F.col("prediction").alias("before"))
-    after = score(loaded, test, keep=["version"], labels=labels)
+    rows = B.measurements_table(spark, sf)
+    before = score(model, rows, keep=["version"], labels=labels).select("version", F.col("prediction").alias("before"))
+    after = score(loaded, rows, keep=["version"], labels=labels)
     return after.join(before, "version").withColumn("same", F.col("prediction") == F.col("before"))
 
 
@@ -671,9 +672,8 @@ def q_score_checks(spark, sf):
 @register("score_batch")
 def q_score_batch(spark, sf):
     model, _, _, labels = _fit_dt(spark, sf)
-    _, cur = B.reference_current(B.measurements_table(spark, sf))
     # scoring requests lack two gases: they score as 0, nulls are imputed
-    req = cur.drop("sulphur_dioxide", "ozone")
+    req = B.measurements_table(spark, sf).drop("sulphur_dioxide", "ozone")
     return score(model, req, keep=["version"], labels=labels)
 
 

@@ -69,3 +69,9 @@ def test_upsert_merge_prunes_target_partitions(spark, tmp_dir):
     affected = batch.select("city", "date").distinct()
     old = spark.read.parquet(t).join(checked_broadcast(affected), ["city", "date"], "left_semi")
     assert "dynamicpruning" in _plan(old).lower()
+
+
+@pytest.mark.parametrize("name", ["score_batch", "model_roundtrip"])
+def test_scoring_covers_the_whole_table(spark, name):
+    got = E.queries()[name](spark, SF001)
+    assert got.count() == spark.read.parquet(f"{SF001}/events.parquet").count()
