@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from envflow.llm import decontaminate, katz, language_id, license_scan, merkle, near_dedup, packing, secret_scan, token_counts, warc
+from envflow.llm import (
+    decontaminate,
+    jaccard_join,
+    katz,
+    language_id,
+    license_scan,
+    manifest,
+    merkle,
+    near_dedup,
+    packing,
+    secret_scan,
+    spelling,
+    token_counts,
+    warc,
+)
 from envflow.llm.common import table
 from envflow.llm.oracles import ORACLES
 
@@ -51,8 +65,35 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verification(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_best_fit_packing, op3_merkle_fingerprints, op4_decontamination, op5_secret_scans, op6_katz_scoring, op7_minhash_near_dedup, op8_language_id, op9_license_scans, op10_warc)
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_best_fit_packing,
+        op3_merkle_fingerprints,
+        op4_decontamination,
+        op5_secret_scans,
+        op6_katz_scoring,
+        op7_minhash_near_dedup,
+        op8_language_id,
+        op9_license_scans,
+        op10_warc,
+        op11_spelling_variants,
+        op12_jaccard_join,
+        op13_merkle_manifest,
+    )
 }
 
 __all__ = ["ORACLES", "QUERIES"]

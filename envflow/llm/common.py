@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import zipfile
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +65,35 @@ def text_of(col: str = "text"):
 def sized(n: int, per: int, least: int = 1) -> int:
     """How many parts of about ``per`` rows hold ``n`` rows."""
     return max(least, -(-int(n) // int(per)))
+
+
+def runs(batches, keys: int):
+    """Slices of Arrow batches that are sorted by their first ``keys`` columns (numbers without nulls), as
+    ``(new, slice)``: ``new`` is false where a slice goes on with the run of the one before."""
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        cut = np.zeros(b.num_rows - 1, dtype=bool)
+        for c in cols:
+            cut |= c[1:] != c[:-1]
+        edges = [0, *(np.flatnonzero(cut) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            key = tuple(c[lo] for c in cols)
+            yield key != last, b.slice(lo, hi - lo)
+            last = key
+
+
+def whole_runs(batches, keys: int):
+    """The runs of such batches, each as one table; for runs of bounded size."""
+    import pyarrow as pa
+
+    held = []
+    for new, part in runs(batches, keys):
+        if new and held:
+            yield pa.Table.from_batches(held)
+            held = []
+        held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
