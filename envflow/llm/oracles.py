@@ -9,12 +9,12 @@ _WORDS = (
 
 #: CRC-32 of a list of bytes; the factor is its polynomial.
 _CRC = (
-    "xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), {0}), (c, b) -> list_reduce(list_prepend(xor(c, b), "
-    "CAST(range(8) AS UBIGINT[])), (x, y) -> xor(x >> 1, CAST(3988292384 AS UBIGINT) * (x & 1)))), CAST(4294967295 AS UBIGINT))"
+    "xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), {0}), lambda c, b: list_reduce(list_prepend(xor(c, b), "
+    "CAST(range(8) AS UBIGINT[])), lambda x, y: xor(x >> 1, CAST(3988292384 AS UBIGINT) * (x & 1)))), CAST(4294967295 AS UBIGINT))"
 )
 #: The UTF-8 bytes of a text whose code points are below U+0080 or from U+00C0 to U+00FF.
 _BYTES = (
-    "flatten(list_transform(string_split({0}, ''), a -> CASE WHEN unicode(a) < 128 THEN [CAST(unicode(a) AS UBIGINT)] "
+    "flatten(list_transform(string_split({0}, ''), lambda a: CASE WHEN unicode(a) < 128 THEN [CAST(unicode(a) AS UBIGINT)] "
     "ELSE [CAST(195 AS UBIGINT), CAST(unicode(a) - 64 AS UBIGINT)] END))"
 )
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -65,8 +65,8 @@ FROM q
     "op11_spelling_variants": f"""
 WITH RECURSIVE runs AS (
   SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[a-z\u00c0-\u00ff]+')) AS r FROM documents
-), some AS (SELECT doc_id, r, count(*) AS n FROM runs GROUP BY ALL),
-hashed AS (SELECT r, n, {_crc("(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || r)")} AS h FROM some),
+), held AS (SELECT doc_id, r, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (SELECT r, n, {_crc("(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || r)")} AS h FROM held),
 thinned AS (
   SELECT n, CASE WHEN h % 97 = 0 THEN substr(r, 1, CAST(h % length(r) AS BIGINT)) || substr(r, CAST(h % length(r) AS BIGINT) + 2) ELSE r END AS word
   FROM hashed
@@ -85,10 +85,10 @@ thinned AS (
     CASE WHEN -best[1] >= 2 * v.n THEN -best[1] END AS form_n
   FROM v LEFT JOIN near USING (word)
 ), up AS (
-  SELECT word, word AS at FROM formed UNION ALL SELECT up.word, f.form FROM up JOIN formed f ON f.word = up.at WHERE f.form IS NOT NULL
+  SELECT word, word AS top FROM formed UNION ALL SELECT up.word, f.form FROM up JOIN formed f ON f.word = up.top WHERE f.form IS NOT NULL
 )
-SELECT f.word, f.form, up.at AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
-FROM formed f JOIN up ON up.word = f.word JOIN formed g ON g.word = up.at WHERE g.form IS NULL
+SELECT f.word, f.form, up.top AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM formed f JOIN up ON up.word = f.word JOIN formed g ON g.word = up.top WHERE g.form IS NULL
 """,
     "op12_jaccard_join": f"""
 WITH RECURSIVE d AS (
@@ -101,8 +101,8 @@ sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sets a JOIN sets b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
 links AS MATERIALIZED (
   SELECT a, b FROM met JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)
-), reach AS (SELECT doc_id, doc_id AS at FROM d UNION SELECT doc_id, b FROM reach JOIN links ON a = at)
-SELECT r.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r.at) AS component_id
+), reach AS (SELECT doc_id, doc_id AS top FROM d UNION SELECT doc_id, b FROM reach JOIN links ON a = top)
+SELECT r.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r.top) AS component_id
 FROM reach r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
 """,
     "op13_merkle_manifest": f"""
