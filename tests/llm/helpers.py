@@ -63,12 +63,12 @@ def documents(sf: str = SF) -> dict[int, str]:
     return dict(rows)
 
 
-def components_by_hand(texts: dict, pct: int = 75) -> dict:
-    """Least id reachable over links of five-word shingle sets, all pairs compared."""
+def components_by_hand(texts: dict, pct: int = 75, size: int = 5) -> dict:
+    """Least id reachable over links of shingle sets, all pairs compared."""
     sets = {}
     for i, t in texts.items():
         w = t.encode().lower().split()
-        sets[i] = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+        sets[i] = {tuple(w[j : j + size]) for j in range(max(1, len(w) - size + 1))} if w else set()
     by_shingle = defaultdict(set)
     for i, s in sets.items():
         for x in s:
