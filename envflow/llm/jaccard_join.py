@@ -11,8 +11,9 @@ Two documents link when their sets of 4-word shingles have a Jaccard similarity
    the first ``d + 1`` parts that a set fills, one at least is the same in both. Each of
    these is a tile (band, part, hash of its content). A set that fills fewer enters all of them, and the tiles of
    another hash function; after SALTS of them one tile of its band takes it.
-3. *Bitmaps.* A set is also a bitmap of hashed shingles. A bit that only one of two bitmaps has is a shingle that
-   only this set has, so counting bits bounds the overlap from above, and with it the similarity.
+3. *Bitmaps.* A set is also a bitmap: every shingle flips the bit it is hashed to. A shingle that only one of two sets
+   has changes one bit at most, so the bits in which two bitmaps differ bound the difference of the sets from
+   below, and with their sizes the overlap from above. The bound is hardly loosened by the size of the sets, only by their difference.
 4. *Star round:* every node of a tile meets the tile's least node, and keeps the leader whose bound is best.
 5. *Rest:* tiles that still hold more than one component are compared by bitmaps in blocks of bounded
    size: first a spanning forest of what the bounds allow, then all that is left.
@@ -96,9 +97,8 @@ def tiles(s: np.ndarray, bands: Bands) -> np.ndarray:
 def bitmap(s: np.ndarray) -> np.ndarray:
     """The set as a bitmap, in 64-bit words."""
     width = min(max(LEAST_BITS, 1 << (BITS_PER * len(s) - 1).bit_length()), MOST_BITS)
-    bits = np.zeros(width, dtype=np.uint8)
-    bits[(mixed(s, 0xB175) & _U64(width - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view("<u8")
+    flips = np.bincount((mixed(s, 0xB175) & _U64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits(flips & 1, bitorder="little").view("<u8")
 
 
 def folded(rows: list[bytes], words: int) -> np.ndarray:
@@ -107,16 +107,15 @@ def folded(rows: list[bytes], words: int) -> np.ndarray:
     for i, r in enumerate(rows):
         w = np.frombuffer(r, dtype="<u8")
         while len(w) > words:
-            w = w[: len(w) // 2] | w[len(w) // 2 :]
+            w = w[: len(w) // 2] ^ w[len(w) // 2 :]
         out[i] = w
     return out
 
 
 def most_overlap(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """No pair of sets of sizes ``n`` and ``m`` with these bitmaps has a larger intersection."""
-    own = np.bitwise_count(a & ~b).sum(axis=-1, dtype=np.int64)
-    other = np.bitwise_count(b & ~a).sum(axis=-1, dtype=np.int64)
-    return np.minimum(n - own, m - other)
+    differ = np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+    return np.minimum((n + m - differ) // 2, np.minimum(n, m))
 
 
 def signatures(texts: DataFrame, similar_pct: int = SIMILAR_PCT, size: int = SHINGLE) -> DataFrame:
