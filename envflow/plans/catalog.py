@@ -736,12 +736,12 @@ def _run_stream(q):
 @register("stream_curated")
 def q_stream_curated(spark, sf):
     raw, table = scratch_path(spark, "raw"), scratch_path(spark, "curated_stream")
-    ck, stage = scratch_path(spark, "ckpt"), scratch_path(spark, "staging")
+    ck = scratch_path(spark, "ckpt")
     w1, w2 = _land_waves(spark, sf, raw)
     land_raw(w1, raw)
-    _run_stream(start_curated_stream(spark, raw, table, ck, stage))
+    _run_stream(start_curated_stream(spark, raw, table, ck))
     land_raw(w2, raw)
-    _run_stream(start_curated_stream(spark, raw, table, ck, stage))
+    _run_stream(start_curated_stream(spark, raw, table, ck))
     return read_upserted(spark, table)
 
 
@@ -751,10 +751,10 @@ UPSERT_DAY = "2024-01-10"
 @register("stream_upsert")
 def q_stream_upsert(spark, sf):
     raw, table = scratch_path(spark, "raw"), scratch_path(spark, "curated_stream")
-    ck, stage = scratch_path(spark, "ckpt"), scratch_path(spark, "staging")
+    ck = scratch_path(spark, "ckpt")
     docs = B.nest_hourly_docs(B.measurements_table(spark, sf))
     land_raw(docs, raw)
-    _run_stream(start_curated_stream(spark, raw, table, ck, stage))
+    _run_stream(start_curated_stream(spark, raw, table, ck))
     # a later fetch of one day with revised values must replace the first one
     day = F.to_date(parse_time("fetch_timestamp")) == F.lit(UPSERT_DAY).cast("date")
     revised = docs.filter(day).select(
@@ -769,7 +769,7 @@ def q_stream_upsert(spark, sf):
         F.col("hourly").withField("pm2_5", F.transform("hourly.pm2_5", lambda x: x + F.lit(1000.0))).alias("hourly"),
     )
     land_raw(revised, raw)
-    _run_stream(start_curated_stream(spark, raw, table, ck, stage))
+    _run_stream(start_curated_stream(spark, raw, table, ck))
     return read_upserted(spark, table)
 
 

@@ -6,6 +6,7 @@ counted a second time.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -55,6 +56,12 @@ def curate(raw: DataFrame, observe: bool = False):
     return out, rejects, obs
 
 
+def input_key(raw_path: str | list[str]) -> str:
+    """A short name of what a run reads, in any order."""
+    paths = sorted([raw_path] if isinstance(raw_path, str) else raw_path)
+    return hashlib.md5("\n".join(p.rstrip("/") for p in paths).encode()).hexdigest()[:16]
+
+
 @dataclass
 class CuratedRun:
     path: str
@@ -73,7 +80,8 @@ def run_curated(
 
     The JSON is read once: all flattened rows, good or not, go to a scratch Parquet
     table, from which the rejects (``<out_path>_rejects`` unless a path is given) and
-    the curated table are written. A missing or empty input is an error. Stage counts
+    the curated table are written. Rejects lie in a folder per input, so a run of the same input
+    replaces its own and leaves those of other inputs. A missing or empty input is an error. Stage counts
     (loaded documents, flattened rows, rejected, before / after dedup, removed, saved)
     are observed on these jobs.
     """
@@ -88,7 +96,7 @@ def run_curated(
     if not loaded.get.get("rows"):
         raise ValueError(f"no raw documents under {raw_path}")
     rows = spark.read.schema(rows.schema).parquet(stage)
-    rows.filter("NOT ok").drop("ok").write.mode("append").parquet(reject_path)
+    rows.filter("NOT ok").drop("ok").write.mode("overwrite").parquet(f"{reject_path.rstrip('/')}/input={input_key(raw_path)}")
     good = rows.filter("ok").drop("ok", "reject_reason", "bad_integral", "time_raw")
     curated = deduplicate(add_quality_label(good)).select(*CURATED_COLUMNS, "fetch_timestamp")
     write_curated(curated.observe(saved, n), out_path)

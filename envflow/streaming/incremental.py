@@ -3,11 +3,10 @@ latest-wins upsert into the curated table, incremental feature
 materialization, and drift per micro-batch.
 
 The upsert needs no table format with MERGE: for each micro-batch the
-affected (city, date) partitions are read back, unioned with the batch,
-deduplicated, written to a staging folder named by the batch id, and then
-swapped into the table with dynamic partition overwrite. A batch that is run
-again after a failure reuses its complete staging folder, so a crash within
-the swap loses nothing.
+affected (city, date) partitions are read back, unioned with the batch and
+deduplicated, and become the next version of a snapshot table
+(:mod:`envflow.sources.snapshots`). Readers see the version before or the one after, and
+a batch that is run again after a failure is known by its stream's id and number.
 """
 
 from __future__ import annotations
@@ -24,74 +23,41 @@ from ..operators.enrich import checked_broadcast
 from ..operators.flatten import flatten_with_rejects
 from ..plans.curated import CURATED_KEYS, CURATED_ORDER, add_quality_label, deduplicate
 from ..schemas import CORRUPT, CURATED_COLUMNS, RAW_OR_CORRUPT
-from ..sources.curated import read_curated
+from ..sources.snapshots import SnapshotTable, path_exists
 
 PARTS = ["city", "date"]
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check on the table's file system (works for any Hadoop URI)."""
-    sc = spark.sparkContext
-    p = sc._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
+def curated_snapshots(spark: SparkSession, table_path: str) -> SnapshotTable:
+    return SnapshotTable(spark, table_path, PARTS, strings=("city",))
 
 
-def _drop_path(spark: SparkSession, path: str) -> None:
-    sc = spark.sparkContext
-    p = sc._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _swap_in(rows: DataFrame, table_path: str) -> None:
-    """Overwrite the (city, date) partitions that ``rows`` has. Rebalanced by partition:
-    small ones share a task's file, a large one is split."""
-    (
-        rows.hint("rebalance", *[F.col(c) for c in PARTS])
-        .sortWithinPartitions(*PARTS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTS)
-        .parquet(table_path)
-    )
-
-
-def affected_partitions(spark: SparkSession, rows: DataFrame, table_path: str) -> DataFrame:
+def affected_partitions(rows: DataFrame, table: DataFrame) -> DataFrame:
     """The table's rows in the (city, date) partitions that ``rows`` touch. The batch's first
     and last date are literals on the scan, so that other dates' folders are never listed
     as input, and a size-checked broadcast semi-join keeps only the touched folders."""
     lo, hi = rows.agg(F.min("date"), F.max("date")).first()
     between = F.col("date").between(F.lit(lo), F.lit(hi))
     touched = rows.select(*PARTS).distinct().filter(between)
-    return read_curated(spark, table_path).filter(between).join(checked_broadcast(touched), PARTS, "left_semi")
+    return table.filter(between).join(checked_broadcast(touched), PARTS, "left_semi")
 
 
-def upsert_latest(spark: SparkSession, batch: DataFrame, table_path: str, staging_base: str, batch_id: int) -> None:
-    """Merge curated rows into a (city, date)-partitioned table, newest
-    version per (city, timestamp) wins.
+def upsert_latest(spark: SparkSession, batch: DataFrame, table_path: str, run: str, batch_id: int) -> int | None:
+    """Merge curated rows into a (city, date)-partitioned snapshot table, newest
+    version per (city, timestamp) wins. ``run`` names who writes (a stream's id): a batch that it
+    has written already is left out. Returns the new version, or None."""
+    # the batch is read by the date bounds, the size check and the merge:
+    # keep it (a lost block is recomputed from the batch's files)
+    rows = batch.withColumn("date", F.to_date("timestamp")).persist(StorageLevel.MEMORY_AND_DISK)
 
-    The merged partitions are complete in the batch's staging folder (its ``_SUCCESS``
-    file is written last) before the table is touched. A batch that is run again after
-    a crash in the swap finds that folder and swaps from it, and never reads the table in
-    its half-swapped state. Older batches' folders are removed.
-    """
-    stage = f"{staging_base}/batch={batch_id}"
-    if not _table_exists(spark, f"{stage}/_SUCCESS"):
-        # the batch is read by the date bounds, the size check and the merge:
-        # keep it (a lost block is recomputed from the batch's files)
-        rows = batch.withColumn("date", F.to_date("timestamp")).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if rows.isEmpty():
-                return
-            merged = rows
-            if _table_exists(spark, table_path):
-                merged = rows.unionByName(affected_partitions(spark, rows, table_path).select(*rows.columns))
-            # staging keeps city/date as plain columns: one file per task
-            deduplicate(merged, CURATED_KEYS, CURATED_ORDER).write.mode("overwrite").parquet(stage)
-        finally:
-            rows.unpersist()
-    _swap_in(spark.read.parquet(stage), table_path)
-    if batch_id > 0:
-        _drop_path(spark, f"{staging_base}/batch={batch_id - 1}")
+    def merged(table: DataFrame | None) -> tuple[DataFrame, None]:
+        both = rows if table is None else rows.unionByName(affected_partitions(rows, table).select(*rows.columns))
+        return deduplicate(both, CURATED_KEYS, CURATED_ORDER), None
+
+    try:
+        return None if rows.isEmpty() else curated_snapshots(spark, table_path).change(merged, run, batch_id)
+    finally:
+        rows.unpersist()
 
 
 def curate_batch(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -103,12 +69,16 @@ def curate_batch(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return add_quality_label(good).select(*CURATED_COLUMNS, "fetch_timestamp", "pos"), rows.filter(F.col("reject_reason").isNotNull())
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave to the stream of a checkpoint folder."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
 def start_curated_stream(
     spark: SparkSession,
     raw_path: str,
     table_path: str,
     checkpoint: str,
-    staging_base: str,
     multi_line: bool = False,
     max_files_per_trigger: int | None = 10000,
     reject_path: str | None = None,
@@ -117,7 +87,8 @@ def start_curated_stream(
     there and stops, so schedulers can run it like a batch job. A backfill is
     cut into micro-batches of at most ``max_files_per_trigger`` files. Rejected rows
     and corrupt documents go to ``reject_path`` (``<table_path>_rejects``), a folder per
-    batch, so a batch that is run again writes the same folder."""
+    stream and batch, so a batch that is run again writes the same folder, and another
+    stream (a new checkpoint has a new id) another one."""
     reject_path = reject_path or f"{table_path.rstrip('/')}_rejects"
     reader = spark.readStream.schema(RAW_OR_CORRUPT).option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
@@ -126,8 +97,9 @@ def start_curated_stream(
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         good, rejects = curate_batch(batch_df)
-        rejects.write.mode("overwrite").parquet(f"{reject_path}/batch={batch_id}")
-        upsert_latest(spark, good, table_path, staging_base, batch_id)
+        run = stream_id(spark, checkpoint)
+        rejects.write.mode("overwrite").parquet(f"{reject_path}/run={run}/batch={batch_id}")
+        upsert_latest(spark, good, table_path, run, batch_id)
 
     return (
         stream.writeStream.foreachBatch(sink)
@@ -138,7 +110,7 @@ def start_curated_stream(
 
 
 def read_upserted(spark: SparkSession, table_path: str) -> DataFrame:
-    return read_curated(spark, table_path).select(*CURATED_COLUMNS, "fetch_timestamp")
+    return curated_snapshots(spark, table_path).read().select(*CURATED_COLUMNS, "fetch_timestamp")
 
 
 # ------------------------------------------------------------------ features
@@ -162,7 +134,7 @@ def materialize_step(
     (never overwriting what it reads) and then appends the new state row.
     """
     end_c = F.lit(end).cast("timestamp_ntz")
-    if _table_exists(spark, state_path):
+    if path_exists(spark, state_path):
         st = spark.read.parquet(state_path).orderBy(F.col("version").desc()).first()
         last_end, version, prev_path = st["last_end"], st["version"], st["table_path"]
     else:

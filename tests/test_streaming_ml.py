@@ -13,12 +13,12 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark):
     from envflow.plans.catalog import curated_table
 
     raw, table = scratch_path(spark, "t_raw"), scratch_path(spark, "t_tab")
-    ck, st = scratch_path(spark, "t_ck"), scratch_path(spark, "t_st")
+    ck = scratch_path(spark, "t_ck")
     land_raw(B.nest_hourly_docs(B.measurements_table(spark, SF001)), raw)
-    q = start_curated_stream(spark, raw, table, ck, st)
+    q = start_curated_stream(spark, raw, table, ck)
     q.awaitTermination()
     first = sorted(map(tuple, read_upserted(spark, table).collect()))
-    q = start_curated_stream(spark, raw, table, ck, st)
+    q = start_curated_stream(spark, raw, table, ck)
     q.awaitTermination()
     again = sorted(map(tuple, read_upserted(spark, table).collect()))
     assert first == again
