@@ -34,10 +34,17 @@ from ..operators.stats import data_quality
 from ..sources.registry import latest_artifact, log_runs, metrics_long, run_rows_from_metrics
 from .monitoring import detect_drift, quick_drift_check, run_tests, summarize_tests, write_report
 from pyspark.ml import Pipeline
-from ..sources.curated import snapshot_manifest
+from ..sources.curated import manifest_by_difference, manifest_diff, snapshot_manifest
 from ..sources.registry import load_model, save_model
 from .scoring import model_info, score
-from ..streaming.incremental import materialize_step, read_upserted, start_curated_stream, start_drift_stream
+from ..streaming.incremental import (
+    curated_snapshots,
+    materialize_step,
+    read_upserted,
+    start_curated_stream,
+    start_drift_stream,
+    upsert_latest,
+)
 from .training import isolated_table, class_labels, compare_models, default_candidates, feature_stages, prepare, run_training, split_flag, tune_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -716,6 +723,22 @@ def q_snapshot_manifest_rows(spark, sf):
         parts.append(a.crossJoin(F.broadcast(again)).select(F.lit(side).alias("side"), "rows", (F.col("content_hash") == F.col("again")).alias("same")))
     return parts[0].unionByName(parts[1])
 
+
+
+@register("snapshot_diff")
+def q_snapshot_diff(spark, sf):
+    """Files of two manifests by city and status; the second manifest reads only what was written since the first."""
+    out = scratch_path(spark, "curated")
+    cur = curated_table(spark, sf)
+    write_curated(cur, out)
+    before = materialize(manifest_by_difference(spark, out))
+    write_curated(cur.filter((F.col("city") == "view") & (F.col("pm2_5") > 100.0)), out)
+    write_curated(cur.filter(F.col("city") == "click").withColumn("city", F.lit("new")), out)
+    diff = manifest_diff(before, manifest_by_difference(spark, out, before))
+    city = F.regexp_extract("file_path", "city=([^/]*)", 1).alias("city")
+    return diff.groupBy(city, "status").agg(F.sum("rows_before").alias("rows_before"), F.sum("rows_after").alias("rows_after"))
+
+
 # ---------------------------------------------------------------- I: incremental / streaming
 def _land_waves(spark, sf, raw_path, cutoff=B.REFERENCE_CUTOFF):
     """Land docs in two waves; the second repeats the last day of the first."""
@@ -773,6 +796,23 @@ def q_stream_upsert(spark, sf):
     return read_upserted(spark, table)
 
 
+@register("upsert_snapshot")
+def q_upsert_snapshot(spark, sf):
+    """Every version of a snapshot table stays readable: the first landing, a revised day, and the compacted table."""
+    cur = curated_table(spark, sf).withColumn("pos", F.lit(0))
+    path = scratch_path(spark, "snapshots")
+    day = F.to_date("timestamp") == F.lit(UPSERT_DAY).cast("date")
+    revised = cur.filter(day).withColumns({"pm2_5": F.col("pm2_5") + 1000.0, "fetch_timestamp": F.col("fetch_timestamp") + F.expr("INTERVAL 1 DAY")})
+    upsert_latest(spark, cur, path, "landing", 0)
+    upsert_latest(spark, revised, path, "revision", 0)
+    upsert_latest(spark, cur.filter(day), path, "revision", 0)  # the same batch of the same run: nothing happens
+    table = curated_snapshots(spark, path)
+    table.append(table.read().filter("city = 'view'").withColumn("city", F.lit("again")))
+    table.compact()
+    parts = [table.read(v).groupBy("city").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("pm2_5"), 4).alias("sum_pm2_5")).withColumn("version", F.lit(v)) for v in table.versions()[:3]]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 MATERIALIZE_ENDS = ["2024-01-10 00:00:00", "2024-01-20 00:00:00"]
 
 

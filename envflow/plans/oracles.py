@@ -587,6 +587,22 @@ FROM (
   FROM ({CURATED_SQL}) c
 ) x
 """
+_REVISED_SQL = f"""
+SELECT city, CASE WHEN CAST("timestamp" AS DATE) = DATE '2024-01-10' THEN pm2_5 + 1000.0 ELSE pm2_5 END AS pm2_5 FROM ({CURATED_SQL}) c
+"""
+ORACLES["upsert_snapshot"] = f"""
+SELECT 1 AS version, city, count(*) AS n_rows, round(sum(pm2_5), 4) AS sum_pm2_5 FROM ({CURATED_SQL}) a GROUP BY city
+UNION ALL SELECT 2, city, count(*), round(sum(pm2_5), 4) FROM ({_REVISED_SQL}) b GROUP BY city
+UNION ALL SELECT 3, city, count(*), round(sum(pm2_5), 4)
+FROM (SELECT * FROM ({_REVISED_SQL}) d UNION ALL SELECT 'again', pm2_5 FROM ({_REVISED_SQL}) e WHERE city = 'view') f GROUP BY city
+"""
+ORACLES["snapshot_diff"] = f"""
+WITH c AS ({CURATED_SQL})
+SELECT city, CASE city WHEN 'view' THEN 'removed' ELSE 'unchanged' END AS status, count(*) AS rows_before, CASE city WHEN 'view' THEN NULL ELSE count(*) END AS rows_after
+FROM c GROUP BY city
+UNION ALL SELECT 'view', 'added', NULL, count(*) FROM c WHERE city = 'view' AND pm2_5 > 100.0 HAVING count(*) > 0
+UNION ALL SELECT 'new', 'added', NULL, count(*) FROM c WHERE city = 'click' HAVING count(*) > 0
+"""
 ORACLES["materialize_incremental"] = LATEST_VIEWS_SQL
 
 
