@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import FeatureService, FeatureView
+from ..session import materialize
 from .dedup import latest_per_entity
+from .enrich import checked_broadcast
 
 
 @dataclass(frozen=True)
@@ -38,71 +43,52 @@ def service_frame(df: DataFrame, service: FeatureService, keep_keys: bool = True
     return df.select(*keys, *[F.col(c).cast(typed[c]).alias(c) for c in service.selected()])
 
 
-def wall_seconds(ts: Column | str) -> Column:
-    """Seconds since 1970-01-01 of a wall-clock (NTZ) time, zone-free."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
-    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+#: Feature and spine rows of one range.
+RANGE_ROWS = 1_000_000
 
 
-# aim for at most about this many feature + spine rows per (key, time bucket)
-ASOF_BUCKET_ROWS = 2_000_000
-
-
-def asof_bucket_width(
-    spine: DataFrame,
-    features: DataFrame,
-    keys: list[str],
-    ts: str,
-    fts: str,
-    base_width: int,
-    target_rows: int = ASOF_BUCKET_ROWS,
-) -> int:
-    """Bucket width (seconds) for :func:`asof_join`, from the data.
-
-    One aggregation over the key and time columns only counts the rows of
-    the busiest (key, ``base_width`` bucket). If that exceeds ``target_rows``
-    (a hot key), the width shrinks in proportion, so the busiest bucket holds
-    about ``target_rows`` rows when its rows are spread over time. Finer
-    buckets only add rows to the per-(key, bucket) carry table, which holds
-    at most one row per bucket.
-    """
-    b = F.floor(wall_seconds("_t") / base_width).alias("_b")
-    kt = features.select(*keys, F.col(fts).alias("_t")).unionByName(spine.select(*keys, F.col(ts).alias("_t")))
-    biggest = kt.dropna().groupBy(*keys, b).count().agg(F.max("count")).first()[0] or 0
-    if biggest <= target_rows:
-        return base_width
-    return max(1, int(base_width * target_rows // biggest))
+def _within(features: DataFrame, spine: DataFrame, ts: str, fts: str, ttl_seconds: int | None) -> DataFrame:
+    """The features that any spine row can match: not after the last one and, with a TTL, not before
+    the first one less the TTL. The bounds are literals, so they reach the scan."""
+    lo, hi = spine.agg(F.min(ts), F.max(ts)).first()
+    if hi is None:
+        return features.filter(F.lit(False))
+    features = features.filter(F.col(fts) <= F.lit(hi).cast("timestamp_ntz"))
+    if ttl_seconds is not None:
+        features = features.filter(F.col(fts) >= F.lit(lo - timedelta(seconds=int(ttl_seconds))).cast("timestamp_ntz"))
+    return features
 
 
 def asof_join(
     spine: DataFrame,
-    features: DataFrame,
+    features: DataFrame | FeatureSource,
     key: str | list[str],
     ts: str,
     feature_cols: list[str],
     ttl_seconds: int | None = None,
     feature_ts: str | None = None,
     tiebreak: tuple = (),
-    bucket_seconds: int | None = None,
     feature_ts_alias: str = "feature_timestamp",
+    range_rows: int | None = None,
 ) -> DataFrame:
     """Point-in-time join: for each spine row the latest feature row of the
     same key with ``feature_ts <= ts`` and, with a TTL, ``>= ts - ttl``.
 
-    Plan (no range join, no all-pairs): rows are bucketed by time. Inside a
-    (key, bucket) a running ``last(ignorenulls)`` over the union of feature and
-    spine rows gives the in-bucket hit. The latest feature row of earlier
-    buckets comes from a per-(key, bucket) ``max_by`` summary with a window
-    over buckets (one row per bucket, so a hot key stays cheap). A key that
-    holds a third of the data is thus split across its time buckets; without
-    an explicit ``bucket_seconds`` the width is sized from the data
-    (:func:`asof_bucket_width`), starting from the TTL.
+    Plan (no range join, no all-pairs, no window over a key): feature rows that no spine row can reach are
+    filtered at the scan. What is left and the spine are cut into ranges of (key, time, kind, tie-break, row) of
+    about ``range_rows`` rows, so a key, or one second of a key, that holds a third of all rows is
+    spread over many ranges. Inside (range, key) a running ``last(ignorenulls)`` finds the
+    hit. Every range is lent the last feature row of the ranges below it (one row per
+    range, found by a running maximum over as many rows as there are ranges); it counts
+    where no row of the own range does and its key is the row's.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if isinstance(features, FeatureSource):
+        feature_ts = feature_ts or features.timestamp_field
+        columns = dict.fromkeys([*keys, *tiebreak, *feature_cols])
+        features = features.load(spine.sparkSession, [c for c in columns if c != features.timestamp_field])
     fts = feature_ts or ts
-    # spine rows with a null key or time can match nothing: they skip the
-    # windows (a null key holding many rows would otherwise be one hot group)
+    # spine rows with a null key or time can match nothing
     matchable = F.col(ts).isNotNull()
     for k in keys:
         matchable = matchable & F.col(k).isNotNull()
@@ -112,56 +98,40 @@ def asof_join(
         F.lit(None).cast(features.schema[fts].dataType).alias(feature_ts_alias),
     )
     spine = spine.filter(matchable)
-    if bucket_seconds:
-        width = int(bucket_seconds)
-    else:
-        base = int(max(ttl_seconds or 86400, 3600))
-        width = asof_bucket_width(spine, features, keys, ts, fts, base)
-    tb = [F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)]
-    payload = F.struct(F.col(fts).alias("_ft"), *tb, *[F.col(c) for c in feature_cols])
-
-    f = (
-        features.filter(F.col(fts).isNotNull())
-        .dropna(subset=keys)
-        .select(*keys, F.col(fts).alias("_t"), payload.alias("_p"))
-        .withColumn("_b", F.floor(wall_seconds("_t") / width))
-    )
-    s_struct = F.struct(*[F.col(c) for c in spine.columns])
-    s = spine.select(*keys, F.col(ts).alias("_t"), s_struct.alias("_s")).withColumn(
-        "_b", F.floor(wall_seconds("_t") / width)
-    )
-    p_type = f.schema["_p"].dataType
-    s_type = s.schema["_s"].dataType
-    p_order = [F.col("_p._ft")] + [F.col(f"_p._tb{i}") for i in range(len(tiebreak))]
-
-    # latest feature row strictly before each spine bucket
-    last_b = (
-        f.groupBy(*keys, "_b").agg(F.max_by("_p", F.struct(*p_order)).alias("_last")).withColumn("_kind", F.lit(1))
-    )
-    spine_b = s.select(*keys, "_b").distinct().withColumn("_last", F.lit(None).cast(p_type)).withColumn("_kind", F.lit(0))
-    wc = Window.partitionBy(*keys).orderBy("_b", "_kind").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        last_b.unionByName(spine_b)
-        .withColumn("_carry", F.last("_last", ignorenulls=True).over(wc))
-        .filter(F.col("_kind") == 0)
-        .select(*keys, "_b", "_carry")
-    )
-
-    # in-bucket running last: features sort before a spine row at the same time
-    u = f.select(*keys, "_b", "_t", F.lit(0).alias("_is_spine"), "_p", F.lit(None).cast(s_type).alias("_s")).unionByName(
-        s.select(*keys, "_b", "_t", F.lit(1).alias("_is_spine"), F.lit(None).cast(p_type).alias("_p"), "_s")
-    )
-    wb = (
-        Window.partitionBy(*keys, "_b")
-        .orderBy("_t", "_is_spine", *p_order[1:])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    hit = u.withColumn("_hit", F.last("_p", ignorenulls=True).over(wb)).filter(F.col("_is_spine") == 1)
-    res = hit.join(carry, keys + ["_b"], "left")
-    p = F.coalesce(F.col("_hit"), F.col("_carry"))
+    features = _within(features.dropna(subset=[fts, *keys]), spine, ts, fts, ttl_seconds)
+
+    # both sides as rows of (keys, time, kind, tie-breaks, row number, feature row, spine row)
+    key_cols = [f"_k{i}" for i in range(len(keys))]
+    ties = [f"_tb{i}" for i in range(len(tiebreak))]
+    payload = F.struct(F.col(fts).alias("_ft"), *[F.col(c) for c in feature_cols])
+    f = features.select(
+        *[F.col(k).alias(c) for k, c in zip(keys, key_cols)], F.col(fts).alias("_t"), F.lit(0).alias("_is_spine"),
+        *[F.col(c).alias(t) for c, t in zip(tiebreak, ties)], payload.alias("_p"),
+    )
+    s = spine.select(
+        *[F.col(k).cast(f.schema[c].dataType).alias(c) for k, c in zip(keys, key_cols)], F.col(ts).alias("_t"), F.lit(1).alias("_is_spine"),
+        F.struct(*[F.col(c) for c in spine.columns]).alias("_s"),
+    )
+    both = f.unionByName(s, allowMissingColumns=True).withColumn("_row", F.monotonically_increasing_id())
+    order = [*key_cols, "_t", "_is_spine", *ties, "_row"]
+    n = features.count() + spine.count()
+    ranges = max(1, -(-n // (range_rows or RANGE_ROWS)))
+    cut = materialize(both.repartitionByRange(ranges, *order).withColumn("_part", F.spark_partition_id()))
+
+    last_of = F.max_by(F.struct(*key_cols, "_p"), F.struct(*order)).alias("_last")
+    lasts = cut.filter("_is_spine = 0").groupBy("_part").agg(last_of)
+    below = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    lent = cut.select("_part").distinct().join(lasts, "_part", "left").withColumn("_lent", F.last("_last", ignorenulls=True).over(below))
+    lent = lent.filter(F.col("_lent").isNotNull()).select("_part", "_lent")
+
+    inside = Window.partitionBy("_part", *key_cols).orderBy(*order[len(key_cols) :]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hits = cut.withColumn("_hit", F.last("_p", ignorenulls=True).over(inside)).filter("_is_spine = 1")
+    hits = hits.join(checked_broadcast(lent), "_part", "left")
+    same_key = reduce(and_, [F.col(c) == F.col(f"_lent.{c}") for c in key_cols])
+    p = F.coalesce(F.col("_hit"), F.when(same_key, F.col("_lent._p")))
     if ttl_seconds is not None:
         p = F.when(p["_ft"] >= F.col("_t") - F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS"), p)
-    res = res.withColumn("_m", p)
+    res = hits.withColumn("_m", p)
     out = res.select("_s.*", *[F.col("_m")[c].alias(c) for c in feature_cols], F.col("_m._ft").alias(feature_ts_alias))
     return out.unionByName(unmatched)
 

@@ -18,7 +18,7 @@ from ..functions.rules import scoring_input_rules, with_violations
 from ..functions.scalars import landing_key, parse_time, sanitize_name
 from ..operators.dedup import latest_per_entity, latest_per_key
 from ..operators.enrich import checked_broadcast, enrich, unknown_entities
-from ..operators.features import asof_join, cast_to_view, online_lookup, service_frame
+from ..operators.features import FeatureSource, asof_join, cast_to_view, online_lookup, service_frame
 from ..operators.flatten import flatten_hourly, long_to_wide
 from ..operators.prep import align_features, limit_per_entity, prepare_training, preview, reference_load
 from ..operators.stats import ingest_summary, label_counts, label_shares, payload_summary, reference_stats
@@ -329,9 +329,10 @@ def _spine_and_features(spark, sf):
 @register("asof_features_ttl")
 def q_asof_features_ttl(spark, sf):
     spine, feats = _spine_and_features(spark, sf)
-    return asof_join(
-        spine, feats, "user_id", "ts", ["view_value", "view_id"], ttl_seconds=6 * 3600, feature_ts="view_ts", tiebreak=("view_id",)
-    )
+    path = scratch_path(spark, "features")
+    feats.write.parquet(path)
+    source = FeatureSource(path, "view_ts")
+    return asof_join(spine, source, "user_id", "ts", ["view_value", "view_id"], ttl_seconds=6 * 3600, tiebreak=("view_id",))
 
 
 def _latest_views(spark, sf):

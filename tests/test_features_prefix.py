@@ -2,12 +2,14 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from envflow.operators.enrich import checked_broadcast, enrich
-from envflow.operators.features import asof_join, online_lookup
+from envflow.operators.features import FeatureSource, _within, asof_join, online_lookup
 from envflow.operators.prefix import exact_quantiles, running_totals
+from envflow.session import materialize
 
 
 def _brute_asof(spine, feats, ttl):
@@ -45,7 +47,7 @@ def _hot_key_case(spark):
 def test_asof_matches_brute_force_with_hot_key(spark):
     feats, spine, fdf, sdf = _hot_key_case(spark)
     ttl = 6 * 3600
-    got = asof_join(sdf, fdf, "k", "ts", ["v"], ttl_seconds=ttl, feature_ts="fts", tiebreak=("fid",), bucket_seconds=3600)
+    got = asof_join(sdf, fdf, "k", "ts", ["v"], ttl_seconds=ttl, feature_ts="fts", tiebreak=("fid",))
     res = {r["sid"]: r["v"] for r in got.collect()}
     want = _brute_asof(spine, feats, ttl)
     assert res == want
@@ -53,19 +55,47 @@ def test_asof_matches_brute_force_with_hot_key(spark):
     assert got.filter(F.col("feature_timestamp") > F.col("ts")).count() == 0
 
 
-def test_asof_width_shrinks_for_hot_key(spark, monkeypatch):
+@pytest.mark.parametrize("range_rows", [60, 700])
+def test_asof_ranges_change_nothing(spark, range_rows):
+    feats, spine, fdf, sdf = _hot_key_case(spark)
+    for ttl in (6 * 3600, 20 * 86400):
+        got = asof_join(sdf, fdf, "k", "ts", ["v"], ttl_seconds=ttl, feature_ts="fts", tiebreak=("fid",), range_rows=range_rows)
+        assert {r["sid"]: r["v"] for r in got.collect()} == _brute_asof(spine, feats, ttl)
+
+
+def test_asof_of_one_second_that_holds_a_third_of_the_rows(spark, monkeypatch):
+    """The hot second is cut into many ranges, each lent its last feature row."""
     import envflow.operators.features as fmod
 
-    feats, spine, fdf, sdf = _hot_key_case(spark)
-    ttl = 6 * 3600
-    # key 0 has about 1,300 rows over 20 days (some 16 per 6-hour bucket):
-    # with a 5-row target the buckets are too big for it, so the width narrows
-    width = fmod.asof_bucket_width(sdf, fdf, ["k"], "ts", "fts", ttl, target_rows=5)
-    assert width < ttl
-    monkeypatch.setattr(fmod, "ASOF_BUCKET_ROWS", 5)
-    got = asof_join(sdf, fdf, "k", "ts", ["v"], ttl_seconds=ttl, feature_ts="fts", tiebreak=("fid",))
-    res = {r["sid"]: r["v"] for r in got.collect()}
-    assert res == _brute_asof(spine, feats, ttl)
+    hot = pd.Timestamp("2024-01-01 12:00:00").to_pydatetime()
+    feats = [(1, hot, i, float(i)) for i in range(300)] + [(2, hot, 1000, 5.0)]
+    spine = [(i, 1, hot) for i in range(500)] + [(1000 + i, i, hot + pd.Timedelta(seconds=1)) for i in range(4)]
+    fdf = spark.createDataFrame(feats, "k long, fts timestamp_ntz, fid long, v double")
+    sdf = spark.createDataFrame(spine, "sid long, k long, ts timestamp_ntz")
+    cuts = []
+    monkeypatch.setattr(fmod, "materialize", lambda df: cuts.append(materialize(df)) or cuts[-1])
+    got = asof_join(sdf, fdf, "k", "ts", ["v"], ttl_seconds=60, feature_ts="fts", tiebreak=("fid",), range_rows=20)
+    assert {r["sid"]: r["v"] for r in got.collect()} == _brute_asof(spine, feats, 60)
+    sizes = [r["count"] for r in cuts[0].groupBy("_part").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 100
+
+
+def test_asof_reads_no_features_out_of_reach_and_has_no_window_over_a_key(spark, tmp_path):
+    base = pd.Timestamp("2024-01-01")
+    feats = [(i % 5, (base + pd.Timedelta(days=i)).to_pydatetime(), float(i)) for i in range(100)]
+    spark.createDataFrame(feats, "k long, fts timestamp_ntz, v double").write.parquet(str(tmp_path / "f"))
+    sdf = spark.createDataFrame([(1, (base + pd.Timedelta(days=50, hours=1)).to_pydatetime())], "k long, ts timestamp_ntz")
+    source = FeatureSource(str(tmp_path / "f"), "fts")
+    within = _within(source.load(spark, ["k", "v"]), sdf, "ts", "fts", 2 * 86400)
+    plan = within._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(fts,2024-02-18T01:00" in plan and "LessThanOrEqual(fts,2024-02-20T01:00" in plan
+    assert within.count() == 2
+    got = asof_join(sdf, source, "k", "ts", ["v"], ttl_seconds=5 * 86400)
+    assert [tuple(r)[2:] for r in got.collect()] == [(46.0, feats[46][1])]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    specs = [x for x in plan.split("\n") if "Window [" in x]
+    assert specs and all("_part" in x for x in specs)
+    assert asof_join(sdf.filter("false"), source, "k", "ts", ["v"], ttl_seconds=60).collect() == []
 
 
 def test_online_lookup_ttl(spark):
