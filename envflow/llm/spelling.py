@@ -7,7 +7,7 @@ length differ by 2 in L1, of neighbouring lengths by 1.
 1. *Words.* Runs of letters are counted per document and batch, thinned by the stated rule, and summed
    by Spark with partial aggregation. Words of enough letters and occurrences are the vocabulary.
 2. *Cells.* For each length a k-d tree over the count vectors cuts the vocabulary into cells of about CELL
-   words. Its splits come from a bounded sample (SAMPLE words by hash order); they decide only how
+   words. Its splits come from a bounded sample (about SAMPLE words, those of the least hashes); they decide only how
    evenly the cells are filled. A cell that holds more than twice as many is dealt over several units.
 3. *Range searches.* For each length pair (L, L) and (L, L + 1) a word visits the units whose box can hold a near word: a
    box that takes more than one count up or more than one down (any down, for L + 1) is pruned. Of two units of one
@@ -323,7 +323,9 @@ class Cells:
 def cells_of(vocab: DataFrame) -> Cells:
     """Trees from a bounded sample, units from counts of all words."""
     lengths = {r["k"]: r["n"] for r in vocab.groupBy(F.char_length("word").alias("k")).agg(F.count("*").alias("n")).collect()}
-    sample = [r[0] for r in vocab.orderBy(F.xxhash64("word"), "word").limit(SAMPLE).select("word").collect()]
+    whole, scale = max(1, sum(lengths.values())), 1 << 30
+    some = vocab.where(F.pmod(F.xxhash64("word"), F.lit(scale)) <= scale * SAMPLE // whole)  # about SAMPLE words in all
+    sample = [r[0] for r in some.select("word").collect()]
     cells = Cells(lengths, sample)
 
     def assign(batches):
