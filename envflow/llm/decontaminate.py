@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import on_workers, sized, text_of
+from envflow.llm.common import on_workers, sized, stored, text_of
 from envflow.llm.fm_index import FMIndex
 
 WINDOW_WORDS = 10
@@ -150,7 +150,7 @@ def occurrences(
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_text")
     schema = f"{fields}, _words long, _spans array<struct<start:long,end:long>>, _items array<string>"
 
-    def searcher(shared):
+    def searcher(shared, kept=tuple(kept)):
         def run(batches):
             phrases = shared.value
             for b in batches:
@@ -181,24 +181,36 @@ def occurrences(
     phrases = _phrase_rows(benchmark, item_col, item_text_col)
     parts = _block_count(phrases)
     cut_here = cut and parts == 1  # with more blocks, after their spans have met
+    if parts == 1:
+        shared = spark.sparkContext.broadcast(Phrases(next(_blocks(phrases, parts)), size))
+        return on_workers(src).mapInArrow(searcher(shared), schema)
+    # one block is broadcast at a time; rows are known by their number, whatever their ids
+    src = stored(src.withColumn("_row", F.monotonically_increasing_id()), "documents")
     results = []
-    for rows in _blocks(phrases, parts):
+    for k, rows in enumerate(_blocks(phrases, parts)):
         shared = spark.sparkContext.broadcast(Phrases(rows, size))
-        results.append(on_workers(src).mapInArrow(searcher(shared), schema))
-    if parts == 1:
-        return results[0]
-    met = _met(results, kept)
-    if not cut:
-        return met
+        own = src.select(F.col("_row").alias("_id"), "_text")
+        own = on_workers(own).mapInArrow(searcher(shared, ()), "_id long, _words long, _spans array<struct<start:long,end:long>>, _items array<string>")
+        results.append(stored(own if k == 0 else own.where(F.size("_spans") > 0), "occurrences"))
+        shared.unpersist()
+    every = results[0]
+    for r in results[1:]:
+        every = every.unionByName(r)
+    met = every.groupBy(F.col("_id").alias("_row")).agg(
+        F.max("_words").alias("_words"), F.flatten(F.collect_list("_spans")).alias("_spans"), F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items")
+    )
+    whole = (src if cut else src.drop("_text")).join(met, "_row").select("_id", *kept, "_words", "_spans", "_items")
 
-    def cut_met(batches):
+    def settle(batches):
         for b in batches:
             cols = dict(zip(b.schema.names, b.columns))
-            spans = [[(x["start"], x["end"]) for x in s] for s in b.column("_spans").to_pylist()]
-            _cut(cols, f"_k_{text_col}", "_k_n_chars", spans)
+            spans = [_merged([(x["start"], x["end"]) for x in s]) for s in b.column("_spans").to_pylist()]
+            if cut:
+                _cut(cols, f"_k_{text_col}", "_k_n_chars", spans)
+            cols["_spans"] = pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], b.schema.field("_spans").type)
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
-    return on_workers(met).mapInArrow(cut_met, met.schema)
+    return on_workers(whole).mapInArrow(settle, schema)
 
 
 def _cut(cols: dict, text: str, n_chars: str, spans: list[list[tuple[int, int]]]) -> None:
@@ -212,37 +224,13 @@ def _cut(cols: dict, text: str, n_chars: str, spans: list[list[tuple[int, int]]]
         cols[n_chars] = pa.array(n, cols[n_chars].type)
 
 
-def _met(results: list[DataFrame], kept: list[str]) -> DataFrame:
-    """One row per document from the rows that the blocks gave."""
-    every = results[0]
-    for r in results[1:]:
-        every = every.unionByName(r)
-    key = ["_id", "_words", *kept]
-    # a repeated row stands once per repetition in every block's result
-    met = every.groupBy(*key).agg(
-        F.count("*").alias("_n"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_spans")))).alias("_all"),
-        F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items"),
-    )
-    met = met.withColumn("_n", (F.col("_n") / len(results)).cast("int")).withColumn("_", F.explode(F.sequence(F.lit(1), "_n")))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in results[0].schema)
-    names = [f.name for f in results[0].schema]
-
-    def merge(frames):
-        for f in frames:
-            f["_spans"] = [_merged([(x["start"], x["end"]) for x in a]) for a in f["_all"]]
-            yield f[names]
-
-    return on_workers(met).mapInPandas(merge, types)
-
-
-def _merged(spans: list[tuple[int, int]]) -> list[dict]:
-    out: list[dict] = []
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list = []
     for s, e in sorted(spans):
-        if out and s <= out[-1]["end"]:
-            out[-1]["end"] = max(out[-1]["end"], e)
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
         else:
-            out.append({"start": s, "end": e})
+            out.append((s, e))
     return out
 
 

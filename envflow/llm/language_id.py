@@ -2,10 +2,12 @@
 
 1. Features: hashed n-grams (2 and 3) of the lower-cased text's letters, all else a space;
    sublinear counts times inverse document frequency, scaled to length 1 over the n-grams
-   that the sample has. Document frequencies are counted over every document to learn from.
+   that the sample has. Document frequencies and languages are counted over every document to learn from, in one pass.
 2. Training: follow-the-regularised-leader (FTRL-proximal) with elastic-net penalties on
-   at most SAMPLE_PER_LANG labelled documents per language, taken by hash order (the
-   bound of this fit; a fifth of them calibrates).
+   at most SAMPLE_PER_LANG labelled documents per language and about SAMPLE in all, taken by hash order
+   in one more pass (the bound of this fit; a fifth of them calibrates). Every language is learned; weights
+   have at most MODEL_CELLS entries: with more languages n-grams share weights, and more than
+   MODEL_CELLS / LEAST_FEATURES languages are an error.
 3. Calibration: one temperature that minimises the log loss of the calibration part.
 4. Prediction: every whole text, map side, with the model broadcast (its size is
    features x languages, whatever the data).
@@ -20,11 +22,12 @@ ids are not learned from, ``held_out`` false); extra columns are ignored; an emp
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from envflow.llm.bpe import balanced
@@ -34,8 +37,8 @@ UNKNOWN = "und"
 ORDERS = (2, 3)
 FEATURE_BITS = 18
 FEATURES = 1 << FEATURE_BITS
-SAMPLE_PER_LANG = 2500
-LANGUAGES = 512
+SAMPLE_PER_LANG, SAMPLE = 2500, 40_000
+MODEL_CELLS, LEAST_FEATURES = 1 << 24, 1 << 12
 CALIBRATION_SHARE = 5  # every fifth document of the sample
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 2.0, 1.0, 1e-4, 1e-4
 _U = np.uint32
@@ -100,20 +103,27 @@ def weighted(row: np.ndarray, feature: np.ndarray, count: np.ndarray, idf: np.nd
     return x / np.where(norm[row] > 0, norm[row], 1)
 
 
+def folded(feature: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct features, in order, and the sums of their values."""
+    own, at = np.unique(feature, return_inverse=True)
+    return own, np.bincount(at, weights=x, minlength=len(own))
+
+
 @dataclass
 class Model:
     languages: list[str]
     idf: np.ndarray  # FEATURES
     seen: np.ndarray  # languages x FEATURES / 8: bits of the n-grams that a language's sample has
-    weights: np.ndarray  # FEATURES + 1 (bias) x languages
+    weights: np.ndarray  # 2^bits + 1 (bias) x languages
     temperature: float
+    shift: int  # an n-gram's weights are those of its number without so many bits
 
     def logits(self, texts: list[str], found: tuple | None = None) -> np.ndarray:
         row, feature, count = found or features(texts)
         x = weighted(row, feature, count, self.idf * self.learned(), len(texts))
         out = np.empty((len(texts), len(self.languages)))
         for k in range(len(self.languages)):
-            out[:, k] = np.bincount(row, weights=x * self.weights[feature, k], minlength=len(texts))
+            out[:, k] = np.bincount(row, weights=x * self.weights[feature >> self.shift, k], minlength=len(texts))
         return out + self.weights[-1]
 
     def learned(self) -> np.ndarray:
@@ -138,9 +148,16 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int) -> np.ndarray:
-    """FTRL-proximal over (features, values) rows, EPOCHS times: weights (FEATURES + 1) x classes."""
-    z, n = np.zeros((FEATURES + 1, classes)), np.zeros((FEATURES + 1, classes))
+def shift_of(languages: int) -> int:
+    """By how many bits n-gram numbers are cut, so that the weights fit."""
+    if languages * LEAST_FEATURES > MODEL_CELLS:
+        raise ValueError(f"{languages} languages are more than {MODEL_CELLS // LEAST_FEATURES}")
+    return max(0, FEATURE_BITS - (MODEL_CELLS // max(languages, 1)).bit_length() + 1)
+
+
+def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, size: int = FEATURES) -> np.ndarray:
+    """FTRL-proximal over rows of (distinct features, values), EPOCHS times: weights (``size`` + 1) x classes."""
+    z, n = np.zeros((size + 1, classes)), np.zeros((size + 1, classes))
 
     def solved(at) -> np.ndarray:
         zi = z[at]
@@ -151,7 +168,7 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, clas
     for _ in range(EPOCHS):
         for r in order.permutation(len(rows)):
             f, x = rows[r]
-            f, x = np.append(f, FEATURES), np.append(x, 1.0)
+            f, x = np.append(f, size), np.append(x, 1.0)
             w = solved(f)
             p = softmax(x @ w)
             p[labels[r]] -= 1
@@ -189,41 +206,48 @@ def fold(id_col: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds))
 
 
-def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """Documents with each feature, over all rows of ``texts`` (one column), and the rows."""
+def document_statistics(texts: DataFrame) -> tuple[np.ndarray, dict[str, int]]:
+    """Documents with each feature, and documents of each language, over all rows of ``texts`` (text, language)."""
 
     def count(batches):
-        df, total = np.zeros(FEATURES, dtype=np.int64), 0
+        df, langs = np.zeros(FEATURES, dtype=np.int64), Counter()
         for b in batches:
             t = b.column(0).to_pylist()
-            total += len(t)
+            langs.update(b.column(1).to_pylist())
             for lo, hi in balanced(t, BATCH_CHARS):
                 df += np.bincount(features(t[lo:hi])[1], minlength=FEATURES)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(at, -1)), pa.array(np.append(df[at], total))], names=["feature", "n"]
+            [pa.array([*at.tolist(), *[-1] * len(langs)], pa.int64()), pa.array([None] * len(at) + [*langs], pa.string()), pa.array([*df[at].tolist(), *langs.values()], pa.int64())],
+            names=["feature", "lang", "n"],
         )
 
-    rows = on_workers(texts).mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    out, total = np.zeros(FEATURES, dtype=np.int64), 0
-    for r in rows.collect():  # FEATURES rows and one at most
-        if r[0] < 0:
-            total = int(r[1])
+    rows = on_workers(texts).mapInArrow(count, "feature long, lang string, n long").groupBy("feature", "lang").agg(F.sum("n").alias("n"))
+    most = MODEL_CELLS // LEAST_FEATURES
+    out, counts = np.zeros(FEATURES, dtype=np.int64), {}
+    for r in rows.limit(FEATURES + most + 1).collect():
+        if r[1] is None:
+            out[r[0]] = r[2]
         else:
-            out[r[0]] = r[1]
-    return out, total
+            counts[r[1]] = r[2]
+    shift_of(len(counts))  # too many languages are an error
+    return out, counts
 
 
-def labelled_sample(docs: DataFrame, per_lang: int, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, str]]:
+def labelled_sample(docs: DataFrame, counts: dict[str, int], per_lang: int, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, str]]:
     """At most ``per_lang`` labelled texts of each language, by hash order."""
-    counts = docs.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(LANGUAGES).collect()
     order = F.pmod(F.xxhash64(id_col), F.lit(1 << 30))
     # a hash threshold leaves about twice the bound, then the least hashes of each language
-    out: list = []
-    for lang, n in sorted((r[0], r[1]) for r in counts):
-        own = docs.where(F.col(lang_col) == lang).where(order < int((1 << 30) * min(1.0, 2 * per_lang / n)))
-        out += [(r[0], lang) for r in own.orderBy(order, text_col).limit(per_lang).select(text_col).toLocalIterator()]
-    return out
+    least = {lang: int((1 << 30) * min(1.0, 2 * per_lang / n)) for lang, n in counts.items()}
+    usual = min(least.values())
+    rare = {lang: t for lang, t in least.items() if t > usual}
+    threshold = F.lit(usual)
+    if rare:
+        threshold = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in sorted(rare.items()) for x in p]), F.col(lang_col)), threshold)
+    some = docs.withColumn("_order", order).where(F.col("_order") < threshold)
+    place = F.row_number().over(Window.partitionBy(lang_col).orderBy("_order", text_col))
+    rows = some.withColumn("_place", place).where(F.col("_place") <= per_lang).select(lang_col, "_place", text_col).collect()  # about SAMPLE rows at most
+    return [(r[2], r[0]) for r in sorted(rows, key=lambda r: (r[0], r[1]))]
 
 
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
@@ -231,11 +255,13 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, id_col: str = "doc_i
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), F.col(lang_col).cast("string").alias("_lang")
     )
-    sample = labelled_sample(known, per_lang, "_id", "_text", "_lang")
-    languages = sorted({lang for _, lang in sample})
+    df, counts = document_statistics(known.select("_text", "_lang"))
+    languages = sorted(counts)
     if not languages:
         return None
-    df, total = document_frequencies(known.select("_text"))
+    total, shift = sum(counts.values()), shift_of(len(languages))
+    per_lang = min(per_lang, max(1, SAMPLE // len(languages)))
+    sample = labelled_sample(known, counts, per_lang, "_id", "_text", "_lang")
     idf = np.log((1 + total) / (1 + df)) + 1
     index = {x: i for i, x in enumerate(languages)}
     labels = np.array([index[lang] for _, lang in sample])
@@ -246,11 +272,11 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, id_col: str = "doc_i
         for i in np.flatnonzero(labels == k):
             has[counted[i][0]] = True
         seen[k] = np.packbits(has)
-    rows = [(f, weighted(np.zeros(len(f), dtype=np.int64), f, c, idf, 1)) for f, c in counted]
+    rows = [folded(f >> shift, weighted(np.zeros(len(f), dtype=np.int64), f, c, idf, 1)) for f, c in counted]
     held = np.arange(len(rows)) % CALIBRATION_SHARE == 0
     learn = np.flatnonzero(~held) if len(rows) >= 10 * len(languages) else np.arange(len(rows))
-    weights = fit_ftrl([rows[i] for i in learn], labels[learn], len(languages))
-    model = Model(languages, idf, seen, weights.astype(np.float32), 1.0)
+    weights = fit_ftrl([rows[i] for i in learn], labels[learn], len(languages), FEATURES >> shift)
+    model = Model(languages, idf, seen, weights.astype(np.float32), 1.0, shift)
     check = np.flatnonzero(held)
     logits = np.array([x @ weights[f] + weights[-1] for f, x in (rows[i] for i in check)])
     model.temperature = fit_temperature(logits, labels[check])

@@ -2,7 +2,8 @@
 
 1. Every document gets its set of 5-word shingles as hashes: its size, a 128-bit
    fingerprint of the set, 255 MinHash values folded into 51 band hashes of 5, and a
-   sketch of one bit per MinHash value. Equal sets collapse to one representative.
+   sketch of one bit per MinHash value. Equal sets collapse to one representative with a
+   number of its own; ids are only labels of the rows that have it.
 2. Representatives meet in band buckets. A pair at similarity 0.75 misses all 51
    buckets with probability 1e-6.
 3. *Star round:* every member is paired with the least id of each of its buckets
@@ -14,9 +15,9 @@
    posterior probability that the similarity reaches the threshold falls under ``miss``, the
    pair is dropped. Survivors are verified exactly on the texts' full sets.
 
-Defined cases: a text without words, or null, has an empty set and no links; repeated rows
-and equal ids count as one document; a null id with links reports the class's least id;
-extra columns are ignored; an empty table gives none.
+Defined cases: a text without words, or null, has an empty set and no links; repeated rows and
+rows of equal ids are rows of their own, each linked by its own text; null ids take part in links but are
+never a component's id (null, where all ids of it are); extra columns are ignored; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -115,13 +116,14 @@ def surviving(a: np.ndarray, b: np.ndarray, bounds: list[int]) -> tuple[np.ndarr
     return left, equal
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n, fp1, fp2, bands, sketch`` per row of ``docs``; empty sets have no bands."""
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id, h, g, n, fp1, fp2, bands, sketch`` per row of ``docs``, and the columns ``keep``; ``h`` and ``g`` are hashes of
+    the text; empty sets have no bands."""
 
     def sign(batches):
         memo = WordHashes()
         for b in batches:
-            texts = b.column(1).to_pylist()
+            texts = b.column(0).to_pylist()
             n, fp1, fp2, bands, sketch = [], [], [], [], []
             for lo, hi in balanced(texts, 1 << 21):
                 sets = [np.unique(shingle_hashes(words_of(t), memo)) for t in texts[lo:hi]]
@@ -144,14 +146,18 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 bands += own_b
                 sketch += own_s
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()),
+                [*b.columns[1:], pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()),
                  pa.array(bands, pa.binary()), pa.array(sketch, pa.binary())],
-                names=["id", "n", "fp1", "fp2", "bands", "sketch"],
+                names=[*b.schema.names[1:], "n", "fp1", "fp2", "bands", "sketch"],
             )
 
-    src = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    kind = src.schema["id"].dataType.simpleString()
-    return on_workers(src).mapInArrow(sign, f"id {kind}, n long, fp1 long, fp2 long, bands binary, sketch binary")
+    src = docs.select(text_of(text_col).alias("text"), F.col(id_col).alias("id"), *_text_key(text_col), *keep)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[1:])
+    return on_workers(src).mapInArrow(sign, f"{fields}, n long, fp1 long, fp2 long, bands binary, sketch binary")
+
+
+def _text_key(text_col: str) -> list:
+    return [F.xxhash64(text_of(text_col)).alias("h"), F.hash(text_of(text_col)).alias("g")]
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
@@ -351,20 +357,22 @@ def _verified(pairs: DataFrame, texts: DataFrame, similar_pct: int) -> DataFrame
     return on_workers(rows).mapInArrow(check, f"a {kind}, b {kind}")
 
 
-def near_duplicates(
-    docs: DataFrame, similar_pct: int = SIMILAR_PCT, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``id_col, n_shingles, component_id, kept`` per row of ``docs``."""
+def _linked(docs: DataFrame, similar_pct: int, miss: float, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id, n, rep, component, component_id`` and ``keep`` per row of ``docs``: the representative of its set and of its
+    component (numbers; null for empty sets), and the least id of the component's rows."""
     bounds = posterior_bounds(similar_pct / 100, miss)
-    signed = stored(signatures(docs, id_col, text_col), "signatures")
-    known = signed.where("n > 0 and id is not null")
-    # equal sets are one representative, the least id
-    reps = stored(known.groupBy("n", "fp1", "fp2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "sets")
+    signed = stored(signatures(docs, id_col, text_col, keep), "signatures")
+    # equal sets are one representative
+    sets = signed.where("n > 0").groupBy("n", "fp1", "fp2").agg(
+        F.min("id").alias("least"), F.min(F.struct("h", "g")).alias("text_key"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+    )
+    reps = stored(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
     buckets = stored(_buckets(reps), "buckets")
     sketch = reps.select("id", "n", "sketch")
-    busy = buckets.select("id").distinct()
-    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(busy, "id", "left_semi")
-    texts = stored(texts.dropDuplicates(["id"]), "texts")
+    busy = reps.select("id", "text_key.h", "text_key.g").join(buckets.select("id").distinct(), "id", "left_semi")
+    texts = docs.select(*_text_key(text_col), text_of(text_col).alias("text"))
+    texts = texts.join(busy.select("h", "g"), ["h", "g"], "left_semi").dropDuplicates(["h", "g"])
+    texts = stored(texts.join(busy, ["h", "g"]).select("id", "text"), "texts")
 
     # each member has one partner at most, of a lesser id: a forest
     labels = forest_roots(_verified(_star(buckets, sketch, similar_pct, bounds), texts, similar_pct))
@@ -379,13 +387,20 @@ def near_duplicates(
         if forest and links == told.count():
             break  # every tree held, so every pair that was left out is joined
 
-    of_set = reps.select("n", "fp1", "fp2", F.col("id").alias("rep")).join(
-        labels.withColumnRenamed("node", "rep"), "rep", "left"
-    ).select("n", "fp1", "fp2", F.coalesce("component", "rep").alias("component"))
-    out = signed.select("id", "n", "fp1", "fp2").join(of_set, ["n", "fp1", "fp2"], "left")
-    own = F.coalesce("component", "id")
-    return out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"), own.eqNullSafe(F.col("id")).alias("kept")
+    of_set = reps.select("n", "fp1", "fp2", "least", F.col("id").alias("rep")).join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    of_set = stored(of_set.withColumn("component", F.coalesce("component", "rep")), "components")
+    least = of_set.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_set = of_set.join(least, "component").select("n", "fp1", "fp2", "rep", "component", "component_id")
+    out = signed.select("id", "n", "fp1", "fp2", *keep).join(of_set, ["n", "fp1", "fp2"], "left")
+    return out.select("id", "n", "rep", "component", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"), *keep)
+
+
+def near_duplicates(
+    docs: DataFrame, similar_pct: int = SIMILAR_PCT, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``id_col, n_shingles, component_id, kept`` per row of ``docs``."""
+    return _linked(docs, similar_pct, miss, id_col, text_col).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("component_id").eqNullSafe(F.col("id")).alias("kept")
     )
 
 
@@ -404,14 +419,14 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return moved.unionByName(fresh)
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without those that a smaller id of their group stands for. Of rows with equal
-    ids one stays; rows without an id all stay."""
-    gone = near_duplicates(docs, id_col=id_col, **how).where(~F.col("kept") & F.col(id_col).isNotNull())
-    gone = gone.select(F.col(id_col).alias("_gone")).distinct()
-    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
-    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("_n")).where("_n > 1")
-    if repeated.isEmpty():
-        return left
-    lone = left.where(F.col(id_col).isNull())
-    return left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(lone)
+def drop_near_duplicates(
+    docs: DataFrame, similar_pct: int = SIMILAR_PCT, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each group of near duplicates (that of the least id; null ids last), and all rows with empty sets."""
+    row = "_near_dedup_row"
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    linked = _linked(numbered, similar_pct, miss, id_col, text_col, keep=(row,)).where("component IS NOT NULL")
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", row)).alias("first")
+    kept = linked.groupBy("component").agg(first).select(F.col(f"first.{row}").alias(row))
+    gone = linked.select(row).join(kept, row, "left_anti")
+    return numbered.join(gone, row, "left_anti").drop(row)

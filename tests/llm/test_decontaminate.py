@@ -100,6 +100,19 @@ def test_shards_and_blocks_change_nothing(spark, bench, monkeypatch, shard, bloc
     assert got == sorted((i, *x) for (i, _), x in zip(rows, by_hand([t for _, t in rows], ITEMS)))
 
 
+@pytest.mark.parametrize("block", [64, 1 << 20])
+def test_rows_of_null_and_shared_ids_keep_their_own_hits(spark, bench, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    texts = [*TEXTS, *[" ".join(["clean"] * len(decontaminate.words_of(t))) for t in TEXTS if t], None]  # the same numbers of words
+    rows = [(i, t) for i in (None, 3) for t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in decontaminate.contamination(docs, bench).collect()), key=str)
+    assert got == sorted(((i, *x) for (i, _), x in zip(rows, by_hand([t for _, t in rows], ITEMS))), key=str)
+    clean = decontaminate.decontaminate(docs, bench)
+    assert clean.count() == len(rows) and clean.where("text is null").count() == 2 * texts.count(None)
+    assert decontaminate.contamination(clean, bench).where("contaminated").count() == 0
+
+
 def test_spans_are_cut_out(spark, bench):
     docs = messy(spark)
     got = decontaminate.decontaminate(docs, bench).collect()

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from helpers import SF, crc, messy, none_of, rows_by
@@ -172,3 +174,96 @@ def test_unlearned_languages_and_lettered_junk_go(spark, languages):
     assert lettered <= left
     foreign = {r.doc_id for r in others.collect()}
     assert len(foreign & left) <= 0.2 * len(foreign)
+
+
+def alphabets(n: int) -> list[tuple[int, str, str]]:
+    """Texts of ``n`` languages, each with words of its own."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for k in range(n):
+        words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(8)]
+        rows += [(len(rows) + i, " ".join(rng.permutation(words)[:6]), f"l{k:04}") for i in range(4)]
+    return rows
+
+
+def test_every_one_of_600_languages_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MODEL_CELLS", 1 << 22)
+    rows = alphabets(600)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language_id.train(docs)
+    assert len(model.languages) == 600 and model.weights.shape == ((1 << 12) + 1, 600)
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(docs, model).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) > 0.97 * len(rows)
+
+
+def test_more_languages_than_the_bound_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MODEL_CELLS", 1 << 15)
+    docs = spark.createDataFrame(alphabets(9), "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="9 languages are more than 8"):
+        language_id.train(docs)
+
+
+def test_the_sample_has_the_least_hashes_of_every_language(spark):
+    docs = spark.range(900).selectExpr("id AS _id", "concat('t', id) AS _text", "CASE WHEN id < 800 THEN 'big' WHEN id < 890 THEN 'mid' ELSE 'few' END AS _lang")
+    got = language_id.labelled_sample(docs, {"big": 800, "mid": 90, "few": 10}, 20, "_id", "_text", "_lang")
+    want = []
+    for lang in ("big", "few", "mid"):
+        own = docs.where(f"_lang = '{lang}'").selectExpr("_text", "pmod(xxhash64(_id), 1 << 30) AS h").orderBy("h").limit(20)
+        want += [(r[0], lang) for r in own.collect()]
+    assert got == want
+
+
+def test_statistics_are_plain_counts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
+    df, counts = language_id.document_statistics(docs)
+    want, langs = np.zeros(language_id.FEATURES, dtype=int), {}
+    for r in docs.collect():
+        langs[r.lang] = langs.get(r.lang, 0) + 1
+        want[language_id.features([r.text])[1]] += 1
+    assert counts == langs and (df == want).all()
+
+
+def test_ftrl_and_weights_agree_with_a_plain_version():
+    rng = np.random.default_rng(3)
+    rows = [(np.sort(rng.choice(30, 6, replace=False)), rng.random(6)) for _ in range(40)]
+    labels, k = rng.integers(0, 3, 40), 3
+    z, n = {}, {}
+
+    def weight(f, c):
+        v = z.get((f, c), 0.0)
+        if abs(v) <= language_id.L1:
+            return 0.0
+        return -(v - math.copysign(language_id.L1, v)) / ((language_id.BETA + math.sqrt(n.get((f, c), 0.0))) / language_id.ALPHA + language_id.L2)
+
+    order = np.random.default_rng(7)
+    for _ in range(language_id.EPOCHS):
+        for r in order.permutation(len(rows)):
+            x = [*zip(rows[r][0].tolist(), rows[r][1].tolist()), (30, 1.0)]
+            w = {(f, c): weight(f, c) for f, _ in x for c in range(k)}
+            e = [math.exp(sum(v * w[f, c] for f, v in x)) for c in range(k)]
+            for f, v in x:
+                for c in range(k):
+                    g = v * (e[c] / sum(e) - (c == labels[r]))
+                    old = n.get((f, c), 0.0)
+                    sigma = (math.sqrt(old + g * g) - math.sqrt(old)) / language_id.ALPHA
+                    z[f, c] = z.get((f, c), 0.0) + g - sigma * w[f, c]
+                    n[f, c] = old + g * g
+    got = language_id.fit_ftrl(rows, labels, k, 30)
+    assert np.allclose(got, [[weight(f, c) for c in range(k)] for f in range(31)], atol=1e-9)
+
+
+def test_tf_idf_agrees_with_a_plain_version():
+    text = "The cat. the CAT!  a"
+    low = " the cat the cat a "
+    counts = {}
+    for size in (2, 3):
+        for i in range(len(low) - size + 1):
+            gram = low[i : i + size]
+            if gram.strip():
+                counts[gram] = counts.get(gram, 0) + 1
+    row, feature, count = language_id.features([text])
+    assert sorted(count.tolist()) == sorted(counts.values()) and not row.any()
+    idf = np.linspace(1, 3, language_id.FEATURES)
+    x = language_id.weighted(row, feature, count, idf, 1)
+    raw = [(1 + math.log(c)) * idf[f] for f, c in zip(feature, count)]
+    assert np.allclose(x, np.array(raw) / math.sqrt(sum(v * v for v in raw)))

@@ -101,5 +101,26 @@ def test_messy_rows(spark):
     kept = near_dedup.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 7, 8, 9]
-    assert kept.where("doc_id is null").count() == 2
+    assert [r.text for r in kept.where("doc_id is null").collect()] == [None]  # the other one is near to document 1
     assert near_dedup.drop_near_duplicates(none_of(docs)).count() == 0
+
+
+def test_null_and_shared_ids_are_linked_by_their_own_texts(spark):
+    base = [f"w{i}" for i in range(60)]
+    near, other = " ".join([*base[:59], "other"]), "something else that is long enough to have some shingles"
+    lone = "alone and without any id at all"
+    rows = [(1, " ".join(base)), (7, other), (7, near), (None, near + " x"), (None, lone), (None, lone + " ever"), (None, "no near one to this text of mine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()), key=str)
+    alone = [(None, None, True)] * 2  # not near each other: 3 shingles and 4
+    assert got == sorted([(1, 1, True), (7, 7, True), (7, 1, False), (None, 1, False), *alone, (None, None, True)], key=str)
+    kept = {r.text for r in near_dedup.drop_near_duplicates(docs).collect()}
+    assert len(kept) == near_dedup.drop_near_duplicates(docs).count()
+    assert {rows[0][1], other, rows[6][1]} <= kept and near not in kept and near + " x" not in kept
+
+
+def test_of_a_group_without_ids_one_row_stays(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(None, text)] * 5 + [(None, text + " more")] + [(None, "")] * 2 + [(4, "")], "doc_id long, text string")
+    kept = [r.text for r in near_dedup.drop_near_duplicates(docs).collect()]
+    assert sorted(kept)[:3] == ["", "", ""] and len(kept) == 4
