@@ -18,7 +18,7 @@ from ..functions.rules import scoring_input_rules, with_violations
 from ..functions.scalars import landing_key, parse_time, sanitize_name
 from ..operators.dedup import latest_per_entity, latest_per_key
 from ..operators.enrich import checked_broadcast, enrich, unknown_entities
-from ..operators.features import FeatureSource, asof_join, cast_to_view, online_lookup, service_frame
+from ..operators.features import FeatureSource, asof_join, cast_to_view, service_frame
 from ..operators.flatten import flatten_hourly, long_to_wide
 from ..operators.prep import align_features, limit_per_entity, prepare_training, preview, reference_load
 from ..operators.stats import ingest_summary, label_counts, label_shares, payload_summary, reference_stats
@@ -346,7 +346,7 @@ ONLINE_NOW = "2024-01-30 00:00:00"
 @register("online_lookup")
 def q_online_lookup(spark, sf):
     keys = B.table(spark, sf, "customer").select("c_custkey")
-    return online_lookup(keys, _latest_views(spark, sf), "user_id", "view_ts", ["view_value"], ONLINE_NOW, 7 * 86400, key_col="c_custkey")
+    return _materialized_views(spark, sf).lookup(keys, ["view_value"], ONLINE_NOW, 7 * 86400, key_col="c_custkey")
 
 
 # ---------------------------------------------------------------- D: aggregations
@@ -817,16 +817,19 @@ def q_upsert_snapshot(spark, sf):
 MATERIALIZE_ENDS = ["2024-01-10 00:00:00", "2024-01-20 00:00:00"]
 
 
-@register("materialize_incremental")
-def q_materialize_incremental(spark, sf):
+def _materialized_views(spark, sf):
     _, feats = _spine_and_features(spark, sf)
-    state, base = scratch_path(spark, "mat_state"), scratch_path(spark, "mat_table")
-    out = None
+    path, table = scratch_path(spark, "latest"), None
     # the last step ends where the data does
     last = feats.agg(F.max("view_ts").cast("string")).first()[0]
     for end in [*[e for e in MATERIALIZE_ENDS if last and e < last], last]:
-        out = materialize_step(spark, feats, "user_id", "view_ts", ["view_ts", "view_id"], end, state, base)
-    return spark.read.parquet(out)
+        table = materialize_step(spark, feats, "user_id", "view_ts", ["view_ts", "view_id"], end, path)
+    return table
+
+
+@register("materialize_incremental")
+def q_materialize_incremental(spark, sf):
+    return _materialized_views(spark, sf).read()
 
 
 STREAM_DRIFT_SPLIT = "2024-01-23 00:00:00"

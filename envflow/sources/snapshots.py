@@ -13,7 +13,8 @@ no version names. Of two writers that start from one version the second gets a `
 starts anew from the first one's result.
 
 A pointer also tells the last batch of every run (a stream's checkpoint has an id), so that
-a batch which is written again after a crash changes nothing, and no run is taken for another.
+a batch which is written again after a crash changes nothing, and no run is taken for another; and a
+few notes of the table's owner.
 
 Partition values must not be null (an error at the write).
 """
@@ -143,17 +144,21 @@ class SnapshotTable:
         files = scan.groupBy(*self.parts, COMMIT, meta["file_path"].alias("file"), meta["file_size"].alias("size")).agg(F.count("*").alias("rows"))
         return files.groupBy(*self.parts, COMMIT).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.sum("rows").alias("rows"))
 
-    def _publish(self, base: dict | None, commit: str, pairs: DataFrame, run: str | None, batch: int | None) -> int:
+    def _publish(self, base: dict | None, commit: str, pairs: DataFrame, run: str | None, batch: int | None, notes: dict | None) -> int:
         version = base["version"] + 1 if base else 1
         pairs.write.parquet(f"{self.path}/manifests/{commit}")
         runs = dict(base["runs"]) if base else {}
         if run is not None:
             runs[run] = batch
-        put_new(self.spark, f"{self.path}/versions/{version:020d}", json.dumps({"version": version, "commit": commit, "runs": runs, "time": time.time()}))
+        notes = (dict(base["notes"]) if base else {}) | (notes or {})
+        told = {"version": version, "commit": commit, "runs": runs, "notes": notes, "time": time.time()}
+        put_new(self.spark, f"{self.path}/versions/{version:020d}", json.dumps(told))
         return version
 
-    def change(self, make: Callable[[DataFrame | None], tuple[DataFrame, DataFrame | None]], run: str | None = None, batch: int | None = None) -> int | None:
-        """One new version. ``make`` gets the newest rows (None at first) and gives the rows to write and
+    def change(
+        self, make: Callable[[DataFrame | None], tuple[DataFrame, DataFrame | None]], run: str | None = None, batch: int | None = None, notes: dict | None = None
+    ) -> int | None:
+        """One new version, with ``notes`` added to those before. ``make`` gets the newest rows (None at first) and gives the rows to write and
         the pairs that go; without pairs, all those of the partitions that are written. On a conflict it is asked again.
         None if this batch of the run is in the table already."""
         for _ in range(ATTEMPTS):
@@ -170,7 +175,7 @@ class SnapshotTable:
             else:
                 pairs = fresh
             try:
-                return self._publish(base, commit, pairs, run, batch)
+                return self._publish(base, commit, pairs, run, batch, notes)
             except Conflict:
                 drop_path(self.spark, f"{self.path}/data/{COMMIT}={commit}")
                 drop_path(self.spark, f"{self.path}/manifests/{commit}")

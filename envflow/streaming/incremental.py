@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DriftSpec
-from ..operators.dedup import latest_per_entity
 from ..operators.drift import drift_features
 from ..operators.enrich import checked_broadcast
 from ..operators.flatten import flatten_with_rejects
 from ..plans.curated import CURATED_KEYS, CURATED_ORDER, add_quality_label, deduplicate
 from ..schemas import CORRUPT, CURATED_COLUMNS, RAW_OR_CORRUPT
-from ..sources.snapshots import SnapshotTable, path_exists
+from ..sources.latest import LatestTable
+from ..sources.snapshots import SnapshotTable
 
 PARTS = ["city", "date"]
 
@@ -114,44 +114,11 @@ def read_upserted(spark: SparkSession, table_path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ features
-STATE_SCHEMA = "last_end timestamp_ntz, version bigint, table_path string"
-
-
-def materialize_step(
-    spark: SparkSession,
-    source: DataFrame,
-    key: str,
-    ts: str,
-    order: list[str],
-    end: str,
-    state_path: str,
-    table_base: str,
-) -> str:
-    """One incremental materialization ``(last_end, end]``.
-
-    The one-row state table holds the last end time and the path of the
-    current latest-per-entity table; each step writes a new table version
-    (never overwriting what it reads) and then appends the new state row.
-    """
-    end_c = F.lit(end).cast("timestamp_ntz")
-    if path_exists(spark, state_path):
-        st = spark.read.parquet(state_path).orderBy(F.col("version").desc()).first()
-        last_end, version, prev_path = st["last_end"], st["version"], st["table_path"]
-    else:
-        last_end, version, prev_path = None, 0, None
-    cond = F.col(ts) <= end_c
-    if last_end is not None:
-        cond = cond & (F.col(ts) > F.lit(last_end).cast("timestamp_ntz"))
-    new = latest_per_entity(source.filter(cond), key, order)
-    if prev_path:
-        prev = spark.read.parquet(prev_path)
-        new = latest_per_entity(prev.unionByName(new.select(*prev.columns)), key, order)
-    out = f"{table_base}/v{version + 1}"
-    new.write.mode("overwrite").parquet(out)
-    spark.createDataFrame([(None, version + 1, out)], STATE_SCHEMA).withColumn("last_end", end_c).write.mode(
-        "append"
-    ).parquet(state_path)
-    return out
+def materialize_step(spark: SparkSession, source: DataFrame, key: str, ts: str, order: list[str], end: str, table_path: str) -> LatestTable:
+    """One incremental materialization ``(last end, end]`` into the bucketed latest-per-entity table at ``table_path``."""
+    table = LatestTable(spark, table_path, key, ts, order)
+    table.step(source, end)
+    return table
 
 
 # ------------------------------------------------------------------ drift
