@@ -24,9 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DriftSpec
-from ..session import materialize
-from .prefix import exact_quantiles, running_totals
-from .stats import to_long
+from .counts import paired, value_counts
+from .prefix import quantiles_of_counts, running_totals
 
 KS_TERMS = 100
 ERF_TERMS = 400
@@ -143,19 +142,16 @@ def _sizes(counts: DataFrame) -> DataFrame:
     )
 
 
-def numeric_drift(ref: DataFrame, cur: DataFrame, features: list[str], spec: DriftSpec) -> DataFrame:
-    """KS statistic + p-value and normalized Wasserstein per numeric feature."""
-    long = to_long(ref, features).withColumn("side", F.lit(0)).unionByName(
-        to_long(cur, features).withColumn("side", F.lit(1))
-    )
-    long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    # the only pass over the detail rows; everything below reads this table
-    counts = materialize(
-        long.groupBy("feature", "value").agg(
-            F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("c_ref"),
-            F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("c_cur"),
-        )
+def _numeric(both: DataFrame, features: list[str]) -> DataFrame:
+    """``feature, value, c_ref, c_cur`` of some columns."""
+    return both.filter((F.col("kind") == "num") & F.col("num").isNotNull() & F.col("feature").isin(features)).select(
+        "feature", F.col("num").alias("value"), "c_ref", "c_cur"
     )
+
+
+def numeric_drift(both: DataFrame, features: list[str], spec: DriftSpec) -> DataFrame:
+    """KS statistic + p-value and normalized Wasserstein per numeric feature, from paired counts."""
+    counts = _numeric(both, features)
     sizes = _sizes(counts)
     rt = running_totals(counts, ["feature"], "value", ["c_ref", "c_cur"], buckets=spec.prefix_buckets, with_next=True)
     j = rt.join(F.broadcast(sizes), "feature")
@@ -184,31 +180,25 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, features: list[str], spec: Dri
     )
 
 
-def psi_drift(ref: DataFrame, cur: DataFrame, features: list[str], spec: DriftSpec) -> DataFrame:
-    """Population stability index per numeric feature."""
+def psi_drift(both: DataFrame, features: list[str], spec: DriftSpec) -> DataFrame:
+    """Population stability index per numeric feature, from paired counts."""
     threshold = F.lit(spec.psi_threshold)
     score = F.col("psi")
-    return _every_column(psi(ref, cur, features, spec.psi_bins), features, "num", F.lit("psi"), threshold, score, score, score >= threshold)
+    return _every_column(psi_of_counts(_numeric(both, features), spec.psi_bins), features, "num", F.lit("psi"), threshold, score, score, score >= threshold)
 
 
-def category_counts(ref: DataFrame, cur: DataFrame, columns: list[str]) -> DataFrame:
-    """(feature, category, c_ref, c_cur, n_ref, n_cur), nulls skipped."""
-    long = to_long(ref, columns, cast="string").withColumn("side", F.lit(0)).unionByName(
-        to_long(cur, columns, cast="string").withColumn("side", F.lit(1))
-    )
-    long = long.filter(F.col("value").isNotNull())
-    counts = materialize(
-        long.groupBy("feature", "value").agg(
-            F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).cast("double").alias("c_ref"),
-            F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).cast("double").alias("c_cur"),
-        )
+def category_counts(both: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, value, c_ref, c_cur, n_ref, n_cur), nulls skipped."""
+    counts = both.filter((F.col("kind") == "cat") & F.col("cat").isNotNull() & F.col("feature").isin(columns)).select(
+        "feature", F.col("cat").alias("value"), F.col("c_ref").cast("double").alias("c_ref"), F.col("c_cur").cast("double").alias("c_cur")
     )
     sizes = counts.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     return counts.join(F.broadcast(sizes), "feature")
 
 
-def categorical_drift(ref: DataFrame, cur: DataFrame, columns: list[str], spec: DriftSpec) -> DataFrame:
-    cc = category_counts(ref, cur, columns)
+def categorical_drift(both: DataFrame, columns: list[str], spec: DriftSpec) -> DataFrame:
+    """Jensen-Shannon distance or chi-square per categorical column, from paired counts."""
+    cc = category_counts(both, columns)
     p = F.try_divide(F.col("c_ref"), F.col("n_ref"))
     q = F.try_divide(F.col("c_cur"), F.col("n_cur"))
     mid = (p + q) / 2.0
@@ -239,21 +229,19 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, columns: list[str], spec:
 
 
 def psi(ref: DataFrame, cur: DataFrame, features: list[str], bins: int = 10, eps: float = 1e-4) -> DataFrame:
-    """Population stability index on reference-quantile bins (exact edges)."""
+    """Population stability index on reference-quantile bins (exact edges); each side is read once."""
+    return psi_of_counts(_numeric(paired(value_counts(ref, features), value_counts(cur, features)), features), bins, eps)
+
+
+def psi_of_counts(values: DataFrame, bins: int = 10, eps: float = 1e-4) -> DataFrame:
+    """PSI from ``feature, value, c_ref, c_cur``: counts, not rows, are dealt into the bins."""
     probs = [i / bins for i in range(1, bins)]
-    rl = to_long(ref, features).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    cl = to_long(cur, features).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    edges = exact_quantiles(rl, ["feature"], "value", probs).select(
+    own = values.filter("c_ref > 0").select("feature", "value", F.col("c_ref").alias("_c"))
+    edges = quantiles_of_counts(own, ["feature"], "value", probs).select(
         "feature", F.array(*[F.col(f"q_{i}") for i in range(len(probs))]).alias("_e")
     )
-    both = rl.withColumn("side", F.lit(0)).unionByName(cl.withColumn("side", F.lit(1)))
-    binned = both.join(F.broadcast(edges), "feature", "left").withColumn(
-        "bin", F.size(F.filter("_e", lambda e: e < F.col("value")))
-    )
-    counts = binned.groupBy("feature", "bin").agg(
-        F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("c_ref"),
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("c_cur"),
-    )
+    binned = values.join(F.broadcast(edges), "feature", "left").withColumn("bin", F.size(F.filter("_e", lambda e: e < F.col("value"))))
+    counts = binned.groupBy("feature", "bin").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
     tot = counts.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     j = counts.join(F.broadcast(tot), "feature")
     a = F.greatest(F.try_divide("c_ref", "n_ref"), F.lit(eps))
@@ -263,22 +251,33 @@ def psi(ref: DataFrame, cur: DataFrame, features: list[str], bins: int = 10, eps
     )
 
 
-def drift_features(ref: DataFrame, cur: DataFrame, spec: DriftSpec = DriftSpec()) -> DataFrame:
-    """One row per tested column: kind, test, statistic, score, threshold, flag."""
-    num = _available(spec.numerical, ref, cur)
-    cat = _available(spec.categorical, ref, cur)
+def drift_columns(spec: DriftSpec, ref: DataFrame, cur: DataFrame) -> tuple[list[str], list[str]]:
+    """The requested numeric and categorical columns that both tables have."""
+    num, cat = _available(spec.numerical, ref, cur), _available(spec.categorical, ref, cur)
     if not num and not cat:
         raise ValueError("no requested column is present in both tables")
+    return num, cat
+
+
+def drift_features(ref: DataFrame, cur: DataFrame, spec: DriftSpec = DriftSpec()) -> DataFrame:
+    """One row per tested column: kind, test, statistic, score, threshold, flag. Each side is read once."""
+    num, cat = drift_columns(spec, ref, cur)
+    return drift_of_counts(value_counts(ref, num, cat), value_counts(cur, num, cat), num, cat, spec)
+
+
+def drift_of_counts(ref: DataFrame, cur: DataFrame, num: list[str], cat: list[str], spec: DriftSpec = DriftSpec()) -> DataFrame:
+    """:func:`drift_features` from value counts (:mod:`envflow.operators.counts`), stored ones for instance."""
+    both = paired(ref, cur)
     chosen = dict(spec.tests)
     by_psi = [c for c in num if chosen.get(c, spec.numeric_test) == "psi"]
     by_rank = [c for c in num if c not in by_psi]
     parts = []
     if by_rank:
-        parts.append(numeric_drift(ref, cur, by_rank, spec))
+        parts.append(numeric_drift(both, by_rank, spec))
     if by_psi:
-        parts.append(psi_drift(ref, cur, by_psi, spec))
+        parts.append(psi_drift(both, by_psi, spec))
     if cat:
-        parts.append(categorical_drift(ref, cur, cat, spec))
+        parts.append(categorical_drift(both, cat, spec))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -301,4 +300,5 @@ def target_drift(ref: DataFrame, cur: DataFrame, target: str, spec: DriftSpec =
     """Drift of the label column, tested as categorical."""
     if target not in ref.columns or target not in cur.columns:
         raise ValueError(f"target {target!r} missing")
-    return categorical_drift(ref, cur, [target], spec)
+    both = paired(value_counts(ref, [], [target]), value_counts(cur, [], [target]))
+    return categorical_drift(both, [target], spec)

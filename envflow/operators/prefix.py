@@ -95,6 +95,13 @@ def exact_quantiles(
     counts = materialize(
         df.filter(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))
     )
+    return quantiles_of_counts(counts, groups, value, probs, buckets, single_task_rows)
+
+
+def quantiles_of_counts(
+    counts: DataFrame, groups: list[str], value: str, probs: list[float], buckets: int = 64, single_task_rows: int | None = SINGLE_TASK_ROWS
+) -> DataFrame:
+    """:func:`exact_quantiles` from a stored table of distinct values and their counts ``_c``."""
     rt = running_totals(counts, groups, value, ["_c"], buckets=buckets, single_task_rows=single_task_rows)
     n = counts.groupBy(*groups).agg(F.sum("_c").alias("_n"))
     targets = n

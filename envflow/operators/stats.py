@@ -47,6 +47,13 @@ def reference_stats(df: DataFrame, features: list[str], exact_median: bool = Tru
     return base
 
 
+def duplicate_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: by how many rows ``df`` exceeds its distinct rows in ``columns`` (NaN is a missing value)."""
+    floats = [c for c in columns if df.schema[c].dataType.typeName() in ("float", "double")]
+    df = df.select(*[F.nanvl(F.col(c), F.lit(None)).alias(c) if c in floats else F.col(c) for c in columns])
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_k")).agg(F.sum(F.col("_k") - 1).alias("duplicate_rows"))
+
+
 def data_quality(df: DataFrame, numeric: list[str], categorical: list[str] = (), approx_distinct: bool = False) -> DataFrame:
     """Per column: rows, nulls, null share, distinct, min/max/mean (numeric),
     most-common-value share, constant / all-null flags, and the table's
@@ -91,7 +98,7 @@ def data_quality(df: DataFrame, numeric: list[str], categorical: list[str] = (),
             F.greatest(F.count(F.lit(1)) - F.approx_count_distinct(F.xxhash64(*cols)), F.lit(0)).alias("duplicate_rows")
         )
     else:
-        dups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_k")).agg(F.sum(F.col("_k") - 1).alias("duplicate_rows"))
+        dups = duplicate_rows(df, cols)
     nonnull = F.col("n_rows") - F.col("n_null")
     # dups is a one-row table-level aggregate, broadcast onto the per-column rows
     return summary.crossJoin(F.broadcast(dups)).select(

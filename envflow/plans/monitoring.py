@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FEATURES, TARGET, DriftSpec
-from ..operators.drift import drift_dataset, drift_features, target_drift
+from ..operators.counts import quality, value_counts
+from ..operators.drift import drift_dataset, drift_features, drift_of_counts, target_drift
 from ..operators.prep import available
-from ..operators.stats import data_quality
+from ..operators.stats import data_quality, duplicate_rows
 from ..session import materialize
 
 # relative tolerance of the quality tests against the reference
@@ -29,8 +30,16 @@ def quick_drift_check(reference: DataFrame, current: DataFrame, spec: DriftSpec
     return detect_drift(reference, current, spec)[0]
 
 
-def _quality(df: DataFrame, numeric, categorical) -> DataFrame:
-    return data_quality(df, numeric, categorical)
+#: What the tests of a suite say.
+DESCRIPTIONS = {
+    "column_drift": "The distribution of the column has not drifted from the reference.",
+    "share_of_missing_values": "The share of missing values is not above the reference's by more than the tolerance.",
+    "most_common_value_share": "The share of the most common value is not above the reference's by more than the tolerance.",
+    "share_of_drifted_columns": "Fewer than half of the columns have drifted.",
+    "number_of_constant_columns": "No more columns are constant than in the reference.",
+    "number_of_duplicated_rows": "No more rows are repeated than in the reference, within the tolerance.",
+    "number_of_rows": "The table has rows.",
+}
 
 
 def run_tests(
@@ -41,7 +50,7 @@ def run_tests(
     spec: DriftSpec | None = None,
     tolerance: float = QUALITY_TOLERANCE,
 ) -> DataFrame:
-    """Named tests with SUCCESS/FAIL status (all columns incl. the target).
+    """Named and described tests with SUCCESS/FAIL status (all columns incl. the target).
 
     Per column: drift, share of missing values and most-common-value share
     (current within ``1 + tolerance`` of reference). Per table: share of
@@ -51,8 +60,10 @@ def run_tests(
     num = [c for c in num if c in reference.columns]
     cat = [target] if target and target in current.columns and target in reference.columns else []
     spec = spec or DriftSpec(numerical=tuple(num), categorical=tuple(cat))
+    # one pass over each side gives the counts that drift and quality are computed from
+    rc, cc = (materialize(value_counts(side, num, cat)) for side in (reference, current))
     # tiny (one row per column) and read twice below: compute it once
-    drift = materialize(drift_features(reference, current, spec))
+    drift = materialize(drift_of_counts(rc, cc, num, cat, spec))
     col_drift = drift.select(
         F.lit("column_drift").alias("name"),
         F.col("feature").alias("column"),
@@ -60,8 +71,9 @@ def run_tests(
         F.col("threshold").alias("bound"),
         F.when(F.col("drift_detected"), F.lit("FAIL")).otherwise(F.lit("SUCCESS")).alias("status"),
     )
-    qr = _quality(reference, num, cat)
-    qc = _quality(current, num, cat)
+    columns = [*num, *cat]
+    qr = quality(rc).crossJoin(F.broadcast(duplicate_rows(reference, columns)))  # one row
+    qc = quality(cc).crossJoin(F.broadcast(duplicate_rows(current, columns)))
     qr = qr.select("column", *[F.col(c).alias(f"r_{c}") for c in qr.columns if c != "column"])
     qc = qc.select("column", *[F.col(c).alias(f"c_{c}") for c in qc.columns if c != "column"])
     # one row per column, read by three tests below: each side's quality
@@ -128,7 +140,9 @@ def run_tests(
             )
         )
     )
-    return col_drift.unionByName(missing).unionByName(common).unionByName(table_tests)
+    described = F.create_map(*[F.lit(x) for pair in DESCRIPTIONS.items() for x in pair])
+    tests = col_drift.unionByName(missing).unionByName(common).unionByName(table_tests)
+    return tests.withColumn("description", described[F.col("name")])
 
 
 def summarize_tests(tests: DataFrame) -> DataFrame:

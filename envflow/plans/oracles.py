@@ -494,7 +494,17 @@ SELECT name, "column", round(CAST(value AS DOUBLE), 6) AS value, round(CAST(boun
 """
 
 
-ORACLES["monitoring_tests"] = tests_sql(REF_SQL, CUR_SQL, _F8, LABEL_COL)
+ORACLES["monitoring_tests"] = f"""
+SELECT t.*, CASE name
+  WHEN 'column_drift' THEN 'The distribution of the column has not drifted from the reference.'
+  WHEN 'share_of_missing_values' THEN 'The share of missing values is not above the reference''s by more than the tolerance.'
+  WHEN 'most_common_value_share' THEN 'The share of the most common value is not above the reference''s by more than the tolerance.'
+  WHEN 'share_of_drifted_columns' THEN 'Fewer than half of the columns have drifted.'
+  WHEN 'number_of_constant_columns' THEN 'No more columns are constant than in the reference.'
+  WHEN 'number_of_duplicated_rows' THEN 'No more rows are repeated than in the reference, within the tolerance.'
+  WHEN 'number_of_rows' THEN 'The table has rows.' END AS description
+FROM ({tests_sql(REF_SQL, CUR_SQL, _F8, LABEL_COL)}) t
+"""
 ORACLES["monitoring_report"] = f"""
 SELECT 'drift_report_events' AS report_id, feature, stattest, drift_score, drift_detected FROM ({DRIFT_SQL}) d
 """

@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DriftSpec
-from ..operators.drift import drift_features
+from ..operators.counts import KEY, value_counts
+from ..operators.drift import drift_columns, drift_of_counts
 from ..operators.enrich import checked_broadcast
 from ..operators.flatten import flatten_with_rejects
 from ..plans.curated import CURATED_KEYS, CURATED_ORDER, add_quality_label, deduplicate
 from ..schemas import CORRUPT, CURATED_COLUMNS, RAW_OR_CORRUPT
 from ..sources.latest import LatestTable
-from ..sources.snapshots import SnapshotTable
+from ..sources.snapshots import SnapshotTable, path_exists
 
 PARTS = ["city", "date"]
 
@@ -134,16 +135,30 @@ def start_drift_stream(
 ) -> StreamingQuery:
     """Drift of every micro-batch of current rows against a fixed reference;
     results are appended to a log table keyed by batch id. A micro-batch is what
-    has landed since the last run, however the writer cut its files."""
+    has landed since the last run, however the writer cut its files.
+
+    The reference is read once in the stream's life: its value counts are stored under
+    ``<checkpoint>_reference``, and a micro-batch reads these and its own rows only. ``reference`` may
+    be value counts already (:meth:`DailyStatistics.counts`, any range of days)."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(current_path)
+    stored = f"{checkpoint.rstrip('/')}_reference"
+    if set(KEY) <= set(reference.columns):
+        have = {(r[0], r[1]) for r in reference.select("kind", "feature").distinct().collect()}  # a row per column
+        num = [c for c in spec.numerical if ("num", c) in have and c in stream.columns]
+        cat = [c for c in spec.categorical if ("cat", c) in have and c in stream.columns]
+    else:
+        num, cat = drift_columns(spec, reference, stream)
+        reference = value_counts(reference, num, cat)
+    if not path_exists(spark, f"{stored}/_SUCCESS"):
+        reference.write.mode("overwrite").parquet(stored)
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
-        d = drift_features(reference, batch_df, spec).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        d = drift_of_counts(spark.read.parquet(stored), value_counts(batch_df, num, cat), num, cat, spec).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         # idempotent per batch id: a retried batch overwrites its own partition
         d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(log_path)
 
