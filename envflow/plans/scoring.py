@@ -23,8 +23,8 @@ def model_labels(model: PipelineModel) -> list[str]:
 
 def score(model: PipelineModel, df: DataFrame, features: list[str] = FEATURES, keep: list[str] = (), labels: list[str] | None = None) -> DataFrame:
     """Predicted label, confidence (max class probability) and the class ->
-    probability map. Missing feature columns score as 0; models without
-    probabilities (one-vs-rest margins) give null confidence and map."""
+    probability map. Missing feature columns score as 0. One-vs-rest models have the calibration of their margins
+    as the pipeline's last stage; only a model without any probabilities gives null confidence and map."""
     labels = labels or model_labels(model)
     aligned = align_features(df, features, keep=list(keep))
     out = model.transform(aligned)

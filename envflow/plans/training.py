@@ -1,14 +1,16 @@
 """Training on Spark ML: split, compare candidate families, select, tune, save.
 
-Every fit is a distributed Spark ML job; cross-validation folds and tuning
-trials are fitted as concurrent Spark jobs. Metrics on the hold-out set
-come from the same DataFrame operators as the stored-prediction metrics.
+Every fit is a distributed Spark ML job; families, folds and tuning trials are fitted as
+concurrent jobs. Imputing and scaling are fitted once per fold and their vectors written once for all
+families. Metrics of folds, trials and the hold-out set come from the same DataFrame operators as
+those of stored predictions, so any of them (AUC and kappa too) can rank.
 """
 
 from __future__ import annotations
 
 import itertools
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -22,29 +24,60 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import Imputer, IndexToString, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FEATURES, N_SELECT, SPLIT_SEED, TARGET, TRAIN_FRACTION_PCT, TUNE_TRIALS
-from ..operators.metrics import auc_ovr, classification_metrics, confusion_matrix, leaderboard_from, select_model
+from ..operators.metrics import METRICS, auc_ovr, classification_metrics, confusion_matrix, leaderboard_from, select_model
 from ..operators.prep import prepare_training
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 
 LABEL_IDX = "label_idx"
-FEATURES_VEC = "features"
-# Spark ML evaluator metric for each leaderboard metric used as CV score
-EVALUATOR_METRIC = {"f1": "f1", "accuracy": "accuracy", "prec": "weightedPrecision", "recall": "weightedRecall"}
+FEATURES_VEC, SCALED_VEC, RAW_VEC = "features", "scaled_features", "_raw_features"
+#: Class margins of a one-vs-rest model (a saved one keeps no other name), and its own choice; probabilities come from
+#: their calibration.
+MARGINS, MARGIN_CHOICE = "rawPrediction", "margin_prediction"
+#: Part of a fold table that is prepared from, and is, the whole training set.
+WHOLE = -1
 
 
-def evaluator_metric(metric: str) -> str:
-    """Spark ML's name of a metric that candidates and trials can be scored by."""
-    if metric not in EVALUATOR_METRIC:
-        raise ValueError(f"models can't be ranked by {metric!r}; choose one of {sorted(EVALUATOR_METRIC)}")
-    return EVALUATOR_METRIC[metric]
+def ranking_metric(metric: str) -> str:
+    """A metric that candidates and trials can be scored by."""
+    if metric not in METRICS:
+        raise ValueError(f"models can't be ranked by {metric!r}; choose one of {METRICS}")
+    return metric
+
+
+def prediction_metrics(pred: DataFrame, group: list[str], auc: bool = True) -> DataFrame:
+    """``group..., accuracy, recall, prec, f1, kappa, auc`` from predictions with numbered labels. AUC ranks rows by class
+    probabilities, or where a model has none by its raw scores; null without either."""
+    p = pred.select(*group, F.col(LABEL_IDX).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+    m = classification_metrics(confusion_matrix(p, group=group), group=group)
+    score = next((c for c in ("probability", MARGINS) if c in pred.columns), None)
+    if not auc or score is None:
+        return m.withColumn("auc", F.lit(None).cast("double"))
+    long = pred.select(*group, F.col(LABEL_IDX).cast("int").alias("label"), F.posexplode(vector_to_array(score)).alias("class", "score"))
+    return m.join(auc_ovr(long, group=group), group, "left")
+
+
+class TableEvaluator(Evaluator):
+    """A Spark ML evaluator whose metrics are the library's own aggregations over the prediction table."""
+
+    def __init__(self, metric: str = "f1"):
+        super().__init__()
+        self.metric = ranking_metric(metric)
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        row = prediction_metrics(dataset.withColumn("_all", F.lit(0)), ["_all"], self.metric == "auc").first()
+        value = row[self.metric] if row else None
+        return 0.0 if value is None else float(value)
+
+    def isLargerBetter(self) -> bool:
+        return True
 
 
 def split_flag(df: DataFrame, keys: list[str], seed: int = SPLIT_SEED, train_pct: int = TRAIN_FRACTION_PCT) -> DataFrame:
@@ -79,11 +112,14 @@ def default_candidates() -> list[Candidate]:
     def nb(nf, k, s):
         return NaiveBayes(featuresCol=FEATURES_VEC, labelCol=LABEL_IDX, modelType="gaussian")
 
+    def one_vs_rest(classifier, k):
+        return OneVsRest(featuresCol=FEATURES_VEC, labelCol=LABEL_IDX, predictionCol=MARGIN_CHOICE, classifier=classifier, parallelism=k)
+
     def svc(nf, k, s):
-        return OneVsRest(featuresCol=FEATURES_VEC, labelCol=LABEL_IDX, classifier=LinearSVC(maxIter=50), parallelism=k)
+        return one_vs_rest(LinearSVC(maxIter=50), k)
 
     def gbt(nf, k, s):
-        return OneVsRest(featuresCol=FEATURES_VEC, labelCol=LABEL_IDX, classifier=GBTClassifier(maxIter=10, seed=s), parallelism=k)
+        return one_vs_rest(GBTClassifier(maxIter=10, seed=s), k)
 
     def mlp(nf, k, s):
         return MultilayerPerceptronClassifier(
@@ -123,24 +159,9 @@ def prepare(df: DataFrame, features: list[str] = FEATURES, target: str = TARGET)
     return clean.select(*[c for c in clean.columns if c not in features], *[F.col(c).cast("double").alias(c) for c in features])
 
 
-def holdout_metrics(pred: DataFrame, labels: list[str], name: str, target: str = TARGET) -> DataFrame:
+def holdout_metrics(pred: DataFrame, name: str) -> DataFrame:
     """Hold-out metrics of one fitted candidate (accuracy ... kappa, auc)."""
-    lab = F.array(*[F.lit(x) for x in labels])
-    p = pred.select(
-        F.lit(name).alias("model"),
-        F.col(target).alias("label"),
-        F.element_at(lab, F.col("prediction").cast("int") + 1).alias("prediction"),
-        *([vector_to_array("probability").alias("_p")] if "probability" in pred.columns else []),
-    )
-    m = classification_metrics(confusion_matrix(p))
-    if "_p" in p.columns:
-        scores = p.select("model", "label", F.posexplode("_p").alias("_i", "score")).select(
-            "model", "label", F.element_at(lab, F.col("_i") + 1).alias("class"), "score"
-        )
-        m = m.join(auc_ovr(scores), "model", "left")
-    else:
-        m = m.withColumn("auc", F.lit(None).cast("double"))
-    return m
+    return prediction_metrics(pred.withColumn("model", F.lit(name)), ["model"])
 
 
 @dataclass
@@ -156,19 +177,108 @@ LEADERBOARD_SCHEMA = (
 )
 
 
-def _fit_candidate(train, test, c: Candidate, features, target, labels, sort_metric, folds, seed, parallelism) -> Fitted:
-    """CV-fit one family, then evaluate the best model on the hold-out set."""
+def preparation(rows: DataFrame, features: list[str]) -> list:
+    """Imputer, assembler and scaler fitted on ``rows``: vectors as they are, and scaled ones beside them."""
+    imputed = [f"_imp_{c}" for c in features]
+    stages = [
+        Imputer(inputCols=list(features), outputCols=imputed, strategy="median"),
+        VectorAssembler(inputCols=imputed, outputCol=FEATURES_VEC, handleInvalid="keep"),
+        StandardScaler(inputCol=FEATURES_VEC, outputCol=SCALED_VEC, withMean=True, withStd=True),
+    ]
+    return Pipeline(stages=stages).fit(rows).stages
+
+
+@dataclass
+class Folds:
+    """``rows``: label, vectors, ``part`` and ``valid``. Part i is the whole training set prepared by what fold i leaves to learn
+    from, with fold i as its ``valid`` rows; part WHOLE is prepared by all rows and has no valid ones."""
+
+    rows: DataFrame
+    stages: list  # label indexer and preparation of part WHOLE
+    n: int
+
+    def learn(self, part: int) -> DataFrame:
+        return self.rows.filter((F.col("part") == part) & ~F.col("valid"))
+
+    def check(self, part: int) -> DataFrame:
+        return self.rows.filter((F.col("part") == part) & F.col("valid"))
+
+
+def fold_vectors(train: DataFrame, features: list[str], target: str, labels: list[str], folds: int, seed: int) -> Folds:
+    """Deal the rows into folds by hash (of the row), prepare them once per fold and write the vectors, for all
+    families to read. The folds are prepared side by side."""
+    indexer = StringIndexerModel.from_labels(labels, inputCol=target, outputCol=LABEL_IDX)
+    fold = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in train.columns]), F.lit(max(folds, 1))).cast("int")
+    rows = indexer.transform(train.withColumn("fold", fold))
+    path = scratch_path(train.sparkSession, "folds")
+
+    def part(i: int) -> list:
+        own = rows if i == WHOLE else rows.filter(F.col("fold") != i)
+        stages = preparation(own, features)
+        out = PipelineModel(stages=stages).transform(rows)
+        valid = F.lit(False) if i == WHOLE else F.col("fold") == i
+        out.select(LABEL_IDX, FEATURES_VEC, SCALED_VEC, valid.alias("valid")).write.parquet(f"{path}/part={i}")
+        return stages
+
+    with ThreadPoolExecutor(folds + 1) as pool:
+        stages = list(pool.map(part, [WHOLE, *range(folds)]))[0]
+    return Folds(train.sparkSession.read.parquet(path), [indexer, *stages], folds)
+
+
+def _estimator(c: Candidate, features: list[str], labels: list[str], seed: int, params: dict | None = None):
+    """A new estimator of the family, so that no two threads share one."""
     est = c.build(len(features), len(labels), seed)
-    pipe = Pipeline(stages=feature_stages(features, target, c.scaled) + [est])
-    ev = MulticlassClassificationEvaluator(labelCol=LABEL_IDX, predictionCol="prediction", metricName=evaluator_metric(sort_metric))
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=[{}], evaluator=ev, numFolds=folds, seed=seed, parallelism=parallelism)
-    cvm = cv.fit(train)
-    model = cvm.bestModel
+    if c.scaled:
+        est = est.copy({est.featuresCol: SCALED_VEC})
+    return est.copy({est.getParam(k): v for k, v in (params or {}).items()})
+
+
+def calibrator() -> LogisticRegression:
+    """Multinomial logistic regression from class margins to probabilities that sum to 1."""
+    return LogisticRegression(
+        featuresCol=MARGINS, rawPredictionCol="calibrated_margins", labelCol=LABEL_IDX, family="multinomial", maxIter=50, regParam=1e-4
+    )
+
+
+def out_of_fold(folds: Folds, build) -> DataFrame:
+    """Predictions for every training row by a model that has not seen its fold, written once, with ``part``. Margins are
+    calibrated by the rows of the other folds."""
+    parts = [build().fit(folds.learn(i)).transform(folds.check(i)) for i in range(folds.n)]
+    told = parts[0]
+    for p in parts[1:]:
+        told = told.unionByName(p)
+    if "probability" in told.columns:
+        return materialize(told.select("part", LABEL_IDX, "probability", "prediction"))
+    told = materialize(told.select("part", LABEL_IDX, MARGINS))
+    both = [calibrator().fit(told.filter(F.col("part") != i)).transform(told.filter(F.col("part") == i)) for i in range(folds.n)] if folds.n > 1 else [calibrator().fit(told).transform(told)]
+    out = both[0]
+    for p in both[1:]:
+        out = out.unionByName(p)
+    return out.select("part", LABEL_IDX, MARGINS, "probability", "prediction")
+
+
+def fitted_pipeline(folds: Folds, build, margins: DataFrame | None) -> PipelineModel:
+    """Preparation, model and, for models with margins, their calibration, as one pipeline that takes raw rows."""
+    stages = [*folds.stages, build().fit(folds.learn(WHOLE))]
+    if margins is not None:
+        stages.append(calibrator().fit(margins.select(LABEL_IDX, MARGINS)))
+    return PipelineModel(stages=stages)
+
+
+def _fit_candidate(folds: Folds, test: DataFrame, c: Candidate, features, labels, sort_metric, seed) -> Fitted:
+    """Score one family by its out-of-fold predictions, fit it on all rows, evaluate on the hold-out set."""
+
+    def build():
+        return _estimator(c, features, labels, seed)
+
+    told = out_of_fold(folds, build)
+    scores = prediction_metrics(told, ["part"], sort_metric == "auc").agg(F.avg(sort_metric)).first()[0]
+    model = fitted_pipeline(folds, build, None if c.probabilistic else told)
     # one row per model: computed once here instead of re-running the model
     # transform every time the leaderboard is read
-    row = holdout_metrics(model.transform(test), labels, c.name, target).first().asDict()
-    row["cv_score"] = float(cvm.avgMetrics[0])
-    return Fitted(c, model, float(cvm.avgMetrics[0]), row)
+    row = holdout_metrics(model.transform(test), c.name).first().asDict()
+    row["cv_score"] = None if scores is None else float(scores)
+    return Fitted(c, model, row["cv_score"], row)
 
 
 def isolated_table(df: DataFrame, name: str = "training") -> DataFrame:
@@ -204,19 +314,19 @@ def compare_models(
     seed: int = SPLIT_SEED,
     parallelism: int = 4,
 ):
-    """CV-score every candidate family by ``sort_metric``, rank by that score, and
-    evaluate on the hold-out set. The hold-out rows have no part in the ranking.
+    """CV-score every candidate family by ``sort_metric`` (any of METRICS), rank by that score, and
+    evaluate on the hold-out set. The hold-out rows have no part in the ranking. Rows are prepared once per
+    fold for all families, which are fitted side by side.
 
     Returns (leaderboard DataFrame, {model name: Fitted}) keeping only the
     ``n_select`` best fitted models.
     """
-    evaluator_metric(sort_metric)
+    ranking_metric(sort_metric)
     cands = candidates or default_candidates()
     labels = class_labels(train, target)
-    # families run one after another; inside each, CrossValidator fits the
-    # folds as concurrent Spark jobs (driver threads sharing ML param objects
-    # across families are not safe)
-    fitted = [_fit_candidate(train, test, c, features, target, labels, sort_metric, folds, seed, parallelism) for c in cands]
+    prepared = fold_vectors(train, features, target, labels, folds, seed)
+    with ThreadPoolExecutor(parallelism) as pool:
+        fitted = list(pool.map(lambda c: _fit_candidate(prepared, test, c, features, labels, sort_metric, seed), cands))
     spark = train.sparkSession
     rows = spark.createDataFrame([f.metrics for f in fitted], LEADERBOARD_SCHEMA)
     board = leaderboard_from(rows, "cv_score", n_select).persist()
@@ -253,9 +363,10 @@ def tune_model(
     split (trials evaluated in parallel). The candidate's own parameters are the
     first trial, so tuning never ends with a point that validates worse. Returns (best model, trials table,
     hold-out metrics of the best)."""
+    ranking_metric(metric)
     labels = class_labels(train, target)
-    est = candidate.build(len(features), len(labels), seed)
-    pipe = Pipeline(stages=feature_stages(features, target, candidate.scaled) + [est])
+    prepared = fold_vectors(train, features, target, labels, 0 if candidate.probabilistic else 3, seed)
+    est = _estimator(candidate, features, labels, seed)
     base = {k: est.getOrDefault(est.getParam(k)) for k in sorted(candidate.space)}
     trials = param_trials(candidate.space, n_trials, seed, base)
     maps = []
@@ -264,16 +375,27 @@ def tune_model(
         for k, v in t.items():
             b = b.baseOn({est.getParam(k): v})
         maps.append(b.build()[0])
-    ev = MulticlassClassificationEvaluator(labelCol=LABEL_IDX, metricName=evaluator_metric(metric))
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, trainRatio=0.8, seed=seed, parallelism=parallelism)
-    tm = tvs.fit(train)
+    if not candidate.probabilistic:  # trials are compared by the model's own choice and margins
+        est = est.copy({est.predictionCol: "prediction"})
+    tvs = TrainValidationSplit(
+        estimator=est, estimatorParamMaps=maps, evaluator=TableEvaluator(metric), trainRatio=0.8, seed=seed, parallelism=parallelism
+    )
+    tm = tvs.fit(prepared.learn(WHOLE))
     spark = train.sparkSession
     table = spark.createDataFrame(
         [(i, ",".join(f"{k}={v}" for k, v in sorted(t.items())), float(m)) for i, (t, m) in enumerate(zip(trials, tm.validationMetrics))],
         "trial int, params string, validation_metric double",
     )
-    best = tm.bestModel
-    return best, table, holdout_metrics(best.transform(test), labels, candidate.name, target)
+    if candidate.probabilistic:
+        best = PipelineModel(stages=[*prepared.stages, tm.bestModel])
+    else:
+        chosen = trials[max(range(len(trials)), key=lambda i: tm.validationMetrics[i])]
+
+        def build():
+            return _estimator(candidate, features, labels, seed, chosen)
+
+        best = fitted_pipeline(prepared, build, out_of_fold(prepared, build))
+    return best, table, holdout_metrics(best.transform(test), candidate.name)
 
 
 def training_runs(
