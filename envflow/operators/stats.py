@@ -131,3 +131,16 @@ def payload_summary(raw: DataFrame, time_field: str = "hourly.time", by: str = "
 
 def ingest_summary(df: DataFrame, by: str, ts: str) -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("records"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+
+
+def ingest_runs(df: DataFrame, by: str, ts: str, source: str, path: str, run_at: str) -> DataFrame:
+    """The run summary as rows of the runs table: one run per ``by`` value, with source, path and run time, the number of
+    records, and the first and last time of the data as parameters."""
+    text = F.col("first_ts").cast("string"), F.col("last_ts").cast("string")
+    params = F.create_map(F.lit("source"), F.lit(source), F.lit("path"), F.lit(path), F.lit("first_ts"), text[0], F.lit("last_ts"), text[1])
+    return ingest_summary(df, by, ts).select(
+        F.concat(F.lit("ingest_"), F.coalesce(F.col(by).cast("string"), F.lit("unknown"))).alias("run_name"),
+        F.lit(run_at).cast("timestamp_ntz").alias("logged_at"),
+        params.alias("params"),
+        F.create_map(F.lit("records"), F.col("records").cast("double")).alias("metrics"),
+    )

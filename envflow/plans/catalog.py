@@ -14,21 +14,22 @@ from pyspark.sql import functions as F
 from .. import bindings as B
 from ..config import CITIES, FEATURES, air_quality_view, inference_service, training_service
 from ..functions.labels import five_band, three_band
-from ..functions.rules import scoring_input_rules, with_violations
+from ..functions.rules import prediction_rules, scoring_input_rules, with_violations
 from ..functions.scalars import landing_key, parse_time, sanitize_name
 from ..operators.dedup import latest_per_entity, latest_per_key
 from ..operators.enrich import checked_broadcast, enrich, unknown_entities
 from ..operators.features import FeatureSource, asof_join, cast_to_view, service_frame
 from ..operators.flatten import flatten_hourly, long_to_wide
 from ..operators.prep import align_features, limit_per_entity, prepare_training, preview, reference_load
-from ..operators.stats import ingest_summary, label_counts, label_shares, payload_summary, reference_stats
+from ..operators.stats import ingest_runs, ingest_summary, label_counts, label_shares, payload_summary, reference_stats
 from ..session import materialize, scratch_path
 from ..sources.curated import read_curated, write_curated
 from ..sources.raw import land_raw, read_long_feed, read_raw_json, stamp_fetch, union_feeds
 from .curated import run_curated
 from ..functions.rules import validate_batches
 from ..config import DriftSpec
-from ..operators.drift import drift_features, target_drift
+from ..operators.counts import DailyStatistics
+from ..operators.drift import drift_features, drift_of_counts, target_drift
 from ..operators.metrics import auc_ovr, classification_metrics, confusion_matrix, leaderboard_from, prediction_join, select_model
 from ..operators.stats import data_quality
 from ..sources.registry import latest_artifact, log_runs, metrics_long, run_rows_from_metrics
@@ -36,7 +37,7 @@ from .monitoring import detect_drift, quick_drift_check, run_tests, summarize_te
 from pyspark.ml import Pipeline
 from ..sources.curated import manifest_by_difference, manifest_diff, snapshot_manifest
 from ..sources.registry import load_model, save_model
-from .scoring import model_info, score
+from .scoring import model_info, model_stages, score
 from ..streaming.incremental import (
     curated_snapshots,
     materialize_step,
@@ -45,7 +46,22 @@ from ..streaming.incremental import (
     start_drift_stream,
     upsert_latest,
 )
-from .training import isolated_table, class_labels, compare_models, default_candidates, feature_stages, prepare, run_training, split_flag, tune_model
+from .training import (
+    class_labels,
+    compare_models,
+    default_candidates,
+    estimator,
+    feature_stages,
+    fitted_pipeline,
+    fold_vectors,
+    isolated_table,
+    out_of_fold,
+    prepare,
+    run_training,
+    split_flag,
+    training_size,
+    tune_model,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -233,6 +249,16 @@ def q_validate_rows(spark, sf):
     )
 
 
+@register("validate_predictions")
+def q_validate_predictions(spark, sf):
+    """The confidence range rule over all stored predictions, some of which are out of range."""
+    pred = B.stored_predictions(B.table(spark, sf, "events"))
+    best = F.greatest("p_good", "p_moderate", "p_unhealthy")
+    rows = pred.withColumn("confidence", F.when(F.col("event_id") % 13 == 0, best + 1.0).otherwise(best))
+    checked = with_violations(rows, prediction_rules())
+    return checked.groupBy("model", F.array_join("violations", ",").alias("violations")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("validate_batches")
 def q_validate_batches(spark, sf):
     orders = B.table(spark, sf, "orders")
@@ -388,6 +414,18 @@ def q_ingest_summary(spark, sf):
     return ingest_summary(B.measurements_table(spark, sf), "city", "timestamp")
 
 
+@register("ingest_runs")
+def q_ingest_runs(spark, sf):
+    """Run summaries in the runs table: what was read, from where, when."""
+    path, runs = landed_raw_path(spark, sf), scratch_path(spark, "runs")
+    log_runs(ingest_runs(B.measurements_table(spark, sf), "city", "timestamp", "events", path, "2024-02-01 00:00:00"), runs)
+    back = spark.read.parquet(runs)
+    return back.select(
+        "run_name", F.col("params.source").alias("source"), (F.col("params.path") == path).alias("has_path"),
+        (F.col("logged_at") == F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")).alias("has_time"), F.col("metrics.records").alias("records"),
+    )
+
+
 # ---------------------------------------------------------------- E: windows
 @register("dedup_latest")
 def q_dedup_latest(spark, sf):
@@ -666,6 +704,10 @@ def q_score_checks(spark, sf):
     """Scores of the whole table: a row each, a known class, probabilities that sum to 1."""
     model, _, _, labels = _fit_dt(spark, sf)
     out = score(model, B.measurements_table(spark, sf).drop("sulphur_dioxide", "ozone"), keep=["version"], labels=labels)
+    return _score_checks(out, labels)
+
+
+def _score_checks(out, labels):
     total = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda a, x: a + x)
     best = F.array_max(F.map_values("probabilities"))
     return out.agg(
@@ -685,6 +727,37 @@ def q_score_batch(spark, sf):
     return score(model, req, keep=["version"], labels=labels)
 
 
+@register("model_stages")
+def q_model_stages(spark, sf):
+    model, _, _, _ = _fit_dt(spark, sf)
+    return model_stages(load_model(save_model(model, scratch_path(spark, "model"))))
+
+
+@register("model_roundtrip_same")
+def q_model_roundtrip_same(spark, sf):
+    return q_model_roundtrip(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("same").alias("n_same"))
+
+
+@register("training_size")
+def q_training_size(spark, sf):
+    return training_size(prepare(_training_table(spark, sf)))
+
+
+@register("score_margins")
+def q_score_margins(spark, sf):
+    """Scores of the whole table by a one-vs-rest model, whose margins are calibrated."""
+    train, _ = _split(spark, sf)
+    labels = class_labels(train)
+    candidate = next(c for c in default_candidates() if c.family == "svc_ovr")
+    folds = fold_vectors(train, FEATURES, "air_quality_label", labels, 2, 42)
+
+    def build():
+        return estimator(candidate, FEATURES, labels, 42)
+
+    model = fitted_pipeline(folds, build, out_of_fold(folds, build))
+    return _score_checks(score(model, B.measurements_table(spark, sf), keep=["version"], labels=labels), labels)
+
+
 @register("model_info")
 def q_model_info(spark, sf):
     model, _, _, labels = _fit_dt(spark, sf)
@@ -832,6 +905,17 @@ def q_materialize_incremental(spark, sf):
     return _materialized_views(spark, sf).read()
 
 
+@register("drift_stored_days")
+def q_drift_stored_days(spark, sf):
+    """Drift between two ranges of days from statistics that were stored day by day."""
+    stats = DailyStatistics(spark, scratch_path(spark, "statistics"), FEATURES)
+    ref, cur = B.reference_current(B.labeled_measurements(spark, sf))
+    for wave in (ref.dropna(subset=FEATURES), cur):
+        stats.update(wave, "timestamp")
+    drift = drift_of_counts(stats.counts(None, "2024-01-15"), stats.counts("2024-01-16"), FEATURES, [])
+    return _round_cols(drift, ["statistic", "drift_score"])
+
+
 STREAM_DRIFT_SPLIT = "2024-01-23 00:00:00"
 
 

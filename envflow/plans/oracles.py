@@ -6,9 +6,19 @@ produce the same column names and values as the Spark query.
 
 from __future__ import annotations
 
-from ..bindings import REFERENCE_CUTOFF, STATIONS_PER_DOC
-from ..config import FIVE_BAND, THREE_BAND
-from ..functions.labels import band_sql
+# Nothing of the library is imported here: a wrong constant or rule there must not come out right on both sides.
+
+
+def three_band_sql(v: str) -> str:
+    return f"CASE WHEN {v} IS NULL OR isnan({v}) THEN 'unknown' WHEN {v} < 12.0 THEN 'good' WHEN {v} < 35.4 THEN 'moderate' ELSE 'unhealthy' END"
+
+
+def five_band_sql(v: str) -> str:
+    return (
+        f"CASE WHEN {v} IS NULL OR isnan({v}) THEN 'unknown' WHEN {v} < 12.0 THEN 'good' WHEN {v} < 35.0 THEN 'moderate' "
+        f"WHEN {v} < 55.0 THEN 'unhealthy' WHEN {v} < 150.0 THEN 'very_unhealthy' ELSE 'hazardous' END"
+    )
+
 
 K_SQL = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
@@ -32,8 +42,8 @@ SELECT event_type AS city,
 FROM events
 """
 
-LABEL3 = band_sql("pm2_5", THREE_BAND)
-LABEL5 = band_sql("pm2_5", FIVE_BAND)
+LABEL3 = three_band_sql("pm2_5")
+LABEL5 = five_band_sql("pm2_5")
 
 # flattened rows of the landed hourly docs (ragged arrays padded with null)
 FLAT_SQL = f"""
@@ -51,7 +61,7 @@ FROM (
   SELECT *,
          row_number() OVER (PARTITION BY city, station_block, doc_hour ORDER BY "timestamp" DESC, version DESC) AS rev_pos,
          max("timestamp") OVER (PARTITION BY city, station_block, doc_hour) AS fetched
-  FROM (SELECT *, date_trunc('hour', "timestamp") AS doc_hour, station_id // {STATIONS_PER_DOC} AS station_block
+  FROM (SELECT *, date_trunc('hour', "timestamp") AS doc_hour, station_id // 1024 AS station_block
         FROM ({M_SQL}) m0) m1
 ) d
 """
@@ -69,7 +79,7 @@ FROM (
 ) x WHERE rn = 1
 """
 
-CUTOFF = f"TIMESTAMP '{REFERENCE_CUTOFF}'"
+CUTOFF = "TIMESTAMP '2024-01-16 00:00:00'"
 
 ORACLES: dict[str, str] = {}
 ORACLES["curated_build"] = CURATED_SQL
@@ -78,7 +88,7 @@ DOCS_SQL = f"""
 SELECT city, date_trunc('hour', "timestamp") AS doc_hour, any_value(latitude) AS latitude,
        any_value(longitude) AS longitude, max("timestamp") AS fetched, min("timestamp") AS first_ts,
        count(*) AS n
-FROM ({M_SQL}) m GROUP BY city, station_id // {STATIONS_PER_DOC}, date_trunc('hour', "timestamp")
+FROM ({M_SQL}) m GROUP BY city, station_id // 1024, date_trunc('hour', "timestamp")
 """
 
 ORACLES["raw_json_scan"] = f"""
@@ -164,21 +174,9 @@ SELECT city, "timestamp", {VIEW_COLS} FROM ({LM_SQL}) x
 
 
 def _rules_sql():
-    from ..functions.rules import scoring_input_rules
-
-    conds = []
-    for r in scoring_input_rules():
-        v = r.column
-        parts = []
-        if r.lo is not None:
-            parts.append(f"{v} < {r.lo}")
-        if r.hi is not None:
-            parts.append(f"{v} > {r.hi}")
-        if r.lo is not None or r.hi is not None:
-            parts.append(f"isnan(CAST({v} AS DOUBLE))")
-        rng = " OR ".join(parts) or "FALSE"
-        bad = f"({v} IS NULL OR {rng})" if r.required else f"({v} IS NOT NULL AND ({rng}))"
-        conds.append((bad, r.name))
+    required = ("pm2_5", "pm10", "carbon_monoxide", "nitrogen_dioxide", "sulphur_dioxide", "ozone")
+    conds = [(f"({c} IS NULL OR {c} < 0 OR isnan({c}))", f"{c}:required:ge_0") for c in required]
+    conds += [(f"({c} IS NOT NULL AND ({c} < 0 OR {c} > 500))", f"{c}:ge_0:le_500") for c in ("us_aqi", "european_aqi")]
     n = " + ".join(f"CAST(coalesce({b}, FALSE) AS INTEGER)" for b, _ in conds)
     names = ", ".join(f"CASE WHEN coalesce({b}, FALSE) THEN '{nm}' END" for b, nm in conds)
     return f"SELECT version, CAST({n} AS INTEGER) AS n_violations, concat_ws(',', {names}) AS violations FROM ({M_SQL}) m"
@@ -511,8 +509,8 @@ SELECT 'drift_report_events' AS report_id, feature, stattest, drift_score, drift
 
 # ------------------------------------------------------------------ metrics on stored predictions
 PRED_SQL = f"""
-SELECT 'rule_' || CAST(m AS VARCHAR) AS model, event_id, {band_sql('value', THREE_BAND)} AS label,
-       {band_sql('shifted', THREE_BAND)} AS prediction, sg / ((sg + sm) + su) AS p_good,
+SELECT 'rule_' || CAST(m AS VARCHAR) AS model, event_id, {three_band_sql('value')} AS label,
+       {three_band_sql('shifted')} AS prediction, sg / ((sg + sm) + su) AS p_good,
        sm / ((sg + sm) + su) AS p_moderate, su / ((sg + sm) + su) AS p_unhealthy
 FROM (SELECT *, 1.0 / (1.0 + abs(shifted - 6.0)) AS sg, 1.0 / (1.0 + abs(shifted - 23.7)) AS sm,
              1.0 / (1.0 + abs(shifted - 60.0)) AS su
@@ -567,8 +565,8 @@ SELECT model, {_MR}, rank, meets_criteria FROM (
 ) x ORDER BY meets_criteria DESC, rank LIMIT 1
 """
 ORACLES["prediction_join"] = f"""
-SELECT p.model, p.event_id, p.prediction, {band_sql('e.value', THREE_BAND)} AS label,
-       p.prediction = {band_sql('e.value', THREE_BAND)} AS correct
+SELECT p.model, p.event_id, p.prediction, {three_band_sql('e.value')} AS label,
+       p.prediction = {three_band_sql('e.value')} AS correct
 FROM ({PRED_SQL}) p JOIN events e ON p.event_id = e.event_id
 """
 ORACLES["run_log_metrics"] = f"""
@@ -588,7 +586,7 @@ SELECT name, path, saved_at FROM (
 ORACLES["stream_curated"] = CURATED_SQL
 ORACLES["stream_upsert"] = f"""
 SELECT city, latitude, longitude, timezone, "timestamp", pm2_5, pm10, carbon_monoxide, nitrogen_dioxide,
-       sulphur_dioxide, ozone, us_aqi, european_aqi, parameter, {band_sql('pm2_5', THREE_BAND)} AS air_quality_label,
+       sulphur_dioxide, ozone, us_aqi, european_aqi, parameter, {three_band_sql('pm2_5')} AS air_quality_label,
        fetch_timestamp
 FROM (
   SELECT * REPLACE (
@@ -690,3 +688,23 @@ FROM events LEFT JOIN c ON event_id % 8 = i
 ORACLES["stamp_fetch"] = f"SELECT 'Lima' AS city_name, '2024-02-01T00:00:00' AS fetch_timestamp, count(*) AS n_docs FROM ({DOCS_SQL}) d"
 ORACLES["preview"] = f'SELECT city, "timestamp", version FROM ({M_SQL}) m ORDER BY "timestamp", version LIMIT 5'
 ORACLES["quick_drift"] = ORACLES["drift_dataset"]
+
+ORACLES["validate_predictions"] = f"""
+SELECT model, CASE WHEN event_id % 13 = 0 THEN 'confidence:ge_0:le_1' ELSE '' END AS violations, count(*) AS n
+FROM ({PRED_SQL}) p GROUP BY ALL
+"""
+ORACLES["ingest_runs"] = f"""
+SELECT 'ingest_' || city AS run_name, 'events' AS source, true AS has_path, true AS has_time, CAST(count(*) AS DOUBLE) AS records
+FROM ({M_SQL}) m GROUP BY city
+"""
+ORACLES["model_stages"] = f"""
+SELECT 'DecisionTreeClassificationModel' AS model_type, 'pm2_5,pm10,carbon_monoxide,nitrogen_dioxide,sulphur_dioxide,ozone,us_aqi,european_aqi' AS features,
+       (SELECT string_agg(DISTINCT l, ',' ORDER BY l) FROM (SELECT air_quality_label AS l FROM ({LM_SQL}) x WHERE air_quality_label <> 'unknown')) AS classes
+"""
+ORACLES["model_roundtrip_same"] = "SELECT count(*) AS n_rows, count(*) AS n_same FROM events"
+ORACLES["training_size"] = f"""
+SELECT count(*) AS n_samples, CAST(8 AS BIGINT) AS n_features, count(DISTINCT air_quality_label) AS n_classes
+FROM ({LM_SQL}) x WHERE air_quality_label IS NOT NULL AND air_quality_label <> 'unknown'
+"""
+ORACLES["score_margins"] = ORACLES["score_checks"]
+ORACLES["drift_stored_days"] = ORACLES["drift_features"]

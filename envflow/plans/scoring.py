@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FEATURES
@@ -43,3 +43,12 @@ def score(model: PipelineModel, df: DataFrame, features: list[str] = FEATURES, k
 def model_info(registry_row: DataFrame) -> DataFrame:
     """Name, path, features and classes of a registered model."""
     return registry_row.select("name", "path", "model_type", "features", "classes", "saved_at")
+
+
+def model_stages(model: PipelineModel) -> DataFrame:
+    """What a (saved) pipeline itself tells: the classifier's type, the features it takes and its classes."""
+    from pyspark.ml.feature import ImputerModel
+
+    features = next((list(st.getInputCols()) for st in model.stages if isinstance(st, ImputerModel)), [])
+    row = (type(model.stages[-1]).__name__, ",".join(features), ",".join(model_labels(model)))
+    return SparkSession.active().createDataFrame([row], "model_type string, features string, classes string")

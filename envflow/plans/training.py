@@ -225,7 +225,7 @@ def fold_vectors(train: DataFrame, features: list[str], target: str, labels: lis
     return Folds(train.sparkSession.read.parquet(path), [indexer, *stages], folds)
 
 
-def _estimator(c: Candidate, features: list[str], labels: list[str], seed: int, params: dict | None = None):
+def estimator(c: Candidate, features: list[str], labels: list[str], seed: int, params: dict | None = None):
     """A new estimator of the family, so that no two threads share one."""
     est = c.build(len(features), len(labels), seed)
     if c.scaled:
@@ -269,7 +269,7 @@ def _fit_candidate(folds: Folds, test: DataFrame, c: Candidate, features, labels
     """Score one family by its out-of-fold predictions, fit it on all rows, evaluate on the hold-out set."""
 
     def build():
-        return _estimator(c, features, labels, seed)
+        return estimator(c, features, labels, seed)
 
     told = out_of_fold(folds, build)
     scores = prediction_metrics(told, ["part"], sort_metric == "auc").agg(F.avg(sort_metric)).first()[0]
@@ -302,6 +302,11 @@ def class_labels(df: DataFrame, target: str = TARGET) -> list[str]:
     return sorted(r[0] for r in df.select(target).distinct().collect())
 
 
+def training_size(data: DataFrame, features: list[str] = FEATURES, target: str = TARGET) -> DataFrame:
+    """One row: samples, features and classes of a training table."""
+    return data.agg(F.count(F.lit(1)).alias("n_samples"), F.lit(len(features)).cast("bigint").alias("n_features"), F.count_distinct(target).alias("n_classes"))
+
+
 def compare_models(
     train: DataFrame,
     test: DataFrame,
@@ -366,7 +371,7 @@ def tune_model(
     ranking_metric(metric)
     labels = class_labels(train, target)
     prepared = fold_vectors(train, features, target, labels, 0 if candidate.probabilistic else 3, seed)
-    est = _estimator(candidate, features, labels, seed)
+    est = estimator(candidate, features, labels, seed)
     base = {k: est.getOrDefault(est.getParam(k)) for k in sorted(candidate.space)}
     trials = param_trials(candidate.space, n_trials, seed, base)
     maps = []
@@ -392,7 +397,7 @@ def tune_model(
         chosen = trials[max(range(len(trials)), key=lambda i: tm.validationMetrics[i])]
 
         def build():
-            return _estimator(candidate, features, labels, seed, chosen)
+            return estimator(candidate, features, labels, seed, chosen)
 
         best = fitted_pipeline(prepared, build, out_of_fold(prepared, build))
     return best, table, holdout_metrics(best.transform(test), candidate.name)
@@ -471,6 +476,6 @@ def run_training(
         model.write().overwrite().save(save_path)
         path = save_path
     labels = class_labels(train, target)
-    n_samples = data.count()
+    n_samples = training_size(data, features, target).first()["n_samples"]
     runs = training_runs(board, tuned, pick["model"], sort_metric, len(cands), n_samples, len(features), tune_trials)
     return TrainingResult(model, pick["model"], path, pick.asDict(), board, tuned, trials, labels, runs)
