@@ -70,8 +70,8 @@ class DailyStatistics:
 
     def __init__(self, spark: SparkSession, path: str, numeric: list[str], categorical: list[str] = ()):
         self.numeric, self.categorical = list(numeric), list(categorical)
-        self.table = SnapshotTable(spark, f"{path.rstrip('/')}/counts", ["day"], strings=("day",))
-        self.sketches = SnapshotTable(spark, f"{path.rstrip('/')}/sketches", ["day"], strings=("day",))
+        self.table = SnapshotTable(spark, f"{path.rstrip('/')}/counts", ["day"])
+        self.sketches = SnapshotTable(spark, f"{path.rstrip('/')}/sketches", ["day"])
 
     def update(self, rows: DataFrame, ts: str) -> None:
         """The statistics of the days that ``rows`` has; these must be all rows of their days. Rows without a time are of day ``none``."""

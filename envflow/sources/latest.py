@@ -8,11 +8,14 @@ is run again changes nothing.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_per_entity
 from ..operators.features import online_lookup
+from ..session import materialize
 from .snapshots import SnapshotTable
 
 BUCKET = "bucket"
@@ -39,10 +42,10 @@ class LatestTable:
         notes = self._notes()
         last, upto = notes.get("end"), F.lit(end).cast("timestamp_ntz")
         since = F.lit(last).cast("timestamp_ntz")
-        if last and self.spark.range(1).select(since >= upto).first()[0]:
+        if last and datetime.fromisoformat(last) >= datetime.fromisoformat(end):
             return None
         rows = source.filter(F.col(self.ts) <= upto).filter(F.col(self.key).isNotNull())
-        new = latest_per_entity(rows.filter(F.col(self.ts) > since) if last else rows, self.key, self.order)
+        new = materialize(latest_per_entity(rows.filter(F.col(self.ts) > since) if last else rows, self.key, self.order))
         buckets = notes.get("buckets") or buckets or self._buckets_for(new)
         new = new.withColumn(BUCKET, self.bucket(F.col(self.key), buckets))
         touched = [r[0] for r in new.select(BUCKET).distinct().collect()]  # MOST_BUCKETS at most

@@ -83,8 +83,8 @@ def put_new(spark: SparkSession, path: str, text: str) -> None:
 class SnapshotTable:
     """A table of versions under ``path``, partitioned by ``parts``."""
 
-    def __init__(self, spark: SparkSession, path: str, parts: list[str], strings: tuple[str, ...] = ()):
-        self.spark, self.path, self.parts, self.strings = spark, path.rstrip("/"), list(parts), strings
+    def __init__(self, spark: SparkSession, path: str, parts: list[str]):
+        self.spark, self.path, self.parts = spark, path.rstrip("/"), list(parts)
 
     # ------------------------------------------------------------ versions
     def versions(self) -> list[int]:
@@ -112,23 +112,31 @@ class SnapshotTable:
 
     def manifest(self, version: int | None = None) -> DataFrame:
         """The live pairs of a version: partition columns, ``commit``, ``files``, ``bytes``, ``rows``."""
-        return self.spark.read.parquet(f"{self.path}/manifests/{self.pointer(version)['commit']}")
+        return self._manifest(self.pointer(version))
+
+    def _manifest(self, pointer: dict) -> DataFrame:
+        kinds = {f.name: f for f in self._schema(pointer)}
+        fields = [*[kinds[c] for c in (*self.parts, COMMIT)], *[T.StructField(c, T.LongType()) for c in ("files", "bytes", "rows")]]
+        return self.spark.read.schema(T.StructType(fields)).parquet(f"{self.path}/manifests/{pointer['commit']}")
 
     # ------------------------------------------------------------ reading
-    def _scan(self) -> DataFrame:
-        schema = self.spark.read.parquet(f"{self.path}/data").schema
-        names = (COMMIT, *self.strings)  # folder names that look like numbers would come back as numbers
-        return self.spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) if f.name in names else f for f in schema])).parquet(f"{self.path}/data")
+    def _schema(self, pointer: dict) -> T.StructType:
+        """The rows' columns as that version's writer had them (folder names alone do not tell their types)."""
+        return T.StructType.fromJson(json.loads(pointer["schema"]))
+
+    def _scan(self, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/data")
 
-    def _of(self, pairs: DataFrame) -> DataFrame:
+    def _of(self, pairs: DataFrame, schema: T.StructType) -> DataFrame:
         """The rows of (partition, commit) pairs; the pairs prune the folders of the scan while they
         are few enough to be broadcast."""
         keys = [*self.parts, COMMIT]
-        return self._scan().join(checked_broadcast(pairs.select(*keys)), keys, "left_semi")
+        return self._scan(schema).join(checked_broadcast(pairs.select(*keys)), keys, "left_semi")
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of one version. Filters on the partition columns prune folders."""
-        return self._of(self.manifest(version)).drop(COMMIT)
+        pointer = self.pointer(version)
+        return self._of(self._manifest(pointer), self._schema(pointer)).drop(COMMIT)
 
     # ------------------------------------------------------------ writing
     def _written(self, rows: DataFrame, commit: str) -> DataFrame:
@@ -140,18 +148,23 @@ class SnapshotTable:
         out = f"{self.path}/data/{COMMIT}={commit}"
         rows.hint("rebalance", *[F.col(c) for c in self.parts]).sortWithinPartitions(*self.parts).write.partitionBy(*self.parts).parquet(out)
         meta = F.col("_metadata")
-        scan = self._scan().where(F.col(COMMIT) == commit)
+        scan = self._scan(self._written_schema(rows)).where(F.col(COMMIT) == commit)
         files = scan.groupBy(*self.parts, COMMIT, meta["file_path"].alias("file"), meta["file_size"].alias("size")).agg(F.count("*").alias("rows"))
         return files.groupBy(*self.parts, COMMIT).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.sum("rows").alias("rows"))
 
-    def _publish(self, base: dict | None, commit: str, pairs: DataFrame, run: str | None, batch: int | None, notes: dict | None) -> int:
+    def _written_schema(self, rows: DataFrame) -> T.StructType:
+        """``rows``' columns, nullable, with the partition columns and the commit last."""
+        kinds = {f.name: T.StructField(f.name, f.dataType) for f in rows.schema if f.name != COMMIT}
+        return T.StructType([*[f for c, f in kinds.items() if c not in self.parts], *[kinds[c] for c in self.parts], T.StructField(COMMIT, T.StringType())])
+
+    def _publish(self, base: dict | None, commit: str, pairs: DataFrame, run: str | None, batch: int | None, notes: dict | None, schema: T.StructType) -> int:
         version = base["version"] + 1 if base else 1
         pairs.write.parquet(f"{self.path}/manifests/{commit}")
         runs = dict(base["runs"]) if base else {}
         if run is not None:
             runs[run] = batch
         notes = (dict(base["notes"]) if base else {}) | (notes or {})
-        told = {"version": version, "commit": commit, "runs": runs, "notes": notes, "time": time.time()}
+        told = {"version": version, "commit": commit, "runs": runs, "notes": notes, "schema": schema.json(), "time": time.time()}
         put_new(self.spark, f"{self.path}/versions/{version:020d}", json.dumps(told))
         return version
 
@@ -165,8 +178,8 @@ class SnapshotTable:
             base = self.pointer()
             if base and run is not None and base["runs"].get(run, -1) >= batch:
                 return None
-            old = self.manifest(base["version"]) if base else None
-            rows, gone = make(self._of(old) if base else None)
+            old = self._manifest(base) if base else None
+            rows, gone = make(self._of(old, self._schema(base)) if base else None)
             commit = uuid.uuid4().hex
             fresh = self._written(rows, commit)
             if base:
@@ -175,7 +188,7 @@ class SnapshotTable:
             else:
                 pairs = fresh
             try:
-                return self._publish(base, commit, pairs, run, batch, notes)
+                return self._publish(base, commit, pairs, run, batch, notes, self._written_schema(rows))
             except Conflict:
                 drop_path(self.spark, f"{self.path}/data/{COMMIT}={commit}")
                 drop_path(self.spark, f"{self.path}/manifests/{commit}")
@@ -210,7 +223,7 @@ class SnapshotTable:
 
         def rewrite(old: DataFrame) -> tuple[DataFrame, DataFrame]:
             pairs = self.small_pairs(target_bytes).select(*self.parts, COMMIT)
-            return self._of(pairs).drop(COMMIT), pairs
+            return old.join(checked_broadcast(pairs), [*self.parts, COMMIT], "left_semi").drop(COMMIT), pairs
 
         return self.change(rewrite)
 

@@ -30,7 +30,7 @@ PARTS = ["city", "date"]
 
 
 def curated_snapshots(spark: SparkSession, table_path: str) -> SnapshotTable:
-    return SnapshotTable(spark, table_path, PARTS, strings=("city",))
+    return SnapshotTable(spark, table_path, PARTS)
 
 
 def affected_partitions(rows: DataFrame, table: DataFrame) -> DataFrame:

@@ -6,7 +6,10 @@ import __spark_entry__ as E
 
 SF001 = "/root/testdata/sf0.001"
 PYTHON_NODES = ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
-ML_QUERIES = {"compare_models", "tune_model", "train_run", "model_roundtrip", "score_batch", "model_info", "train_test_split"}
+ML_QUERIES = {
+    "compare_models", "tune_model", "tune_trials", "train_run", "model_roundtrip", "model_roundtrip_same", "model_stages", "score_batch", "score_checks",
+    "score_margins", "model_info", "train_test_split",
+}
 
 
 def _plan(df):

@@ -13,7 +13,7 @@ def rows(spark, *values):
 
 
 def table(spark, tmp_path):
-    return SnapshotTable(spark, str(tmp_path / "t"), ["city"], strings=("city",))
+    return SnapshotTable(spark, str(tmp_path / "t"), ["city"])
 
 
 def content(df):
