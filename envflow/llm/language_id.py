@@ -225,11 +225,11 @@ def document_statistics(texts: DataFrame) -> tuple[np.ndarray, dict[str, int]]:
     rows = on_workers(texts).mapInArrow(count, "feature long, lang string, n long").groupBy("feature", "lang").agg(F.sum("n").alias("n"))
     most = MODEL_CELLS // LEAST_FEATURES
     out, counts = np.zeros(FEATURES, dtype=np.int64), {}
-    for r in rows.limit(FEATURES + most + 1).collect():
-        if r[1] is None:
-            out[r[0]] = r[2]
-        else:
-            counts[r[1]] = r[2]
+    told = rows.limit(FEATURES + most + 1).toArrow()
+    feature, n = told.column("feature").to_numpy(), told.column("n").to_numpy()
+    out[feature[feature >= 0]] = n[feature >= 0]
+    for i in np.flatnonzero(feature < 0).tolist():
+        counts[told.column("lang")[i].as_py()] = int(n[i])
     shift_of(len(counts))  # too many languages are an error
     return out, counts
 
@@ -246,8 +246,9 @@ def labelled_sample(docs: DataFrame, counts: dict[str, int], per_lang: int, id_c
         threshold = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in sorted(rare.items()) for x in p]), F.col(lang_col)), threshold)
     some = docs.withColumn("_order", order).where(F.col("_order") < threshold)
     place = F.row_number().over(Window.partitionBy(lang_col).orderBy("_order", text_col))
-    rows = some.withColumn("_place", place).where(F.col("_place") <= per_lang).select(lang_col, "_place", text_col).collect()  # about SAMPLE rows at most
-    return [(r[2], r[0]) for r in sorted(rows, key=lambda r: (r[0], r[1]))]
+    rows = some.withColumn("_place", place).where(F.col("_place") <= per_lang).select(lang_col, "_place", text_col)
+    told = sorted(((r[0], r[1], r[2]) for r in rows.toLocalIterator()), key=lambda r: r[:2])  # about SAMPLE rows at most
+    return [(text, lang) for lang, _, text in told]
 
 
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
