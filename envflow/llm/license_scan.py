@@ -7,7 +7,7 @@
    size is fixed). A document's hits on a template, put in order of their diagonals
    (place in the text less place in the template), give candidate regions.
 3. Each candidate region is aligned with the template, word by word, in a band around its
-   diagonal: matches score, gaps and replacements cost. The matched share of the
+   diagonal, a row of the band at a time: matches score, gaps and replacements cost. The matched share of the
    template's words is the coverage, the first and last matched word the span.
    Regions whose words cannot reach the least coverage are not aligned (exact bounds: a
    template's word needs its like within the band).
@@ -42,7 +42,13 @@ K, WINDOW = 8, 6
 BAND = 12
 #: Least share of the template's words that match, and of the span's words.
 COVERAGE, DENSITY = 0.85, 0.8
-GAP, REPLACE = 0.4, 0.4
+#: A match's score, and what a gap and a replacement cost (the same: a template's word that has no match).
+MATCH, GAP, REPLACE = 5, 2, 2
+#: Regions of a text that are aligned with a template at once.
+REGIONS = 64
+#: Bits of a cell of the alignment below its score, and below its matched words; templates are shorter than 2 ** 20 words.
+SCORE_BITS, MATCHED_BITS = 42, 21
+SCORE, MATCHED = 1 << SCORE_BITS, 1 << MATCHED_BITS
 BATCH_CHARS = 1 << 21
 
 _WORD = re.compile(r"[A-Za-z0-9]+")
@@ -137,38 +143,46 @@ def reach(words: np.ndarray, template: np.ndarray, start: int) -> int:
     return int((np.lib.stride_tricks.sliding_window_view(near, 2 * band + 1) == template[:, None]).any(axis=1).sum())
 
 
-def align(words: list[int], template: list[int], start: int) -> tuple[int, int, int] | None:
-    """Banded alignment of the template with ``words`` from about ``start`` on: matched words,
-    first and last matched word. Row i of the band holds words start + i - band .. start + i + band."""
+def align(words: np.ndarray, template: np.ndarray, starts: list[int]) -> list[tuple[int, int, int] | None]:
+    """Banded alignment of the template with ``words`` from about each of ``starts`` on: matched words,
+    first and last matched word; None where nothing matches. Row i of a band holds words
+    start + i - band .. start + i + band; the rows i of all bands are filled at once.
+
+    A cell is one number: score, matched words and first matched word (plus 1, counted from the band's
+    start), most significant first, so that the greatest number is the best cell. A cell without matches has
+    lost a gap per template word wherever it stands: text before the first match is free.
+    """
     band = band_of(template)
-    width = 2 * band + 1
-    lo = start - band
-    # score, matched, first matched word, last matched word; free ends in the text
-    score = np.zeros(width)
-    state: list = [(0, -1, -1)] * width
-    best: tuple = (0.0, None)
-    for i, t in enumerate(template):
-        new, new_state = np.full(width, -np.inf), [(0, -1, -1)] * width
-        for j in range(width):
-            at = lo + i + j
-            options = []
-            if 0 <= at < len(words):
-                m, f, _ = state[j]  # diagonal: the row before at the same offset
-                if words[at] == t:
-                    options.append((score[j] + 1, (m + 1, f if m else at, at)))
-                else:
-                    options.append((score[j] - REPLACE, state[j]))
-            if j + 1 < width:  # a template word without its own
-                options.append((score[j + 1] - GAP, state[j + 1]))
-            if j and new[j - 1] > -np.inf:  # a text word without its own; free before the first match
-                options.append((new[j - 1] - (GAP if new_state[j - 1][0] else 0), new_state[j - 1]))
-            if options:
-                new[j], new_state[j] = max(options, key=lambda o: (o[0], o[1][0], o[1][1]))
-        score, state = new, new_state
-        for j in range(width):
-            if score[j] > best[0]:
-                best = (score[j], state[j])
-    return best[1]
+    width, rows = 2 * band + 1, len(template)
+    padded = np.full(len(words) + 2 * (rows + width), -1, dtype=np.int32)  # -1 is no template's word
+    padded[rows + width : rows + width + len(words)] = words
+    low = np.array(starts, dtype=np.int64) - band  # the word at the first place of the first row
+    windows = np.lib.stride_tricks.sliding_window_view(padded, width)
+    place = np.arange(width, dtype=np.int64)
+    slope = place * (GAP * SCORE)
+    cell = np.zeros((len(starts), width), dtype=np.int64)
+    best = [0] * len(starts)
+    found: list = [None] * len(starts)
+    at = np.clip(low + rows + width, 0, len(windows) - rows)
+    for i, word in enumerate(template):
+        same = windows[at + i] == word
+        through = cell - REPLACE * SCORE  # a text word and the template's word
+        hits = same.any()
+        if hits:
+            fresh = (cell & (SCORE - 1)) == 0
+            through = np.where(same, cell + (MATCH * SCORE + MATCHED) + fresh * (place + (i + 1)), through)
+        np.maximum(through[:, :-1], cell[:, 1:] - GAP * SCORE, out=through[:, :-1])  # the template's word alone
+        cell = np.maximum.accumulate(through + slope, axis=1) - slope  # text words alone
+        np.maximum(cell, -(i + 1) * GAP * SCORE, out=cell)
+        if not hits:
+            continue
+        for r, top in enumerate((cell.max(axis=1) >> SCORE_BITS).tolist()):
+            if top > best[r]:  # a cell that is better than all before it ends in a match
+                j = int(np.argmax(cell[r] >> SCORE_BITS))
+                rest = int(cell[r, j]) & (SCORE - 1)
+                best[r] = top
+                found[r] = (rest >> MATCHED_BITS, int(low[r]) + (rest & (MATCHED - 1)) - 1, int(low[r]) + i + j)
+    return found
 
 
 def matches(text: str, owner: np.ndarray, at: np.ndarray, word_in: np.ndarray, index: Index, least: float) -> list[tuple[str, int, int, float, int]]:
@@ -176,7 +190,6 @@ def matches(text: str, owner: np.ndarray, at: np.ndarray, word_in: np.ndarray, i
     templates, places in the text and words of the template."""
     spans = [m.span() for m in _WORD.finditer(text)]
     words = np.array([index.vocab.get(text[a:b].lower(), -1) for a, b in spans], dtype=np.int32)
-    listed = words.tolist()
     ends = np.cumsum([b - a for a, b in spans])
     # the word of the text that the template would start with, were nothing changed
     first_word = np.searchsorted(ends, at, side="right") - word_in
@@ -187,6 +200,7 @@ def matches(text: str, owner: np.ndarray, at: np.ndarray, word_in: np.ndarray, i
         known = np.concatenate(([0], np.cumsum(np.isin(words, template))))
         if known[-1] < need:
             continue
+        exact, near = [], []
         for s in np.unique(first_word[owner == t]).tolist():
             if done is not None and s - done <= band // 2:
                 continue  # the same region: this diagonal is within its band
@@ -195,9 +209,12 @@ def matches(text: str, owner: np.ndarray, at: np.ndarray, word_in: np.ndarray, i
             if hi <= lo or known[hi] - known[lo] < need or reach(words, template, s) < need:
                 continue
             if s >= 0 and np.array_equal(words[s : s + len(template)], template):
-                m, first, last = len(template), s, s + len(template) - 1
+                exact.append((len(template), s, s + len(template) - 1))
             else:
-                m, first, last = align(listed, template.tolist(), s) or (0, 0, 0)
+                near.append(s)
+        for begin in range(0, len(near), REGIONS):
+            exact += [x for x in align(words, template, near[begin : begin + REGIONS]) if x]
+        for m, first, last in exact:
             if m >= max(need, DENSITY * (last - first + 1)) and all(holds(words[first : last + 1], x) for x in index.deciding[t]):
                 found.append((m, m / len(template), index.names[t], first, last))
     found.sort(key=lambda x: (-x[0], -x[1], x[2], x[3]))

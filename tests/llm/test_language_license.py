@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pytest
@@ -128,6 +129,63 @@ def test_license_messy_rows(spark):
     assert license_scan.scan_licenses(none_of(docs)).count() == 0
 
 
+def aligned_by_hand(words, template, start):
+    """The best path through the band, cell by cell; ties go to more matches, then to the later first match."""
+    band = license_scan.band_of(template)
+    row = {j: (0, 0, None) for j in range(-band, band + 1)}  # score, matches, first match by offset
+    best, found = 0, None
+    for i, t in enumerate(template):
+        new = {}
+        for j in range(-band, band + 1):
+            at, ways = start + i + j, [(-license_scan.GAP * (i + 1), 0, None)]
+            s, m, f = row[j]
+            if 0 <= at < len(words) and words[at] == t:
+                ways.append((s + license_scan.MATCH, m + 1, at if f is None else f))
+            else:
+                ways.append((s - license_scan.REPLACE, m, f))
+            if j < band:
+                ways.append((row[j + 1][0] - license_scan.GAP, *row[j + 1][1:]))
+            if j > -band:
+                ways.append((new[j - 1][0] - license_scan.GAP, *new[j - 1][1:]))
+            new[j] = max(ways, key=lambda w: (w[0], w[1], -1 if w[2] is None else w[2]))
+            if new[j][0] > best:
+                best, found = new[j][0], (new[j][1], new[j][2], at)
+        row = new
+    return found
+
+
+def test_alignment_agrees_with_a_plain_one():
+    rng = np.random.default_rng(5)
+    for case in range(300):
+        template = rng.integers(0, 4 if case % 3 else 30, rng.integers(1, 60)).astype(np.int32)
+        body = [int(w) for w in template if rng.random() > 0.1]
+        for _ in range(rng.integers(0, 4)):
+            body.insert(rng.integers(0, len(body) + 1), int(rng.integers(-1, 30)))
+        before, after = rng.integers(-1, 30, rng.integers(0, 20)).tolist(), rng.integers(-1, 30, rng.integers(0, 20)).tolist()
+        words = np.array(before + body + after, dtype=np.int32)
+        starts = (len(before) + rng.integers(-4, 5, rng.integers(1, 4))).tolist()
+        want = [aligned_by_hand(words.tolist(), template.tolist(), s) for s in starts]
+        assert license_scan.align(words, template, starts) == want, (case, template.tolist(), words.tolist(), starts)
+
+
+def test_an_edited_whole_license_is_aligned_by_rows():
+    words = TEMPLATES["GPL-3.0-text"].split()
+    for at in range(50, len(words), 400):
+        words[at] = "changed"
+    index = license_scan.Index.of(TEMPLATES)
+    (found,) = license_scan.scan_texts([" ".join(words)], index, license_scan.COVERAGE)[0]
+    assert found[0] == "GPL-3.0-text" and 0.98 < found[3] < 1
+    template = index.words[index.names.index("GPL-3.0-text")]
+    edited = template.copy()
+    edited[50::400] = -1
+    began = time.perf_counter()
+    got = license_scan.align(edited, template, [0])
+    by_rows = time.perf_counter() - began
+    began = time.perf_counter()
+    want = aligned_by_hand(edited.tolist(), template.tolist(), 0)
+    assert got == [want] and by_rows < (time.perf_counter() - began) / 2
+
+
 def test_whole_texts_and_notices_of_relatives():
     def names(text):
         return [x[0] for x in scan([text])[0]]
