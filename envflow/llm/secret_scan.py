@@ -95,10 +95,10 @@ def secret_spans(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", te
     ``start, end``, and ``behind``: the furthest end of the spans before it."""
     arrays = [F.coalesce(_matches(k, p), F.array()) for k, (_, p, _) in enumerate(KINDS)]
     keyed = _keyed(docs, id_col, text_col)
-    rows = keyed.select("_id", "_hash", F.explode(F.concat(*arrays)).alias("m")).select("_id", "_hash", "m.*")
     key = ["_id", "_hash"]
-    # repeated rows of a document give the same matches: once is enough
-    rows = rows.repartition(*key).dropDuplicates([*key, "kind", "at"])
+    # repeated rows of a document give the same matches: once is enough, and the rest go before the exchange
+    found = keyed.select(*key, F.concat(*arrays).alias("m")).where(F.size("m") > 0).groupBy(*key).agg(F.first("m").alias("m"))
+    rows = found.select(*key, F.explode("m").alias("m")).select(*key, "m.*")
     own = Window.partitionBy(*key, "kind").orderBy("at")
     upto = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     parts = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto)).where("kept")

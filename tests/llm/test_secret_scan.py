@@ -111,3 +111,12 @@ def test_no_python_runs(spark):
     for df in (secret_scan.scan_secrets(docs), secret_scan.redact_secrets(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|MapInArrow|CartesianProduct|BroadcastNestedLoop", plan)
+
+
+def test_repeated_rows_go_before_the_exchange(spark):
+    copies = spark.range(0, 4000, 1, 8).selectExpr("1L AS doc_id", f"'x {HEX} {KEY}' AS text")
+    plan = secret_scan.secret_spans(copies)._jdf.queryExecution().executedPlan().toString()
+    told = [line.strip(" +-:") for line in plan.splitlines() if "Exchange" in line or "Aggregate" in line]
+    assert told[-1].startswith("SortAggregate") and "partial_first" in told[-1] and "Exchange" in told[-3] + told[-2]
+    got = secret_scan.scan_secrets(copies).selectExpr("count(*)", "count(DISTINCT spans)", "min(n_hex)", "max(n_access)").first()
+    assert tuple(got) == (4000, 1, 1, 1)
