@@ -1,21 +1,25 @@
 """Document fingerprints (3): Merkle trees over paragraphs and sections, in DataFrame functions only.
 
-Leaves are paragraphs: the pieces of a text that a line break or sentence end closes, or
-the first space after ``PARAGRAPH`` characters; together they are the whole text. A
-leaf whose hash starts with 0 closes a section, so an edit moves no later section's
-borders. A section hashes its leaves, the root hashes the sections.
-
-A fingerprint is ``root:section=leaf,leaf,...;section=...``. Equal texts have equal
-roots. Where roots differ, ``likeness`` is the share of leaves that both trees have (Dice),
-and ``first_edit`` the place where the first differing leaf starts.
-
-The next document's text comes by one shuffle of the texts by ranges of ids, each range with
-the first document of the range below it; at most MAX_RANGES ids pass through the driver.
+A tree has four levels. Leaves are the pieces of a text that a line break or sentence end closes, or
+the first space after ``PIECE`` characters; together they are the whole text. A line break closes a
+paragraph, and so does a leaf whose hash starts with 0 (running text has no line breaks). A paragraph whose
+hash starts with 0 closes a section. Borders depend on nothing but what they close, so an edit moves no
+later ones. A paragraph hashes its leaves, a section its paragraphs, the root its sections.
+
+A fingerprint is ``root:section=paragraph,paragraph,...;section=...``: the levels above the leaves. Equal
+texts have equal roots. Where roots differ, ``changed`` goes down the branches that differ and gives
+the paragraphs at their ends, ``likeness`` is the share of leaves that both trees have (Dice), and
+``first_edit`` the place where the first differing leaf starts.
+
+The next document's text comes by one shuffle of the texts. Every document whose key (id and text
+hash) has a hash divisible by about ``RANGE_ROWS`` is the first of a range, so ranges follow the rows, however ids
+are spread; a range is lent the first document of the range after it. About MAX_RANGES keys at most, the ranges'
+first ones, reach every task, which finds a document's range among them by bisection.
 
 Defined cases: null text counts as empty, an empty text has no leaves; likeness of
 equal roots is 1; repeated rows are documents of their own (equal ids by text hash,
 descending); null ids come last; extra columns are ignored; an empty table gives none.
-Ids are numbers.
+Ids are of any type that Spark sorts. Rows equal in id and text lie in one range.
 """
 
 from __future__ import annotations
@@ -23,40 +27,74 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from envflow.llm.common import text_of
+from envflow.llm.common import stored, text_of
 
-PARAGRAPH = 32
+PIECE = 32
 RANGE_ROWS = 100
-MAX_RANGES = 65_536
-LEAF_HEX, SHOWN_HEX = 16, 8
+#: Keys of ranges that are sent to every task, about; beyond RANGE_ROWS times as many documents, ranges grow with
+#: the table (Spark sorts and reads them from disk where they outgrow a task's memory).
+MAX_RANGES = 262_144
+#: Halvings that find one of 2 ** BISECTIONS keys, four times MAX_RANGES.
+BISECTIONS = 20
+HEX, SHOWN_HEX = 16, 8
 
 
-def leaves(text: Column, size: int = PARAGRAPH) -> Column:
+def leaves(text: Column, size: int = PIECE) -> Column:
     """The text's pieces, in order."""
     piece = rf"(?s)(?=.)[^.!?\n]{{0,{size}}}[^.!?\n ]{{0,{4 * size}}}+[.!?\n ]?"
     return F.regexp_extract_all(text, F.lit(piece), F.lit(0))
 
 
 def leaf_hashes(text: Column) -> Column:
-    return F.transform(leaves(text), lambda x: F.substring(F.md5(x), 1, LEAF_HEX))
+    """The leaves' hashes, each with ``;`` behind it if a line break ends it, else ``,``."""
+    return F.transform(leaves(text), lambda x: F.concat(_hash(x), F.when(x.endswith("\n"), F.lit(";")).otherwise(F.lit(","))))
+
+
+def _hash(x: Column) -> Column:
+    return F.substring(F.md5(x), 1, HEX)
 
 
-def sections(hashes: Column) -> Column:
-    """Sections as strings of leaf hashes; linear in the number of leaves."""
-    closed = F.transform(hashes, lambda h: F.concat(h, F.when(h.startswith("0"), F.lit(";")).otherwise(F.lit(","))))
+def _grouped(closed: Column) -> Column:
+    """Groups of hashes as strings, each group up to a ``;``; linear in the number of hashes."""
     return F.filter(F.split(F.array_join(closed, ""), ";"), lambda s: s != "")
 
 
+def paragraphs(leaf: Column) -> Column:
+    """Hashes of the paragraphs."""
+    closed = F.transform(leaf, lambda h: F.when(h.startswith("0"), F.concat(F.substring(h, 1, HEX), F.lit(";"))).otherwise(h))
+    return F.transform(_grouped(closed), _hash)
+
+
+def sections(paragraph: Column) -> Column:
+    """Sections as strings of their paragraphs' hashes."""
+    return _grouped(F.transform(paragraph, lambda h: F.concat(h, F.when(h.startswith("0"), F.lit(";")).otherwise(F.lit(",")))))
+
+
 def fingerprint(section: Column) -> Column:
-    """Root and branches as one string."""
-    hashes = F.transform(section, lambda s: F.substring(F.md5(s), 1, LEAF_HEX))
+    """Root and branches as one string; of a paragraph's hash the first SHOWN_HEX digits."""
+    hashes = F.transform(section, _hash)
+    short = rf"([0-9a-f]{{{SHOWN_HEX}}})[0-9a-f]{{{HEX - SHOWN_HEX}}},?"
     shown = F.transform(
-        section,
-        lambda s: F.concat(
-            F.substring(F.md5(s), 1, LEAF_HEX), F.lit("="), F.regexp_replace(s, rf"([0-9a-f]{{{SHOWN_HEX}}})[0-9a-f]{{{LEAF_HEX - SHOWN_HEX}}}", "$1")
-        ),
+        section, lambda s: F.concat(_hash(s), F.lit("="), F.rtrim(F.regexp_replace(s, short, "$1 ")))
     )
-    return F.concat(F.md5(F.array_join(hashes, ",")), F.lit(":"), F.array_join(shown, ";"))
+    return F.concat(F.md5(F.array_join(hashes, ",")), F.lit(":"), F.translate(F.array_join(shown, ";"), " ", ","))
+
+
+def changed(a: Column, b: Column) -> Column:
+    """Of two fingerprints: the places (from 0) of the paragraphs of ``a`` that its differing branches lead
+    to; none where the roots are equal. Sections that both have are not looked into."""
+    branches = lambda x: F.filter(F.split(F.substring_index(x, ":", -1), ";"), lambda s: s != "")
+    ids = lambda s: F.split(F.substring_index(s, "=", -1), ",")
+    known = F.transform(branches(b), lambda s: F.substring_index(s, "=", 1))
+    theirs = F.flatten(F.transform(branches(b), ids))
+    kept = F.flatten(
+        F.transform(
+            branches(a),
+            lambda s: F.transform(ids(s), lambda p: F.array_contains(known, F.substring_index(s, "=", 1)) | F.array_contains(theirs, p)),
+        )
+    )
+    places = F.filter(F.transform(kept, lambda k, i: F.when(~k, i)), lambda i: i.isNotNull())
+    return F.when(root(a) == root(b), F.array().cast("array<int>")).otherwise(places)
 
 
 def root(print_: Column) -> Column:
@@ -73,28 +111,37 @@ def likeness(a: Column, b: Column, leaves_a: Column, leaves_b: Column) -> Column
     return F.when(root(a) == root(b), F.lit(1.0)).otherwise(F.coalesce(F.greatest(both, placed), F.lit(0.0)))
 
 
+def _range_keys(src: DataFrame, n: int) -> DataFrame:
+    """One row: the keys that are first in a range, ascending; the greatest key of all is one of them."""
+    every = max(RANGE_ROWS, -(-n // MAX_RANGES))
+    chosen = F.when(F.pmod(F.xxhash64("_key"), F.lit(every)) == 0, F.col("_key"))
+    return src.agg(F.sort_array(F.array_distinct(F.array_append(F.collect_set(chosen), F.max("_key")))).alias("keys"))
+
+
+def _with_range(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` with ``_range``, the place (from 1) of the least of the ``keys`` that is not below ``_key``, and
+    ``_above``, that of the range whose last row it follows: only for rows that are first in theirs.
+
+    The keys stand in the expressions, so that no row carries them. A step a column; a place past the end is null.
+    """
+    rows = rows.withColumn("_range", F.lit(1))
+    for step in reversed(range(BISECTIONS)):
+        beyond = F.get(keys.scalar(), F.col("_range") + (2**step - 2)) < F.col("_key")
+        rows = rows.withColumn("_range", F.col("_range") + F.when(beyond, F.lit(2**step)).otherwise(F.lit(0)))
+    first = F.get(keys.scalar(), F.col("_range") - 1) == F.col("_key")
+    return rows.withColumn("_above", F.when(first, F.pmod(F.col("_range"), F.size(keys.scalar())) + 1))
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_id, _text, _next``: the text of the next document by descending id, the first after the last."""
     src = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    n, lo, hi = docs.agg(F.count("*"), F.min(id_col), F.max(id_col)).first()
-    if not n:
-        return src.withColumn("_next", F.lit(""))
-    lo, hi = lo or 0, hi or 0
-    ranges = max(1, min(MAX_RANGES, n // RANGE_ROWS, int(hi) - int(lo) + 1))
-    width = (int(hi) - int(lo)) // ranges + 1
-    of_id = F.when(F.col("_id").isNull(), F.lit(-1)).otherwise(F.floor((F.col("_id") - F.lit(lo)) / F.lit(width))).cast("long")
-    src = src.withColumn("_range", of_id)
-    firsts = src.groupBy("_range").agg(F.max("_id").alias("_first")).collect()  # MAX_RANGES rows and one at most
-    firsts = sorted(firsts, key=lambda r: r[0])
-    to = [firsts[(i + 1) % len(firsts)][0] for i in range(len(firsts))]
-    kind = src.schema["_id"].dataType.simpleString()
-    lent = docs.sparkSession.createDataFrame([(r[1], t) for r, t in zip(firsts, to)], f"_first {kind}, _to long")
-    borrowed = src.join(F.broadcast(lent), F.col("_id").eqNullSafe(F.col("_first"))).select(
-        "_id", "_text", F.col("_to").alias("_range"), F.lit(1).alias("_lent")
-    )
-    rows = src.withColumn("_lent", F.lit(0)).unionByName(borrowed)
-    order = Window.partitionBy("_range").orderBy("_lent", F.col("_id").desc_nulls_last(), F.xxhash64("_text").desc())
-    return rows.withColumn("_next", F.lead("_text").over(order)).where("_lent = 0").select("_id", "_text", "_next")
+    # structs compare field by field, null below all else
+    src = src.withColumn("_key", F.struct(F.col("_id").alias("id"), F.xxhash64("_text").alias("h")))
+    placed = _with_range(src, stored(_range_keys(src, docs.count()), "range_keys"))
+    places = F.filter(F.array(F.col("_range"), F.col("_above")), lambda r: r.isNotNull())
+    rows = placed.select("_key", "_text", F.posexplode(places).alias("lent", "r"))
+    order = Window.partitionBy("r").orderBy("lent", F.col("_key").desc())
+    return rows.withColumn("_next", F.lead("_text").over(order)).where("lent = 0").select(F.col("_key.id").alias("_id"), "_text", "_next")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -111,7 +158,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         leaf_hashes(F.col("_text")).alias("_a"), leaf_hashes(F.col("_edited")).alias("_b"), leaf_hashes(F.col("_next")).alias("_c"),
         F.transform(leaves(F.col("_text")), lambda x: F.char_length(x)).alias("_sizes"),
     )
-    rows = rows.select("*", *[sections(F.col(f"_{x}")).alias(f"_s{x}") for x in "abc"])
+    rows = rows.select("*", *[sections(paragraphs(F.col(f"_{x}"))).alias(f"_s{x}") for x in "abc"])
     rows = rows.select("*", *[fingerprint(F.col(f"_s{x}")).alias(f"_f{x}") for x in "abc"])
     same = F.zip_with("_a", "_b", lambda p, q: p.eqNullSafe(q))
     differs = F.array_position(same, F.lit(False))
