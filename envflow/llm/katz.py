@@ -49,6 +49,7 @@ TAIL = 0.05
 ADDED = 0.1  # of the base score
 CHUNK_TOKENS, CHUNK_DOCS = 2_500_000, 65_535
 BUCKET_BYTES = 32 << 20
+SLICE_BYTES = 8 << 20  # of a bucket's rows that a task sorts at once
 LEAST_BUCKETS = 8
 SAMPLE_EVERY = 1  # documents looked at for frequent words and hot pairs (all); decides the layout only
 BEGIN = xxhash.xxh3_64_intdigest(b" begin")  # no word holds a space
@@ -98,10 +99,14 @@ def pairs_of(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def chunk_rows(hashes: list[np.ndarray], learn: int, frequent: np.ndarray, buckets: int, hot: np.ndarray = NONE, chunk: int = 0):
     """For every bucket: its number, then the columns of CHUNK_COLUMNS from ``learn`` on."""
     second, first = pairs_of(hashes)
-    doc = np.repeat(np.arange(len(hashes)), [len(h) + 1 for h in hashes])
-    bucket = bucket_of(second, first, frequent, buckets, hot, chunk)
-    order = np.lexsort((doc, first, second, bucket))
-    bucket, second, first, doc = bucket[order], second[order], first[order], doc[order]
+    doc = np.repeat(np.arange(len(hashes), dtype="<u2"), [len(h) + 1 for h in hashes])
+    bucket = bucket_of(second, first, frequent, buckets, hot, chunk).astype(np.int32)
+    order = np.lexsort((first, second, bucket))  # stable: equal pairs stay by document
+    bucket = bucket[order]  # one at a time, so that no more than one is held twice
+    second = second[order]
+    first = first[order]
+    doc = doc[order]
+    del order
     edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
     for a, b in zip(edges[:-1], edges[1:]):
         s, f, d = second[a:b], first[a:b], doc[a:b]
@@ -113,33 +118,58 @@ def chunk_rows(hashes: list[np.ndarray], learn: int, frequent: np.ndarray, bucke
             int(bucket[a]), learn,
             s[new_s].tobytes(), np.add.reduceat(new_p.astype(np.int64), np.flatnonzero(new_s)).astype("<u4").tobytes(),
             known.tobytes(), index.astype("<u4").tobytes(),
-            np.diff(np.append(at_p, b - a)).astype("<u4").tobytes(), d.astype("<u2").tobytes(),
+            np.diff(np.append(at_p, b - a)).astype("<u4").tobytes(), d.tobytes(),
         )
 
 
+def slices(t: pa.Table):
+    """A bucket's rows in ranges of second words, of about SLICE_BYTES each, as ``Bucket``; a pair lies in one of them."""
+    n = sized(t.nbytes, SLICE_BYTES)
+    edges = [(i << 64) // n for i in range(n)] + [2**64 - 1]
+    for i in range(n):
+        yield Bucket(t, edges[i], edges[i + 1], i == n - 1)
+
+
 class Bucket:
-    """The merged pairs of one bucket, from the rows of all chunks."""
+    """The merged pairs of one bucket, from the rows of all chunks, of second words from ``least`` to ``most`` (the last
+    slice includes it)."""
 
-    def __init__(self, t: pa.Table):
+    def __init__(self, t: pa.Table, least: int = 0, most: int = 2**64 - 1, last: bool = True):
         def get(c: str, kind) -> list[np.ndarray]:
             return [np.frombuffer(x.as_buffer(), dtype=kind) for x in t.column(c)]  # no copies
 
         self.chunks = t.column("chunk").to_pylist()
-        second = np.concatenate([np.repeat(s, p) for s, p in zip(get("second", "<u8"), get("pairs", "<u4"))])
-        first = np.concatenate([k[i] for k, i in zip(get("firsts", "<u8"), get("first", "<u4"))])
-        times = np.concatenate(get("times", "<u4"))
-        self.docs = get("docs", "<u2")  # of each chunk's occurrences
+        seconds, firsts, counts, self.docs = [], [], [], []  # docs of each chunk's occurrences
+        columns = (("second", "<u8"), ("pairs", "<u4"), ("firsts", "<u8"), ("first", "<u4"), ("times", "<u4"), ("docs", "<u2"))
+        for s, p, known, index, times, docs in zip(*(get(c, kind) for c, kind in columns)):
+            lo, hi = np.searchsorted(s, _U(least)), np.searchsorted(s, _U(most), "right" if last else "left")
+            a = int(p[:lo].sum(dtype=np.int64))
+            b = a + int(p[lo:hi].sum(dtype=np.int64))
+            c = int(times[:a].sum(dtype=np.int64))
+            d = c + int(times[a:b].sum(dtype=np.int64))
+            seconds.append(np.repeat(s[lo:hi], p[lo:hi]))
+            firsts.append(known[index[a:b]])
+            counts.append(times[a:b])
+            self.docs.append(docs[c:d])
+        second, first = np.concatenate(seconds), np.concatenate(firsts)
+        del seconds, firsts
         # equal pairs of different chunks together
         order = np.lexsort((first, second))
-        s, f = second[order], first[order]
-        word = np.concatenate(([True], s[1:] != s[:-1]))
-        pair = word | np.concatenate(([True], f[1:] != f[:-1]))
+        second = second[order]  # one at a time, so that no more than one is held twice
+        word = np.concatenate(([True], second[1:] != second[:-1]))[: len(order)]
+        self.words = second[word]
+        del second
+        first = first[order]
+        pair = word | np.concatenate(([True], first[1:] != first[:-1]))[: len(order)]
+        self.first = first[pair]
+        del first
         number = np.empty(len(order), dtype=np.int32)
-        number[order] = np.cumsum(pair) - 1
-        self.words, self.first = s[word], f[pair]
-        del order, s, f, second, first
-        self.pair = np.repeat(number, times)  # of each occurrence
-        self.word = (np.cumsum(word) - 1)[pair]  # of each pair
+        number[order] = np.cumsum(pair, dtype=np.int32) - 1
+        del order
+        self.pair = np.repeat(number, np.concatenate(counts))  # of each occurrence
+        del number
+        self.word = (np.cumsum(word, dtype=np.int32) - 1)[pair]  # of each pair
+        del word, pair
         learned = np.concatenate([d < n for d, n in zip(self.docs, t.column("learn").to_pylist())])
         self.count = np.bincount(self.pair[learned], minlength=len(self.first))
         self.word_count = np.bincount(self.word, weights=self.count, minlength=len(self.words)).astype(np.int64)
@@ -275,17 +305,17 @@ def corpus_totals(table: DataFrame, frequent: np.ndarray, hot: np.ndarray = NONE
     """The first pass."""
 
     def count(t: pa.Table) -> pa.Table:
-        b = Bucket(t)
         out = []
-        spread = np.isin(b.words, frequent)
-        key = pair_key(b.words[b.word], b.first)
-        parted = within(key, hot)
-        for kind, c in (("1", b.word_count[~spread]), ("2", b.count[~parted])):
-            n = np.bincount(np.minimum(c, GT_MOST + 2), minlength=GT_MOST + 3)
-            out += [(kind, r, int(n[r])) for r in range(1, GT_MOST + 2)]
-            out += [(kind + "n", 0, int(c.sum())), (kind + "v", 0, int((c > 0).sum()))]
-        out += [("w", int(h), int(c)) for h, c in zip(b.words[spread].view(np.int64), b.word_count[spread])]
-        out += [("p", int(h), int(c)) for h, c in zip(key[parted].view(np.int64), b.count[parted])]
+        for b in slices(t):
+            spread = np.isin(b.words, frequent)
+            key = pair_key(b.words[b.word], b.first)
+            parted = within(key, hot)
+            for kind, c in (("1", b.word_count[~spread]), ("2", b.count[~parted])):
+                n = np.bincount(np.minimum(c, GT_MOST + 2), minlength=GT_MOST + 3)
+                out += [(kind, r, int(n[r])) for r in range(1, GT_MOST + 2)]
+                out += [(kind + "n", 0, int(c.sum())), (kind + "v", 0, int((c > 0).sum()))]
+            out += [("w", int(h), int(c)) for h, c in zip(b.words[spread].view(np.int64), b.word_count[spread])]
+            out += [("p", int(h), int(c)) for h, c in zip(key[parted].view(np.int64), b.count[parted])]
         return pa.table([pa.array(x) for x in zip(*out)], names=["kind", "r", "n"])
 
     sums = on_workers(table).groupBy("bucket").applyInArrow(count, "kind string, r long, n long")
@@ -304,28 +334,19 @@ def corpus_totals(table: DataFrame, frequent: np.ndarray, hot: np.ndarray = NONE
     return Totals(tokens, v, words.get(END, 0), d1, discounts(n2), 1 - mass / tokens if tokens else 1.0, words, hot, hot_counts)
 
 
+def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, rows of values per key) of all parts as one, values of equal keys added up."""
+    if len(parts) == 1:
+        return parts[0]
+    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    values = np.concatenate([v for _, v in parts], axis=1)
+    return keys, np.array([np.bincount(at, weights=v, minlength=len(keys)) for v in values])
+
+
 def bucket_sums(table: DataFrame, totals: Totals) -> DataFrame:
     """The second pass: rows of SUMS_SCHEMA."""
 
     def sums(t: pa.Table) -> pa.Table:
-        b = Bucket(t)
-        c1 = b.word_count.copy()
-        for i, h in enumerate(b.words.tolist()):
-            if h in totals.frequent:
-                c1[i] = totals.frequent[h]
-        p1 = totals.p1(c1)
-        c2 = b.count.copy()
-        key = pair_key(b.words[b.word], b.first)
-        parted = within(key, totals.hot)
-        c2[parted] = totals.hot_counts[np.searchsorted(totals.hot, key[parted])]
-        del key
-        seen = c2 > 0
-        own = discounted(c2, totals.bigram)
-        # a token's part: its discounted count or P1, and as the next one's history
-        by_word = np.where((c1 > 0) & (b.words != _U(END)), -np.log10(np.maximum(c1, 1)), 0.0)
-        by_pair = np.where(seen, np.log10(np.where(seen, own, 1.0)), np.log10(p1)[b.word]) + by_word[b.word]
-        base = np.log10(c1 + ADDED)[b.word]
-        known = (c1 > 0)[b.word]
         columns: list[list] = [[] for _ in range(8)]
 
         def add(n: int, **cols) -> None:
@@ -333,20 +354,41 @@ def bucket_sums(table: DataFrame, totals: Totals) -> DataFrame:
                 v = cols.get(name)
                 columns[k].append(np.full(n, v) if isinstance(v, int) else v if v is not None else [None] * n)
 
-        blobs, lo = [], 0
-        for chunk, doc in zip(b.chunks, b.docs):  # the documents that the chunk has here, and no others
-            pair = b.pair[lo : lo + len(doc)]
-            lo += len(doc)
-            tokens = np.bincount(doc)
-            at = np.flatnonzero(tokens)
-            parts = [np.bincount(doc, weights=x[pair])[at] for x in (by_pair, base, known)]
-            blobs.append(np.concatenate((parts[0], parts[1], tokens[at], parts[2])).astype("<f8").tobytes() + at.astype("<u2").tobytes())
-            un = np.flatnonzero(~seen[pair])
-            add(len(un), kind=UNSEEN, chunk=chunk, doc=doc[un].astype(np.int32), first=b.first[pair[un]].view(np.int64), x1=np.ones(len(un)))
-        add(len(blobs), kind=DOC_SUMS, chunk=b.chunks, sums=blobs)
-        once = seen & ~parted
-        h, at = np.unique(b.first[once], return_inverse=True)
-        by_history = [np.bincount(at, weights=x[once], minlength=len(h)) for x in (own, p1[b.word], c2)]
+        chunks, by_doc, histories = t.column("chunk").to_pylist(), [[] for _ in range(t.num_rows)], []
+        for b in slices(t):
+            c1 = b.word_count.copy()
+            for i, h in enumerate(b.words.tolist()):
+                if h in totals.frequent:
+                    c1[i] = totals.frequent[h]
+            p1 = totals.p1(c1)
+            c2 = b.count.copy()
+            key = pair_key(b.words[b.word], b.first)
+            parted = within(key, totals.hot)
+            c2[parted] = totals.hot_counts[np.searchsorted(totals.hot, key[parted])]
+            del key
+            seen = c2 > 0
+            own = discounted(c2, totals.bigram)
+            # a token's part: its discounted count or P1, and as the next one's history
+            by_word = np.where((c1 > 0) & (b.words != _U(END)), -np.log10(np.maximum(c1, 1)), 0.0)
+            by_pair = np.where(seen, np.log10(np.where(seen, own, 1.0)), np.log10(p1)[b.word]) + by_word[b.word]
+            base = np.log10(c1 + ADDED)[b.word]
+            known = (c1 > 0)[b.word]
+            lo = 0
+            for k, (chunk, doc) in enumerate(zip(chunks, b.docs)):  # the documents that the chunk has here, and no others
+                pair = b.pair[lo : lo + len(doc)]
+                lo += len(doc)
+                tokens = np.bincount(doc)
+                at = np.flatnonzero(tokens)
+                parts = [np.bincount(doc, weights=x[pair])[at] for x in (by_pair, base, known)]
+                by_doc[k].append((at.astype("<u2"), np.array((parts[0], parts[1], tokens[at], parts[2]))))
+                un = np.flatnonzero(~seen[pair])
+                add(len(un), kind=UNSEEN, chunk=chunk, doc=doc[un].astype(np.int32), first=b.first[pair[un]].view(np.int64), x1=np.ones(len(un)))
+            once = seen & ~parted
+            h, at = np.unique(b.first[once], return_inverse=True)
+            histories.append((h, np.array([np.bincount(at, weights=x[once], minlength=len(h)) for x in (own, p1[b.word], c2)])))
+        blobs = [values.astype("<f8").tobytes() + at.astype("<u2").tobytes() for at, values in map(added, by_doc)]
+        add(len(blobs), kind=DOC_SUMS, chunk=chunks, sums=blobs)
+        h, by_history = added(histories)
         add(len(h), kind=HISTORY, first=h.view(np.int64), x1=by_history[0], x2=by_history[1], x3=by_history[2])
         i64, f64 = pa.int64(), pa.float64()
         kinds = [pa.int32(), i64, pa.int32(), i64, f64, f64, f64, pa.binary()]

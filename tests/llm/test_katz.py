@@ -117,3 +117,30 @@ def test_hot_pairs_are_spread_and_counted_once(spark, monkeypatch):
     assert katz.within(katz.pair_key(second, first), hot).all() and katz.within(second, words).all()
     got = np.array([katz.bucket_of(second, first, words, 8, hot, chunk) for chunk in range(60)])
     assert all(len(set(b)) == 8 for b in got.T.tolist())
+
+
+def test_slices_of_a_bucket_change_nothing(spark, monkeypatch):
+    """A task sorts a bucket slice by slice, and writes one sum a history and document."""
+    texts = {i: t for i, t in list(documents().items())[:60]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(katz, "SLICE_BYTES", 5_000)
+    held_against(katz.score(docs).collect(), {(i, 0): t for i, t in texts.items()})
+
+
+def test_a_slice_is_a_share_of_its_bucket(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    hashes = [rng.integers(0, 2**64, 40, dtype=np.uint64) for _ in range(50)]
+    names = [x.split()[0] for x in katz.CHUNK_COLUMNS.split(", ")]
+    rows = [(b, 0, *x) for b, *x in katz.chunk_rows(hashes, 50, katz.NONE, 1)]
+    t = pa.table([pa.array(x) for x in zip(*rows)], names=names)
+    whole = katz.Bucket(t)
+    monkeypatch.setattr(katz, "SLICE_BYTES", t.nbytes // 7)
+    parts = list(katz.slices(t))
+    assert len(parts) >= 7 and max(len(p.first) for p in parts) < len(whole.first) / 4
+    assert np.concatenate([p.words for p in parts]).tolist() == whole.words.tolist()
+    assert np.concatenate([p.first for p in parts]).tolist() == whole.first.tolist()
+    assert np.concatenate([p.count for p in parts]).tolist() == whole.count.tolist()
+    assert sum(len(p.docs[0]) for p in parts) == 50 * 41
