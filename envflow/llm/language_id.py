@@ -22,6 +22,7 @@ ids are not learned from, ``held_out`` false); extra columns are ignored; an emp
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -251,6 +252,23 @@ def labelled_sample(docs: DataFrame, counts: dict[str, int], per_lang: int, id_c
     return [(text, lang) for lang, _, text in told]
 
 
+def sample_rows(sample: list[tuple[str, str]], labels: np.ndarray, classes: int, idf: np.ndarray, shift: int) -> tuple[list, np.ndarray]:
+    """Distinct features and values of each text of the sample, and ``Model.seen``. ``sample`` is emptied on the way: the driver
+    holds either a text or its row, and all rows in two arrays."""
+    seen = np.zeros((classes, FEATURES // 8), dtype=np.uint8)
+    own, values, ends = array("i"), array("d"), [0]
+    sample.reverse()
+    for k in labels.tolist():
+        _, f, c = features([sample.pop()[0]])
+        np.bitwise_or.at(seen[k], f >> 3, (128 >> (f & 7)).astype(np.uint8))
+        f, x = folded(f >> shift, weighted(np.zeros(len(f), dtype=np.int64), f, c, idf, 1))
+        own.frombytes(f.astype("i").tobytes())
+        values.frombytes(x.astype("d").tobytes())
+        ends.append(len(own))
+    f, x = np.frombuffer(own, dtype="i"), np.frombuffer(values, dtype="d")
+    return [(f[a:b], x[a:b]) for a, b in zip(ends[:-1], ends[1:])], seen
+
+
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Learn from the rows of ``docs`` that have a text and a language."""
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
@@ -266,14 +284,7 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, id_col: str = "doc_i
     idf = np.log((1 + total) / (1 + df)) + 1
     index = {x: i for i, x in enumerate(languages)}
     labels = np.array([index[lang] for _, lang in sample])
-    counted = [features([text])[1:] for text, _ in sample]
-    seen = np.zeros((len(languages), FEATURES // 8), dtype=np.uint8)
-    for k in range(len(languages)):
-        has = np.zeros(FEATURES, dtype=bool)
-        for i in np.flatnonzero(labels == k):
-            has[counted[i][0]] = True
-        seen[k] = np.packbits(has)
-    rows = [folded(f >> shift, weighted(np.zeros(len(f), dtype=np.int64), f, c, idf, 1)) for f, c in counted]
+    rows, seen = sample_rows(sample, labels, len(languages), idf, shift)
     held = np.arange(len(rows)) % CALIBRATION_SHARE == 0
     learn = np.flatnonzero(~held) if len(rows) >= 10 * len(languages) else np.arange(len(rows))
     weights = fit_ftrl([rows[i] for i in learn], labels[learn], len(languages), FEATURES >> shift)

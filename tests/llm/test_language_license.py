@@ -319,3 +319,19 @@ def test_tf_idf_agrees_with_a_plain_version():
     x = language_id.weighted(row, feature, count, idf, 1)
     raw = [(1 + math.log(c)) * idf[f] for f, c in zip(feature, count)]
     assert np.allclose(x, np.array(raw) / math.sqrt(sum(v * v for v in raw)))
+
+
+def test_the_sample_leaves_the_driver_as_its_rows_come():
+    """Text by text; all rows lie in two arrays, and what is known of a language is as a flag per n-gram tells."""
+    texts = [f"number {i} of some short texts about {'abcdefgh'[i % 8] * 3}" for i in range(40)]
+    labels = np.array([i % 2 for i in range(40)])
+    idf, sample = np.linspace(1, 3, language_id.FEATURES), [(t, "xy"[k]) for t, k in zip(texts, labels)]
+    rows, seen = language_id.sample_rows(sample, labels, 2, idf, 2)
+    assert not sample and len({id(f.base) for f, _ in rows}) == len({id(x.base) for _, x in rows}) == 1
+    has = np.zeros((2, language_id.FEATURES), dtype=bool)
+    for text, k, (own, values) in zip(texts, labels, rows):
+        _, f, c = language_id.features([text])
+        has[k, f] = True
+        want = language_id.folded(f >> 2, language_id.weighted(np.zeros(len(f), dtype=np.int64), f, c, idf, 1))
+        assert own.tolist() == want[0].tolist() and values.tolist() == want[1].tolist()
+    assert (np.packbits(has, axis=1) == seen).all()
