@@ -106,3 +106,20 @@ def test_the_evaluator_agrees_with_plain_counting(spark):
 def test_unknown_metrics_are_an_error(split):
     with pytest.raises(ValueError, match="can't be ranked by 'luck'"):
         T.compare_models(*split, features=FEATURES, sort_metric="luck")
+
+
+def test_parts_are_fitted_side_by_side(split, monkeypatch):
+    import threading
+
+    folds = T.fold_vectors(split[0], ["x", "y"], "label", ["a", "b", "c"], 2, 1)
+    meet = threading.Barrier(3, timeout=60)  # broken unless three fits have begun
+
+    class Waits:
+        def fit(self, rows):
+            meet.wait()
+            return rows.count()
+
+    models = T.fitted_parts(folds, Waits)
+    assert models == {T.WHOLE: folds.size, **{i: folds.learn(i).count() for i in range(2)}}
+    monkeypatch.setattr(T, "FIT_ROWS_PER_CORE", 1)
+    assert T.fits_at_once(folds) == 1  # large parts one after the other
