@@ -50,6 +50,7 @@ ADDED = 0.1  # of the base score
 CHUNK_TOKENS, CHUNK_DOCS = 2_500_000, 65_535
 BUCKET_BYTES = 32 << 20
 SLICE_BYTES = 8 << 20  # of a bucket's rows that a task sorts at once
+OUT_ROWS = 50_000  # that a task hands to its JVM at once
 LEAST_BUCKETS = 8
 SAMPLE_EVERY = 1  # documents looked at for frequent words and hot pairs (all); decides the layout only
 BEGIN = xxhash.xxh3_64_intdigest(b" begin")  # no word holds a space
@@ -347,12 +348,16 @@ def bucket_sums(table: DataFrame, totals: Totals) -> DataFrame:
     """The second pass: rows of SUMS_SCHEMA."""
 
     def sums(t: pa.Table) -> pa.Table:
-        columns: list[list] = [[] for _ in range(8)]
+        names, (i64, f64) = [x.split()[0] for x in SUMS_SCHEMA.split(", ")], (pa.int64(), pa.float64())
+        kinds = [pa.int32(), i64, pa.int32(), i64, f64, f64, f64, pa.binary()]
+        columns: list[list] = [[] for _ in kinds]
 
         def add(n: int, **cols) -> None:
-            for k, name in enumerate(("kind", "chunk", "doc", "first", "x1", "x2", "x3", "sums")):
-                v = cols.get(name)
-                columns[k].append(np.full(n, v) if isinstance(v, int) else v if v is not None else [None] * n)
+            for lo in range(0, n, OUT_ROWS):
+                m = min(OUT_ROWS, n - lo)
+                for own, name, kind in zip(columns, names, kinds):
+                    v = cols.get(name)
+                    own.append(pa.nulls(m, kind) if v is None else pa.array(np.full(m, v) if isinstance(v, int) else v[lo : lo + m], kind))
 
         chunks, by_doc, histories = t.column("chunk").to_pylist(), [[] for _ in range(t.num_rows)], []
         for b in slices(t):
@@ -390,10 +395,7 @@ def bucket_sums(table: DataFrame, totals: Totals) -> DataFrame:
         add(len(blobs), kind=DOC_SUMS, chunk=chunks, sums=blobs)
         h, by_history = added(histories)
         add(len(h), kind=HISTORY, first=h.view(np.int64), x1=by_history[0], x2=by_history[1], x3=by_history[2])
-        i64, f64 = pa.int64(), pa.float64()
-        kinds = [pa.int32(), i64, pa.int32(), i64, f64, f64, f64, pa.binary()]
-        arrays = [pa.chunked_array([pa.array(v, k) for v in c], k) for c, k in zip(columns, kinds)]
-        return pa.table(arrays, names=[x.split()[0] for x in SUMS_SCHEMA.split(", ")])
+        return pa.table([pa.chunked_array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return on_workers(table).groupBy("bucket").applyInArrow(sums, SUMS_SCHEMA)
 
