@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import FEATURES
 from ..operators.prep import align_features
+from .training import transformed
 
 
 def model_labels(model: PipelineModel) -> list[str]:
@@ -27,7 +28,7 @@ def score(model: PipelineModel, df: DataFrame, features: list[str] = FEATURES, k
     as the pipeline's last stage; only a model without any probabilities gives null confidence and map."""
     labels = labels or model_labels(model)
     aligned = align_features(df, features, keep=list(keep))
-    out = model.transform(aligned)
+    out = transformed(model, aligned)
     lab = F.array(*[F.lit(x) for x in labels])
     pred = F.element_at(lab, F.col("prediction").cast("int") + 1)
     if "probability" in out.columns:

@@ -123,3 +123,36 @@ def test_parts_are_fitted_side_by_side(split, monkeypatch):
     assert models == {T.WHOLE: folds.size, **{i: folds.learn(i).count() for i in range(2)}}
     monkeypatch.setattr(T, "FIT_ROWS_PER_CORE", 1)
     assert T.fits_at_once(folds) == 1  # large parts one after the other
+
+
+def test_linear_margins_are_those_of_the_model(split):
+    folds = T.fold_vectors(split[0], ["x", "y"], "label", ["a", "b", "c"], 2, 1)
+    model = T.estimator(some("svc_ovr")[0], ["x", "y"], ["a", "b", "c"], 42).fit(folds.learn(T.WHOLE))
+    rows = folds.learn(T.WHOLE).coalesce(1)
+    want, got = model.transform(rows).collect(), T.transformed(model, rows).collect()
+    assert len(got) == len(want) > 0
+    for a, b in zip(want, got):
+        assert b[T.SCALED_VEC] == a[T.SCALED_VEC] and set(a.asDict()) == set(b.asDict())
+        assert b[T.MARGINS].toArray() == pytest.approx(a[T.MARGINS].toArray(), rel=1e-9, abs=1e-12)
+        assert b[T.MARGIN_CHOICE] == a[T.MARGIN_CHOICE]
+
+
+def test_scores_take_no_row_through_the_models_one_by_one(split, monkeypatch):
+    folds = T.fold_vectors(split[0], ["x", "y"], "label", ["a", "b", "c"], 2, 1)
+    models = T.fitted_parts(folds, lambda: T.estimator(some("svc_ovr")[0], ["x", "y"], ["a", "b", "c"], 42))
+    monkeypatch.setattr(OneVsRestModel, "_transform", lambda *a: pytest.fail("row by row"))
+    told, calibration = T.out_of_fold(folds, models)
+    model = T.fitted_pipeline(folds, models, calibration)
+    assert told.count() == folds.size and model.stages[-1] is calibration
+    out = score(model, split[1], ["x", "y"], keep=["label"])
+    assert out.filter("prediction = label").count() > 0.6 * out.count()
+
+
+def test_linear_fits_start_few_tasks(split, monkeypatch):
+    folds = T.fold_vectors(split[0].repartition(6), ["x", "y"], "label", ["a", "b", "c"], 2, 1)
+    seen = []
+    monkeypatch.setattr(OneVsRest, "fit", lambda self, rows: seen.append((rows.rdd.getNumPartitions(), rows.count())))
+    T.fitted_parts(folds, lambda: T.estimator(some("svc_ovr")[0], ["x", "y"], ["a", "b", "c"], 42))
+    assert sorted(seen) == sorted((1, folds.learn(i).count()) for i in (T.WHOLE, 0, 1))
+    monkeypatch.setattr(T, "FIT_ROWS_PER_TASK", folds.size // 2)
+    assert T.in_few_tasks(folds, folds.learn(T.WHOLE)).rdd.getNumPartitions() <= 3
