@@ -156,3 +156,72 @@ def test_linear_fits_start_few_tasks(split, monkeypatch):
     assert sorted(seen) == sorted((1, folds.learn(i).count()) for i in (T.WHOLE, 0, 1))
     monkeypatch.setattr(T, "FIT_ROWS_PER_TASK", folds.size // 2)
     assert T.in_few_tasks(folds, folds.learn(T.WHOLE)).rdd.getNumPartitions() <= 3
+
+
+def test_families_wait_for_room(split, monkeypatch):
+    import threading
+    import time
+
+    running, most, lock = [0], [0], threading.Lock()
+
+    def fit(folds, test, c, *rest):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        time.sleep(0.3)
+        with lock:
+            running[0] -= 1
+        return T.Fitted(c, None, 0.5, {"model": c.name, "cv_score": 0.5})
+
+    monkeypatch.setattr(T, "_fit_candidate", fit)
+    monkeypatch.setattr(T, "FIT_ROWS_PER_CORE", 1)
+    board, _ = T.compare_models(*split, features=["x", "y"], target="label", folds=2)
+    assert most[0] == 1 and board.count() == 5
+    monkeypatch.setattr(T, "FIT_ROWS_PER_CORE", 2_000_000)
+    T.compare_models(*split, features=["x", "y"], target="label", folds=2)
+    assert most[0] > 1
+
+
+def test_classes_wait_for_room(split, monkeypatch):
+    folds = T.fold_vectors(split[0], ["x", "y"], "label", ["a", "b", "c"], 2, 1)
+    seen = []
+    monkeypatch.setattr(OneVsRest, "fit", lambda self, rows: seen.append(self.getParallelism()))
+    for family, rows_per_core, want in (("svc_ovr", 2_000_000, 3), ("svc_ovr", 1, 1), ("gbt_ovr", 2_000_000, 3), ("gbt_ovr", 1, 1)):
+        monkeypatch.setattr(T, "FIT_ROWS_PER_CORE", rows_per_core)
+        T.fitted_parts(folds, lambda: T.estimator(next(c for c in T.default_candidates() if c.family == family), ["x", "y"], ["a", "b", "c"], 42))
+        assert seen == [want] * 3, family
+        seen.clear()
+
+
+def test_one_vs_rest_keeps_no_copy_of_its_rows(split, monkeypatch):
+    kept = []
+    folds = T.fold_vectors(split[0], ["x", "y"], "label", ["a", "b", "c"], 2, 1)
+    rows, real = folds.learn(0).coalesce(1), LinearSVC.fit
+
+    def fit(self, df, params=None):
+        kept.append("InMemoryRelation" in df._jdf.queryExecution().withCachedData().toString())
+        return real(self, df, params)
+
+    monkeypatch.setattr(LinearSVC, "fit", fit)
+    c = next(c for c in T.default_candidates() if c.family == "svc_ovr")
+    est = T.estimator(c, ["x", "y"], ["a", "b", "c"], 42)
+    model = est.setClassifier(LinearSVC(maxIter=5)).fit(rows)
+    assert kept == [False] * 3
+    plain = OneVsRest(featuresCol=T.SCALED_VEC, labelCol=T.LABEL_IDX, predictionCol=T.MARGIN_CHOICE, classifier=LinearSVC(maxIter=5)).fit(rows)
+    assert kept == [False] * 3 + [True] * 3
+    assert [m.coefficients for m in model.models] == [m.coefficients for m in plain.models]
+    assert [m.intercept for m in model.models] == [m.intercept for m in plain.models]
+    assert model.getPredictionCol() == plain.getPredictionCol()
+
+
+def test_holdout_predictions_are_made_once(split, monkeypatch):
+    told = []
+    monkeypatch.setattr(T, "materialize", lambda df, real=T.materialize: told.append(df.columns) or real(df))
+    rows = split[1].select(
+        F.col("key"), (F.col("key") % 2).cast("double").alias(T.LABEL_IDX), (F.col("key") % 3 % 2).cast("double").alias("prediction"),
+        T.array_to_vector(F.array(F.lit(0.5), F.col("key") % 7 / 7.0)).alias("probability"),
+    )
+    got = T.holdout_metrics(rows, "m").first()
+    assert told == [[T.LABEL_IDX, "prediction", "probability"]]
+    want = T.prediction_metrics(rows.withColumn("model", F.lit("m")), ["model"]).first()
+    assert got == want and got["model"] == "m"
