@@ -225,3 +225,23 @@ def test_holdout_predictions_are_made_once(split, monkeypatch):
     assert told == [[T.LABEL_IDX, "prediction", "probability"]]
     want = T.prediction_metrics(rows.withColumn("model", F.lit("m")), ["model"]).first()
     assert got == want and got["model"] == "m"
+
+
+def test_a_training_prepares_its_rows_once(spark, split, monkeypatch):
+    from pyspark.ml.tuning import TrainValidationSplit
+
+    prepared, seen = [], []
+    monkeypatch.setattr(T, "preparation", lambda rows, features, real=T.preparation: prepared.append(1) or real(rows, features))
+    monkeypatch.setattr(TrainValidationSplit, "_fit", lambda self, rows, real=TrainValidationSplit._fit: seen.append((rows.columns, self.getParallelism())) or real(self, rows))
+    monkeypatch.setattr(T, "FIT_ROWS_PER_CORE", 1)
+    c = some("dt")[0]
+    c.space = {"maxDepth": [1, 2, 6]}
+    both = split[0].unionByName(split[1])
+    got = T.run_training(spark, both, ["key"], ["x", "y"], "label", tune_trials=3, candidates=[c], folds=2)
+    assert len(prepared) == 3  # two folds and the whole, for the comparison and the tuning
+    assert seen == [([T.LABEL_IDX, T.FEATURES_VEC], 1)]  # the columns a trial reads; trials wait for room
+    data = T.isolated_table(T.split_flag(T.prepare(both, ["x", "y"], "label"), ["key"]))
+    train, test = data.filter("is_train").drop("is_train"), data.filter("NOT is_train").drop("is_train")
+    _, trials, tuned = T.tune_model(train, test, c, ["x", "y"], "label", 3)
+    assert sorted(got.trials.collect()) == sorted(trials.collect()) and got.tuned_metrics.collect() == tuned.collect()
+    assert got.labels == ["a", "b", "c"]
